@@ -4,20 +4,21 @@ The plain form is ``lag(...).over(Window.partitionBy(key).orderBy(order))``.
 It puts every row of a key into one task, and a single key may hold a third
 of all rows (all hosts fall back to ``unknown`` when the hostname is
 missing). So the rows of a key are split into buckets of the order (time
-buckets, or offset ranges), ``lag`` runs inside ``(key, bucket)``, and the
-first row of each bucket is stitched to the last row of the previous
-non-empty bucket of the same key:
-
-1. ``lasts``: one row per ``(key, bucket)``, the last row of the bucket
-   (partial aggregation, so the shuffle carries one row per map task and
-   bucket).
-2. ``links``: for each non-empty bucket the next non-empty one, from the slim
-   ``(key, bucket)`` table (no payload in the per-key window).
-3. ``carry``: the last row of bucket ``b`` re-labelled into ``next(b)``.
-4. ``lag`` over ``(key, bucket)`` on rows ∪ carry; carry rows are dropped.
-
-The big data is shuffled once, on ``(key, bucket)``. The bucket column must
-be non-decreasing in the order, and the order must be unique within a key.
+buckets, or offset ranges) and ``lag`` runs inside ``(key, bucket)``: the
+data is shuffled once, on ``(key, bucket)``. Only the first row of each
+bucket needs more, the last row of the previous non-empty bucket:
+
+1. ``lasts``: the rows with no successor in their bucket (one per bucket),
+   taken from the same window pass and the same shuffle.
+2. ``carry``: each last row labelled with the next non-empty bucket of its
+   key (``lead`` over the one-row-per-bucket table), joined to the first row
+   of that bucket.
+
+The per-key window in 2 sees one row per bucket, so a hot key costs one task
+``#buckets`` rows; choose the bucket width so that stays in the 10^4–10^6
+range. The join is over one row per bucket, and AQE may broadcast it once
+its real size is known. The bucket column
+must be non-decreasing in the order, and the order unique within a key.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BKT = "__bkt"
-_CARRY = "__carry"
 
 
 def time_bucket(col: str | Column, width: int) -> Column:
@@ -55,43 +55,66 @@ def with_previous(
     prev_col: str = "prev",
 ) -> DataFrame:
     """Add ``prev_col``: ``struct(payload)`` of the previous row of the same key
-    in ``order``, null for the first row of a key."""
+    in ``order``, null for the first row of a key. The result has the
+    columns ``key``, ``order``, ``payload`` and ``prev_col``."""
     order = list(order)
-    payload = [c for c in payload if c not in order]
-    carried = order + payload
-
-    base = df.withColumn(_BKT, bucket).withColumn(_CARRY, F.lit(False))
-
-    order_struct = F.struct(*[F.col(c) for c in order])
-    lasts = (
-        base.groupBy(key, _BKT)
-        .agg(F.max_by(F.struct(*[F.col(c) for c in carried]), order_struct).alias("__last"))
+    payload = list(payload)
+    others = [c for c in order if c not in payload]
+
+    # The payload travels in one struct and the order columns beside it, so
+    # all branches below read the same columns and Spark reuses the one
+    # shuffle on (key, bucket); the caller should use every payload field.
+    # Non-null key and bucket: no IsNotNull filter is inferred into a branch.
+    k = F.coalesce(F.col(key), F.lit("")) if df.schema[key].nullable else F.col(key)
+    packed = df.select(
+        k.alias(key),
+        F.coalesce(bucket, F.lit(0).cast("long")).alias(_BKT),
+        *[F.col(c) for c in others],
+        F.struct(*[F.col(c) for c in payload]).alias("__row"),
+    )
+    w = Window.partitionBy(key, _BKT).orderBy(
+        *[F.col(c) if c in others else F.col(f"__row.{c}") for c in order]
     )
-    links = (
-        lasts.select(key, _BKT)
-        .withColumn("__next", F.lead(_BKT).over(Window.partitionBy(key).orderBy(_BKT)))
-        .where(F.col("__next").isNotNull())
+    win = packed.select(
+        key,
+        _BKT,
+        *others,
+        "__row",
+        F.lag("__row").over(w).alias("__lag"),
+        F.lead(F.lit(1)).over(w).isNull().alias("__is_last"),
     )
+    def unpack(prev: Column) -> list[Column]:
+        return [
+            F.col(key),
+            *[F.col(c) for c in others],
+            *[F.col(f"__row.{c}").alias(c) for c in payload],
+            prev.alias(prev_col),
+        ]
+
+    interior = win.where(F.col("__lag").isNotNull()).select(*unpack(F.col("__lag")))
+
+    # One row per non-empty bucket: its last row, labelled with the next
+    # non-empty bucket of the key.
     carry = (
-        lasts.join(links, [key, _BKT])
+        win.where(F.col("__is_last"))
         .select(
-            F.col(key),
-            F.col("__next").alias(_BKT),
-            F.lit(True).alias(_CARRY),
-            *[F.col(f"__last.{c}").alias(c) for c in carried],
+            key,
+            F.lead(_BKT).over(Window.partitionBy(key).orderBy(_BKT)).alias(_BKT),
+            F.col("__row").alias("__last"),
         )
+        .where(F.col(_BKT).isNotNull())
     )
-    both = base.unionByName(carry, allowMissingColumns=True)
-    w = Window.partitionBy(key, _BKT).orderBy(F.col(_CARRY).desc(), *[F.col(c) for c in order])
-    prev = F.lag(F.struct(*[F.col(c) for c in carried])).over(w)
-    return both.withColumn(prev_col, prev).where(~F.col(_CARRY)).drop(_BKT, _CARRY)
+    firsts = (
+        win.where(F.col("__lag").isNull())
+        .join(carry, [key, _BKT], "left")
+        .select(*unpack(F.col("__last")))
+    )
+    return interior.unionByName(firsts)
 
 
 def with_previous_simple(
     df: DataFrame, key: str, order: Sequence[str], payload: Sequence[str], prev_col: str = "prev"
 ) -> DataFrame:
     """The one-task-per-key form; only for small inputs and as a test oracle."""
-    order = list(order)
-    carried = order + [c for c in payload if c not in order]
     w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
-    return df.withColumn(prev_col, F.lag(F.struct(*[F.col(c) for c in carried])).over(w))
+    return df.withColumn(prev_col, F.lag(F.struct(*[F.col(c) for c in payload])).over(w))
