@@ -136,10 +136,35 @@ WHERE s.prev_ts IS NOT NULL
 """
 
 
+JSON_FIELDS = """
+SELECT event_id,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS k_strict,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS k_lenient
+FROM events
+"""
+
+HOUR_BUCKET = """
+SELECT event_id,
+       CAST(epoch_us(ts) // 1000 AS BIGINT) AS ts_ms,
+       strftime(ts, '%Y-%m-%d--%H') AS bucket
+FROM events
+"""
+
+ARCHIVE_ROUND_TRIP = f"""
+SELECT *, strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d--%H') AS bucket
+FROM ({COUNTER_DELTA})
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "counter_delta": COUNTER_DELTA,
         "counter_delta_reset": COUNTER_DELTA_RESET,
         "snapshot_time_delta": SNAPSHOT_TIME_DELTA,
         "default_key": DEFAULT_KEY,
+        "metrics_round_trip": COUNTER_DELTA,
+        "json_fields": JSON_FIELDS,
+        "hour_bucket": HOUR_BUCKET,
+        "stream_delta": COUNTER_DELTA,
+        "archive_round_trip": ARCHIVE_ROUND_TRIP,
     }

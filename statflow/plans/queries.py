@@ -12,7 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statflow.operators.cpu_delta import enrich, explode_metrics
+from statflow.operators.metrics_json import (
+    hour_bucket as hour_bucket_col,
+    metrics_from_json,
+    metrics_to_json,
+    read_archive,
+    split_good_bad,
+)
+from statflow.functions.coerce import as_long, field
 from statflow.plans.fixtures import snapshots, table
+from statflow.streaming.jobs import archive_replay, replay
 
 # The fixture has one snapshot per host and day: a week per stitching bucket.
 FIXTURE_BUCKET_MS = 7 * 86_400_000
@@ -46,10 +55,52 @@ def default_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_metrics(fixture_metrics(spark, sf_dir, "cumulative", hostless_every=10))
 
 
+def metrics_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics → JSON text → typed metrics again."""
+    lines = metrics_to_json(fixture_metrics(spark, sf_dir), with_host=True)
+    good, _ = split_good_bad(metrics_from_json(lines))
+    return explode_metrics(good)
+
+
+def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON field access, strict and Jackson-lenient."""
+    ev = table(spark, sf_dir, "events").select("event_id", "props")
+    strict = F.from_json("props", "k BIGINT")["k"]
+    lenient = as_long(field(F.try_parse_json("props"), "$.k"))
+    return ev.select("event_id", strict.alias("k_strict"), lenient.alias("k_lenient"))
+
+
+def hour_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-time archive bucket ``yyyy-MM-dd--HH`` (K3)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    return ev.select("event_id", ms.alias("ts_ms"), hour_bucket_col(ms).alias("bucket"))
+
+
+def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 1 as a stream with keyed state, fed in three arrivals with a restart
+    from the checkpoint after each; same rows as ``counter_delta`` (A1–A8)."""
+    snaps = snapshots(table(spark, sf_dir, "events"), "cumulative")
+    sink = replay(spark, snaps, chunks=3, order=("timestamp", "src_offset"))
+    return explode_metrics(spark.read.parquet(sink))
+
+
+def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 2: JSON metrics → Parquet archive by hour bucket → read back."""
+    arch = archive_replay(spark, fixture_metrics(spark, sf_dir))
+    back = read_archive(spark, arch)
+    return back.select("hostname", "timestamp", "time_delta_ms", "bucket", F.inline("cpu_metrics"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "counter_delta": counter_delta,
         "counter_delta_reset": counter_delta_reset,
         "snapshot_time_delta": snapshot_time_delta,
         "default_key": default_key,
+        "metrics_round_trip": metrics_round_trip,
+        "json_fields": json_fields,
+        "hour_bucket": hour_bucket,
+        "stream_delta": stream_delta,
+        "archive_round_trip": archive_round_trip,
     }
