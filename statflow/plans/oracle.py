@@ -20,7 +20,9 @@ daily AS (
          CAST(sum(event_id % 5) AS BIGINT) AS c_iowait,
          CAST(sum(event_id % 3) AS BIGINT) AS c_irq,
          CAST(sum(event_id % 2) AS BIGINT) AS c_softirq,
-         CAST(sum(event_id % 17) AS BIGINT) AS c_steal
+         CAST(sum(event_id % 17) AS BIGINT) AS c_steal,
+         CAST(sum(event_id % 19) AS BIGINT) AS c_guest,
+         CAST(sum(event_id % 23) AS BIGINT) AS c_guest_nice
   FROM events
   GROUP BY 1, 2, 3
 )"""
@@ -35,7 +37,9 @@ cpu AS (
          CAST(sum(c_iowait) OVER w AS BIGINT) AS c_iowait,
          CAST(sum(c_irq) OVER w AS BIGINT) AS c_irq,
          CAST(sum(c_softirq) OVER w AS BIGINT) AS c_softirq,
-         CAST(sum(c_steal) OVER w AS BIGINT) AS c_steal
+         CAST(sum(c_steal) OVER w AS BIGINT) AS c_steal,
+         CAST(sum(c_guest) OVER w AS BIGINT) AS c_guest,
+         CAST(sum(c_guest_nice) OVER w AS BIGINT) AS c_guest_nice
   FROM daily
   WINDOW w AS (PARTITION BY user_id, id ORDER BY ts_ms
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
@@ -156,6 +160,42 @@ FROM ({COUNTER_DELTA})
 """
 
 
+_FRAME_REASON = """CASE WHEN event_type = 'signup' THEN 'short_frame'
+            WHEN event_type = 'error' THEN 'bad_magic' END"""
+
+FRAME_PARSE = f"""
+SELECT event_id,
+       {_FRAME_REASON} AS reason,
+       CASE WHEN {_FRAME_REASON} IS NULL THEN CAST(user_id AS INTEGER) END AS schema_id,
+       CASE WHEN {_FRAME_REASON} IS NULL THEN CAST(octet_length(encode(props)) AS BIGINT) END AS payload_len
+FROM events
+"""
+
+SCHEMA_LOOKUP = f"""
+SELECT event_id, reason, schema_id,
+       CASE WHEN reason IS NULL THEN 'ProcStatSnapshot' END AS schema_name
+FROM (
+  SELECT event_id,
+         coalesce({_FRAME_REASON},
+                  CASE WHEN user_id >= 100 THEN 'unknown_schema' END) AS reason,
+         CASE WHEN {_FRAME_REASON} IS NULL THEN CAST(user_id AS INTEGER) END AS schema_id
+  FROM events
+)
+"""
+
+AVRO_ROUND_TRIP = f"""
+WITH {_DAILY},
+{_CUMULATIVE}
+SELECT user_id AS src_offset, ts_ms AS timestamp,
+       CAST(sum(c_system) OVER (PARTITION BY user_id, ts_ms) AS BIGINT) AS ctxt,
+       CAST(count(*) OVER (PARTITION BY user_id, ts_ms) + 1 AS BIGINT) AS n_intr,
+       id, c_user AS "user", c_nice AS nice, c_system AS system, c_idle AS idle,
+       c_iowait AS iowait, c_irq AS irq, c_softirq AS softirq, c_steal AS steal,
+       c_guest AS guest, c_guest_nice AS guest_nice
+FROM cpu
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "counter_delta": COUNTER_DELTA,
@@ -167,4 +207,7 @@ def oracle_sql() -> dict[str, str]:
         "hour_bucket": HOUR_BUCKET,
         "stream_delta": COUNTER_DELTA,
         "archive_round_trip": ARCHIVE_ROUND_TRIP,
+        "frame_parse": FRAME_PARSE,
+        "schema_lookup": SCHEMA_LOOKUP,
+        "avro_round_trip": AVRO_ROUND_TRIP,
     }

@@ -21,6 +21,16 @@ from statflow.operators.metrics_json import (
 )
 from statflow.functions.coerce import as_long, field
 from statflow.plans.fixtures import snapshots, table
+from statflow.operators.wire import (
+    decode_frames,
+    encode_payloads,
+    frame,
+    good_rows,
+    lookup_schemas,
+    parse_frames,
+    registry_from_envelopes,
+)
+from statflow.schemas import SNAPSHOT_AVRO_SCHEMA
 from statflow.streaming.jobs import archive_replay, replay
 
 # The fixture has one snapshot per host and day: a week per stitching bucket.
@@ -92,6 +102,62 @@ def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("hostname", "timestamp", "time_delta_ms", "bucket", F.inline("cpu_metrics"))
 
 
+# Registry of the wire queries: ids 0..99 hold the snapshot schema as text;
+# ids 100..109 hold a non-text "schema" field and so register nothing.
+REGISTERED_IDS = 100
+
+
+def registry(spark: SparkSession) -> DataFrame:
+    ids = spark.range(REGISTERED_IDS + 10).select(F.col("id").cast("int").alias("schema_id"))
+    body = F.when(
+        F.col("schema_id") < REGISTERED_IDS,
+        F.to_json(F.struct(F.lit(SNAPSHOT_AVRO_SCHEMA).alias("schema"))),
+    ).otherwise(F.to_json(F.struct(F.struct(F.lit("record").alias("type")).alias("schema"))))
+    return registry_from_envelopes(ids.select("schema_id", body.alias("body")))
+
+
+def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One framed message per event: schema id = user id, payload = the props
+    bytes; ``error`` events carry a bad magic byte, ``signup`` events are cut
+    to 3 bytes."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    full = frame(F.encode("props", "UTF-8"), F.col("user_id"))
+    bad_magic = F.concat(F.unhex(F.lit("01")), full.substr(F.lit(2), F.octet_length(full)))
+    value = (
+        F.when(F.col("event_type") == "signup", full.substr(F.lit(1), F.lit(3)))
+        .when(F.col("event_type") == "error", bad_magic)
+        .otherwise(full)
+    )
+    return ev.select("event_id", value.alias("value"), F.lit(0).alias("src_partition"),
+                     F.col("event_id").alias("src_offset"))
+
+
+def frame_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame checks, schema id and payload split."""
+    p = parse_frames(event_frames(spark, sf_dir))
+    return p.select("event_id", "reason", "schema_id", F.octet_length("payload").cast("long").alias("payload_len"))
+
+
+def schema_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry envelopes → schemas, joined by id."""
+    p = lookup_schemas(parse_frames(event_frames(spark, sf_dir)), registry(spark))
+    return p.select(
+        "event_id", "reason", "schema_id", F.get_json_object("schema_json", "$.name").alias("schema_name")
+    )
+
+
+def avro_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots → Avro payload → framed message → frame parse, schema lookup,
+    Avro decode → snapshots again (D4 D7 K5)."""
+    snaps = snapshots(table(spark, sf_dir, "events"), "cumulative")
+    enc = encode_payloads(snaps, SNAPSHOT_AVRO_SCHEMA)
+    frames = enc.select(frame(F.col("payload"), F.lit(7)).alias("value"), "src_partition", "src_offset")
+    reg = spark.createDataFrame([(7, SNAPSHOT_AVRO_SCHEMA)], "schema_id INT, schema_json STRING")
+    back = good_rows(decode_frames(frames, reg))
+    return back.select("src_offset", "timestamp", "ctxt", F.size("intr").cast("long").alias("n_intr"),
+                       F.inline("cpus"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "counter_delta": counter_delta,
@@ -103,4 +169,7 @@ def queries() -> dict[str, Query]:
         "hour_bucket": hour_bucket,
         "stream_delta": stream_delta,
         "archive_round_trip": archive_round_trip,
+        "frame_parse": frame_parse,
+        "schema_lookup": schema_lookup,
+        "avro_round_trip": avro_round_trip,
     }
