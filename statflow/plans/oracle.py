@@ -196,6 +196,14 @@ FROM cpu
 """
 
 
+PROCSTAT_PARSE = f"""
+SELECT 'host-' || CAST(src_offset AS VARCHAR) AS hostname,
+       * EXCLUDE (src_offset, id),
+       'cpu' || CAST(row_number() OVER (PARTITION BY src_offset, timestamp ORDER BY id) - 1 AS VARCHAR) AS id
+FROM ({AVRO_ROUND_TRIP})
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "counter_delta": COUNTER_DELTA,
@@ -210,4 +218,5 @@ def oracle_sql() -> dict[str, str]:
         "frame_parse": FRAME_PARSE,
         "schema_lookup": SCHEMA_LOOKUP,
         "avro_round_trip": AVRO_ROUND_TRIP,
+        "procstat_parse": PROCSTAT_PARSE,
     }

@@ -21,6 +21,7 @@ from statflow.operators.metrics_json import (
 )
 from statflow.functions.coerce import as_long, field
 from statflow.plans.fixtures import snapshots, table
+from statflow.operators.procstat import parse_dumps, render_dump
 from statflow.operators.wire import (
     decode_frames,
     encode_payloads,
@@ -158,6 +159,19 @@ def avro_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.inline("cpus"))
 
 
+def procstat_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots rendered as /proc/stat text (with an ignorable ``cpuidle``
+    line) and parsed back (S5 P1–P9 G4)."""
+    snaps = snapshots(table(spark, sf_dir, "events"), "cumulative")
+    # CPU lines need /proc/stat names: the i-th CPU of a snapshot is cpu<i>.
+    cpus = F.transform("cpus", lambda c, i: c.withField("id", F.concat(F.lit("cpu"), i.cast("string"))))
+    text = F.concat_ws("\n", F.lit("cpuidle 3"), render_dump({"cpus": cpus}), F.lit(""))
+    dumps = snaps.select("hostname", "timestamp", text.alias("text"))
+    parsed = parse_dumps(dumps).where(F.col("reason").isNull())
+    return parsed.select("hostname", "timestamp", "ctxt", F.size("intr").cast("long").alias("n_intr"),
+                         F.inline("cpus"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "counter_delta": counter_delta,
@@ -172,4 +186,5 @@ def queries() -> dict[str, Query]:
         "frame_parse": frame_parse,
         "schema_lookup": schema_lookup,
         "avro_round_trip": avro_round_trip,
+        "procstat_parse": procstat_parse,
     }
