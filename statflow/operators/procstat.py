@@ -115,7 +115,7 @@ def read_dump_files(spark, path: str, name_pattern: str = r"([^/_]+)_(\d+)") ->
     text``. Host and capture time (epoch ms) come from the file name, e.g.
     ``web01_1700000000000.txt``; without a time in the name the file's
     modification time is used (P8)."""
-    raw = spark.read.option("wholetext", True).text(path).select(
+    raw = spark.read.text(path, wholetext=True).select(
         F.col("value").alias("text"),
         F.col("_metadata.file_name").alias("__name"),
         F.col("_metadata.file_modification_time").alias("__mtime"),
