@@ -94,3 +94,70 @@ def snapshots(events: DataFrame, counters: str = "cumulative", hostless_every: i
         F.lit(0).cast("int").alias("src_partition"),
         F.col("user_id").alias("src_offset"),
     )
+
+
+# --- location fixtures from the TPC-H-like tables ---------------------------
+# Suppliers are the addresses, nations the destinations; coordinates are
+# (nationkey, suppkey); elevation in metres is the account balance; a route
+# from a supplier to a nation exists when the supplier shipped a line of an
+# order placed by a customer of that nation: route rank = order key, leg
+# rank = line number, duration = the quantity in minutes. Only lines shipped
+# without discount went by road ("driving"); the others count as transit.
+
+# Departure day of the location fixtures.
+AS_OF = "2024-03-01"
+
+
+def place_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_name").alias("address"),
+                    F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("notes"))
+
+
+def place_geocode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two candidates per address; rank 0 is the right one."""
+    s = table(spark, sf_dir, "supplier")
+    good = s.select(F.col("s_name").alias("address"), F.lit(0).alias("rank"),
+                    F.col("s_nationkey").cast("double").alias("lat"), F.col("s_suppkey").cast("double").alias("lng"))
+    decoy = good.select("address", F.lit(1).alias("rank"), F.lit(-1.0).alias("lat"), F.lit(-1.0).alias("lng"))
+    return good.unionByName(decoy)
+
+
+def place_elevation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with a negative balance have no elevation data."""
+    s = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
+    lat, lng = F.col("s_nationkey").cast("double"), F.col("s_suppkey").cast("double")
+    good = s.select(lat.alias("lat"), lng.alias("lng"), F.lit(0).alias("rank"), F.col("s_acctbal").alias("elevation_m"))
+    decoy = good.select("lat", "lng", F.lit(1).alias("rank"), F.lit(0.0).alias("elevation_m"))
+    return good.unionByName(decoy)
+
+
+def place_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    return n.select(F.col("n_nationkey").cast("int").alias("pos"), F.col("n_name").alias("name"),
+                    F.concat(F.lit("Center of "), F.col("n_name")).alias("destination"))
+
+
+def place_routes(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                                 "l_discount")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    from statflow.operators.places import next_midnight_epoch
+
+    j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(c, F.col("o_custkey") == F.col("c_custkey"))
+         .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
+    return j.select(
+        F.col("s_nationkey").cast("double").alias("lat"),
+        F.col("s_suppkey").cast("double").alias("lng"),
+        F.concat(F.lit("Center of "), F.col("n_name")).alias("destination"),
+        F.when(F.col("l_discount") == 0, F.lit("driving")).otherwise(F.lit("transit")).alias("mode"),
+        next_midnight_epoch(F.lit(as_of)).alias("departure_epoch"),
+        F.col("o_orderkey").alias("route_rank"),
+        F.col("l_linenumber").alias("leg_rank"),
+        F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(" mins")).alias("duration_text"),
+    )

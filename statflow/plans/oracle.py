@@ -204,6 +204,72 @@ FROM ({AVRO_ROUND_TRIP})
 """
 
 
+ELEVATION_FEET = """
+SELECT s_name AS address,
+       CASE WHEN s_acctbal >= 0 THEN CAST(floor(s_acctbal * 3.28084::DOUBLE) AS BIGINT) END AS elevation_ft
+FROM supplier
+"""
+
+_ROUTES = """
+routes AS (
+  SELECT l_suppkey AS suppkey, c_nationkey AS nationkey,
+         CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) || ' mins' AS duration,
+         row_number() OVER (PARTITION BY l_suppkey, c_nationkey
+                            ORDER BY o_orderkey, l_linenumber,
+                                     CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) || ' mins') AS rn
+  FROM lineitem
+  JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey
+  JOIN supplier ON l_suppkey = s_suppkey
+  WHERE l_discount = 0
+),
+matrix AS (
+  SELECT s.s_name AS address, s.s_acctbal, s.s_nationkey, CAST(n.n_nationkey AS INTEGER) AS pos,
+         n.n_name AS name, 'Center of ' || n.n_name AS destination, r.duration
+  FROM supplier s CROSS JOIN nation n
+  LEFT JOIN routes r ON r.suppkey = s.s_suppkey AND r.nationkey = n.n_nationkey AND r.rn = 1
+)"""
+
+TRAVEL_MATRIX = f"""
+WITH {_ROUTES}
+SELECT address, pos, name, duration FROM matrix
+"""
+
+MISSING_ROUTES = f"""
+WITH {_ROUTES}
+SELECT address, pos, name, destination FROM matrix WHERE duration IS NULL
+"""
+
+REPORT_LINES = f"""
+WITH {_ROUTES},
+results AS (
+  SELECT s_name AS address, 0 AS pos,
+         'Elevation: ' || CAST(CAST(floor(s_acctbal * 3.28084::DOUBLE) AS BIGINT) AS VARCHAR) AS line
+  FROM supplier WHERE s_acctbal >= 0
+  UNION ALL
+  SELECT address, pos + 1, name || ': ' || duration FROM matrix WHERE duration IS NOT NULL
+)
+SELECT s_name AS address, 0 AS line_no, s_name AS line FROM supplier
+UNION ALL SELECT s_name, 1, '' FROM supplier
+UNION ALL SELECT s_name, 2, '*** nation ' || CAST(s_nationkey AS VARCHAR) || ' ***' FROM supplier
+UNION ALL SELECT s_name, 3, '' FROM supplier
+UNION ALL
+SELECT address, CAST(3 + row_number() OVER (PARTITION BY address ORDER BY pos) AS INTEGER), line FROM results
+"""
+
+SLUG = """
+SELECT p_partkey,
+       regexp_replace(p_name, '\W+', '_', 'g') AS slug,
+       'locations/' || regexp_replace(p_name, '\W+', '_', 'g') || '.txt' AS file_name
+FROM part
+"""
+
+DEPARTURE_EPOCH = """
+SELECT o_orderkey, CAST(epoch(CAST(o_orderdate AS DATE) + 1) AS BIGINT) AS departure_epoch
+FROM orders
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "counter_delta": COUNTER_DELTA,
@@ -219,4 +285,10 @@ def oracle_sql() -> dict[str, str]:
         "schema_lookup": SCHEMA_LOOKUP,
         "avro_round_trip": AVRO_ROUND_TRIP,
         "procstat_parse": PROCSTAT_PARSE,
+        "elevation_feet": ELEVATION_FEET,
+        "travel_matrix": TRAVEL_MATRIX,
+        "missing_routes": MISSING_ROUTES,
+        "report_lines": REPORT_LINES,
+        "slug": SLUG,
+        "departure_epoch": DEPARTURE_EPOCH,
     }

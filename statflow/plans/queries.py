@@ -20,7 +20,17 @@ from statflow.operators.metrics_json import (
     split_good_bad,
 )
 from statflow.functions.coerce import as_long, field
-from statflow.plans.fixtures import snapshots, table
+from statflow.plans.fixtures import (
+    AS_OF,
+    place_addresses,
+    place_destinations,
+    place_elevation,
+    place_geocode,
+    place_routes,
+    snapshots,
+    table,
+)
+from statflow.operators import places as P
 from statflow.operators.procstat import parse_dumps, render_dump
 from statflow.operators.wire import (
     decode_frames,
@@ -172,6 +182,51 @@ def procstat_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.inline("cpus"))
 
 
+def _places(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return P.enrich_addresses(
+        place_addresses(spark, sf_dir),
+        place_destinations(spark, sf_dir),
+        place_geocode(spark, sf_dir),
+        place_elevation(spark, sf_dir),
+        place_routes(spark, sf_dir),
+        as_of=F.lit(AS_OF),
+    )
+
+
+def elevation_feet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geocode → elevation lookups, metres → floored feet."""
+    located, _ = P.locate(place_addresses(spark, sf_dir), place_geocode(spark, sf_dir))
+    return P.with_elevation(located, place_elevation(spark, sf_dir)).select("address", "elevation_ft")
+
+
+def travel_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses × destinations with the first leg of the first driving route."""
+    return _places(spark, sf_dir)["matrix"].select("address", "pos", "name", "duration")
+
+
+def missing_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Destinations without a route."""
+    return _places(spark, sf_dir)["missing"]
+
+
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report text lines per address, in order."""
+    return _places(spark, sf_dir)["lines"]
+
+
+def slug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report file name from an address."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return p.select("p_partkey", P.slug(F.col("p_name")).alias("slug"),
+                    P.report_file(F.col("p_name")).alias("file_name"))
+
+
+def departure_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Next midnight after a date, as epoch seconds."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return o.select("o_orderkey", P.next_midnight_epoch(F.col("o_orderdate")).alias("departure_epoch"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "counter_delta": counter_delta,
@@ -187,4 +242,10 @@ def queries() -> dict[str, Query]:
         "schema_lookup": schema_lookup,
         "avro_round_trip": avro_round_trip,
         "procstat_parse": procstat_parse,
+        "elevation_feet": elevation_feet,
+        "travel_matrix": travel_matrix,
+        "missing_routes": missing_routes,
+        "report_lines": report_lines,
+        "slug": slug,
+        "departure_epoch": departure_epoch,
     }
