@@ -270,6 +270,30 @@ FROM orders
 """
 
 
+ARRAY_OPS = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000.0) AS BIGINT)) AS a
+  FROM embeddings
+)
+SELECT vec_id,
+       array_to_string(a[1:2], ',') AS head2,
+       array_to_string(a[2:3], ',') AS mid2,
+       array_to_string(list_append(a[1:2], 4::BIGINT), ',') AS appended,
+       array_to_string(list_prepend(0::BIGINT, a[2:3]), ',') AS prepended,
+       array_to_string(list_concat(a[1:2], [999::BIGINT]), ',') AS replaced,
+       CAST(len(a) AS BIGINT) AS n,
+       a[len(a)] AS last_v,
+       a[6] AS at5,
+       CAST(NULL AS BIGINT) AS at_oob,
+       CAST(NULL AS VARCHAR) AS slice_oob
+FROM v
+"""
+
+PEEK = """
+SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "counter_delta": COUNTER_DELTA,
@@ -291,4 +315,6 @@ def oracle_sql() -> dict[str, str]:
         "report_lines": REPORT_LINES,
         "slug": SLUG,
         "departure_epoch": DEPARTURE_EPOCH,
+        "array_ops": ARRAY_OPS,
+        "peek": PEEK,
     }

@@ -30,6 +30,7 @@ from statflow.plans.fixtures import (
     snapshots,
     table,
 )
+from statflow.functions import arrays as A
 from statflow.operators import places as P
 from statflow.operators.procstat import parse_dumps, render_dump
 from statflow.operators.wire import (
@@ -42,6 +43,7 @@ from statflow.operators.wire import (
     registry_from_envelopes,
 )
 from statflow.schemas import SNAPSHOT_AVRO_SCHEMA
+from statflow.sources.streams import peek as peek_frames
 from statflow.streaming.jobs import archive_replay, replay
 
 # The fixture has one snapshot per host and day: a week per stitching bucket.
@@ -227,6 +229,36 @@ def departure_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", P.next_midnight_epoch(F.col("o_orderdate")).alias("departure_epoch"))
 
 
+def array_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Go-style slicing, append, prepend, replace, len, last, index
+    on integer arrays derived from the embeddings."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    a = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(1000.0)))
+    j = lambda c: F.array_join(c, ",")
+    return e.select("vec_id", a.alias("a")).select(
+        "vec_id",
+        j(A.array_slice("a", 0, 2)).alias("head2"),
+        j(A.array_slice("a", 1, 3)).alias("mid2"),
+        j(A.append(A.array_slice("a", 0, 2), F.lit(4).cast("long"))).alias("appended"),
+        j(A.prepend(A.array_slice("a", 1, 3), F.lit(0).cast("long"))).alias("prepended"),
+        j(A.replace_at(A.array_slice("a", 0, 3), 2, F.lit(999).cast("long"))).alias("replaced"),
+        A.length("a").cast("long").alias("n"),
+        A.last("a").alias("last_v"),
+        A.at("a", 5).alias("at5"),
+        A.at("a", 1000).alias("at_oob"),
+        j(A.array_slice("a", 60, 1000)).alias("slice_oob"),
+    )
+
+
+def peek(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first messages of a topic from the beginning (S11): a top-k by
+    offset, the limit being the feature."""
+    frames = table(spark, sf_dir, "events").select(
+        F.lit(0).alias("src_partition"), F.col("event_id").alias("src_offset"), "event_type"
+    )
+    return peek_frames(frames, 5).select(F.col("src_offset").alias("event_id"), "event_type")
+
+
 def queries() -> dict[str, Query]:
     return {
         "counter_delta": counter_delta,
@@ -248,4 +280,6 @@ def queries() -> dict[str, Query]:
         "report_lines": report_lines,
         "slug": slug,
         "departure_epoch": departure_epoch,
+        "array_ops": array_ops,
+        "peek": peek,
     }
