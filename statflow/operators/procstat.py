@@ -28,8 +28,10 @@ CPU_LINE = r"^cpu[0-9]*$"
 
 
 def _tokens(text: Column) -> Column:
-    lines = F.split(text, r"\r?\n")
-    toks = F.transform(lines, lambda ln: F.array_remove(F.split(ln, r"\s+"), ""))
+    # One regex pass turns every run of blanks into one space; the splits are
+    # then on single characters (no regex engine per line).
+    norm = F.regexp_replace(text, r"[ \t\r\f\x0B]+", " ")
+    toks = F.transform(F.split(norm, "\n"), lambda ln: F.array_remove(F.split(ln, " "), ""))
     return F.filter(toks, lambda t: F.size(t) > 0)
 
 
@@ -37,15 +39,25 @@ def _longs(strs: Column) -> Column:
     return F.transform(strs, lambda x: x.try_cast("long"))
 
 
-def _last_line(toks: Column, name: str) -> Column:
-    return F.try_element_at(F.filter(toks, lambda t: F.get(t, 0) == name), F.lit(-1))
+_NAMED = ("intr", "softirq") + SCALAR_FIELDS
 
 
 def parse_dumps(dumps: DataFrame) -> DataFrame:
     """``hostname, timestamp, text`` (+ any other columns, kept) → snapshot
-    columns plus ``reason`` (null when the dump parsed cleanly)."""
+    columns plus ``reason`` (null when the dump parsed cleanly).
+
+    Two passes over a dump's lines: one filter for the CPU lines, one fold
+    that keeps the last line of each named kind."""
     toks = F.col("__toks")
     cpu_lines = F.filter(toks, lambda t: F.get(t, 0).rlike(CPU_LINE))
+    none = F.lit(None).cast("array<string>")
+    init = F.struct(*[none.alias(n) for n in _NAMED])
+
+    def step(acc: Column, t: Column) -> Column:
+        head = F.get(t, 0)
+        return F.struct(*[F.when(head == n, t).otherwise(acc[n]).alias(n) for n in _NAMED])
+
+    last = F.col("__last")
 
     def cpu_struct(t: Column) -> Column:
         fields = [F.get(t, 0).alias("id")]
@@ -53,44 +65,48 @@ def parse_dumps(dumps: DataFrame) -> DataFrame:
         return F.struct(*fields)
 
     def numbers(name: str) -> Column:
-        line = _last_line(toks, name)
+        line = last[name]
         return F.coalesce(_longs(F.slice(line, 2, F.greatest(F.size(line) - 1, F.lit(0)))),
                           F.array().cast("array<bigint>"))
 
     def scalar(name: str) -> Column:
-        return F.coalesce(F.get(_last_line(toks, name), 1).try_cast("long"), F.lit(0).cast("long"))
+        return F.coalesce(F.get(last[name], 1).try_cast("long"), F.lit(0).cast("long"))
 
-    def scalar_bad(name: str) -> Column:
-        line = _last_line(toks, name)
-        return line.isNotNull() & F.get(line, 1).try_cast("long").isNull()
-
-    cpus = F.transform(cpu_lines, cpu_struct)
     bad_cpu = F.exists(
-        cpu_lines,
-        lambda t: (F.size(t) < len(CPU_COUNTERS) + 1)
-        | F.exists(F.slice(t, 2, len(CPU_COUNTERS)), lambda x: x.try_cast("long").isNull()),
+        F.col("cpus"),
+        lambda c: F.greatest(*[c[n].isNull().cast("int") for n in CPU_COUNTERS]) == 1,
     )
-    bad_arrays = F.exists(numbers("intr"), lambda x: x.isNull()) | F.exists(numbers("softirq"), lambda x: x.isNull())
-    bad = bad_cpu | bad_arrays
-    for s in SCALAR_FIELDS:
-        bad = bad | scalar_bad(s)
+    bad = bad_cpu | F.exists("intr", lambda x: x.isNull()) | F.exists("softirq", lambda x: x.isNull())
+    for s_ in SCALAR_FIELDS:
+        bad = bad | (last[s_].isNotNull() & F.get(last[s_], 1).try_cast("long").isNull())
 
     others = [c for c in dumps.columns if c not in ("hostname", "timestamp", "text")]
-    return (
+    parsed = (
         dumps.withColumn("__toks", _tokens(F.col("text")))
         .select(
             "hostname",
             "timestamp",
-            cpus.alias("cpus"),
+            "text",
+            *others,
+            F.transform(cpu_lines, cpu_struct).alias("cpus"),
+            F.aggregate(toks, init, step).alias("__last"),
+        )
+        .select(
+            "hostname", "timestamp", "text", *others, "cpus", "__last",
             numbers("intr").alias("intr"),
             numbers("softirq").alias("softirq"),
-            *[scalar(s).alias(s) for s in SCALAR_FIELDS],
-            *others,
-            F.when(F.col("text").isNull(), F.lit("null_text"))
-            .when(bad, F.lit("bad_line"))
-            .alias("reason"),
         )
     )
+    return parsed.select(
+        "hostname",
+        "timestamp",
+        "cpus",
+        "intr",
+        "softirq",
+        *[scalar(s_).alias(s_) for s_ in SCALAR_FIELDS],
+        *others,
+        F.when(F.col("text").isNull(), F.lit("null_text")).when(bad, F.lit("bad_line")).alias("reason"),
+    )
 
 
 def render_dump(snapshot_cols: dict[str, Column] | None = None) -> Column:
