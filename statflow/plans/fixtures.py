@@ -96,6 +96,19 @@ def snapshots(events: DataFrame, counters: str = "cumulative", hostless_every: i
     )
 
 
+def with_arrival_offsets(snaps: DataFrame) -> DataFrame:
+    """Broker-style arrival positions for snapshot rows: one partition, and
+    offsets increasing with (timestamp, user) — ``seconds * 1e9 + user``,
+    so no global numbering pass is needed."""
+    return snaps.withColumn("src_partition", F.lit(0)).withColumn(
+        "src_offset", (F.col("timestamp") / 1000).cast("long") * F.lit(1_000_000_000) + F.col("src_offset")
+    )
+
+
+# Offsets of one fixture day (see with_arrival_offsets).
+OFFSETS_PER_DAY = 86_400 * 1_000_000_000
+
+
 # --- location fixtures from the TPC-H-like tables ---------------------------
 # Suppliers are the addresses, nations the destinations; coordinates are
 # (nationkey, suppkey); elevation in metres is the account balance; a route

@@ -110,6 +110,8 @@ WHERE total > 0
 COUNTER_DELTA = _metric_rows(_CUMULATIVE)
 COUNTER_DELTA_RESET = _metric_rows(_RESET)
 DEFAULT_KEY = _metric_rows(_CUMULATIVE, hostless_every=10)
+# Every snapshot without a host: one sequence in (time, user) order.
+ALL_UNKNOWN = _metric_rows(_CUMULATIVE, hostless_every=1)
 
 SNAPSHOT_TIME_DELTA = f"""
 WITH {_DAILY},
@@ -317,4 +319,6 @@ def oracle_sql() -> dict[str, str]:
         "departure_epoch": DEPARTURE_EPOCH,
         "array_ops": ARRAY_OPS,
         "peek": PEEK,
+        "wire_delta": ALL_UNKNOWN,
+        "wire_stream_delta": ALL_UNKNOWN,
     }

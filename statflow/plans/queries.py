@@ -22,6 +22,8 @@ from statflow.operators.metrics_json import (
 from statflow.functions.coerce import as_long, field
 from statflow.plans.fixtures import (
     AS_OF,
+    OFFSETS_PER_DAY,
+    with_arrival_offsets,
     place_addresses,
     place_destinations,
     place_elevation,
@@ -44,7 +46,9 @@ from statflow.operators.wire import (
 )
 from statflow.schemas import SNAPSHOT_AVRO_SCHEMA
 from statflow.sources.streams import peek as peek_frames
-from statflow.streaming.jobs import archive_replay, replay
+from statflow.operators.previous import time_bucket
+from statflow.session import scratch_path
+from statflow.streaming.jobs import archive_replay, replay, start_publish, start_wire_enrichment
 
 # The fixture has one snapshot per host and day: a week per stitching bucket.
 FIXTURE_BUCKET_MS = 7 * 86_400_000
@@ -259,6 +263,49 @@ def peek(spark: SparkSession, sf_dir: str) -> DataFrame:
     return peek_frames(frames, 5).select(F.col("src_offset").alias("event_id"), "event_type")
 
 
+WIRE_SCHEMA_ID = 7
+
+
+def wire_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Framed Avro snapshots as a broker would hold them (no hostname: the
+    record has none)."""
+    snaps = with_arrival_offsets(snapshots(table(spark, sf_dir, "events"), "cumulative"))
+    enc = encode_payloads(snaps.drop("hostname"), SNAPSHOT_AVRO_SCHEMA)
+    return enc.select(frame(F.col("payload"), F.lit(WIRE_SCHEMA_ID)).alias("value"), "src_partition", "src_offset")
+
+
+def wire_registry(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(WIRE_SCHEMA_ID, SNAPSHOT_AVRO_SCHEMA)], "schema_id INT, schema_json STRING")
+
+
+def wire_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 1 in batch from framed messages: decode, then the delta in broker
+    order. Without a hostname every snapshot shares the ``unknown`` key, a
+    single hot key split by day buckets (S3 D1–D4 J1 E4)."""
+    snaps = good_rows(decode_frames(wire_frames(spark, sf_dir), wire_registry(spark)))
+    snaps = snaps.withColumn("hostname", F.lit(None).cast("string"))
+    m = enrich(snaps, order=("src_partition", "src_offset"), bucket=time_bucket("src_offset", OFFSETS_PER_DAY))
+    return explode_metrics(m)
+
+
+def wire_stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Producer and job 1 as two chained streams (A7 K5 S3 A1): snapshots →
+    framed Avro files → decode + keyed state → metrics."""
+    from statflow.schemas import SNAPSHOT_ROW
+
+    snaps = with_arrival_offsets(snapshots(table(spark, sf_dir, "events"), "cumulative"))
+    stage, frames_path, sink = (scratch_path(spark, n) for n in ("wire-stage", "wire-frames", "wire-out"))
+    snaps.drop("hostname").write.parquet(stage)
+    src = spark.readStream.schema(SNAPSHOT_ROW).parquet(stage).drop("hostname")
+    start_publish(src, SNAPSHOT_AVRO_SCHEMA, WIRE_SCHEMA_ID, frames_path,
+                  scratch_path(spark, "wire-ck1")).awaitTermination()
+    from statflow.sources.streams import file_frames
+
+    start_wire_enrichment(file_frames(spark, frames_path), wire_registry(spark), sink,
+                          scratch_path(spark, "wire-ck2")).awaitTermination()
+    return explode_metrics(spark.read.parquet(sink))
+
+
 def queries() -> dict[str, Query]:
     return {
         "counter_delta": counter_delta,
@@ -282,4 +329,6 @@ def queries() -> dict[str, Query]:
         "departure_epoch": departure_epoch,
         "array_ops": array_ops,
         "peek": peek,
+        "wire_delta": wire_delta,
+        "wire_stream_delta": wire_stream_delta,
     }

@@ -57,3 +57,19 @@ def peek(frames: DataFrame, n: int = 1) -> DataFrame:
     """First ``n`` messages from the beginning (S11): the only limit in the
     reference, and the feature itself. Spark turns it into a top-k."""
     return frames.orderBy("src_partition", "src_offset").limit(n)
+
+
+def read_schema_files(spark: SparkSession, path: str, schema_id: int | None = None) -> DataFrame:
+    """Avro schema files (``.avsc``) → registry rows ``schema_id, schema_json``
+    (S6). The id is given, or taken from a number in the file name
+    (``snapshot-7.avsc``)."""
+    raw = spark.read.text(path, wholetext=True).select(
+        F.col("value").alias("schema_json"), F.col("_metadata.file_name").alias("name")
+    )
+    sid = F.lit(schema_id) if schema_id is not None else F.regexp_extract("name", r"(\d+)", 1).try_cast("int")
+    return raw.select(sid.cast("int").alias("schema_id"), "schema_json").where(F.col("schema_id").isNotNull())
+
+
+def value_only(frames: DataFrame) -> DataFrame:
+    """The raw message bytes, nothing else."""
+    return frames.select("value")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from statflow.operators.metrics_json import metrics_from_json, metrics_to_json, with_hour_bucket
+from statflow.operators.wire import decode_frames, encode_payloads, frame, good_rows, quarantine
 from statflow.session import scratch_path
 from statflow.streaming.delta_state import enrich_stream
 
@@ -39,9 +40,20 @@ def start_enrichment(
     kafka: dict | None = None,
 ) -> StreamingQuery:
     """Run job 1. ``sink_format``: ``parquet`` (typed rows, with hostname),
-    ``json`` (the reference's three-field JSON text, one per line) or
-    ``kafka`` (same JSON as the message value; needs ``kafka`` options)."""
+    ``json`` (the reference's three-field JSON text, one per line),
+    ``kafka`` (same JSON as the message value; needs ``kafka`` options),
+    ``console`` (print, K4) or ``memory`` (table named ``sink_path``)."""
     metrics = enrich_stream(snapshots, order)
+    return _start_metrics_sink(metrics, sink_path, checkpoint, sink_format, trigger, kafka)
+
+
+def _start_metrics_sink(metrics, sink_path, checkpoint, sink_format, trigger, kafka=None) -> StreamingQuery:
+    if sink_format in ("console", "memory"):
+        writer = metrics_to_json(metrics, with_host=True).writeStream.format(sink_format)
+        if sink_format == "memory":
+            writer = writer.queryName(sink_path)
+        writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
+        return _trigger(writer, trigger).start()
     if sink_format == "parquet":
         writer = metrics.writeStream.format("parquet").option("path", sink_path)
     elif sink_format == "json":
@@ -80,6 +92,93 @@ def start_archive(
     return _trigger(writer, trigger).start()
 
 
+def start_wire_enrichment(
+    frames: DataFrame,
+    registry: DataFrame,
+    sink_path: str,
+    checkpoint: str,
+    sink_format: str = "parquet",
+    trigger: str | None = "availableNow",
+    order: Sequence[str] = ("src_partition", "src_offset"),
+    kafka: dict | None = None,
+) -> StreamingQuery:
+    """Job 1 end to end (S3, D1–D4, A1, K1): framed Avro → decode → keyed
+    state → metrics. Undecodable messages are dropped from the state path
+    here; run ``start_decode`` alongside to keep them (K8). The Avro record
+    has no hostname, so all snapshots share the ``unknown`` key unless the
+    frames carry a ``hostname`` column (e.g. from the message key)."""
+    keep = [c for c in ("hostname", "src_partition", "src_offset") if c in frames.columns]
+    decoded = good_rows(decode_frames(frames, registry, keep=["value", *keep]))
+    if "hostname" not in decoded.columns:
+        decoded = decoded.withColumn("hostname", F.lit(None).cast("string"))
+    metrics = enrich_stream(decoded, order)
+    return _start_metrics_sink(metrics, sink_path, checkpoint, sink_format, trigger, kafka)
+
+
+def start_decode(
+    frames: DataFrame,
+    registry: DataFrame,
+    good_path: str,
+    bad_path: str,
+    checkpoint: str,
+    trigger: str | None = "availableNow",
+) -> StreamingQuery:
+    """Decode a frame stream into a snapshot table and a quarantine table
+    (D1–D8, K8). Each micro-batch is decoded once (persisted), then written
+    to both tables under ``batch_id=<n>``; a replayed batch overwrites its
+    own folder, so the two writes stay exactly-once."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        decoded = decode_frames(batch, registry).persist()
+        try:
+            good_rows(decoded).write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
+            quarantine(decoded).write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}")
+        finally:
+            decoded.unpersist()
+
+    writer = frames.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
+def start_publish(
+    snapshots: DataFrame,
+    schema_json: str,
+    schema_id: int,
+    sink_path: str,
+    checkpoint: str,
+    sink_format: str = "parquet",
+    trigger: str | None = "availableNow",
+    kafka: dict | None = None,
+) -> StreamingQuery:
+    """The producer side (K5, D7): snapshots → Avro payload → framed
+    message, to Kafka (``kafka`` options) or to Parquet frames."""
+    from statflow.schemas import SNAPSHOT
+
+    fields = [f.name for f in SNAPSHOT.fields]
+    keep = [c for c in ("hostname", "src_partition", "src_offset") if c in snapshots.columns]
+    enc = encode_payloads(snapshots.select(*fields, *keep), schema_json, fields)
+    frames = enc.select(frame(F.col("payload"), F.lit(schema_id)).alias("value"), *keep)
+    if sink_format == "kafka":
+        writer = frames.select("value").writeStream.format("kafka")
+        for k, v in (kafka or {}).items():
+            writer = writer.option(k, v)
+    else:
+        writer = frames.writeStream.format("parquet").option("path", sink_path)
+    writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
+    return _trigger(writer, trigger).start()
+
+
+def start_debug_print(frames: DataFrame, registry: DataFrame, checkpoint: str,
+                      trigger: str | None = "availableNow") -> StreamingQuery:
+    """The debug job (D6, K4): decode and print each record as JSON."""
+    from statflow.schemas import SNAPSHOT
+
+    decoded = good_rows(decode_frames(frames, registry))
+    text = decoded.select(F.to_json(F.struct(*[f.name for f in SNAPSHOT.fields])).alias("value"))
+    writer = text.writeStream.format("console").option("truncate", False).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
 def replay(spark: SparkSession, snapshots: DataFrame, chunks: int = 3, order=("timestamp", "src_offset")) -> str:
     """Feed a snapshot table to job 1 in ``chunks`` arrivals by time, restarting
     the query from its checkpoint after each one; returns the sink path.

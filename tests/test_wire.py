@@ -76,3 +76,36 @@ def test_decode_quarantines_bad_and_unknown(spark):
     assert len(ok) == 1 and ok[0].timestamp == 1000 and ok[0].intr == [7, 1] and ok[0].cpus[0].user == 5
     q = {r.src_offset: r.reason for r in quarantine(dec).collect()}
     assert q == {1: "decode_error", 2: "unknown_schema", 3: "decode_error"}
+
+
+def test_decode_stream_splits_good_and_bad(spark, tmp_path):
+    from statflow.operators.wire import encode_payloads as enc
+    from statflow.session import scratch_path
+    from statflow.sources.streams import file_frames, read_schema_files
+    from statflow.streaming.jobs import start_decode
+
+    (tmp_path / "schemas").mkdir()
+    (tmp_path / "schemas" / "snapshot-7.avsc").write_text(SNAPSHOT_AVRO_SCHEMA)
+    reg = read_schema_files(spark, str(tmp_path / "schemas"))
+    assert [r.schema_id for r in reg.collect()] == [7]
+
+    snap = spark.createDataFrame(
+        [(1000, [cpu("cpu0", 5)], [7], [], 1, 2, 3, 4, 5)],
+        "timestamp BIGINT, cpus ARRAY<STRUCT<id:STRING,user:BIGINT,nice:BIGINT,system:BIGINT,idle:BIGINT,"
+        "iowait:BIGINT,irq:BIGINT,softirq:BIGINT,steal:BIGINT,guest:BIGINT,guest_nice:BIGINT>>, intr ARRAY<BIGINT>,"
+        " softirq ARRAY<BIGINT>, ctxt BIGINT, btime BIGINT, processes BIGINT, procs_running BIGINT,"
+        " procs_blocked BIGINT",
+    )
+    good = enc(snap, SNAPSHOT_AVRO_SCHEMA).select(
+        frame(F.col("payload"), F.lit(7)).alias("value"), F.lit(0).alias("src_partition"),
+        F.lit(0).cast("long").alias("src_offset"))
+    bad = frames(spark, [bytes.fromhex("01"), bytes.fromhex("0000000008AA")]).withColumn(
+        "src_offset", F.col("src_offset") + 1)
+    src = scratch_path(spark, "dec-in")
+    good.unionByName(bad).write.parquet(src)
+    gp, bp, ck = (scratch_path(spark, n) for n in ("dec-good", "dec-bad", "dec-ck"))
+    start_decode(file_frames(spark, src), reg, gp, bp, ck).awaitTermination()
+    g = spark.read.parquet(gp).collect()
+    b = {r.src_offset: r.reason for r in spark.read.parquet(bp).collect()}
+    assert len(g) == 1 and g[0].timestamp == 1000
+    assert b == {1: "short_frame", 2: "unknown_schema"}
