@@ -72,7 +72,10 @@ def snapshots(events: DataFrame, counters: str = "cumulative", hostless_every: i
     exercise the ``unknown`` default key; those rows are kept, not dropped.
     Arrival order is ``(timestamp, src_offset)`` with ``src_offset = user_id``.
     """
-    daily = daily_counters(events)
+    # After the aggregation a user has at most (days x types) rows, so one
+    # hash partitioning by user is safe even for a hot user, and both the
+    # running sum (user, type) and the snapshot collect (user, day) reuse it.
+    daily = daily_counters(events).repartition("user_id")
     per_cpu = cumulative(daily) if counters == "cumulative" else daily
     cpu = F.struct(F.col("id"), *[F.col(c) for c in CPU_COUNTERS])
     snaps = per_cpu.groupBy("user_id", "timestamp").agg(F.sort_array(F.collect_list(cpu)).alias("cpus"))

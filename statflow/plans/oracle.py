@@ -259,7 +259,7 @@ UNION ALL
 SELECT address, CAST(3 + row_number() OVER (PARTITION BY address ORDER BY pos) AS INTEGER), line FROM results
 """
 
-SLUG = """
+SLUG = r"""
 SELECT p_partkey,
        regexp_replace(p_name, '\W+', '_', 'g') AS slug,
        'locations/' || regexp_replace(p_name, '\W+', '_', 'g') || '.txt' AS file_name
