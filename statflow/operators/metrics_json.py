@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statflow.functions.coerce import as_double, as_long, as_text, field
+from statflow.operators.plan_tools import barrier
 from statflow.schemas import CPU_METRIC, METRICS
 
 # The archive's hour-bucket directory format.
@@ -83,14 +84,15 @@ def metrics_from_json(lines: DataFrame, coerce: bool = False) -> DataFrame:
     reason, value``; ``reason`` is null for good rows. Split with
     ``split_good_bad`` or filter on ``reason``."""
     parsed, reason = (_lenient if coerce else _strict)(F.col("value"))
-    return lines.select(
+    # The barrier keeps a later filter on ``reason`` from re-parsing the JSON.
+    return barrier(lines.select(
         parsed["hostname"].alias("hostname"),
         parsed["timestamp"].alias("timestamp"),
         parsed["time_delta_ms"].alias("time_delta_ms"),
         parsed["cpu_metrics"].alias("cpu_metrics"),
         reason.alias("reason"),
         F.col("value"),
-    )
+    ))
 
 
 def split_good_bad(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

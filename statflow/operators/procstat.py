@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statflow.operators.plan_tools import barrier
 from statflow.schemas import CPU_COUNTERS, SCALAR_FIELDS
 
 CPU_LINE = r"^cpu[0-9]*$"
@@ -81,8 +82,10 @@ def parse_dumps(dumps: DataFrame) -> DataFrame:
         bad = bad | (last[s_].isNotNull() & F.get(last[s_], 1).try_cast("long").isNull())
 
     others = [c for c in dumps.columns if c not in ("hostname", "timestamp", "text")]
+    # Barriers: the tokens feed two expressions, and a filter on ``reason``
+    # must not drag the whole parse into the filter condition.
     parsed = (
-        dumps.withColumn("__toks", _tokens(F.col("text")))
+        barrier(dumps.withColumn("__toks", _tokens(F.col("text"))))
         .select(
             "hostname",
             "timestamp",
@@ -97,7 +100,7 @@ def parse_dumps(dumps: DataFrame) -> DataFrame:
             numbers("softirq").alias("softirq"),
         )
     )
-    return parsed.select(
+    return barrier(parsed).select(
         "hostname",
         "timestamp",
         "cpus",
