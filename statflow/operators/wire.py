@@ -4,7 +4,7 @@ Frame layout: byte 0 magic ``0``, bytes 1–4 the schema id (big-endian,
 signed), the rest the Avro payload. Frame checks, the id and the payload are
 native column expressions; the schema lookup is a join against a small
 registry table; only the Avro decode/encode of the payload runs in Python,
-batch-wise through Arrow (``mapInPandas``), because the spark-avro
+batch-wise through Arrow (``mapInArrow``), because the spark-avro
 connector is not on the classpath here.
 
 Malformed input never fails a job: it gets a ``reason`` (``null_value``,
@@ -16,10 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from statflow.functions.avro_binary import AvroError, decode, encode, parse_schema
 from statflow.operators.lookup import small_side
@@ -98,8 +99,8 @@ def decode_payloads(
     """Avro payloads → ``keep`` columns, the ``target`` fields and ``reason``
     (D4, D8). Each payload is read with its writer schema (``schema_json``)
     and projected onto ``target`` by field name; a failed read gets
-    ``decode_error``. Runs per Arrow batch; parsed schemas are cached per
-    task."""
+    ``decode_error``. Runs per Arrow batch (``mapInArrow``, no pandas);
+    parsed schemas are cached per task."""
     keep = [c for c in keep if c in rows.columns]
     src = rows.select(*keep, "reason", "schema_json", "payload")
     in_fields = {f.name: f for f in src.schema.fields}
@@ -108,64 +109,53 @@ def decode_payloads(
         + [T.StructField(f.name, f.dataType, True) for f in target.fields]
         + [T.StructField("reason", T.StringType(), True)]
     )
+    arrow_types = {f.name: to_arrow_type(f.dataType) for f in target.fields}
     names = [f.name for f in target.fields]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schemas: dict[str, object] = {}
-        for pdf in batches:
+        for batch in batches:
+            reasons = batch.column("reason").to_pylist()
             cols: dict[str, list] = {n: [] for n in names}
-            reasons = []
-            for reason, sj, payload in zip(pdf["reason"], pdf["schema_json"], pdf["payload"]):
+            for k, (sj, payload) in enumerate(zip(batch.column("schema_json").to_pylist(),
+                                                  batch.column("payload").to_pylist())):
                 rec = None
-                if reason is None or (isinstance(reason, float) and pd.isna(reason)):
+                if reasons[k] is None:
                     try:
                         if sj not in schemas:
                             schemas[sj] = parse_schema(sj)
-                        rec = decode(bytes(payload), schemas[sj])
+                        rec = decode(payload, schemas[sj])
                         if not isinstance(rec, dict):
                             raise AvroError("not a record")
                         rec = _to_target(rec, target)
                     except (AvroError, ValueError, KeyError, TypeError, UnicodeDecodeError, RecursionError):
-                        rec, reason = None, "decode_error"
-                reasons.append(reason)
+                        rec, reasons[k] = None, "decode_error"
                 for n in names:
                     cols[n].append(None if rec is None else rec.get(n))
-            out = pdf[keep].copy()
-            for n in names:
-                out[n] = cols[n]
-            out["reason"] = reasons
-            yield out
+            arrays = [batch.column(c) for c in keep]
+            arrays += [pa.array(cols[n], type=arrow_types[n]) for n in names]
+            arrays.append(pa.array(reasons, type=pa.string()))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names, "reason"])
 
-    return src.mapInPandas(run, out_schema)
+    return src.mapInArrow(run, out_schema)
 
 
 def encode_payloads(
     rows: DataFrame, schema_json: str, fields: Sequence[str] | None = None, out_col: str = "payload"
 ) -> DataFrame:
     """Rows → Avro payload bytes with the given writer schema (D7); all other
-    columns pass through."""
+    columns pass through. Runs per Arrow batch (``mapInArrow``)."""
     schema = parse_schema(schema_json)
     fields = list(fields or [f["name"] for f in schema["fields"]])
     out_schema = T.StructType(list(rows.schema.fields) + [T.StructField(out_col, T.BinaryType(), True)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            recs = pdf[fields].to_dict("records")
-            pdf[out_col] = [encode(_plain(r), schema) for r in recs]
-            yield pdf
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            recs = batch.select(fields).to_pylist()
+            payloads = pa.array([encode(r, schema) for r in recs], type=pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, payloads], names=[*batch.schema.names, out_col])
 
-    return rows.mapInPandas(run, out_schema)
-
-
-def _plain(v):
-    """numpy arrays / scalars from Arrow → plain Python lists and ints."""
-    if isinstance(v, dict):
-        return {k: _plain(x) for k, x in v.items()}
-    if hasattr(v, "tolist"):
-        v = v.tolist()
-    if isinstance(v, list):
-        return [_plain(x) for x in v]
-    return v
+    return rows.mapInArrow(run, out_schema)
 
 
 def decode_frames(
