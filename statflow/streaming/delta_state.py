@@ -71,10 +71,11 @@ class PreviousSnapshot(StatefulProcessor):
         else:
             first = None
         stamps = pdf["timestamp"].tolist()
-        cpu_lists = [_as_dicts(c) for c in pdf["cpus"]]
+        # The CPU arrays pass through as Arrow handed them over; only the one
+        # value kept as state is converted.
+        cpu_lists = pdf["cpus"].tolist()
         prevs = [first] + [{"timestamp": t, "cpus": c} for t, c in zip(stamps[:-1], cpu_lists[:-1])]
         self.state.update((int(stamps[-1]), _as_tuples(cpu_lists[-1])))
-        pdf["cpus"] = cpu_lists
         pdf["prev"] = prevs
         yield pdf
 
