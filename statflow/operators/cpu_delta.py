@@ -18,22 +18,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statflow.functions.counters import host_key, metrics_record
-from statflow.operators.previous import time_bucket, with_previous
+from statflow.operators.previous import offset_bucket, time_bucket, with_previous
 
 # Default arrival order for batch input: time, then a tie-breaker column.
 DEFAULT_ORDER = ("timestamp", "src_offset")
 # One hour of epoch milliseconds: the default width of the stitching buckets.
 DEFAULT_BUCKET_MS = 3_600_000
+# Offsets per bucket for broker order (offsets are dense within a partition).
+DEFAULT_BUCKET_ROWS = 1 << 20
 
 
 def pair_with_previous(
     snapshots: DataFrame,
     order: Sequence[str] = DEFAULT_ORDER,
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
     bucket_ms: int = DEFAULT_BUCKET_MS,
 ) -> DataFrame:
     """Prune to what the delta needs, default the key, attach ``prev``.
 
+    ``bucket``: an explicit bucket column, ``"auto"`` (sized from the data,
+    for unknown key skew), or None for time buckets of ``bucket_ms``.
+
     Only ``timestamp`` and ``cpus`` of the previous snapshot are carried
     (the reference keeps the whole snapshot as state).
     """
@@ -41,14 +46,19 @@ def pair_with_previous(
     keep = ["hostname", "timestamp", "cpus"] + [c for c in order if c not in ("hostname", "timestamp", "cpus")]
     rows = snapshots.select(*[host_key().alias("hostname") if c == "hostname" else F.col(c) for c in keep])
     if bucket is None:
-        bucket = time_bucket(order[0], bucket_ms) if order[0] == "timestamp" else time_bucket(order[-1], 1 << 20)
+        if order[0] == "timestamp":
+            bucket = time_bucket("timestamp", bucket_ms)
+        elif order == ["src_partition", "src_offset"]:
+            bucket = offset_bucket("src_partition", "src_offset", DEFAULT_BUCKET_ROWS)
+        else:
+            bucket = "auto"
     return with_previous(rows, "hostname", order, ["timestamp", "cpus"], bucket)
 
 
 def enrich(
     snapshots: DataFrame,
     order: Sequence[str] = DEFAULT_ORDER,
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
     bucket_ms: int = DEFAULT_BUCKET_MS,
 ) -> DataFrame:
     """Snapshots → metrics rows ``hostname, timestamp, time_delta_ms, cpu_metrics``."""

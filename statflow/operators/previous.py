@@ -46,17 +46,56 @@ def offset_bucket(partition_col: str, offset_col: str, rows: int) -> Column:
     )
 
 
+# Rows per bucket aimed at by ``auto_buckets``.
+DEFAULT_TARGET_ROWS = 500_000
+
+
+def auto_buckets(df: DataFrame, key: str, order_col: str, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """Add ``__bkt`` sized from the data: keys with more than ``target_rows``
+    rows get buckets of their order range holding about ``target_rows`` rows
+    each; all other keys keep one bucket.
+
+    One aggregate over ``(key, order_col)`` finds the heavy keys. There are at
+    most ``rows / target_rows`` of them, so that table has a proven bound and
+    is broadcast; the data itself is not shuffled here.
+    """
+    heavy = (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("__n"), F.min(order_col).alias("__lo"), F.max(order_col).alias("__hi"))
+        .where(F.col("__n") > F.lit(target_rows))
+        .select(
+            key,
+            "__lo",
+            F.greatest(
+                F.lit(1).cast("long"),
+                F.ceil((F.col("__hi") - F.col("__lo") + F.lit(1)) * F.lit(target_rows) / F.col("__n")).cast("long"),
+            ).alias("__width"),
+        )
+    )
+    joined = df.join(F.broadcast(heavy), key, "left")
+    bkt = F.when(F.col("__width").isNull(), F.lit(0).cast("long")).otherwise(
+        F.floor((F.col(order_col) - F.col("__lo")) / F.col("__width")).cast("long")
+    )
+    return joined.withColumn(_BKT, bkt).drop("__lo", "__width")
+
+
 def with_previous(
     df: DataFrame,
     key: str,
     order: Sequence[str],
     payload: Sequence[str],
-    bucket: Column,
+    bucket: Column | str,
     prev_col: str = "prev",
+    target_rows: int = DEFAULT_TARGET_ROWS,
 ) -> DataFrame:
     """Add ``prev_col``: ``struct(payload)`` of the previous row of the same key
     in ``order``, null for the first row of a key. The result has the
-    columns ``key``, ``order``, ``payload`` and ``prev_col``."""
+    columns ``key``, ``order``, ``payload`` and ``prev_col``.
+
+    ``bucket``: a column non-decreasing in the order (``time_bucket``,
+    ``offset_bucket``), or ``"auto"`` to size buckets from the data
+    (``auto_buckets`` on the first order column, which must be numeric;
+    the input is read twice then, so materialise a derived input first)."""
     order = list(order)
     payload = list(payload)
     others = [c for c in order if c not in payload]
@@ -65,6 +104,9 @@ def with_previous(
     # all branches below read the same columns and Spark reuses the one
     # shuffle on (key, bucket); the caller should use every payload field.
     # Non-null key and bucket: no IsNotNull filter is inferred into a branch.
+    if isinstance(bucket, str) and bucket == "auto":
+        df = auto_buckets(df, key, order[0], target_rows)
+        bucket = F.col(_BKT)
     k = F.coalesce(F.col(key), F.lit("")) if df.schema[key].nullable else F.col(key)
     packed = df.select(
         k.alias(key),

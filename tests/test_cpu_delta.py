@@ -131,3 +131,33 @@ def test_snapshot_count_invariant(spark):
     snaps = snapshots(table(spark, "/root/testdata/sf0.001", "events"))
     n, hosts = snaps.count(), snaps.select("hostname").distinct().count()
     assert enrich(snaps).count() == n - hosts
+
+
+@pytest.mark.parametrize("target", [1, 2, 3, 100])
+def test_auto_buckets_match_one_task_per_key(spark, target):
+    """Adaptive buckets: a hot key split into ~target-row buckets gives the
+    same previous rows as the plain lag."""
+    ts = [0, 1, 2, 5, 6, 9, 10, 11, 30, 31, 32, 40, 41, 50]
+    rows = [("hot", t, [cpu("cpu0", t)], i) for i, t in enumerate(ts)] + [("cold", 3, [cpu("cpu0", 1)], 99)]
+    df = snapshot_df(spark, rows).select("hostname", "timestamp", "src_offset", "cpus")
+    order = ["timestamp", "src_offset"]
+    got = with_previous(df, "hostname", order, ["timestamp", "cpus"], "auto", target_rows=target)
+    want = with_previous_simple(df, "hostname", order, ["timestamp", "cpus"])
+    cols = ["hostname", "timestamp", "src_offset", "prev"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    from statflow.operators.previous import auto_buckets
+
+    n_buckets = auto_buckets(df, "hostname", "timestamp", target).where("hostname = 'hot'").select("__bkt").distinct().count()
+    assert n_buckets >= (1 if target >= len(ts) else 2)
+
+
+def test_broker_order_across_partitions(spark):
+    """Order (partition, offset): the last row of partition 0 (a high offset)
+    precedes the first row of partition 1 (offset 0)."""
+    from statflow.schemas import SNAPSHOT_ROW
+
+    rows = [("h", 1, [cpu("cpu0", 1, idle=1)], [], [], 0, 0, 0, 0, 0, 0, 5_000_000),
+            ("h", 2, [cpu("cpu0", 2, idle=2)], [], [], 0, 0, 0, 0, 0, 1, 0)]
+    df = spark.createDataFrame(rows, SNAPSHOT_ROW)
+    out = enrich(df, order=("src_partition", "src_offset")).collect()
+    assert [(r.timestamp, r.time_delta_ms) for r in out] == [(2, 1)]
