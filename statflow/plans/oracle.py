@@ -306,6 +306,7 @@ def oracle_sql() -> dict[str, str]:
         "json_fields": JSON_FIELDS,
         "hour_bucket": HOUR_BUCKET,
         "stream_delta": COUNTER_DELTA,
+        "stream_delta_batchwise": COUNTER_DELTA,
         "archive_round_trip": ARCHIVE_ROUND_TRIP,
         "frame_parse": FRAME_PARSE,
         "schema_lookup": SCHEMA_LOOKUP,

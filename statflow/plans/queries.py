@@ -112,6 +112,15 @@ def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_metrics(spark.read.parquet(sink))
 
 
+def stream_delta_batchwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 1 as a stream without Python state: ``foreachBatch`` pairs each
+    micro-batch with the stored last snapshot per host through the bucketed
+    batch operator; three arrivals with restarts (A1 A3 A5 A8 J1)."""
+    snaps = snapshots(table(spark, sf_dir, "events"), "cumulative")
+    sink = replay(spark, snaps, chunks=3, order=("timestamp", "src_offset"), engine="batchwise")
+    return explode_metrics(spark.read.parquet(sink).drop("batch_id"))
+
+
 def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job 2: JSON metrics → Parquet archive by hour bucket → read back."""
     arch = archive_replay(spark, fixture_metrics(spark, sf_dir))
@@ -316,6 +325,7 @@ def queries() -> dict[str, Query]:
         "json_fields": json_fields,
         "hour_bucket": hour_bucket,
         "stream_delta": stream_delta,
+        "stream_delta_batchwise": stream_delta_batchwise,
         "archive_round_trip": archive_round_trip,
         "frame_parse": frame_parse,
         "schema_lookup": schema_lookup,

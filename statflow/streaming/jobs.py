@@ -179,30 +179,46 @@ def start_debug_print(frames: DataFrame, registry: DataFrame, checkpoint: str,
     return _trigger(writer, trigger).start()
 
 
-def replay(spark: SparkSession, snapshots: DataFrame, chunks: int = 3, order=("timestamp", "src_offset")) -> str:
+def replay(
+    spark: SparkSession, snapshots: DataFrame, chunks: int = 3, order=("timestamp", "src_offset"),
+    engine: str = "state",
+) -> str:
     """Feed a snapshot table to job 1 in ``chunks`` arrivals by time, restarting
     the query from its checkpoint after each one; returns the sink path.
+    ``engine``: ``state`` (keyed state, ``start_enrichment``) or
+    ``batchwise`` (``foreachBatch`` + the batch operator).
 
     Used to check that the stream gives the batch rows, restarts included.
     The chunk bounds come from one tiny aggregate (min and max time).
     """
     from statflow.schemas import SNAPSHOT_ROW
 
-    stage, src, sink, ck = (scratch_path(spark, n) for n in ("replay-stage", "replay-in", "replay-out", "replay-ck"))
+    stage, src, sink, ck, state = (
+        scratch_path(spark, n) for n in ("replay-stage", "replay-in", "replay-out", "replay-ck", "replay-state")
+    )
+
+    def run_once() -> None:
+        stream = spark.readStream.schema(SNAPSHOT_ROW).parquet(src)
+        if engine == "batchwise":
+            from statflow.streaming.delta_batchwise import start_enrichment_batchwise
+
+            start_enrichment_batchwise(stream, sink, state, ck, order).awaitTermination()
+        else:
+            start_enrichment(stream, sink, ck, order).awaitTermination()
+
     # Materialise the input once; each arrival is then a pruned range scan.
     snapshots.write.parquet(stage)
     staged = spark.read.schema(SNAPSHOT_ROW).parquet(stage)
     lo, hi = staged.agg(F.min("timestamp"), F.max("timestamp")).first()
     if lo is None:
         staged.write.mode("append").parquet(src)
-        start_enrichment(spark.readStream.schema(SNAPSHOT_ROW).parquet(src), sink, ck, order).awaitTermination()
+        run_once()
         return sink
     step = (hi - lo) // chunks + 1
     for i in range(chunks):
         part = staged.where((F.col("timestamp") >= lo + i * step) & (F.col("timestamp") < lo + (i + 1) * step))
         part.write.mode("append").parquet(src)
-        stream = spark.readStream.schema(SNAPSHOT_ROW).parquet(src)
-        start_enrichment(stream, sink, ck, order).awaitTermination()
+        run_once()
     return sink
 
 
