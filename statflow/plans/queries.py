@@ -48,7 +48,13 @@ from statflow.schemas import SNAPSHOT_AVRO_SCHEMA
 from statflow.sources.streams import peek as peek_frames
 from statflow.operators.previous import time_bucket
 from statflow.session import scratch_path
-from statflow.streaming.jobs import archive_replay, replay, start_publish, start_wire_enrichment
+from statflow.streaming.jobs import (
+    archive_replay,
+    replay,
+    start_publish,
+    start_wire_enrichment,
+    state_partitions,
+)
 
 # The fixture has one snapshot per host and day: a week per stitching bucket.
 FIXTURE_BUCKET_MS = 7 * 86_400_000
@@ -310,8 +316,10 @@ def wire_stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
                   scratch_path(spark, "wire-ck1")).awaitTermination()
     from statflow.sources.streams import file_frames
 
-    start_wire_enrichment(file_frames(spark, frames_path), wire_registry(spark), sink,
-                          scratch_path(spark, "wire-ck2")).awaitTermination()
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+        q = start_wire_enrichment(file_frames(spark, frames_path), wire_registry(spark), sink,
+                                  scratch_path(spark, "wire-ck2"))
+    q.awaitTermination()
     return explode_metrics(spark.read.parquet(sink))
 
 

@@ -13,6 +13,7 @@ exactly-once; the Kafka sink is at-least-once).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,24 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Number of state partitions for queries started inside the block.
+
+    A stateful query fixes its partitioning (from ``spark.sql.shuffle.
+    partitions``) at its first start and keeps it in the checkpoint, so size
+    it to the state and the cluster, not to whatever the session holds."""
+    if not n:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def start_enrichment(
     snapshots: DataFrame,
     sink_path: str,
@@ -204,7 +223,9 @@ def replay(
 
             start_enrichment_batchwise(stream, sink, state, ck, order).awaitTermination()
         else:
-            start_enrichment(stream, sink, ck, order).awaitTermination()
+            with state_partitions(spark, spark.sparkContext.defaultParallelism):
+                q = start_enrichment(stream, sink, ck, order)
+            q.awaitTermination()
 
     # Materialise the input once; each arrival is then a pruned range scan.
     snapshots.write.parquet(stage)
