@@ -33,6 +33,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _prune_state(spark: SparkSession, state_path: str, batch_id: int, retain: int) -> None:
+    """Remove state versions older than the last ``retain`` (only folders
+    named ``batch_id=<k>``); the previous version stays for a replay."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id="):
+            k = name.split("=", 1)[1]
+            if k.isdigit() and int(k) <= batch_id - retain:
+                fs.delete(st.getPath(), True)
+
+
 def _read_state(spark: SparkSession, state_path: str, batch_id: int, cols: list[str], order: list[str]):
     """Last snapshot per host as of the end of batch ``batch_id - 1``."""
     if batch_id == 0 or not _exists(spark, state_path):
@@ -55,9 +71,12 @@ def start_enrichment_batchwise(
     bucket: Column | str | None = None,
     bucket_ms: int = DEFAULT_BUCKET_MS,
     trigger: str | None = "availableNow",
+    retain_versions: int = 2,
 ) -> StreamingQuery:
     """Run job 1 on a snapshot stream; metrics rows go to
-    ``sink_path/batch_id=n`` (Parquet, same columns as ``enrich``)."""
+    ``sink_path/batch_id=n`` (Parquet, same columns as ``enrich``). The
+    last ``retain_versions`` state versions are kept (at least 2)."""
+    retain = max(2, retain_versions)
     order = list(order)
     extra = [c for c in order if c != "timestamp"]
     cols = ["hostname", "timestamp", "cpus", *extra]
@@ -89,6 +108,7 @@ def start_enrichment_batchwise(
             state.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         finally:
             rows.unpersist()
+        _prune_state(spark, state_path, batch_id, retain)
 
     writer = pruned.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if trigger in (None, "availableNow"):

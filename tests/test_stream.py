@@ -82,3 +82,22 @@ def test_json_round_trip_keeps_empty_metrics(spark):
                                "idle_pct:DOUBLE,iowait_pct:DOUBLE,total_busy_pct:DOUBLE>>")
     text = metrics_to_json(df).first().value
     assert text == '{"timestamp":5,"time_delta_ms":0,"cpu_metrics":[]}'
+
+
+def test_batchwise_state_keeps_recent_versions(spark):
+    import os
+
+    from statflow.streaming.delta_batchwise import start_enrichment_batchwise
+
+    snaps = snapshots(table(spark, SF_SMALL, "events"), "cumulative")
+    src, sink, state, ck = (scratch_path(spark, n) for n in ("bw-in", "bw-out", "bw-state", "bw-ck"))
+    days = sorted(r[0] for r in snaps.select("timestamp").distinct().collect())
+    for i, lo in enumerate(days[:4]):
+        snaps.where(F.col("timestamp") == lo).write.mode("append").parquet(src)
+        start_enrichment_batchwise(
+            spark.readStream.schema(SNAPSHOT_ROW).parquet(src), sink, state, ck, ("timestamp", "src_offset")
+        ).awaitTermination()
+    assert sorted(os.listdir(state)) == ["batch_id=2", "batch_id=3"]
+    got = explode_metrics(spark.read.parquet(sink).drop("batch_id"))
+    want = explode_metrics(enrich(snaps.where(F.col("timestamp") <= days[3])))
+    assert _same(got, want)
