@@ -92,6 +92,9 @@ def with_previous(
     in ``order``, null for the first row of a key. The result has the
     columns ``key``, ``order``, ``payload`` and ``prev_col``.
 
+    The key should be non-null (callers default it, e.g. ``unknown``); a
+    null key is grouped as ``""``.
+
     ``bucket``: a column non-decreasing in the order (``time_bucket``,
     ``offset_bucket``), or ``"auto"`` to size buckets from the data
     (``auto_buckets`` on the first order column, which must be numeric;
