@@ -70,6 +70,12 @@ class _Reader:
         return b
 
     def long(self) -> int:
+        buf, pos = self.buf, self.pos
+        if pos < len(buf):
+            b = buf[pos]
+            if b < 0x80:  # one-byte varint, the common case
+                self.pos = pos + 1
+                return (b >> 1) ^ -(b & 1)
         shift = result = 0
         while True:
             if self.pos >= len(self.buf):
@@ -133,11 +139,158 @@ def _read(r: _Reader, s: Any) -> Any:
 def decode(payload: bytes, schema: Any) -> Any:
     """Decode one datum from the start of ``payload`` (bytes after it are
     ignored, as a datum reader does)."""
+    return compiled_reader(schema)(_Reader(payload))
+
+
+def decode_generic(payload: bytes, schema: Any) -> Any:
+    """The uncompiled reader (type dispatch per value); kept as a reference."""
     return _read(_Reader(payload), schema)
 
 
+# --- schema-compiled readers/writers: one closure per schema node, built once
+# per schema, so decoding a record does no type dispatch.
+
+_READERS: dict[int, Any] = {}
+_WRITERS: dict[int, Any] = {}
+
+
+def compiled_reader(schema: Any):
+    key = id(schema)
+    fn = _READERS.get(key)
+    if fn is None:
+        fn = _READERS[key] = _compile_read(schema)
+    return fn
+
+
+def compiled_writer(schema: Any):
+    key = id(schema)
+    fn = _WRITERS.get(key)
+    if fn is None:
+        fn = _WRITERS[key] = _compile_write(schema)
+    return fn
+
+
+def _kind(s: Any) -> str:
+    return s if isinstance(s, str) else s.get("type") if isinstance(s, dict) else "union"
+
+
+def _compile_read(s: Any):
+    t = _kind(s)
+    if t == "null":
+        return lambda r: None
+    if t == "boolean":
+        return lambda r: r.take(1) != b"\x00"
+    if t in ("int", "long"):
+        return _Reader.long
+    if t == "float":
+        return lambda r: struct.unpack("<f", r.take(4))[0]
+    if t == "double":
+        return lambda r: struct.unpack("<d", r.take(8))[0]
+    if t == "bytes":
+        return lambda r: r.take(r.long())
+    if t == "string":
+        return lambda r: r.take(r.long()).decode("utf-8")
+    if t in ("record", "error"):
+        fields = [(f["name"], _compile_read(f["type"])) for f in s["fields"]]
+
+        def read_record(r):
+            return {name: fn(r) for name, fn in fields}
+
+        return read_record
+    if t == "enum":
+        symbols = s["symbols"]
+        return lambda r: symbols[r.long()]
+    if t == "fixed":
+        size = s["size"]
+        return lambda r: r.take(size)
+    if t == "array":
+        item = _compile_read(s["items"])
+
+        def read_array(r):
+            out = []
+            while True:
+                n = r.long()
+                if n == 0:
+                    return out
+                if n < 0:
+                    n = -n
+                    r.long()
+                for _ in range(n):
+                    out.append(item(r))
+
+        return read_array
+    if t == "map":
+        value = _compile_read(s["values"])
+
+        def read_map(r):
+            out = {}
+            while True:
+                n = r.long()
+                if n == 0:
+                    return out
+                if n < 0:
+                    n = -n
+                    r.long()
+                for _ in range(n):
+                    k = r.take(r.long()).decode("utf-8")
+                    out[k] = value(r)
+
+        return read_map
+    if t == "union":
+        branches = [_compile_read(b) for b in s]
+
+        def read_union(r):
+            i = r.long()
+            if not 0 <= i < len(branches):
+                raise AvroError("bad union branch")
+            return branches[i](r)
+
+        return read_union
+    raise AvroError(f"unsupported type {t!r}")
+
+
+def _compile_write(s: Any):
+    t = _kind(s)
+    if t in ("record", "error"):
+        fields = [(f["name"], _compile_write(f["type"])) for f in s["fields"]]
+
+        def write_record(out, v):
+            for name, fn in fields:
+                fn(out, v[name])
+
+        return write_record
+    if t in ("int", "long"):
+        return lambda out, v: out.extend(_zigzag(int(v)))
+    if t == "array":
+        item = _compile_write(s["items"])
+
+        def write_array(out, v):
+            items = list(v)
+            if items:
+                out += _zigzag(len(items))
+                for x in items:
+                    item(out, x)
+            out.append(0)
+
+        return write_array
+    if t == "string":
+        def write_string(out, v):
+            b = v.encode("utf-8")
+            out += _zigzag(len(b))
+            out += b
+
+        return write_string
+    return lambda out, v: _write(out, s, v)
+
+
+# Encoded varints of the zig-zag values below 2^14 (one or two bytes).
+_SMALL_VARINTS = [bytes((z,)) if z < 0x80 else bytes(((z & 0x7F) | 0x80, z >> 7)) for z in range(1 << 14)]
+
+
 def _zigzag(n: int) -> bytes:
     n = (n << 1) ^ (n >> 63)
+    if n < (1 << 14):
+        return _SMALL_VARINTS[n]
     out = bytearray()
     while n & ~0x7F:
         out.append((n & 0x7F) | 0x80)
@@ -197,5 +350,5 @@ def _write(out: bytearray, s: Any, v: Any) -> None:
 
 def encode(value: Any, schema: Any) -> bytes:
     out = bytearray()
-    _write(out, schema, value)
+    compiled_writer(schema)(out, value)
     return bytes(out)
