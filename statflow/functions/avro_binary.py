@@ -91,83 +91,33 @@ class _Reader:
         return (result >> 1) ^ -(result & 1)
 
 
-def _read(r: _Reader, s: Any) -> Any:
-    t = s if isinstance(s, str) else s.get("type") if isinstance(s, dict) else "union"
-    if t == "null":
-        return None
-    if t == "boolean":
-        return r.take(1) != b"\x00"
-    if t in ("int", "long"):
-        return r.long()
-    if t == "float":
-        return struct.unpack("<f", r.take(4))[0]
-    if t == "double":
-        return struct.unpack("<d", r.take(8))[0]
-    if t == "bytes":
-        return r.take(r.long())
-    if t == "string":
-        return r.take(r.long()).decode("utf-8")
-    if t in ("record", "error"):
-        return {f["name"]: _read(r, f["type"]) for f in s["fields"]}
-    if t == "enum":
-        return s["symbols"][r.long()]
-    if t == "fixed":
-        return r.take(s["size"])
-    if t in ("array", "map"):
-        out: Any = [] if t == "array" else {}
-        while True:
-            n = r.long()
-            if n == 0:
-                return out
-            if n < 0:
-                n = -n
-                r.long()  # block size in bytes
-            for _ in range(n):
-                if t == "array":
-                    out.append(_read(r, s["items"]))
-                else:
-                    k = r.take(r.long()).decode("utf-8")
-                    out[k] = _read(r, s["values"])
-    if t == "union":
-        i = r.long()
-        if not 0 <= i < len(s):
-            raise AvroError("bad union branch")
-        return _read(r, s[i])
-    raise AvroError(f"unsupported type {t!r}")
-
-
 def decode(payload: bytes, schema: Any) -> Any:
     """Decode one datum from the start of ``payload`` (bytes after it are
     ignored, as a datum reader does)."""
     return compiled_reader(schema)(_Reader(payload))
 
 
-def decode_generic(payload: bytes, schema: Any) -> Any:
-    """The uncompiled reader (type dispatch per value); kept as a reference."""
-    return _read(_Reader(payload), schema)
-
-
 # --- schema-compiled readers/writers: one closure per schema node, built once
-# per schema, so decoding a record does no type dispatch.
-
-_READERS: dict[int, Any] = {}
-_WRITERS: dict[int, Any] = {}
-
+# per parsed schema, so a record is read or written without type dispatch.
 
 def compiled_reader(schema: Any):
-    key = id(schema)
-    fn = _READERS.get(key)
-    if fn is None:
-        fn = _READERS[key] = _compile_read(schema)
-    return fn
+    """Reader for a parsed schema, compiled once and kept on the schema."""
+    if isinstance(schema, dict):
+        fn = schema.get("__reader")
+        if fn is None:
+            fn = schema["__reader"] = _compile_read(schema)
+        return fn
+    return _compile_read(schema)
 
 
 def compiled_writer(schema: Any):
-    key = id(schema)
-    fn = _WRITERS.get(key)
-    if fn is None:
-        fn = _WRITERS[key] = _compile_write(schema)
-    return fn
+    """Writer for a parsed schema, compiled once and kept on the schema."""
+    if isinstance(schema, dict):
+        fn = schema.get("__writer")
+        if fn is None:
+            fn = schema["__writer"] = _compile_write(schema)
+        return fn
+    return _compile_write(schema)
 
 
 def _kind(s: Any) -> str:
@@ -273,14 +223,53 @@ def _compile_write(s: Any):
             out.append(0)
 
         return write_array
-    if t == "string":
-        def write_string(out, v):
-            b = v.encode("utf-8")
+    if t in ("string", "bytes"):
+        def write_bytes(out, v):
+            b = v.encode("utf-8") if t == "string" else bytes(v)
             out += _zigzag(len(b))
             out += b
 
-        return write_string
-    return lambda out, v: _write(out, s, v)
+        return write_bytes
+    if t == "null":
+        return lambda out, v: None
+    if t == "boolean":
+        return lambda out, v: out.append(1 if v else 0)
+    if t == "float":
+        return lambda out, v: out.extend(struct.pack("<f", v))
+    if t == "double":
+        return lambda out, v: out.extend(struct.pack("<d", v))
+    if t == "enum":
+        symbols = s["symbols"]
+        return lambda out, v: out.extend(_zigzag(symbols.index(v)))
+    if t == "fixed":
+        return lambda out, v: out.extend(bytes(v))
+    if t == "map":
+        value = _compile_write(s["values"])
+
+        def write_map(out, v):
+            if v:
+                out += _zigzag(len(v))
+                for k, x in v.items():
+                    kb = k.encode("utf-8")
+                    out += _zigzag(len(kb))
+                    out += kb
+                    value(out, x)
+            out.append(0)
+
+        return write_map
+    if t == "union":
+        branches = [(i, _kind(b) == "null", _compile_write(b)) for i, b in enumerate(s)]
+
+        def write_union(out, v):
+            for i, is_null, fn in branches:
+                if (v is None) == is_null:
+                    out += _zigzag(i)
+                    fn(out, v)
+                    return
+            raise AvroError("no union branch fits")
+
+        return write_union
+    raise AvroError(f"unsupported type {t!r}")
 
 
 # Encoded varints of the zig-zag values below 2^14 (one or two bytes).
@@ -299,55 +288,6 @@ def _zigzag(n: int) -> bytes:
     return bytes(out)
 
 
-def _write(out: bytearray, s: Any, v: Any) -> None:
-    t = s if isinstance(s, str) else s.get("type") if isinstance(s, dict) else "union"
-    if t == "null":
-        return
-    if t == "boolean":
-        out.append(1 if v else 0)
-    elif t in ("int", "long"):
-        out += _zigzag(int(v))
-    elif t == "float":
-        out += struct.pack("<f", v)
-    elif t == "double":
-        out += struct.pack("<d", v)
-    elif t in ("bytes", "string"):
-        b = v.encode("utf-8") if t == "string" else bytes(v)
-        out += _zigzag(len(b)) + b
-    elif t in ("record", "error"):
-        for f in s["fields"]:
-            _write(out, f["type"], v[f["name"]])
-    elif t == "enum":
-        out += _zigzag(s["symbols"].index(v))
-    elif t == "fixed":
-        out += bytes(v)
-    elif t == "array":
-        items = list(v)
-        if items:
-            out += _zigzag(len(items))
-            for x in items:
-                _write(out, s["items"], x)
-        out.append(0)
-    elif t == "map":
-        if v:
-            out += _zigzag(len(v))
-            for k, x in v.items():
-                kb = k.encode("utf-8")
-                out += _zigzag(len(kb)) + kb
-                _write(out, s["values"], x)
-        out.append(0)
-    elif t == "union":
-        for i, b in enumerate(s):
-            bt = b if isinstance(b, str) else b.get("type")
-            if (v is None) == (bt == "null"):
-                out += _zigzag(i)
-                _write(out, b, v)
-                return
-        raise AvroError("no union branch fits")
-    else:
-        raise AvroError(f"unsupported type {t!r}")
-
-
 def encode(value: Any, schema: Any) -> bytes:
     out = bytearray()
     compiled_writer(schema)(out, value)
