@@ -11,19 +11,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statflow.functions import arrays as A
+from statflow.functions.coerce import as_long, field
+from statflow.operators import places as P
 from statflow.operators.cpu_delta import enrich, explode_metrics
-from statflow.operators.metrics_json import (
-    hour_bucket as hour_bucket_col,
-    metrics_from_json,
-    metrics_to_json,
-    read_archive,
-    split_good_bad,
+from statflow.operators.metrics_json import hour_bucket as hour_bucket_col
+from statflow.operators.metrics_json import metrics_from_json, metrics_to_json, read_archive, split_good_bad
+from statflow.operators.previous import time_bucket
+from statflow.operators.procstat import parse_dumps, render_dump
+from statflow.operators.wire import (
+    decode_frames,
+    encode_payloads,
+    frame,
+    good_rows,
+    lookup_schemas,
+    parse_frames,
+    registry_from_envelopes,
 )
-from statflow.functions.coerce import as_long, field
 from statflow.plans.fixtures import (
     AS_OF,
     OFFSETS_PER_DAY,
-    with_arrival_offsets,
     place_addresses,
     place_destinations,
     place_elevation,
@@ -31,30 +38,13 @@ from statflow.plans.fixtures import (
     place_routes,
     snapshots,
     table,
-)
-from statflow.functions import arrays as A
-from statflow.operators import places as P
-from statflow.operators.procstat import parse_dumps, render_dump
-from statflow.operators.wire import (
-    decode_frames,
-    encode_payloads,
-    frame,
-    good_rows,
-    lookup_schemas,
-    parse_frames,
-    registry_from_envelopes,
+    with_arrival_offsets,
 )
 from statflow.schemas import SNAPSHOT_AVRO_SCHEMA
-from statflow.sources.streams import peek as peek_frames
-from statflow.operators.previous import time_bucket
 from statflow.session import scratch_path
-from statflow.streaming.jobs import (
-    archive_replay,
-    replay,
-    start_publish,
-    start_wire_enrichment,
-    state_partitions,
-)
+from statflow.sources.streams import file_frames
+from statflow.sources.streams import peek as peek_frames
+from statflow.streaming.jobs import archive_replay, replay, start_publish, start_wire_enrichment, state_partitions
 
 # The fixture has one snapshot per host and day: a week per stitching bucket.
 FIXTURE_BUCKET_MS = 7 * 86_400_000
@@ -314,8 +304,6 @@ def wire_stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = spark.readStream.schema(SNAPSHOT_ROW).parquet(stage).drop("hostname")
     start_publish(src, SNAPSHOT_AVRO_SCHEMA, WIRE_SCHEMA_ID, frames_path,
                   scratch_path(spark, "wire-ck1")).awaitTermination()
-    from statflow.sources.streams import file_frames
-
     with state_partitions(spark, spark.sparkContext.defaultParallelism):
         q = start_wire_enrichment(file_frames(spark, frames_path), wire_registry(spark), sink,
                                   scratch_path(spark, "wire-ck2"))
