@@ -92,3 +92,29 @@ def is_local_path(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+
+
+# Bytes per task aimed at for scans and shuffles on a cluster.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def tune_for_scale(spark: SparkSession, input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> dict:
+    """Size scan splits and shuffle partitions for ``input_bytes`` of input.
+
+    Scans split at ``target_bytes``; the initial shuffle partition count is
+    input / target (AQE then coalesces small ones to the advisory size and
+    splits skewed ones). Returns the settings applied.
+    """
+    parts = max(200, -(-int(input_bytes) // target_bytes))
+    settings = {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_bytes),
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings
