@@ -107,16 +107,14 @@ def with_elevation(located: DataFrame, elevation: DataFrame) -> DataFrame:
 
 
 def _destination_array(destinations: DataFrame, max_rows: int = MAX_DESTINATIONS) -> Column:
-    """The destination list as one literal array column, after a size check."""
-    rows = destinations.orderBy("pos").limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    """The destination list as one array value, attached to every address by
+    a scalar subquery (computed once, no join, nothing in the plan grows with
+    the list). The list is a configuration: its size is checked first."""
+    n = destinations.limit(max_rows + 1).count()
+    if n > max_rows:
         raise ValueError(f"destinations has more than {max_rows} entries; it is meant to be a small config list")
-    items = [
-        F.struct(F.lit(r["pos"]).cast("int").alias("pos"), F.lit(r["name"]).alias("name"),
-                 F.lit(r["destination"]).alias("destination"))
-        for r in rows
-    ]
-    return F.array(*items) if items else F.array().cast("array<struct<pos:int,name:string,destination:string>>")
+    entries = F.struct(F.col("pos").cast("int").alias("pos"), F.col("name"), F.col("destination"))
+    return destinations.select(F.sort_array(F.collect_list(entries)).alias("d")).scalar()
 
 
 def travel_matrix(
@@ -124,8 +122,9 @@ def travel_matrix(
     mode: str = MODE,
 ) -> DataFrame:
     """One row per (address, destination) with ``duration``
-    (null when no route). Each address gets the destination list as an
-    array (no join), then one equi-join with the first route per key."""
+    (null when no route). Each address gets the destination list as one
+    array value (scalar subquery, no join), exploded in file order, then
+    one equi-join with the first route per key."""
     dep = next_midnight_epoch() if departure is None else departure
     pairs = located.select(
         "address", "lat", "lng", F.explode(_destination_array(destinations)).alias("d")
