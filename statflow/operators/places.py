@@ -234,7 +234,9 @@ def enrich_addresses(
 ) -> dict[str, DataFrame]:
     """The whole job: returns ``results``, ``matrix``, ``missing``,
     ``lines``, ``reports`` and ``quarantine``."""
-    addresses = addresses.select("address", F.coalesce(F.col("notes"), F.lit("")).alias("notes"))
+    # One row per address first (partial aggregation, so a repeated address
+    # costs nothing downstream): every later group is per address and bounded.
+    addresses = addresses.groupBy("address").agg(F.max(F.coalesce(F.col("notes"), F.lit(""))).alias("notes"))
     kept, clash = dedupe_slugs(addresses)
     located, not_found = locate(kept, geocode)
     elev = with_elevation(located, elevation)

@@ -107,3 +107,12 @@ def _group(rows):
     for r in rows:
         g.setdefault(r.address, []).append(r)
     return g
+
+
+def test_repeated_address_gives_one_report(spark):
+    addresses, dests, geocode, elevation, routes = _tables(spark)
+    many = addresses.unionByName(spark.createDataFrame([("1 A St", "quiet")] * 50, "address STRING, notes STRING"))
+    out = P.enrich_addresses(many, dests, geocode, elevation, routes, as_of=F.lit("2024-03-01"))
+    rows = [r for r in out["lines"].collect() if r.address == "1 A St"]
+    assert len(rows) == 6
+    assert out["reports"].where(F.col("address") == "1 A St").count() == 1
