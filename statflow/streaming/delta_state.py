@@ -11,6 +11,11 @@ snapshot). No TTL, as in the reference (A4); pass ``ttl_ms`` to expire idle
 hosts. Rows of one host inside a micro-batch may come in several chunks and
 in any order after the shuffle, so they are gathered and sorted by the order
 columns first (A8).
+
+Memory: one key's rows of one micro-batch are held together in a Python
+worker for that sort. With a hot key (all hosts ``unknown``) bound the
+micro-batch at the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``)
+or use ``delta_batchwise``, which splits a hot key across tasks.
 """
 
 from __future__ import annotations
