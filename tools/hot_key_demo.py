@@ -32,7 +32,7 @@ def main() -> None:
     copies = int(sys.argv[4]) if len(sys.argv) > 4 else 1
     spark = local_session(8)
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    li = li.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).cast("long"))
+    li = li.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))))
     rows = li.select(
         F.lit("unknown").alias("hostname"),
         F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("timestamp"),
