@@ -224,6 +224,31 @@ def write_reports(report_df: DataFrame, path: str, overwrite: bool = False) -> N
     out.write.mode("overwrite" if overwrite else "append").partitionBy("slug").text(path)
 
 
+def write_report_files(report_df: DataFrame, out_dir: str, overwrite: bool = False) -> None:
+    """K6/K7 with the reference's file names: ``<out_dir>/<slug>.txt``.
+
+    Spark's own writers name files ``part-…``, so each partition writes its
+    reports itself through ``pyarrow.fs`` (local, HDFS or S3 URIs). A
+    retried task rewrites the same names, so the write is idempotent.
+    Without ``overwrite`` an existing report is left alone.
+    """
+
+    def write_part(rows) -> None:
+        from pyarrow import fs as pafs
+
+        filesystem, root = pafs.FileSystem.from_uri(out_dir) if "://" in out_dir else (
+            pafs.LocalFileSystem(), out_dir)
+        filesystem.create_dir(root, recursive=True)
+        for r in rows:
+            target = f"{root.rstrip('/')}/{r['slug']}{REPORT_SUFFIX}"
+            if not overwrite and filesystem.get_file_info(target).type != pafs.FileType.NotFound:
+                continue
+            with filesystem.open_output_stream(target) as f:
+                f.write(r["text"].encode("utf-8"))
+
+    report_df.select("slug", "text").foreachPartition(write_part)
+
+
 def enrich_addresses(
     addresses: DataFrame,
     destinations: DataFrame,

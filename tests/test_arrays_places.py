@@ -116,3 +116,17 @@ def test_repeated_address_gives_one_report(spark):
     rows = [r for r in out["lines"].collect() if r.address == "1 A St"]
     assert len(rows) == 6
     assert out["reports"].where(F.col("address") == "1 A St").count() == 1
+
+
+def test_report_files_named_by_slug(spark, tmp_path):
+    out = P.enrich_addresses(*_tables(spark), as_of=F.lit("2024-03-01"))
+    d = tmp_path / "locations"
+    P.write_report_files(out["reports"], str(d))
+    assert sorted(p.name for p in d.iterdir()) == ["1_A_St.txt", "2_B_St.txt"]
+    text = (d / "1_A_St.txt").read_text()
+    assert text == "1 A St\n\n*** quiet ***\n\nElevation: 1 hour\nWork: 7 mins\n"
+    (d / "2_B_St.txt").write_text("kept")
+    P.write_report_files(out["reports"], str(d))
+    assert (d / "2_B_St.txt").read_text() == "kept"
+    P.write_report_files(out["reports"], str(d), overwrite=True)
+    assert (d / "2_B_St.txt").read_text().startswith("2 B St\n")
