@@ -113,11 +113,22 @@ def with_hour_bucket(rows: DataFrame, mode: str = "event") -> DataFrame:
     return rows.withColumn("bucket", hour_bucket(F.col("timestamp")))
 
 
-def read_archive(spark, path: str, buckets: list[str] | None = None) -> DataFrame:
-    """Read the archive back (S13); a bucket filter prunes directories."""
-    schema = T.StructType(list(METRICS.fields) + [T.StructField("hostname", T.StringType(), True),
-                                                    T.StructField("bucket", T.StringType(), True)])
-    df = spark.read.schema(schema).parquet(path)
+def read_archive(spark, path: str, buckets: list[str] | None = None, layout: str = "hive") -> DataFrame:
+    """Read the archive back.
+
+    ``layout="hive"``: our ``bucket=<hour>`` folders; a bucket filter prunes
+    directories. ``layout="plain"``: hour folders named just
+    ``yyyy-MM-dd--HH`` (the reference's file sink), read recursively with the
+    bucket taken from each file's path; without ``hostname``.
+    """
+    if layout == "plain":
+        df = spark.read.option("recursiveFileLookup", "true").schema(METRICS).parquet(path)
+        bucket = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2}--\d{2})/[^/]*$", 1)
+        df = df.withColumn("bucket", F.when(bucket != "", bucket))
+    else:
+        schema = T.StructType(list(METRICS.fields) + [T.StructField("hostname", T.StringType(), True),
+                                                        T.StructField("bucket", T.StringType(), True)])
+        df = spark.read.schema(schema).parquet(path)
     if buckets:
         df = df.where(F.col("bucket").isin(buckets))
     return df

@@ -101,3 +101,16 @@ def test_batchwise_state_keeps_recent_versions(spark):
     got = explode_metrics(spark.read.parquet(sink).drop("batch_id"))
     want = explode_metrics(enrich(snaps.where(F.col("timestamp") <= days[3])))
     assert _same(got, want)
+
+
+def test_read_plain_hour_folders(spark, tmp_path):
+    snaps = snapshots(table(spark, SF_SMALL, "events"), "cumulative")
+    m = enrich(snaps).select("timestamp", "time_delta_ms", "cpu_metrics")
+    root = tmp_path / "archive"
+    hours = ["2024-01-02--00", "2024-01-03--00"]
+    for h, part in zip(hours, m.randomSplit([0.5, 0.5], seed=1)):
+        part.write.parquet(str(root / h))
+    back = read_archive(spark, str(root), layout="plain")
+    assert sorted(r.bucket for r in back.select("bucket").distinct().collect()) == hours
+    assert back.count() == m.count()
+    assert read_archive(spark, str(root), buckets=[hours[0]], layout="plain").count() < m.count()
