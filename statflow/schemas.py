@@ -73,6 +73,9 @@ FRAME = T.StructType(
     ]
 )
 
+# Frames with the host carried next to the value (as a message key).
+FRAME_KEYED = T.StructType(list(FRAME.fields) + [T.StructField("hostname", T.StringType(), True)])
+
 SCHEMA_LOOKUP = T.StructType(
     [
         T.StructField("schema_id", T.IntegerType(), False),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.schemas import FRAME
+from statflow.schemas import FRAME, FRAME_KEYED
 
 
 def kafka_frames(spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True) -> DataFrame:
@@ -31,14 +31,18 @@ def kafka_frames(spark: SparkSession, bootstrap: str, topic: str, streaming: boo
     )
 
 
-def file_frames(spark: SparkSession, path: str, streaming: bool = True, max_files: int | None = None) -> DataFrame:
-    """File twin of ``kafka_frames``: Parquet with the FRAME columns."""
+def file_frames(
+    spark: SparkSession, path: str, streaming: bool = True, max_files: int | None = None, keyed: bool = False
+) -> DataFrame:
+    """File twin of ``kafka_frames``: Parquet with the FRAME columns (plus
+    ``hostname`` when ``keyed``)."""
+    schema = FRAME_KEYED if keyed else FRAME
     if streaming:
-        reader = spark.readStream.schema(FRAME)
+        reader = spark.readStream.schema(schema)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(path)
-    return spark.read.schema(FRAME).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def kafka_json(spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True) -> DataFrame:
