@@ -43,15 +43,34 @@ def _pct(part: Column, total: Column) -> Column:
     return (part.cast("double") * F.lit(100.0)) / total.cast("double")
 
 
+def pair_cpus(cpus: Column, prev_cpus: Column) -> Column:
+    """Each current CPU with its match in the previous snapshot.
+
+    Consecutive snapshots of a host almost always list the same ids in the
+    same order; then the i-th CPU pairs with the i-th, in O(n). That is only
+    taken when the id arrays are equal and duplicate-free, so it is exactly
+    the first match by id. Otherwise each CPU searches the previous array
+    (O(n²), for hot-plugged or renamed CPUs).
+    """
+    cur_ids = F.transform(cpus, lambda c: c["id"])
+    prev_ids = F.transform(prev_cpus, lambda c: c["id"])
+    aligned = (cur_ids == prev_ids) & (F.size(F.array_distinct(cur_ids)) == F.size(cur_ids))
+    by_position = F.transform(
+        cpus, lambda c, i: F.struct(c["id"].alias("id"), c.alias("c"), F.get(prev_cpus, i).alias("p"))
+    )
+    by_search = F.transform(
+        cpus, lambda c: F.struct(c["id"].alias("id"), c.alias("c"), first_by_id(prev_cpus, c["id"]).alias("p"))
+    )
+    return F.when(aligned, by_position).otherwise(by_search)
+
+
 def cpu_metrics(cpus: Column, prev_cpus: Column) -> Column:
     """``cpus`` × previous ``cpus`` → array of metric structs in current order.
 
     CPUs not in the previous snapshot are skipped (F2, E2); a CPU is kept only
     when the total delta is positive (F3, E6); nothing is clamped.
     """
-    paired = F.transform(
-        cpus, lambda c: F.struct(c["id"].alias("id"), c.alias("c"), first_by_id(prev_cpus, c["id"]).alias("p"))
-    )
+    paired = pair_cpus(cpus, prev_cpus)
     matched = F.filter(paired, lambda x: x["p"].isNotNull())
 
     def deltas(x: Column) -> Column:

@@ -71,3 +71,46 @@ snapshot_rec = st.builds(
 def test_avro_codec_round_trip(rec):
     schema = parse_schema(SNAPSHOT_AVRO_SCHEMA)
     assert decode(encode(rec, schema), schema) == rec
+
+
+TOTAL = ("user", "nice", "system", "idle", "iowait", "irq", "softirq", "steal")
+ALL = TOTAL + ("guest", "guest_nice")
+
+
+def _expected_metrics(cur, prev):
+    out = []
+    for c in cur:
+        p = next((q for q in prev if q["id"] == c["id"]), None)
+        if p is None:
+            continue
+        d = {n: c[n] - p[n] for n in TOTAL}
+        total = sum(d.values())
+        if total > 0:
+            out.append((c["id"], d["user"] * 100.0 / total, d["system"] * 100.0 / total,
+                        d["idle"] * 100.0 / total, d["iowait"] * 100.0 / total,
+                        (total - d["idle"]) * 100.0 / total))
+    return out
+
+
+cpu_entry = st.builds(lambda i, *v: {"id": f"cpu{i}", **dict(zip(ALL, v))},
+                      st.integers(0, 5), *([st.integers(0, 50)] * len(ALL)))
+
+
+@SETTINGS
+@given(pairs=st.lists(st.tuples(st.lists(cpu_entry, max_size=6), st.lists(cpu_entry, max_size=6)),
+                      min_size=1, max_size=8),
+       same_order=st.booleans())
+def test_cpu_metrics_match_the_loop(spark, pairs, same_order):
+    from pyspark.sql import functions as F
+
+    from statflow.functions.counters import cpu_metrics
+    from statflow.schemas import CPU
+
+    if same_order:  # mostly the positional path: previous ids in the same order
+        pairs = [(cur, [dict(c, **{n: max(0, c[n] - 3) for n in ALL}) for c in cur]) for cur, _ in pairs]
+    schema = f"k INT, cpus ARRAY<{CPU.simpleString()}>, prev ARRAY<{CPU.simpleString()}>"
+    rows = [(k, [tuple(c[f] for f in ("id",) + ALL) for c in cur], [tuple(c[f] for f in ("id",) + ALL) for c in prev])
+            for k, (cur, prev) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, schema)
+    got = {r.k: [tuple(m) for m in r.m] for r in df.select("k", cpu_metrics(F.col("cpus"), F.col("prev")).alias("m")).collect()}
+    assert got == {k: _expected_metrics(cur, prev) for k, (cur, prev) in enumerate(pairs)}
