@@ -220,8 +220,12 @@ def write_reports(report_df: DataFrame, path: str, overwrite: bool = False) -> N
         existing = None
     if existing is not None and not overwrite:
         out = out.join(existing, "slug", "left_anti")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    out.write.mode("overwrite" if overwrite else "append").partitionBy("slug").text(path)
+    writer = out.write.partitionBy("slug")
+    if overwrite:  # replace only the partitions written now
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.text(path)
 
 
 def write_report_files(report_df: DataFrame, out_dir: str, overwrite: bool = False) -> None:
