@@ -232,12 +232,15 @@ def write_report_files(report_df: DataFrame, out_dir: str, overwrite: bool = Fal
     """K6/K7 with the reference's file names: ``<out_dir>/<slug>.txt``.
 
     Spark's own writers name files ``part-…``, so each partition writes its
-    reports itself through ``pyarrow.fs`` (local, HDFS or S3 URIs). A
-    retried task rewrites the same names, so the write is idempotent.
-    Without ``overwrite`` an existing report is left alone.
+    reports itself through ``pyarrow.fs`` (local, HDFS or S3 URIs). Each file
+    is written under a temporary name and then renamed, so a task lost
+    mid-write leaves no partial report, and a retried task rewrites the same
+    names. Without ``overwrite`` an existing report is left alone.
     """
 
     def write_part(rows) -> None:
+        import uuid
+
         from pyarrow import fs as pafs
 
         filesystem, root = pafs.FileSystem.from_uri(out_dir) if "://" in out_dir else (
@@ -247,8 +250,10 @@ def write_report_files(report_df: DataFrame, out_dir: str, overwrite: bool = Fal
             target = f"{root.rstrip('/')}/{r['slug']}{REPORT_SUFFIX}"
             if not overwrite and filesystem.get_file_info(target).type != pafs.FileType.NotFound:
                 continue
-            with filesystem.open_output_stream(target) as f:
+            tmp = f"{root.rstrip('/')}/.{r['slug']}.{uuid.uuid4().hex}.tmp"
+            with filesystem.open_output_stream(tmp) as f:
                 f.write(r["text"].encode("utf-8"))
+            filesystem.move(tmp, target)
 
     report_df.select("slug", "text").foreachPartition(write_part)
 
