@@ -28,6 +28,18 @@ DEFAULT_BUCKET_MS = 3_600_000
 DEFAULT_BUCKET_ROWS = 1 << 20
 
 
+def default_bucket(order: Sequence[str], bucket_ms: int = DEFAULT_BUCKET_MS) -> Column | str:
+    """Bucket for an order: time buckets for ``(timestamp, …)``, offset
+    ranges for broker order ``(src_partition, src_offset)``, else sized from
+    the data (``"auto"``)."""
+    order = list(order)
+    if order[0] == "timestamp":
+        return time_bucket("timestamp", bucket_ms)
+    if order == ["src_partition", "src_offset"]:
+        return offset_bucket("src_partition", "src_offset", DEFAULT_BUCKET_ROWS)
+    return "auto"
+
+
 def pair_with_previous(
     snapshots: DataFrame,
     order: Sequence[str] = DEFAULT_ORDER,
@@ -46,12 +58,7 @@ def pair_with_previous(
     keep = ["hostname", "timestamp", "cpus"] + [c for c in order if c not in ("hostname", "timestamp", "cpus")]
     rows = snapshots.select(*[host_key().alias("hostname") if c == "hostname" else F.col(c) for c in keep])
     if bucket is None:
-        if order[0] == "timestamp":
-            bucket = time_bucket("timestamp", bucket_ms)
-        elif order == ["src_partition", "src_offset"]:
-            bucket = offset_bucket("src_partition", "src_offset", DEFAULT_BUCKET_ROWS)
-        else:
-            bucket = "auto"
+        bucket = default_bucket(order, bucket_ms)
     return with_previous(rows, "hostname", order, ["timestamp", "cpus"], bucket)
 
 

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from statflow.functions.counters import host_key, metrics_record
-from statflow.operators.cpu_delta import DEFAULT_BUCKET_MS, DEFAULT_BUCKET_ROWS
-from statflow.operators.previous import offset_bucket, time_bucket, with_previous
+from statflow.operators.cpu_delta import DEFAULT_BUCKET_MS, default_bucket
+from statflow.operators.previous import with_previous
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -90,14 +90,7 @@ def start_enrichment_batchwise(
             rows = rows.unionByName(prev.withColumn("__carry", F.lit(True)))
         rows = rows.persist()
         try:
-            b = bucket
-            if b is None:
-                if order[0] == "timestamp":
-                    b = time_bucket("timestamp", bucket_ms)
-                elif order == ["src_partition", "src_offset"]:
-                    b = offset_bucket("src_partition", "src_offset", DEFAULT_BUCKET_ROWS)
-                else:
-                    b = "auto"
+            b = default_bucket(order, bucket_ms) if bucket is None else bucket
             paired = with_previous(rows, "hostname", order, ["timestamp", "cpus", "__carry"], b)
             out = paired.where(~F.col("__carry") & F.col("prev").isNotNull()).select(
                 F.col("hostname"), *metrics_record("prev")
