@@ -57,12 +57,14 @@ def start_enrichment(
     sink_format: str = "parquet",
     trigger: str | None = "availableNow",
     kafka: dict | None = None,
+    api: str = "group_state",
 ) -> StreamingQuery:
-    """Run job 1. ``sink_format``: ``parquet`` (typed rows, with hostname),
+    """Run job 1 (keyed state: ``api`` ``group_state`` or ``tws``, see
+    ``delta_state``). ``sink_format``: ``parquet`` (typed rows, with hostname),
     ``json`` (the reference's three-field JSON text, one per line),
     ``kafka`` (same JSON as the message value; needs ``kafka`` options),
     ``console`` (print, K4) or ``memory`` (table named ``sink_path``)."""
-    metrics = enrich_stream(snapshots, order)
+    metrics = enrich_stream(snapshots, order, api=api)
     return _start_metrics_sink(metrics, sink_path, checkpoint, sink_format, trigger, kafka)
 
 
@@ -120,6 +122,7 @@ def start_wire_enrichment(
     trigger: str | None = "availableNow",
     order: Sequence[str] = ("src_partition", "src_offset"),
     kafka: dict | None = None,
+    api: str = "group_state",
 ) -> StreamingQuery:
     """Job 1 end to end (S3, D1–D4, A1, K1): framed Avro → decode → keyed
     state → metrics. Undecodable messages are dropped from the state path
@@ -130,7 +133,7 @@ def start_wire_enrichment(
     decoded = good_rows(decode_frames(frames, registry, keep=["value", *keep]))
     if "hostname" not in decoded.columns:
         decoded = decoded.withColumn("hostname", F.lit(None).cast("string"))
-    metrics = enrich_stream(decoded, order)
+    metrics = enrich_stream(decoded, order, api=api)
     return _start_metrics_sink(metrics, sink_path, checkpoint, sink_format, trigger, kafka)
 
 
@@ -204,8 +207,9 @@ def replay(
 ) -> str:
     """Feed a snapshot table to job 1 in ``chunks`` arrivals by time, restarting
     the query from its checkpoint after each one; returns the sink path.
-    ``engine``: ``state`` (keyed state, ``start_enrichment``) or
-    ``batchwise`` (``foreachBatch`` + the batch operator).
+    ``engine``: ``state`` (keyed state via applyInPandasWithState), ``tws``
+    (keyed state via transformWithStateInPandas) or ``batchwise``
+    (``foreachBatch`` + the batch operator).
 
     Used to check that the stream gives the batch rows, restarts included.
     The chunk bounds come from one tiny aggregate (min and max time).
@@ -223,8 +227,9 @@ def replay(
 
             start_enrichment_batchwise(stream, sink, state, ck, order).awaitTermination()
         else:
+            api = "tws" if engine == "tws" else "group_state"
             with state_partitions(spark, spark.sparkContext.defaultParallelism):
-                q = start_enrichment(stream, sink, ck, order)
+                q = start_enrichment(stream, sink, ck, order, api=api)
             q.awaitTermination()
 
     # Materialise the input once; each arrival is then a pruned range scan.

@@ -18,7 +18,7 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@pytest.mark.parametrize("engine", ["state", "batchwise"])
+@pytest.mark.parametrize("engine", ["state", "tws", "batchwise"])
 @pytest.mark.parametrize("chunks", [1, 3])
 def test_stream_equals_batch(spark, chunks, engine):
     snaps = snapshots(table(spark, SF_SMALL, "events"), "reset", hostless_every=4)
