@@ -15,7 +15,9 @@ from statflow.schemas import FRAME, FRAME_KEYED
 
 
 def kafka_frames(spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True) -> DataFrame:
-    """Framed bytes from a topic, from the earliest offset."""
+    """Framed bytes from a topic, from the earliest offset (S1, S3, A6). The
+    message key, when a producer sets one, is taken as the ``hostname`` (the
+    snapshot record itself has no host field)."""
     reader = spark.readStream if streaming else spark.read
     raw = (
         reader.format("kafka")
@@ -28,6 +30,7 @@ def kafka_frames(spark: SparkSession, bootstrap: str, topic: str, streaming: boo
         F.col("value"),
         F.col("partition").cast("int").alias("src_partition"),
         F.col("offset").alias("src_offset"),
+        F.col("key").cast("string").alias("hostname"),
     )
 
 
@@ -48,7 +51,7 @@ def file_frames(
 def kafka_json(spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True) -> DataFrame:
     """JSON strings from a topic (S4): ``value STRING`` plus the offsets."""
     frames = kafka_frames(spark, bootstrap, topic, streaming)
-    return frames.select(F.col("value").cast("string").alias("value"), "src_partition", "src_offset")
+    return frames.select(F.col("value").cast("string").alias("value"), "src_partition", "src_offset")  # S4
 
 
 def file_json(spark: SparkSession, path: str, streaming: bool = True) -> DataFrame:
