@@ -181,7 +181,9 @@ def start_publish(
     enc = encode_payloads(snapshots.select(*fields, *keep), schema_json, fields)
     frames = enc.select(frame(F.col("payload"), F.lit(schema_id)).alias("value"), *keep)
     if sink_format == "kafka":
-        writer = frames.select("value").writeStream.format("kafka")
+        # The host travels as the message key (the record has no host field).
+        cols = ([F.col("hostname").alias("key")] if "hostname" in frames.columns else []) + ["value"]
+        writer = frames.select(*cols).writeStream.format("kafka")
         for k, v in (kafka or {}).items():
             writer = writer.option(k, v)
     else:
