@@ -58,13 +58,14 @@ def start_enrichment(
     trigger: str | None = "availableNow",
     kafka: dict | None = None,
     api: str = "group_state",
+    ttl_ms: int | None = None,
 ) -> StreamingQuery:
     """Run job 1 (keyed state: ``api`` ``group_state`` or ``tws``, see
-    ``delta_state``). ``sink_format``: ``parquet`` (typed rows, with hostname),
+    ``delta_state``; ``ttl_ms`` drops the state of hosts idle that long). ``sink_format``: ``parquet`` (typed rows, with hostname),
     ``json`` (the reference's three-field JSON text, one per line),
     ``kafka`` (same JSON as the message value; needs ``kafka`` options),
     ``console`` (print, K4) or ``memory`` (table named ``sink_path``)."""
-    metrics = enrich_stream(snapshots, order, api=api)
+    metrics = enrich_stream(snapshots, order, ttl_ms=ttl_ms, api=api)
     return _start_metrics_sink(metrics, sink_path, checkpoint, sink_format, trigger, kafka)
 
 

@@ -114,3 +114,36 @@ def test_read_plain_hour_folders(spark, tmp_path):
     assert sorted(r.bucket for r in back.select("bucket").distinct().collect()) == hours
     assert back.count() == m.count()
     assert read_archive(spark, str(root), buckets=[hours[0]], layout="plain").count() < m.count()
+
+
+@pytest.mark.parametrize("ttl_ms", [None, 200])
+def test_group_state_ttl_drops_idle_hosts(spark, ttl_ms):
+    """A host idle for longer than the TTL loses its state: its next snapshot
+    has no previous one. (Polls progress: with a timeout pending the query is
+    never idle, so ``processAllAvailable`` would not return.)"""
+    import time
+
+    from conftest import cpu, snapshot_df
+    from statflow.streaming.jobs import start_enrichment
+
+    def rows_in(q):
+        return sum(p["numInputRows"] for p in q.recentProgress)
+
+    def wait(cond, limit=30):
+        t = time.time()
+        while not cond() and time.time() - t < limit:
+            time.sleep(0.2)
+
+    src, sink, ck = (scratch_path(spark, n) for n in ("ttl-in", "ttl-out", "ttl-ck"))
+    snapshot_df(spark, [("h", 0, [cpu("cpu0", 1, idle=1)], 0)]).write.mode("append").parquet(src)
+    q = start_enrichment(spark.readStream.schema(SNAPSHOT_ROW).parquet(src), sink, ck,
+                         ("src_partition", "src_offset"), trigger="200 milliseconds", ttl_ms=ttl_ms)
+    try:
+        wait(lambda: rows_in(q) >= 1)
+        time.sleep(2.5)  # idle triggers: the timeout fires and drops the state
+        snapshot_df(spark, [("h", 1000, [cpu("cpu0", 2, idle=2)], 1)]).write.mode("append").parquet(src)
+        wait(lambda: rows_in(q) >= 2)
+        time.sleep(1.0)
+    finally:
+        q.stop()
+    assert spark.read.parquet(sink).count() == (1 if ttl_ms is None else 0)
