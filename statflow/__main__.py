@@ -79,15 +79,16 @@ def publish(a) -> None:
 
 def places(a) -> None:
     from statflow.operators import places as P
+    from statflow.schemas import ADDRESSES, ELEVATION, GEOCODE, ROUTES
 
     spark = _session()
-    addresses = spark.read.option("header", True).schema("address STRING, notes STRING").csv(a.addresses)
+    addresses = spark.read.option("header", True).schema(ADDRESSES).csv(a.addresses)
     out = P.enrich_addresses(
         addresses,
         P.read_destinations(spark, a.destinations),
-        spark.read.parquet(a.geocode),
-        spark.read.parquet(a.elevation),
-        spark.read.parquet(a.routes),
+        spark.read.schema(GEOCODE).parquet(a.geocode),
+        spark.read.schema(ELEVATION).parquet(a.elevation),
+        spark.read.schema(ROUTES).parquet(a.routes),
         as_of=F.lit(a.as_of) if a.as_of else None,
     )
     P.write_report_files(out["reports"], a.out, overwrite=a.overwrite)

@@ -112,15 +112,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-
-
 # Bytes per task aimed at for scans and shuffles on a cluster.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 

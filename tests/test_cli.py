@@ -49,3 +49,23 @@ def test_cli_job1_batchwise_keeps_hosts(spark, tmp_path):
           "--checkpoint", str(tmp_path / "ck"), "--engine", "batchwise"])
     got = sorted(r.hostname for r in spark.read.parquet(str(out)).collect())
     assert got == ["web1", "web2"]
+
+
+def test_cli_places(spark, tmp_path):
+    import json
+
+    from statflow.schemas import ELEVATION, GEOCODE, ROUTES
+
+    (tmp_path / "addresses.csv").write_text("address,notes\n1 A St,quiet\nnowhere,x\n")
+    (tmp_path / "dest.json").write_text(json.dumps({"Work": "W addr", "Gym": "G addr"}))
+    spark.createDataFrame([("1 A St", 0, 1.0, 1.0)], GEOCODE).write.parquet(str(tmp_path / "geo"))
+    spark.createDataFrame([(1.0, 1.0, 0, 1609.344)], ELEVATION).write.parquet(str(tmp_path / "elev"))
+    spark.createDataFrame([(1.0, 1.0, "W addr", "driving", 1709337600, 0, 0, "7 mins")], ROUTES).write.parquet(
+        str(tmp_path / "routes"))
+    out = tmp_path / "locations"
+    main(["places", "--addresses", str(tmp_path / "addresses.csv"), "--destinations", str(tmp_path / "dest.json"),
+          "--geocode", str(tmp_path / "geo"), "--elevation", str(tmp_path / "elev"), "--routes",
+          str(tmp_path / "routes"), "--out", str(out), "--as-of", "2024-03-01"])
+    assert (out / "1_A_St.txt").read_text() == "1 A St\n\n*** quiet ***\n\nElevation: 5280\nWork: 7 mins\n"
+    q = spark.read.parquet(str(out) + "_quarantine").collect()
+    assert [(r.address, r.reason) for r in q] == [("nowhere", "address_not_found")]
