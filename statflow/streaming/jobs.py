@@ -194,13 +194,18 @@ def start_publish(
 
 
 def start_debug_print(frames: DataFrame, registry: DataFrame, checkpoint: str,
-                      trigger: str | None = "availableNow") -> StreamingQuery:
-    """The debug job (D6, K4): decode and print each record as JSON."""
+                      trigger: str | None = "availableNow", memory_table: str | None = None) -> StreamingQuery:
+    """The debug job (D6, K4): decode and print each record as JSON on the
+    console (or into an in-memory table named ``memory_table``)."""
     from statflow.schemas import SNAPSHOT
 
     decoded = good_rows(decode_frames(frames, registry))
     text = decoded.select(F.to_json(F.struct(*[f.name for f in SNAPSHOT.fields])).alias("value"))
-    writer = text.writeStream.format("console").option("truncate", False).option("checkpointLocation", checkpoint)
+    if memory_table:
+        writer = text.writeStream.format("memory").queryName(memory_table)
+    else:
+        writer = text.writeStream.format("console").option("truncate", False)
+    writer = writer.option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 
 

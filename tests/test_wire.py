@@ -109,3 +109,28 @@ def test_decode_stream_splits_good_and_bad(spark, tmp_path):
     b = {r.src_offset: r.reason for r in spark.read.parquet(bp).collect()}
     assert len(g) == 1 and g[0].timestamp == 1000
     assert b == {1: "short_frame", 2: "unknown_schema"}
+
+
+def test_debug_print_job(spark):
+    """Decode frames and print each record as JSON (memory sink here;
+    the console sink prints from the JVM, out of pytest's reach)."""
+    from statflow.session import scratch_path
+    from statflow.sources.streams import file_frames
+    from statflow.streaming.jobs import start_debug_print
+
+    snap = spark.createDataFrame(
+        [(1000, [cpu("cpu0", 5)], [7], [], 1, 2, 3, 4, 5)],
+        "timestamp BIGINT, cpus ARRAY<STRUCT<id:STRING,user:BIGINT,nice:BIGINT,system:BIGINT,idle:BIGINT,"
+        "iowait:BIGINT,irq:BIGINT,softirq:BIGINT,steal:BIGINT,guest:BIGINT,guest_nice:BIGINT>>, intr ARRAY<BIGINT>,"
+        " softirq ARRAY<BIGINT>, ctxt BIGINT, btime BIGINT, processes BIGINT, procs_running BIGINT,"
+        " procs_blocked BIGINT",
+    )
+    src = scratch_path(spark, "dbg-in")
+    encode_payloads(snap, SNAPSHOT_AVRO_SCHEMA).select(
+        frame(F.col("payload"), F.lit(7)).alias("value"), F.lit(0).alias("src_partition"),
+        F.lit(0).cast("long").alias("src_offset")).write.parquet(src)
+    reg = spark.createDataFrame([(7, SNAPSHOT_AVRO_SCHEMA)], "schema_id INT, schema_json STRING")
+    start_debug_print(file_frames(spark, src), reg, scratch_path(spark, "dbg-ck"),
+                      memory_table="debug_records").awaitTermination()
+    out = [r.value for r in spark.table("debug_records").collect()]
+    assert len(out) == 1 and '"timestamp":1000' in out[0] and '"id":"cpu0"' in out[0]
