@@ -80,5 +80,27 @@ FROM marked GROUP BY id, doc_id
 """
 
 
+OP1 = """
+WITH v AS (SELECT vec_id, min(list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x) OR abs(x::DOUBLE) > 65536]) = 0
+           GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
+OP3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN strlen(html) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(html) >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mix": _op4(), "op5_quality_rules": _op5(), "op6_line_dedup": _op6()}
+    return {"op1_topk_search": OP1, "op3_warc": OP3, "op4_source_mix": _op4(), "op5_quality_rules": _op5(), "op6_line_dedup": _op6()}
