@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statflow.llm.common import without, words_of
+from statflow.operators.plan_tools import barrier
 
 
 class Rule(NamedTuple):
@@ -191,4 +192,7 @@ def quality_filter(df: DataFrame, rules: Sequence[Rule] = RULES, text_col: str =
     """The rows of ``df`` that the rules keep, with ``df``'s columns."""
     mark = "__quality"
     counted = with_counts(df, text_col, mark)
-    return counted.withColumn(mark, verdict(F.col(mark), rules)[1]).where(F.col(mark)).drop(mark)
+    # Without the barrier the optimizer would push the filter through every projection
+    # and repeat the counting in its condition.
+    judged = barrier(counted.withColumn(mark, verdict(F.col(mark), rules)[1]))
+    return judged.where(F.col(mark)).drop(mark)
