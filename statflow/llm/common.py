@@ -24,6 +24,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows of ``counts`` with the largest ``n`` (1 or more), at most ``most`` of them.
+
+    A histogram over octaves in 16 steps each, of at most 1,024 rows, gives the
+    threshold; no task sends more than the rows that are wanted. A row with the
+    threshold's step is in only if its whole step fits.
+    """
+    step = F.floor(F.log2(F.col(n).cast("double")) * 16).cast("int")
+    histogram = sorted((tuple(r) for r in counts.groupBy(step.alias("s")).count().collect()), reverse=True)
+    room, least = most, None
+    for s, rows in histogram:
+        if rows > room:
+            break
+        room, least = room - rows, s
+    return counts.where(step >= least) if least is not None else counts.limit(0)
+
+
 def words_of(text: Column) -> Column:
     """The words ``[^\x20\x09-\x0D]+`` of a text, in order (null: none)."""
     one_space = F.coalesce(text, F.lit(""))

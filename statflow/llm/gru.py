@@ -55,70 +55,109 @@ class Net:
             if begin[t].any():
                 h = np.where(begin[t][:, None], np.float32(0), h)
             gh = h @ p["U"]
-            zr = 1 / (1 + np.exp(-(gx[t, :, : 2 * n] + gh[:, : 2 * n])))
+            zr = gx[t, :, : 2 * n] + gh[:, : 2 * n]
+            np.negative(zr, out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
             z, r = zr[:, :n], zr[:, n:]
-            c = np.tanh(gx[t, :, 2 * n :] + r * gh[:, 2 * n :])
+            c = r * gh[:, 2 * n :]
+            c += gx[t, :, 2 * n :]
+            np.tanh(c, out=c)
             if tape is not None:
                 tape.append((h, z, r, c, gh[:, 2 * n :]))
-            h = c + z * (h - c)
-            out[t] = h
+            now = out[t]
+            np.subtract(h, c, out=now)
+            now *= z
+            now += c
+            h = now
         return out, h
 
+    def _exponents(self, x: np.ndarray, w: np.ndarray, b: np.ndarray, own: np.ndarray):
+        """(the logits at ``own``, exp of all logits), shifted where they could overflow."""
+        logits = x @ w
+        logits += b
+        # States lie in (-1, 1), so the weights bound every logit.
+        if np.abs(w).sum(0).max() + np.abs(b).max() > 60:
+            logits -= logits.max(1, keepdims=True)
+        at = logits[np.arange(len(x)), own]
+        return at, np.exp(logits, out=logits)
+
+    def _softmax(self, x: np.ndarray, k: str, row, own: np.ndarray, grads: dict | None):
+        """Log probabilities of ``own`` and, with ``grads``, the gradient by ``x``."""
+        w, b = self.p["W" + k], self.p["b" + k]
+        if row is not None:
+            w, b = w[row], b[row]
+        at, e = self._exponents(x, w, b, own)
+        total = e @ np.ones(e.shape[1], np.float32)
+        logp = at - np.log(total)
+        if grads is None:
+            return logp, None
+        # (p - onehot) is e less the total at ``own``, over the total.
+        e[np.arange(len(x)), own] -= total
+        share = 1 / total
+        dw, db = (x * share[:, None]).T @ e, share @ e
+        if row is None:
+            grads["W" + k], grads["b" + k] = dw, db
+        else:
+            grads["W" + k][row], grads["b" + k][row] = dw, db
+        dx = e @ w.T
+        dx *= share[:, None]
+        return logp, dx
+
     def output(self, hs: np.ndarray, y: np.ndarray, grads: dict | None = None):
-        """Log probabilities (natural) of symbols ``y`` [n] after states ``hs`` [n, H]."""
-        p = self.p
-        cls, mem = y // self.members, y % self.members
-        rows = np.arange(len(y))
-        logits = hs @ p["Wc"] + p["bc"]
-        logits -= logits.max(1, keepdims=True)
-        own = logits[rows, cls]
-        e = np.exp(logits, out=logits)
-        total = e.sum(1)
-        logp = own - np.log(total)
-        dhs = None
-        if grads is not None:
-            e /= total[:, None]
-            e[rows, cls] -= 1
-            grads["Wc"], grads["bc"] = hs.T @ e, e.sum(0)
-            dhs = e @ p["Wc"].T
-            grads["Wm"], grads["bm"] = np.zeros_like(p["Wm"]), np.zeros_like(p["bm"])
+        """Log probabilities (natural) of symbols ``y`` [n] after states ``hs`` [n, H].
+
+        The rows are taken in the order of their classes, so that each class is one block.
+        """
+        cls = y // self.members
         order = np.argsort(cls, kind="stable")
         ends = np.searchsorted(cls[order], np.arange(self.classes + 1))
+        x, cls, mem = hs[order], cls[order], (y % self.members)[order]
+        if grads is not None:
+            grads["Wm"], grads["bm"] = np.zeros_like(self.p["Wm"]), np.zeros_like(self.p["bm"])
+        logp, dx = self._softmax(x, "c", None, cls, grads)
         for k in range(self.classes):
-            at = order[ends[k] : ends[k + 1]]
-            if not len(at):
-                continue
-            x, m, i = hs[at], mem[at], np.arange(len(at))
-            logits = x @ p["Wm"][k] + p["bm"][k]
-            logits -= logits.max(1, keepdims=True)
-            own = logits[i, m]
-            e = np.exp(logits, out=logits)
-            total = e.sum(1)
-            logp[at] += own - np.log(total)
-            if grads is not None:
-                e /= total[:, None]
-                e[i, m] -= 1
-                grads["Wm"][k], grads["bm"][k] = x.T @ e, e.sum(0)
-                dhs[at] += e @ p["Wm"][k].T
-        return logp, dhs
+            at = slice(ends[k], ends[k + 1])
+            if ends[k] < ends[k + 1]:
+                more, dk = self._softmax(x[at], "m", k, mem[at], grads)
+                logp[at] += more
+                if grads is not None:
+                    dx[at] += dk
+        out = np.empty_like(logp)
+        out[order] = logp
+        dhs = None
+        if grads is not None:
+            dhs = np.empty_like(dx)
+            dhs[order] = dx
+        return out, dhs
 
     def back(self, tape: list, begin: np.ndarray, x: np.ndarray, dhs: np.ndarray, grads: dict) -> None:
         """Backpropagation through the steps of one window."""
         p, n = self.p, self.hidden
         ut = p["U"].T.copy()
         dgx = np.empty((*x.shape, 3 * n), np.float32)
+        dgh = np.empty((x.shape[1], 3 * n), np.float32)
         du = np.zeros_like(p["U"])
         carry = np.zeros_like(dhs[0])
         for t in range(len(x) - 1, -1, -1):
             h, z, r, c, ghc = tape[t]
-            dh = dhs[t] + carry
-            dc = dh * (1 - z) * (1 - c * c)
-            dz = dh * (h - c) * z * (1 - z)
-            dr = dc * ghc * r * (1 - r)
-            dgx[t, :, :n], dgx[t, :, n : 2 * n], dgx[t, :, 2 * n :] = dz, dr, dc
-            dgh = np.concatenate([dz, dr, dc * r], 1)
+            dh = dhs[t]
+            dh += carry
+            keep = dh * z
+            dc = dh - keep
+            dc *= 1 - c * c
+            dz = keep * (h - c)
+            dz *= 1 - z
+            dr = dc * ghc
+            dcr = dc * r
+            dr *= r - r * r
+            g = dgx[t]
+            g[:, :n], g[:, n : 2 * n], g[:, 2 * n :] = dz, dr, dc
+            dgh[:, : 2 * n], dgh[:, 2 * n :] = g[:, : 2 * n], dcr
             du += h.T @ dgh
-            carry = dh * z + dgh @ ut
+            carry = dgh @ ut
+            carry += keep
             if begin[t].any():
                 carry[begin[t]] = 0
         flat, ids = dgx.reshape(-1, 3 * n), x.reshape(-1)
@@ -152,24 +191,23 @@ def windows(docs: list[np.ndarray], lanes: int, start: int, window: int = WINDOW
         k = int(load.argmin())
         dealt[k].append(i)
         load[k] += len(docs[i])
+    if not docs:
+        return
     order = np.argsort(-load, kind="stable")
     size = load[order]
-    steps = -(-int(size[0]) // window) * window if len(docs) else 0
-    y = np.zeros((steps, lanes), np.int32)
-    x = np.full((steps, lanes), start, np.int32)
-    doc = np.full((steps, lanes), -1, np.int32)
-    for j, k in enumerate(order):
-        at = 0
-        for i in dealt[k]:
-            d = docs[i]
-            y[at : at + len(d), j] = d
-            x[at + 1 : at + len(d), j] = d[:-1]
-            doc[at : at + len(d), j] = i
-            at += len(d)
-    for t in range(0, steps, window):
+    inside = [i for k in order for i in dealt[k]]
+    symbols = np.concatenate([docs[i] for i in inside])
+    owner = np.repeat(np.array(inside, np.int32), [len(docs[i]) for i in inside])
+    previous = np.concatenate([[start], symbols[:-1]]).astype(np.int32)
+    previous[np.concatenate([[0], np.nonzero(np.diff(owner))[0] + 1])] = start
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    for t in range(0, int(size[0]), window):
         active = int((size > t).sum())
-        part = slice(t, t + window), slice(0, active)
-        yield active, x[part], y[part], x[part] == start, doc[part]
+        place = t + np.arange(window)[:, None]
+        real = place < size[:active]
+        at = np.where(real, first[:active] + place, 0)
+        x = np.where(real, previous[at], start)
+        yield active, x, symbols[at], x == start, np.where(real, owner[at], -1)
 
 
 def train(net: Net, docs: list[np.ndarray], lanes: int, rate: float) -> None:

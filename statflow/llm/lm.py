@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statflow.llm.common import stage, word_blocks
+from statflow.llm.common import most_frequent, stage, word_blocks
 from statflow.llm.gru import Net, log_likelihoods, train
 
 CLASSES, MEMBERS, HIDDEN = 16, 64, 16
@@ -45,7 +45,7 @@ LANES = 512
 RATE = 0.1
 FOLDS, HELD_OUT = 7, 2
 #: Tokens that a task gathers before it runs the network over them.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 4_000_000
 #: Models that reach the driver, at most.
 TOP = 16
 #: The end token; no word holds a space.
@@ -103,7 +103,7 @@ class Vocabulary:
     """The bounded tables that every task holds."""
 
     def __init__(self, counts: DataFrame, hot: int):
-        rows = counts.orderBy(F.desc("c"), "word").limit(hot).collect()
+        rows = sorted(most_frequent(counts, "c", hot).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
         n_symbols = CLASSES * MEMBERS
         self.words = {bytes(r["word"]): i for i, r in enumerate(rows)}
         self.c = np.array([r["c"] for r in rows], np.int64)
@@ -219,7 +219,7 @@ def _average(key: tuple, models: pd.DataFrame) -> pd.DataFrame:
 def train_network(texts: DataFrame, vocabulary, warm: DataFrame) -> bytes | None:
     """The averaged parameters, or None without training documents."""
     spark = texts.sparkSession
-    first = warm.select("text").coalesce(1).mapInArrow(_train(vocabulary, None, 2), MODEL).collect()
+    first = warm.select("text").repartition(1).mapInArrow(_train(vocabulary, None, 2), MODEL).collect()
     start = spark.sparkContext.broadcast(bytes(first[0]["model"])) if first else None
     models = stage(texts.select("text").mapInArrow(_train(vocabulary, start, 1), MODEL), "lm-replicas")
     fan = max(TOP, int(np.ceil(np.sqrt(max(1, models.count())))))

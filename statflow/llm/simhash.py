@@ -163,6 +163,21 @@ class _Forest:
         self.parent[max(a, b)] = min(a, b)
         return True
 
+    def join(self, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+        """The links a[i] - b[i] that join trees. In each round every point takes its
+        first link; links inside one tree then fall away, so a dense group costs a few
+        rounds, not a step for each of its pairs."""
+        added = []
+        a, b = a[a != b], b[a != b]
+        while len(a):
+            first = np.unique(a, return_index=True)[1]
+            added += [(x, y) for x, y in zip(a[first].tolist(), b[first].tolist()) if self.add(x, y)]
+            ids, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+            root = np.array([self.find(i) for i in ids.tolist()])[where]
+            apart = root[: len(a)] != root[len(a) :]
+            a, b = a[apart], b[apart]
+        return added
+
 
 def shard_links(home: np.ndarray, guests: np.ndarray, bound: int, bucket: int = BUCKET) -> list[tuple[int, int]]:
     """A spanning forest of the links between home points, and of home points with guests."""
@@ -181,9 +196,9 @@ def shard_links(home: np.ndarray, guests: np.ndarray, bound: int, bucket: int =
                 for j in range(0, len(queries), 1024):
                     q = queries[j : j + 1024]
                     near = np.bitwise_count(points[q][:, None] ^ points[own][None, :]) <= bound
-                    for a, b in zip(*np.nonzero(near)):
-                        if q[a] != own[b] and forest.add(int(q[a]), int(own[b])):
-                            links.append((int(points[q[a]]), int(points[own[b]])))
+                    a, b = np.nonzero(near)
+                    for x, y in forest.join(q[a], own[b]):
+                        links.append((int(points[x]), int(points[y])))
             continue
         tries = []
         for v in points[members[rng.integers(len(members), size=4)]]:

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statflow.llm.common import stage
+from statflow.llm.common import most_frequent, stage
 from statflow.llm.encode import load
 
 LIMIT = 1024
@@ -154,15 +154,13 @@ def token_counts(
     id_type = slim.schema["doc_id"].dataType.simpleString()
     share = fit_docs / max(1, slim.count())
     chosen = slim.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, share) * (1 << 20)))
-    frequent = (
+    fit = (
         chosen.select("text")
         .mapInPandas(_frequencies(tokenizer), "pretoken string, n long")
         .groupBy("pretoken")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "pretoken")
-        .limit(hot)
-        .select("pretoken")
     )
+    frequent = most_frequent(stage(fit, "pre-tokens"), "n", hot).select("pretoken")
     table = spark.sparkContext.broadcast(
         {r["pretoken"]: r["pieces"] for r in piece_counts(frequent.repartition(8), tokenizer).collect()}
     )
