@@ -65,13 +65,14 @@ def record_bytes(headers: list[tuple[str, str]], block: bytes) -> bytes:
 
 def read_records(source: BinaryIO) -> Iterator[Record]:
     """The records of an archive, in order, from sequential reads of bounded size."""
-    compressed, position = source.read(READ_BYTES), 0
+    compressed = source.read(READ_BYTES)
+    total = len(compressed)  # bytes read so far
     while compressed:
+        position = total - len(compressed)
         member, plain = zlib.decompressobj(31), bytearray()
-        used, headers, start, length, digest = 0, None, 0, 0, None
-        while True:
+        headers, start, length = None, 0, 0
+        while not member.eof:
             data = member.decompress(compressed, READ_BYTES)
-            used += len(compressed) - len(member.unused_data) - len(member.unconsumed_tail)
             compressed = member.unused_data if member.eof else member.unconsumed_tail
             plain += data
             if headers is None and (end := plain.find(b"\r\n\r\n")) >= 0:
@@ -80,17 +81,19 @@ def read_records(source: BinaryIO) -> Iterator[Record]:
                     raise ValueError(f"not a record at {position}: {lines[0][:40]!r}")
                 headers = dict(line.split(": ", 1) for line in lines[1:])
                 start, length = end + 4, int(headers["Content-Length"])
-            if member.eof:
-                break
-            if not compressed and not (compressed := source.read(READ_BYTES)) and not data:
-                raise EOFError(f"the record at {position} is cut off")
+            if not member.eof and not compressed:
+                compressed = source.read(READ_BYTES)
+                total += len(compressed)
+                if not compressed and not data:
+                    raise EOFError(f"the record at {position} is cut off")
         if headers is None or len(plain) != start + length + 4 or plain[start + length :] != b"\r\n\r\n":
             raise ValueError(f"the record at {position} does not have its Content-Length")
         block = bytes(plain[start : start + length])
         ok = headers.get("WARC-Block-Digest") == "sha256:" + hashlib.sha256(block).hexdigest()
         yield Record(position, headers, block, ok)
-        position += used
-        compressed = compressed or source.read(READ_BYTES)
+        if not compressed:
+            compressed = source.read(READ_BYTES)
+            total += len(compressed)
 
 
 # --- Spark jobs -----------------------------------------------------------
