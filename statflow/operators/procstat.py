@@ -129,7 +129,7 @@ def render_dump(snapshot_cols: dict[str, Column] | None = None) -> Column:
     return F.concat_ws("\n", *lines)
 
 
-def read_dump_files(spark, path: str, name_pattern: str = r"([^/_]+)_(\d+)") -> DataFrame:
+def read_dump_files(spark, path: str, name_pattern: str = r"^(.+)_(\d+)(?:\.[^.]*)?$") -> DataFrame:
     """Collected dump files (one file per capture) → ``hostname, timestamp,
     text``. Host and capture time (epoch ms) come from the file name, e.g.
     ``web01_1700000000000.txt``; without a time in the name the file's

@@ -74,7 +74,9 @@ def registry_from_envelopes(envelopes: DataFrame) -> DataFrame:
 def lookup_schemas(parsed: DataFrame, registry: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
     """Attach ``schema_json`` by id (D3, J3); ids not registered get
     ``unknown_schema``. The registry is broadcast after a size check."""
-    joined = parsed.join(small_side(registry.select("schema_id", "schema_json"), max_broadcast_rows), "schema_id", "left")
+    # One row per id, or a repeated registration would repeat its messages.
+    by_id = registry.groupBy("schema_id").agg(F.min("schema_json").alias("schema_json"))
+    joined = parsed.join(small_side(by_id, max_broadcast_rows), "schema_id", "left")
     reason = F.coalesce(
         F.col("reason"), F.when(F.col("schema_json").isNull(), F.lit("unknown_schema"))
     )
