@@ -3,17 +3,23 @@
 For a vocabulary that drops white space, a text's ids are the ids of its
 white-space separated chunks, one after the other: no rule of its normaliser,
 its split pattern or its merges reaches over white space. So each distinct
-chunk goes through the library once per worker and is then looked up. Memory
-is bounded: the look-up table is emptied when it is full.
+chunk is encoded once per worker and is then looked up. Memory is bounded: the
+look-up table is emptied when it is full.
+
+A plain chunk, of printable ASCII without apostrophes and of Latin-1 letters,
+needs neither normaliser nor split pattern: in lower case its runs of letters,
+its single digits and its other runs are the pre-tokens, and only a run that
+was not seen before goes through the library's model. Every other chunk, and
+every chunk that may hold a special string, goes through the whole library.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import struct
 from collections.abc import Callable
 
-import numpy as np
-
 #: Chunks that a worker remembers.
 MEMORY = 1 << 19
 #: Characters per step of a very long text.
@@ -35,15 +41,34 @@ def load(path: str):
     return _LOADED[path]
 
 
+#: Lower-case letters of Latin-1, as in a pattern's brackets.
+LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile(f"[!-&(-~{LETTERS}]+").fullmatch
+_RUNS = re.compile(f"[{LETTERS}]+|[0-9]|[^0-9{LETTERS}]+").findall
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Chunks(dict):
     """chunk -> its ids as little-endian 32-bit numbers."""
 
     def __init__(self, tok):
         super().__init__()
-        self.encode = tok.encode
+        self.encode, self.merge = tok.encode, tok.model.tokenize
+        self.as_bytes = tok.pre_tokenizer[1].pre_tokenize_str
+        self.special = tuple(t.content for t in tok.get_added_tokens_decoder().values())
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        lower = chunk.lower()
+        if not _PLAIN(lower) or any(s in chunk for s in self.special):
+            ids = _packed(self.encode(chunk, add_special_tokens=False).ids)
+        elif len(runs := _RUNS(lower)) > 1 or lower != chunk:
+            ids = b"".join(map(self.__getitem__, runs))
+        else:
+            run = chunk if chunk.isascii() else self.as_bytes(chunk)[0][0]
+            ids = _packed([t.id for t in self.merge(run)])
         if len(self) < MEMORY:
             self[chunk] = ids
         return ids
@@ -57,13 +82,12 @@ def chunk_encoder(path: str) -> Callable[[str | None], bytes]:
     if path not in _CHUNKS:
         _CHUNKS[path] = _Chunks(load(path))
     chunks = _CHUNKS[path]
-    blanks = str.maketrans("\n\t\r", "   ")
 
     def encode(text: str | None) -> bytes:
         if not text:
             return b""
         if len(chunks) >= MEMORY:
             chunks.clear()
-        return b"".join(map(chunks.__getitem__, text.translate(blanks).split(" ")))
+        return b"".join(map(chunks.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
 
     return encode

@@ -33,6 +33,18 @@ def test_pre_tokens_equal_whole_texts(text):
     assert total == len(tok.encode(text, add_special_tokens=False).ids)
 
 
+def test_plain_chunks_equal_the_library():
+    """Chunks that skip the library's normaliser and split give the ids of the whole library."""
+    tok = encode.load(WORDS)
+    chunks = ["", "word", "Word,", "WORD!!", "a1b22", "don't", "\u00c9T\u00c9.", "\u00df\u00ff\u0178", "\u00d7\u00f7", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    chunks += ["x<|startoftext|>,", "H\u0331", "\u0130", "e\u0301,", "\u2126", "\u212b", "a\x0bb", "a\x85b", "\u00b5m", "\u00aa", "a\x00b", "\x7f", "#" * 300]
+    got = encode._Chunks(tok)
+    for chunk in chunks:
+        want = tok.encode(chunk, add_special_tokens=False).ids
+        assert np.frombuffer(got[chunk], "<u4").tolist() == want, chunk
+        assert got[chunk] == got[chunk]
+
+
 def plain_counts(docs):
     tok = Tokenizer.from_file(BYTES)
     out = []
