@@ -15,6 +15,11 @@ import numpy as np
 WINDOW = 16
 
 
+def _order(ids: np.ndarray, below: int) -> np.ndarray:
+    """A stable order of the numbers; small ones are sorted by radix."""
+    return np.argsort(ids.astype(np.int16) if below < 1 << 15 else ids, kind="stable")
+
+
 class Net:
     """Parameters, their Adagrad sums and the passes over a window."""
 
@@ -46,26 +51,37 @@ class Net:
 
     # --- passes ----------------------------------------------------------
 
+    def _by_gate(self, rows: np.ndarray) -> np.ndarray:
+        """Rows of update, reset and candidate gate side by side, as one block for each gate."""
+        return np.ascontiguousarray(rows.reshape(-1, 3, self.hidden).transpose(1, 0, 2))
+
+    def _side_by_side(self, blocks: np.ndarray) -> np.ndarray:
+        return blocks.transpose(1, 0, 2).reshape(-1, 3 * self.hidden)
+
     def recur(self, h: np.ndarray, x: np.ndarray, begin: np.ndarray, tape: list | None = None):
         """Hidden states [T, B, H] of a window; x are the inputs, begin marks first tokens."""
-        p, n = self.p, self.hidden
-        out = np.empty((*x.shape, n), np.float32)
-        gx = p["E"][x] + p["b"]
+        p = self.p
+        out = np.empty((*x.shape, self.hidden), np.float32)
+        # The first two gates come negated, for 1 / (1 + exp(-a)).
+        sign = np.array([-1, -1, 1], np.float32)[:, None, None]
+        gx = np.take(self._by_gate(p["E"] + p["b"]) * sign, x, axis=1)
+        u = self._by_gate(p["U"]) * sign
+        resets = begin.any(1)
         for t in range(len(x)):
-            if begin[t].any():
+            if resets[t]:
                 h = np.where(begin[t][:, None], np.float32(0), h)
-            gh = h @ p["U"]
-            zr = gx[t, :, : 2 * n] + gh[:, : 2 * n]
-            np.negative(zr, out=zr)
+            gh = np.matmul(h, u)
+            zr = gh[:2]
+            zr += gx[:2, t]
             np.exp(zr, out=zr)
             zr += 1
             np.reciprocal(zr, out=zr)
-            z, r = zr[:, :n], zr[:, n:]
-            c = r * gh[:, 2 * n :]
-            c += gx[t, :, 2 * n :]
+            z, r = zr
+            c = r * gh[2]
+            c += gx[2, t]
             np.tanh(c, out=c)
             if tape is not None:
-                tape.append((h, z, r, c, gh[:, 2 * n :]))
+                tape.append((h, z, r, c, gh[2]))
             now = out[t]
             np.subtract(h, c, out=now)
             now *= z
@@ -111,7 +127,7 @@ class Net:
         The rows are taken in the order of their classes, so that each class is one block.
         """
         cls = y // self.members
-        order = np.argsort(cls, kind="stable")
+        order = _order(cls, self.classes)
         ends = np.searchsorted(cls[order], np.arange(self.classes + 1))
         x, cls, mem = hs[order], cls[order], (y % self.members)[order]
         if grads is not None:
@@ -134,37 +150,42 @@ class Net:
 
     def back(self, tape: list, begin: np.ndarray, x: np.ndarray, dhs: np.ndarray, grads: dict) -> None:
         """Backpropagation through the steps of one window."""
-        p, n = self.p, self.hidden
-        ut = p["U"].T.copy()
-        dgx = np.empty((*x.shape, 3 * n), np.float32)
-        dgh = np.empty((x.shape[1], 3 * n), np.float32)
-        du = np.zeros_like(p["U"])
+        n = self.hidden
+        u = self._by_gate(self.p["U"])
+        ut = u.transpose(0, 2, 1).copy()
+        dgx = np.empty((3, *x.shape, n), np.float32)
+        dgh = np.empty((3, x.shape[1], n), np.float32)
+        du = np.zeros_like(u)
         carry = np.zeros_like(dhs[0])
+        resets = begin.any(1)
         for t in range(len(x) - 1, -1, -1):
             h, z, r, c, ghc = tape[t]
+            dz, dr, dc = dgx[0, t], dgx[1, t], dgx[2, t]
             dh = dhs[t]
             dh += carry
             keep = dh * z
-            dc = dh - keep
+            np.subtract(dh, keep, out=dc)
             dc *= 1 - c * c
-            dz = keep * (h - c)
+            np.subtract(h, c, out=dz)
+            dz *= keep
             dz *= 1 - z
-            dr = dc * ghc
-            dcr = dc * r
-            dr *= r - r * r
-            g = dgx[t]
-            g[:, :n], g[:, n : 2 * n], g[:, 2 * n :] = dz, dr, dc
-            dgh[:, : 2 * n], dgh[:, 2 * n :] = g[:, : 2 * n], dcr
-            du += h.T @ dgh
-            carry = dgh @ ut
-            carry += keep
-            if begin[t].any():
+            np.multiply(dc, r, out=dgh[2])
+            np.multiply(dgh[2], ghc, out=dr)
+            dr *= 1 - r
+            dgh[:2] = dgx[:2, t]
+            du += np.matmul(h.T, dgh)
+            back = np.matmul(dgh, ut)
+            carry = keep
+            for part in back:
+                carry += part
+            if resets[t]:
                 carry[begin[t]] = 0
-        flat, ids = dgx.reshape(-1, 3 * n), x.reshape(-1)
-        order = np.argsort(ids, kind="stable")
-        seen, first = np.unique(ids[order], return_index=True)
-        grads["U"], grads["b"] = du, flat.sum(0)
-        grads["E"] = (seen, np.add.reduceat(flat[order], first, axis=0))
+        flat, ids = dgx.reshape(3, -1, n), x.reshape(-1)
+        order = _order(ids, self.start + 1)
+        ids = ids[order]
+        first = np.concatenate([[0], np.nonzero(np.diff(ids))[0] + 1])
+        grads["U"], grads["b"] = self._side_by_side(du), flat.sum(1).reshape(-1)
+        grads["E"] = (ids[first], self._side_by_side(np.add.reduceat(np.take(flat, order, axis=1), first, axis=1)))
 
     def step(self, grads: dict, rate: float) -> None:
         for k, g in grads.items():
@@ -196,7 +217,7 @@ def windows(docs: list[np.ndarray], lanes: int, start: int, window: int = WINDOW
     order = np.argsort(-load, kind="stable")
     size = load[order]
     inside = [i for k in order for i in dealt[k]]
-    symbols = np.concatenate([docs[i] for i in inside])
+    symbols = np.concatenate([docs[i] for i in inside], dtype=np.int32)
     owner = np.repeat(np.array(inside, np.int32), [len(docs[i]) for i in inside])
     previous = np.concatenate([[start], symbols[:-1]]).astype(np.int32)
     previous[np.concatenate([[0], np.nonzero(np.diff(owner))[0] + 1])] = start
