@@ -7,7 +7,9 @@
    of its last two bytes. So P(word | state) = P(class | state) * P(member | class,
    state) * P(word | bucket), where the last factor is (c + 1) / (N_b + V_b + 1) of
    the bucket's exact counts, and 1 for words that are symbols.
-3. A gated recurrent network (``gru.py``) gives the first two factors. One task
+3. Every text is read once into its symbols, two bytes a token, and its exact
+   counts; that table in the shared folder feeds training and scoring. A gated
+   recurrent network (``gru.py``) gives the first two factors. One task
    warms it up on a bounded sample of training documents (``warm_docs``), which
    only gives all replicas the same start; then every task of the training data
    trains a replica on all its documents, and the replicas are averaged by their
@@ -27,6 +29,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -51,10 +54,13 @@ TOP = 16
 #: The end token; no word holds a space.
 END = b" "
 
-SCORED = (
-    "doc_id {id}, held_out boolean, n_tokens long, n_hot long, base_hot double, model_hot double, "
-    "cold array<struct<word:binary,n:long>>"
+READ = (
+    "doc_id {id}, held_out boolean, n_tokens long, n_hot long, base_hot double, tail double, "
+    "cold array<struct<word:binary,n:long>>, symbols binary"
 )
+SCORED = "row long, doc_id {id}, held_out boolean, n_tokens long, n_hot long, base_hot double, model_hot double"
+#: Symbols as they are stored.
+SYMBOL = np.dtype("<u2")
 
 
 def bucket(word: bytes) -> int:
@@ -139,7 +145,7 @@ class Vocabulary:
         symbols, hot, cold = [], [], []
         find = self.words.get
         for words in [*word_blocks(text), [END]]:
-            at = np.fromiter((find(w, -1) for w in words), np.int64, len(words))
+            at = np.fromiter(map(find, words, repeat(-1)), np.int64, len(words))
             rare = np.nonzero(at < 0)[0]
             s = self.symbol[at] if len(self.symbol) else np.zeros(len(words), np.int32)
             for i in rare:
@@ -177,8 +183,8 @@ def _train(vocabulary, start, passes: int):
                 train(net, held, _lanes(len(held)), RATE)
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.append(v.read(text)[0])
+            for symbols in batch.column("symbols").to_pylist():
+                held.append(np.frombuffer(symbols, SYMBOL))
                 size += len(held[-1])
                 if size >= BLOCK_TOKENS:
                     run()
@@ -216,12 +222,12 @@ def _average(key: tuple, models: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([(int(key[0]), total, mean.astype("<f4").tobytes())], columns=["task", "tokens", "model"])
 
 
-def train_network(texts: DataFrame, vocabulary, warm: DataFrame) -> bytes | None:
+def train_network(training: DataFrame, vocabulary, warm: DataFrame) -> bytes | None:
     """The averaged parameters, or None without training documents."""
-    spark = texts.sparkSession
-    first = warm.select("text").repartition(1).mapInArrow(_train(vocabulary, None, 2), MODEL).collect()
+    spark = training.sparkSession
+    first = warm.select("symbols").repartition(1).mapInArrow(_train(vocabulary, None, 2), MODEL).collect()
     start = spark.sparkContext.broadcast(bytes(first[0]["model"])) if first else None
-    models = stage(texts.select("text").mapInArrow(_train(vocabulary, start, 1), MODEL), "lm-replicas")
+    models = stage(training.select("symbols").mapInArrow(_train(vocabulary, start, 1), MODEL), "lm-replicas")
     fan = max(TOP, int(np.ceil(np.sqrt(max(1, models.count())))))
     for groups in (fan, TOP):
         grouped = models.withColumn("g", F.pmod("task", F.lit(groups))).groupBy("g")
@@ -233,52 +239,66 @@ def train_network(texts: DataFrame, vocabulary, warm: DataFrame) -> bytes | None
     return top["model"][0]
 
 
-# --- scoring --------------------------------------------------------------
+# --- reading and scoring ----------------------------------------------------
 
 
-def _score(vocabulary, model):
+def _read(vocabulary):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary.value
-        net = v.new_net()
-        if model.value is not None:
-            _load(net, model.value)
-
-        def run(rows: list[tuple], docs: list[np.ndarray]) -> pa.RecordBatch:
-            logs = log_likelihoods(net, docs, LANES)
-            cols = list(zip(*rows))
-            names = ["doc_id", "held_out", "n_tokens", "n_hot", "base_hot", "tail", "cold"]
-            by = dict(zip(names, cols))
-            return pa.RecordBatch.from_arrays(
+        n_symbols = CLASSES * MEMBERS
+        for batch in batches:
+            n_tokens, n_hot, base, tail, cold, stored = [], [], [], [], [], []
+            for text in batch.column("text").to_pylist():
+                symbols, hot, rare = v.read(text)
+                n_tokens.append(len(symbols))
+                n_hot.append(len(hot))
+                base.append(float(v.c_log[hot].sum()) - len(symbols) * v.base_log)
+                buckets = np.fromiter(map(bucket, rare), np.int64, len(rare))
+                tail.append(float(v.tail_log[hot].sum()) - float(v.bucket_log[buckets].sum()))
+                cold.append([{"word": w, "n": k} for w, k in Counter(rare).items()])
+                stored.append(symbols.astype(SYMBOL).tobytes())
+            yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(by["doc_id"], id_type),
-                    pa.array(by["held_out"], pa.bool_()),
-                    pa.array(by["n_tokens"], pa.int64()),
-                    pa.array(by["n_hot"], pa.int64()),
-                    pa.array(by["base_hot"], pa.float64()),
-                    pa.array(logs + np.array(by["tail"]), pa.float64()),
-                    pa.array(by["cold"], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
+                    batch.column("doc_id"),
+                    batch.column("held_out"),
+                    pa.array(n_tokens, pa.int64()),
+                    pa.array(n_hot, pa.int64()),
+                    pa.array(base, pa.float64()),
+                    pa.array(tail, pa.float64()),
+                    pa.array(cold, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
+                    pa.array(stored, pa.binary()),
                 ],
-                names=["doc_id", "held_out", "n_tokens", "n_hot", "base_hot", "model_hot", "cold"],
+                names=["doc_id", "held_out", "n_tokens", "n_hot", "base_hot", "tail", "cold", "symbols"],
             )
 
-        rows, docs, size, id_type = [], [], 0, pa.int64()
+    return of
+
+
+def _score(vocabulary, model):
+    passed = ["row", "doc_id", "held_out", "n_tokens", "n_hot", "base_hot"]
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = vocabulary.value.new_net()
+        if model.value is not None:
+            _load(net, model.value)
+
+        def run(parts: list[pa.RecordBatch], docs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(parts)
+            logs = log_likelihoods(net, docs, LANES) + table.column("tail").to_numpy()
+            out = table.select(passed).append_column("model_hot", pa.array(logs, pa.float64()))
+            yield from out.to_batches()
+
+        parts, docs, size = [], [], 0
         for batch in batches:
-            id_type = batch.schema.field("doc_id").type
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))
-            for doc_id, out, text in zip(*columns):
-                symbols, hot, cold = v.read(text)
-                counted = Counter(cold)
-                n = len(symbols)
-                base = float(v.c_log[hot].sum()) - n * v.base_log
-                tail = float(v.tail_log[hot].sum()) - sum(float(v.bucket_log[bucket(w)]) * k for w, k in counted.items())
-                rows.append((doc_id, out, n, len(hot), base, tail, [{"word": w, "n": k} for w, k in counted.items()]))
-                docs.append(symbols)
-                size += n
-                if size >= BLOCK_TOKENS:
-                    yield run(rows, docs)
-                    rows, docs, size = [], [], 0
-        if rows:
-            yield run(rows, docs)
+            found = [np.frombuffer(x, SYMBOL) for x in batch.column("symbols").to_pylist()]
+            parts.append(batch.select([*passed, "tail"]))
+            docs += found
+            size += sum(map(len, found))
+            if size >= BLOCK_TOKENS:
+                yield from run(parts, docs)
+                parts, docs, size = [], [], 0
+        if docs:
+            yield from run(parts, docs)
 
     return of
 
@@ -294,12 +314,14 @@ def lm_scores(
     counts = stage(word_counts(training), "word-counts")
     tables = Vocabulary(counts, hot)
     vocabulary = spark.sparkContext.broadcast(tables)
-    share = min(1.0, warm_docs / max(1, training.count()))
-    warm = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    model = spark.sparkContext.broadcast(train_network(training, vocabulary, warm))
-    scored = slim.mapInArrow(_score(vocabulary, model), SCORED.format(id=id_type))
-    base = stage(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
-    cold = base.select("row", F.explode("cold").alias("w")).select("row", "w.word", "w.n")
+    read = slim.mapInArrow(_read(vocabulary), READ.format(id=id_type))
+    read = stage(read.withColumn("row", F.monotonically_increasing_id()), "lm-symbols")
+    learned = read.where(~F.col("held_out"))
+    share = min(1.0, warm_docs / max(1, learned.count()))
+    warm = learned.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    model = spark.sparkContext.broadcast(train_network(learned, vocabulary, warm))
+    scored = read.drop("cold").mapInArrow(_score(vocabulary, model), SCORED.format(id=id_type))
+    cold = read.select("row", F.explode("cold").alias("w")).select("row", "w.word", "w.n")
     sums = (
         cold.join(counts, "word")
         .groupBy("row")
@@ -307,8 +329,7 @@ def lm_scores(
     )
     zero = F.lit(0.0)
     return (
-        base.drop("cold")
-        .join(sums, "row", "left")
+        scored.join(sums, "row", "left")
         .select(
             "doc_id",
             "held_out",
