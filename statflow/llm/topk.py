@@ -15,9 +15,16 @@ Blocks of rows meet chunks of queries by an equi-join on their numbers
 (``cogroup``): every query sees every block, once, and returns at most k rows
 from it; those few are ranked in Spark. Neither side is broadcast.
 
+Vectors with a component beyond 2**26 after scaling (wide ones) do not go into the
+bitmaps. They meet all others in blocks of their own, as queries and as candidates:
+floating-point scores with their error bound pick the rows that can be among the k
+best, and those are resolved by exact Python integers. Both results are ranked
+together.
+
 Defined results: vectors that are null, empty, or hold a null or non-finite
-component, or one beyond 2**26 after scaling, take no part, as do rows without
-``vec_id``. Rows that repeat a ``vec_id`` count once (the smallest vector
+component, or one that a bigint can't hold after scaling, take no part, as do rows
+without ``vec_id``. A score that a bigint can't hold is ranked exactly and returned
+as null. Rows that repeat a ``vec_id`` count once (the smallest vector
 stands). Vectors of another length than the query's are no candidates. Ties go
 to the smaller ``vec_id``. Extra columns are ignored.
 """
@@ -36,9 +43,13 @@ DROP_BITS = 4
 BLOCK_ROWS = 16384
 CHUNK_QUERIES = 512
 LARGEST = 1 << 26
+BIGINT = 1 << 63
 
 INDEX = "dim int, block long, n long, ids binary, vectors binary, slices binary, n_slices int"
 FOUND = "query_id long, vec_id long, score long"
+#: Scores of wide vectors, as decimal digits.
+WIDE_FOUND = "query_id long, vec_id long, score string"
+RANKED = "query_id long, rank int, vec_id long, score long"
 
 
 # --- bitmaps --------------------------------------------------------------
@@ -201,20 +212,43 @@ class Block:
 # --- Spark jobs -----------------------------------------------------------
 
 
-def quantised(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v, dim): the vectors that take part, scaled and floored, one row per id."""
-    scaled = F.transform(F.col(vec_col), lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")))
-    fits = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) <= LARGEST / SCALE)
+def _floored(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(vec_id, f): the vectors that take part, every component floored to a multiple of 1 / SCALE."""
+    floor = lambda x: F.floor(F.lit(float(SCALE)) * x) / F.lit(float(SCALE))
+    fits = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(BIGINT / SCALE))
     usable = F.col(id_col).isNotNull() & (F.size(vec_col) > 0) & F.forall(F.col(vec_col), fits)
+    return vectors.where(F.coalesce(usable, F.lit(False))).select(
+        F.col(id_col).cast("long").alias("vec_id"),
+        F.transform(F.col(vec_col), lambda x: floor(x.cast("double"))).alias("f"),
+    )
+
+
+def _is_wide(f):
+    return F.exists(f, lambda x: F.abs(x) > F.lit(LARGEST / SCALE))
+
+
+def quantised(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(vec_id, v, dim): the vectors that are not wide, scaled and floored, one row per id."""
+    floored = _floored(vectors, id_col, vec_col)
     return (
-        vectors.where(F.coalesce(usable, F.lit(False)))
-        .select(F.col(id_col).cast("long").alias("vec_id"), scaled.cast("array<int>").alias("v"))
+        floored.where(~_is_wide("f"))
+        .select("vec_id", F.transform("f", lambda x: (x * F.lit(float(SCALE))).cast("int")).alias("v"))
         .groupBy("vec_id")
         .agg(F.min("v").alias("v"))
         .withColumn("dim", F.size("v"))
     )
 
 
+def wide_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(vec_id, f): the wide vectors, one row per id."""
+    floored = _floored(vectors, id_col, vec_col)
+    return floored.where(_is_wide("f")).groupBy("vec_id").agg(F.min("f").alias("f"))
+
+
+def _unscaled(v):
+    return F.transform(v, lambda x: x.cast("double") / F.lit(float(SCALE)))
+
+
 def _build(drop_bits: int):
     def of(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id")
@@ -250,6 +284,68 @@ def _search(k: int, drop_bits: int):
     return of
 
 
+def _whole(f: np.ndarray) -> list[int]:
+    """The scaled components, exactly."""
+    return [int(x * SCALE) for x in f.tolist()]
+
+
+def search_wide(
+    ids: np.ndarray, vectors: np.ndarray, query_id: int, query: np.ndarray, k: int
+) -> list[tuple[int, int]]:
+    """(vec_id, score) of the k best candidates for floored vectors, wide ones included."""
+    keep = ids != query_id
+    ids, vectors = ids[keep], vectors[keep]
+    if len(ids) > k:
+        near = vectors @ query
+        off = (np.abs(vectors) @ np.abs(query)) * (4 * (len(query) + 2) * np.finfo(float).eps)
+        low = near - off
+        keep = near + off >= np.partition(low, len(low) - k)[len(low) - k]
+        ids, vectors = ids[keep], vectors[keep]
+    q = _whole(query)
+    exact = [(sum(a * b for a, b in zip(_whole(v), q)), int(i)) for i, v in zip(ids, vectors)]
+    return [(i, s) for s, i in sorted(exact, key=lambda x: (-x[0], x[1]))[:k]]
+
+
+def _search_wide(k: int):
+    def of(key: tuple, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(rows) and len(queries):
+            ids, vectors = rows["vec_id"].to_numpy(np.int64), np.stack(rows["f"].to_list())
+            for query_id, f in zip(queries["vec_id"], queries["f"]):
+                found += [(int(query_id), i, str(s)) for i, s in search_wide(ids, vectors, int(query_id), np.asarray(f), k)]
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+
+    return of
+
+
+def _meet_wide(rows: DataFrame, queries: DataFrame, blocks: int, chunks: int, k: int) -> DataFrame:
+    """The k best of each block of ``rows`` (vec_id, f) for every query (``WIDE_FOUND``)."""
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = (
+        rows.withColumn("dim", F.size("f"))
+        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+        .withColumn("chunk", numbers(chunks))
+    )
+    right = (
+        queries.withColumn("dim", F.size("f"))
+        .withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "vec_id"), F.lit(chunks)).cast("int"))
+        .withColumn("block", numbers(blocks))
+    )
+    keys = ("dim", "block", "chunk")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_search_wide(k), WIDE_FOUND)
+
+
+def _rank_exactly(k: int):
+    def of(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
+        best = sorted(((-int(s), int(i)) for s, i in zip(found["score"], found["vec_id"])))[:k]
+        fits = lambda s: s if -BIGINT <= s < BIGINT else None
+        rows = [(int(key[0]), n + 1, i, fits(-s)) for n, (s, i) in enumerate(best)]
+        out = pd.DataFrame(rows, columns=["query_id", "rank", "vec_id", "score"], dtype=object)
+        return out.astype({"query_id": "int64", "rank": "int32", "vec_id": "int64", "score": "Int64"})
+
+    return of
+
+
 def top_k(
     vectors: DataFrame,
     is_query,
@@ -265,6 +361,13 @@ def top_k(
     ``is_query`` is a condition on the column ``vec_id``.
     """
     rows = quantised(vectors, id_col, vec_col)
+    wide = wide_vectors(vectors, id_col, vec_col)
+    n_wide = wide.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).first()
+    if n_wide["n"]:
+        # Of the two kinds of vectors of one id the smaller stands.
+        plain, far = rows.select("vec_id", "v"), wide.select("vec_id", "f")
+        rows = rows.join(far, "vec_id", "left").where(F.col("f").isNull() | (_unscaled("v") < F.col("f"))).drop("f")
+        wide = wide.join(plain, "vec_id", "left").where(F.col("v").isNull() | (F.col("f") < _unscaled("v"))).drop("v")
     sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).first()
     blocks = max(1, -(-sizes["n"] // block_rows))
     chunks = max(1, -(-sizes["q"] // chunk_queries))
@@ -276,6 +379,17 @@ def top_k(
     )
     keys = ("dim", "block", "chunk")
     found = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_search(k, drop_bits), FOUND)
+    if n_wide["n"]:
+        asks = lambda q: max(1, -(-q // chunk_queries))
+        far_blocks = max(1, -(-n_wide["n"] // block_rows))
+        small = rows.select("vec_id", _unscaled("v").alias("f"))
+        everything = small.unionByName(wide)
+        found = (
+            found.withColumn("score", F.col("score").cast("string"))
+            .unionByName(_meet_wide(wide, small.where(is_query), far_blocks, chunks, k))
+            .unionByName(_meet_wide(everything, wide.where(is_query), blocks + far_blocks, asks(n_wide["q"]), k))
+        )
+        return found.groupBy("query_id").applyInPandas(_rank_exactly(k), RANKED)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))

@@ -3,8 +3,10 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import math
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -108,6 +110,30 @@ def test_bit_sliced_search_is_exact(seed, n, dim, drop, size):
     assert [(-s, i) for i, s in block.search(own, query, 10)] == want
 
 
+def test_top_k_ranks_wide_vectors(spark):
+    """Components beyond 65,536 count, as query and as candidate; checked by Fractions over all pairs."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(0, 1, 4).tolist()) for i in range(60)]
+    rows += [(100, [70000.0, 0.0, -1.0, 0.5]), (101, [70000.0, 0.0, 0.0, 0.0]), (102, [8e15, 1.0, 0.0, 0.0])]
+    rows += [(103, [-3e12, 3e12, 0.001, 2.0]), (104, [65536.0, 1.0, 1.0, 1.0]), (105, [9e15, 9e15 + 2, -9e15, 1.0])]
+    # Of one id's vectors the smallest stands, whichever kind it is.
+    rows += [(7, [90000.0, 0.0, 0.0, 0.0]), (8, [-90000.0, 0.0, 0.0, 0.0])]
+    rows += [(200, [float("inf"), 0.0, 0.0, 0.0]), (201, [70000.0, None, 0.0, 0.0]), (202, [70000.0]), (203, [1e16, 0.0, 0.0, 0.0])]
+    best = {}
+    for i, v in rows:
+        if i < 200:
+            w = [math.floor(Fraction(x) * 1024) for x in v]
+            best[i] = min(best.get(i, w), w)
+    want = []
+    for q in best:
+        if q % 5 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(best[q], w)), i) for i, w in best.items() if i != q)
+            want += [(q, n + 1, i, -s if abs(s) < 1 << 63 else None) for n, (s, i) in enumerate(scores[:10])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0, block_rows=16, chunk_queries=4).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
+
+
 def test_top_k_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (100, [0.5, 0.5]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, []), (8, [1.0]), (None, [9.0, 9.0]), (9, [1e30, 0.0])]
