@@ -28,10 +28,7 @@ MODE = "driving"
 ELEVATION_LABEL = "Elevation"
 OUTPUT_DIR = "locations"
 REPORT_SUFFIX = ".txt"
-
-# Destinations are a configuration list attached to every address; beyond
-# this many entries it is not a configuration any more.
-MAX_DESTINATIONS = 10_000
+NOTE_SEPARATOR = "; "
 
 
 # --- scalar functions -------------------------------------------------------
@@ -106,15 +103,33 @@ def with_elevation(located: DataFrame, elevation: DataFrame) -> DataFrame:
     return located.join(first, ["lat", "lng"], "left").withColumn("elevation_ft", feet(F.col("elevation_m")))
 
 
-def _destination_array(destinations: DataFrame, max_rows: int = MAX_DESTINATIONS) -> Column:
-    """The destination list as one array value, attached to every address by
-    a scalar subquery (computed once, no join, nothing in the plan grows with
-    the list). The list is a configuration: its size is checked first."""
-    n = destinations.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"destinations has more than {max_rows} entries; it is meant to be a small config list")
-    entries = F.struct(F.col("pos").cast("int").alias("pos"), F.col("name"), F.col("destination"))
-    return destinations.select(F.sort_array(F.collect_list(entries)).alias("d")).scalar()
+def _first_routes(routes: DataFrame, mode: str) -> DataFrame:
+    return first_candidate(
+        routes.where(F.col("mode") == mode),
+        ["lat", "lng", "destination", "departure_epoch"],
+        ["route_rank", "leg_rank"],
+        ["duration_text"],
+    )
+
+
+def _has_duration() -> Column:
+    return F.col("duration_text").isNotNull() & (F.col("duration_text") != "")
+
+
+def _configured(destinations: DataFrame) -> DataFrame:
+    return destinations.select(F.col("pos").cast("int").alias("pos"), "name", "destination")
+
+
+def travel_times(
+    located: DataFrame, destinations: DataFrame, routes: DataFrame, departure: Column | None = None,
+    mode: str = MODE,
+) -> DataFrame:
+    """H3/H4: the rows of ``travel_matrix`` that have a duration, by equi-joins
+    alone: addresses with routes by the route key, routes with destinations."""
+    dep = next_midnight_epoch() if departure is None else departure
+    starts = located.select("address", "lat", "lng", dep.alias("departure_epoch"))
+    found = _first_routes(routes, mode).where(_has_duration()).withColumnRenamed("duration_text", "duration")
+    return starts.join(found, ["lat", "lng", "departure_epoch"]).join(_configured(destinations), "destination")
 
 
 def travel_matrix(
@@ -122,22 +137,13 @@ def travel_matrix(
     mode: str = MODE,
 ) -> DataFrame:
     """One row per (address, destination) with ``duration``
-    (null when no route). Each address gets the destination list as one
-    array value (scalar subquery, no join), exploded in file order, then
-    one equi-join with the first route per key."""
+    (null when no route). All pairs are the output, so they are made by a
+    cross join (of partitions, or broadcast where Spark finds one side
+    small), then one equi-join with the first route per key."""
     dep = next_midnight_epoch() if departure is None else departure
-    pairs = located.select(
-        "address", "lat", "lng", F.explode(_destination_array(destinations)).alias("d")
-    ).select("address", "lat", "lng", "d.pos", "d.name", "d.destination", dep.alias("departure_epoch"))
-    first = first_candidate(
-        routes.where(F.col("mode") == mode),
-        ["lat", "lng", "destination", "departure_epoch"],
-        ["route_rank", "leg_rank"],
-        ["duration_text"],
-    )
-    out = pairs.join(first, ["lat", "lng", "destination", "departure_epoch"], "left")
-    has = F.col("duration_text").isNotNull() & (F.col("duration_text") != "")
-    return out.withColumn("duration", F.when(has, F.col("duration_text"))).drop("duration_text")
+    pairs = located.select("address", "lat", "lng", dep.alias("departure_epoch")).crossJoin(_configured(destinations))
+    out = pairs.join(_first_routes(routes, mode), ["lat", "lng", "destination", "departure_epoch"], "left")
+    return out.withColumn("duration", F.when(_has_duration(), F.col("duration_text"))).drop("duration_text")
 
 
 def missing_routes(matrix: DataFrame) -> DataFrame:
@@ -147,7 +153,7 @@ def missing_routes(matrix: DataFrame) -> DataFrame:
 
 def results(with_elev: DataFrame, matrix: DataFrame) -> DataFrame:
     """H6: ``address, pos, label, value`` in report order: elevation first,
-    then destinations in file order. A destination named like the elevation
+    then destinations in file order; ``matrix`` may leave out pairs without a route. A destination named like the elevation
     label overwrites its value but keeps its place (as a dict would)."""
     elev = with_elev.where(F.col("elevation_ft").isNotNull()).select(
         "address", F.lit(0).alias("pos"), F.lit(ELEVATION_LABEL).alias("label"),
@@ -269,13 +275,16 @@ def enrich_addresses(
     """The whole job: returns ``results``, ``matrix``, ``missing``,
     ``lines``, ``reports`` and ``quarantine``."""
     # One row per address first (partial aggregation, so a repeated address
-    # costs nothing downstream): every later group is per address and bounded.
-    addresses = addresses.groupBy("address").agg(F.max(F.coalesce(F.col("notes"), F.lit(""))).alias("notes"))
+    # costs nothing downstream). All its notes are kept, each once, in text order.
+    addresses = addresses.groupBy("address").agg(
+        F.array_join(F.sort_array(F.collect_set(F.when(F.col("notes") != "", F.col("notes")))), NOTE_SEPARATOR).alias("notes")
+    )
     kept, clash = dedupe_slugs(addresses)
     located, not_found = locate(kept, geocode)
     elev = with_elevation(located, elevation)
-    matrix = travel_matrix(located, destinations, routes, next_midnight_epoch(as_of))
-    res = results(elev, matrix)
+    departure = next_midnight_epoch(as_of)
+    matrix = travel_matrix(located, destinations, routes, departure)
+    res = results(elev, travel_times(located, destinations, routes, departure))
     lines = report_lines(located.select("address", "notes"), res)
     return {
         "results": res,

@@ -130,3 +130,25 @@ def test_report_files_named_by_slug(spark, tmp_path):
     assert (d / "2_B_St.txt").read_text() == "kept"
     P.write_report_files(out["reports"], str(d), overwrite=True)
     assert (d / "2_B_St.txt").read_text().startswith("2 B St\n")
+
+
+def test_more_than_ten_thousand_destinations(spark):
+    addresses, _, geocode, elevation, routes = _tables(spark)
+    n = 10_050
+    dests = spark.range(n).select(
+        F.col("id").cast("int").alias("pos"), F.concat(F.lit("d"), "id").alias("name"),
+        F.when(F.col("id") == n - 1, "W addr").otherwise(F.concat(F.lit("x"), "id")).alias("destination"))
+    out = P.enrich_addresses(addresses, dests, geocode, elevation, routes, as_of=F.lit("2024-03-01"))
+    found = out["matrix"].where(F.col("duration").isNotNull()).select("address", "pos", "duration").collect()
+    assert [tuple(r) for r in found] == [("1 A St", n - 1, "7 mins")]
+    assert out["matrix"].count() == 2 * n and out["missing"].count() == 2 * n - 1
+    res = out["results"].collect()
+    assert {(r.address, r.pos, r.label, r.value) for r in res} == {("1 A St", 0, "Elevation", "5280"), ("1 A St", n, f"d{n - 1}", "7 mins")}
+
+
+def test_all_notes_of_an_address(spark):
+    addresses, dests, geocode, elevation, routes = _tables(spark)
+    more = spark.createDataFrame([("1 A St", "loud"), ("1 A St", ""), ("1 A St", None), ("1 A St", "quiet")], addresses.schema)
+    out = P.enrich_addresses(addresses.unionByName(more), dests, geocode, elevation, routes, as_of=F.lit("2024-03-01"))
+    notes = {r.address: r.line for r in out["lines"].where("line_no = 2").collect()}
+    assert notes == {"1 A St": "*** loud; quiet ***", "2 B St": "***  ***"}
