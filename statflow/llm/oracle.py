@@ -36,6 +36,36 @@ FROM (SELECT c.doc_id, c.source, c.n_copies, r.rate, unnest(range(1, c.n_copies:
 """
 
 
+def _op4_documents() -> str:
+    """``_op4`` with every column of the documents."""
+    steps = int(mixing.MEAN_PER_DRAW + 12 * mixing.MEAN_PER_DRAW**0.5 + 30) + 1
+    return f"""
+WITH RECURSIVE docs AS MATERIALIZED (SELECT *, row_number() OVER () AS rowid_ FROM documents),
+n AS (SELECT source, count(*) AS n_docs FROM docs GROUP BY source),
+total AS (SELECT sum(pow(n_docs, {mixing.ALPHA})) AS w, sum(n_docs) AS n FROM n),
+rates AS (SELECT source, pow(n_docs, {mixing.ALPHA}) / w * n / n_docs AS rate FROM n, total),
+parts AS (SELECT source, rate, ceil(rate / {mixing.MEAN_PER_DRAW})::INT AS m FROM rates),
+cdf AS (
+  SELECT source, 0 AS k, exp(-(rate / m)) AS p, exp(-(rate / m)) AS c, rate / m AS mean FROM parts WHERE rate > 0
+  UNION ALL
+  SELECT source, k + 1, p * mean / (k + 1), c + p * mean / (k + 1), mean FROM cdf WHERE k < {steps}),
+draws AS (
+  SELECT rowid_, source, j, ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || j), 1, 13))::BIGINT / {1 << 52}.0 AS u
+  FROM (SELECT d.doc_id, d.source, d.rowid_, unnest(range(1, m + 1)) AS j
+        FROM docs d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source)),
+counted AS (
+  SELECT rowid_, sum(k)::BIGINT AS n_copies FROM (
+    SELECT d.rowid_, d.j, min(c.k) AS k
+    FROM draws d JOIN cdf c ON d.source IS NOT DISTINCT FROM c.source AND d.u < c.c
+    GROUP BY d.rowid_, d.j)
+  GROUP BY rowid_)
+SELECT doc_id, text, lang, source, n_chars, copy, n_copies, round(rate, 6) AS rate,
+       ('0x' || substr(md5('{mixing.SEED}:shuffle:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy), 1, 15))::BIGINT AS shuffle_key
+FROM (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.n_copies, r.rate, unnest(range(1, c.n_copies + 1)) AS copy
+      FROM docs d JOIN counted c USING (rowid_) JOIN rates r ON d.source IS NOT DISTINCT FROM r.source)
+"""
+
+
 def _op5() -> str:
     stop = ", ".join(sorted({f"'{w}'" for ws in quality.STOP_WORDS.values() for w in ws}))
     kept = ["NOT base_failed"]
@@ -103,4 +133,4 @@ FROM f
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": OP1, "op3_warc": OP3, "op4_source_mix": _op4(), "op5_quality_rules": _op5(), "op6_line_dedup": _op6()}
+    return {"op1_topk_search": OP1, "op3_warc": OP3, "op4_source_mix": _op4(), "op4_source_mix_documents": _op4_documents(), "op5_quality_rules": _op5(), "op6_line_dedup": _op6()}

@@ -36,6 +36,12 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs, report="r").select("doc_id", "source", "r.*")
 
 
+def op4_source_mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replicated documents themselves, with all their columns."""
+    docs = _table(spark, sf_dir, "documents")
+    return mixing.mix_sources(docs, report="r").select(*docs.columns, "r.*")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
@@ -76,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_simhash_dedup,
             op3_warc,
             op4_source_mix,
+            op4_source_mix_documents,
             op5_quality_rules,
             op6_line_dedup,
             op7_token_counts,

@@ -238,3 +238,11 @@ def test_mixing(spark, odd_docs, no_docs):  # noqa: F811
     mean, spread = large.agg(F.avg("count"), F.var_samp("count")).first()
     assert abs(mean - 100) < 3 and 70 < spread < 140
     assert mixing.mix_sources(odd_docs).columns == odd_docs.columns and mixing.mix_sources(no_docs).count() == 0
+
+
+def test_source_mix_documents_carry_their_columns(spark):
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = queries.queries()["op4_source_mix_documents"](spark, SF).collect()
+    ids = queries.op4_source_mix(spark, SF).collect()
+    assert got and [(r["doc_id"], r["copy"]) for r in got] == [(r["doc_id"], r["copy"]) for r in ids]
+    assert all(r[c] == docs[r["doc_id"]][c] for r in got for c in ("text", "lang", "source", "n_chars"))
