@@ -8,6 +8,7 @@
     python -m statflow places  --addresses CSV --destinations JSON --geocode DIR --elevation DIR
                                --routes DIR --out DIR [--as-of YYYY-MM-DD] [--overwrite]
 
+Jobs 1 and 2 write the input they can't read, with a reason, to ``<out>_quarantine``.
 Without ``--trigger`` a stream drains what is there and stops
 (``availableNow``); with it the query runs until stopped. The session comes
 from ``spark-submit`` (or a local one when run directly).
@@ -30,7 +31,7 @@ def _session() -> SparkSession:
 def job1(a) -> None:
     from statflow.sources.streams import file_frames, kafka_frames, read_schema_files
     from statflow.streaming.delta_batchwise import start_enrichment_batchwise
-    from statflow.streaming.jobs import start_wire_enrichment
+    from statflow.streaming.jobs import await_all, start_wire_enrichment, start_wire_quarantine
     from statflow.operators.wire import decode_frames, good_rows
 
     spark = _session()
@@ -44,15 +45,21 @@ def job1(a) -> None:
         q = start_enrichment_batchwise(snaps, a.out, a.out.rstrip("/") + "_state", a.checkpoint, trigger=a.trigger)
     else:
         q = start_wire_enrichment(frames, registry, a.out, a.checkpoint, sink_format=a.sink, trigger=a.trigger)
-    q.awaitTermination()
+    bad = start_wire_quarantine(frames, registry, a.out.rstrip("/") + "_quarantine",
+                                a.checkpoint.rstrip("/") + "_quarantine", trigger=a.trigger)
+    await_all([q, bad])
 
 
 def job2(a) -> None:
     from statflow.sources.streams import file_json
-    from statflow.streaming.jobs import start_archive
+    from statflow.streaming.jobs import await_all, start_archive, start_archive_quarantine
 
     spark = _session()
-    start_archive(file_json(spark, a.json), a.out, a.checkpoint, trigger=a.trigger).awaitTermination()
+    lines = file_json(spark, a.json)
+    q = start_archive(lines, a.out, a.checkpoint, trigger=a.trigger)
+    bad = start_archive_quarantine(lines, a.out.rstrip("/") + "_quarantine",
+                                   a.checkpoint.rstrip("/") + "_quarantine", trigger=a.trigger)
+    await_all([q, bad])
 
 
 def publish(a) -> None:

@@ -185,6 +185,16 @@ FROM (
 )
 """
 
+ARCHIVE_QUARANTINE = """
+SELECT event_id, CASE event_type WHEN 'error' THEN 'bad_json' WHEN 'signup' THEN 'missing_field' END AS reason
+FROM events
+"""
+
+WIRE_QUARANTINE = """
+SELECT event_id, CASE event_type WHEN 'error' THEN 'bad_magic' WHEN 'signup' THEN 'short_frame' END AS reason
+FROM events
+"""
+
 AVRO_ROUND_TRIP = f"""
 WITH {_DAILY},
 {_CUMULATIVE}
@@ -322,4 +332,6 @@ def oracle_sql() -> dict[str, str]:
         "peek": PEEK,
         "wire_delta": ALL_UNKNOWN,
         "wire_stream_delta": ALL_UNKNOWN,
+        "archive_quarantine": ARCHIVE_QUARANTINE,
+        "wire_quarantine": WIRE_QUARANTINE,
     }

@@ -40,11 +40,21 @@ from statflow.plans.fixtures import (
     table,
     with_arrival_offsets,
 )
-from statflow.schemas import SNAPSHOT_AVRO_SCHEMA
+from statflow.schemas import SNAPSHOT, SNAPSHOT_AVRO_SCHEMA
 from statflow.session import scratch_path
 from statflow.sources.streams import file_frames
 from statflow.sources.streams import peek as peek_frames
-from statflow.streaming.jobs import archive_replay, replay, start_publish, start_wire_enrichment, state_partitions
+from statflow.streaming.jobs import (
+    archive_replay,
+    await_all,
+    replay,
+    start_archive,
+    start_archive_quarantine,
+    start_publish,
+    start_wire_enrichment,
+    start_wire_quarantine,
+    state_partitions,
+)
 
 # The fixture has one snapshot per host and day: a week per stitching bucket.
 FIXTURE_BUCKET_MS = 7 * 86_400_000
@@ -311,6 +321,61 @@ def wire_stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_metrics(spark.read.parquet(sink))
 
 
+def archive_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 2 over one line per event, ``error`` events cut short and ``signup``
+    events without metrics: each event once, from the archive (no reason) or
+    from the quarantine (K8)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
+    head = F.concat(F.lit('{"timestamp":'), F.col("event_id").cast("string"), F.lit(',"time_delta_ms":1'))
+    value = (
+        F.when(F.col("event_type") == "error", head)
+        .when(F.col("event_type") == "signup", F.concat(head, F.lit("}")))
+        .otherwise(F.concat(head, F.lit(',"cpu_metrics":[]}')))
+    )
+    lines, arch, bad, ck1, ck2 = (scratch_path(spark, f"quarantine-{n}") for n in ("in", "out", "bad", "ck1", "ck2"))
+    ev.select(value.alias("value")).write.text(lines)
+    stream = spark.readStream.schema("value STRING").text(lines)
+    await_all([start_archive(stream, arch, ck1), start_archive_quarantine(stream, bad, ck2)])
+    event = F.regexp_extract(F.col("value").cast("string"), r"^\{\"timestamp\":(-?\d+)", 1).cast("long")
+    left = spark.read.schema("value BINARY, reason STRING").parquet(bad).select(event.alias("event_id"), "reason")
+    good = read_archive(spark, arch).select(F.col("timestamp").alias("event_id"), F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(left)
+
+
+def wire_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 1 over one framed snapshot per event, cut to 3 bytes for ``signup``
+    and with a bad magic byte for ``error`` events, after one event's snapshot
+    that opens the state: each event once, from the metrics (no reason) or from
+    the quarantine (K8)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
+    first = ev.limit(1).select(F.lit(None).cast("long").alias("event_id"), F.lit(None).cast("string").alias("event_type"))
+    at = F.coalesce(F.col("event_id"), F.lit(-1).cast("long"))
+    empty = {"long": F.lit(0), "array": F.array()}
+    fields = [
+        (at if f.name == "timestamp" else empty[f.dataType.typeName()].cast(f.dataType)).alias(f.name)
+        for f in SNAPSHOT.fields
+    ]
+    snaps = ev.unionByName(first).select(*fields, "event_type", at.alias("src_offset"))
+    full = frame(F.col("payload"), F.lit(WIRE_SCHEMA_ID))
+    value = (
+        F.when(F.col("event_type") == "signup", full.substr(F.lit(1), F.lit(3)))
+        .when(F.col("event_type") == "error", F.concat(F.unhex(F.lit("01")), full.substr(F.lit(2), F.octet_length(full))))
+        .otherwise(full)
+    )
+    frames_path, sink, bad, ck1, ck2 = (
+        scratch_path(spark, f"wire-quarantine-{n}") for n in ("in", "out", "bad", "ck1", "ck2"))
+    enc = encode_payloads(snaps, SNAPSHOT_AVRO_SCHEMA, [f.name for f in SNAPSHOT.fields])
+    enc.select(value.alias("value"), F.lit(0).alias("src_partition"), "src_offset").write.parquet(frames_path)
+    frames, reg = file_frames(spark, frames_path), wire_registry(spark)
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+        q = start_wire_enrichment(frames, reg, sink, ck1)
+    await_all([q, start_wire_quarantine(frames, reg, bad, ck2)])
+    left = spark.read.schema("reason STRING, src_offset LONG").parquet(bad)
+    left = left.select(F.col("src_offset").alias("event_id"), "reason")
+    good = spark.read.parquet(sink).select(F.col("timestamp").alias("event_id"), F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(left)
+
+
 def queries() -> dict[str, Query]:
     return {
         "counter_delta": counter_delta,
@@ -337,4 +402,6 @@ def queries() -> dict[str, Query]:
         "peek": peek,
         "wire_delta": wire_delta,
         "wire_stream_delta": wire_stream_delta,
+        "archive_quarantine": archive_quarantine,
+        "wire_quarantine": wire_quarantine,
     }

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from statflow.operators.metrics_json import metrics_from_json, metrics_to_json, with_hour_bucket
+from statflow.operators.metrics_json import metrics_from_json, metrics_to_json, split_good_bad, with_hour_bucket
 from statflow.operators.wire import decode_frames, encode_payloads, frame, good_rows, quarantine
 from statflow.session import scratch_path
 from statflow.streaming.delta_state import enrich_stream
@@ -114,6 +114,41 @@ def start_archive(
     return _trigger(writer, trigger).start()
 
 
+def start_archive_quarantine(
+    json_lines: DataFrame, bad_path: str, checkpoint: str, trigger: str | None = "availableNow"
+) -> StreamingQuery:
+    """The lines that ``start_archive`` leaves out, with their reason (K8), as
+    Parquet. A query of its own, with its own checkpoint and an exactly-once
+    file sink, so the archive keeps its layout; it parses the lines again."""
+    _, bad = split_good_bad(metrics_from_json(json_lines))
+    return _start_quarantine(bad, bad_path, checkpoint, trigger)
+
+
+def start_wire_quarantine(
+    frames: DataFrame, registry: DataFrame, bad_path: str, checkpoint: str, trigger: str | None = "availableNow"
+) -> StreamingQuery:
+    """The frames that job 1 leaves out, with their reason and position (K8),
+    for either engine; like ``start_archive_quarantine``."""
+    return _start_quarantine(quarantine(decode_frames(frames, registry)), bad_path, checkpoint, trigger)
+
+
+def _start_quarantine(bad: DataFrame, path: str, checkpoint: str, trigger: str | None) -> StreamingQuery:
+    writer = bad.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return _trigger(writer.outputMode("append"), trigger).start()
+
+
+def await_all(queries: Sequence[StreamingQuery], poll_s: int = 5) -> None:
+    """Wait until all queries end; if one fails, stop the others and raise."""
+    try:
+        waiting = list(queries)
+        while waiting:
+            waiting = [q for q in waiting if not q.awaitTermination(poll_s)]
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+
+
 def start_wire_enrichment(
     frames: DataFrame,
     registry: DataFrame,
@@ -127,7 +162,7 @@ def start_wire_enrichment(
 ) -> StreamingQuery:
     """Job 1 end to end (S3, D1–D4, A1, K1): framed Avro → decode → keyed
     state → metrics. Undecodable messages are dropped from the state path
-    here; run ``start_decode`` alongside to keep them (K8). The Avro record
+    here; ``start_wire_quarantine`` beside it keeps them (K8). The Avro record
     has no hostname, so all snapshots share the ``unknown`` key unless the
     frames carry a ``hostname`` column (e.g. from the message key)."""
     keep = [c for c in ("hostname", "src_partition", "src_offset") if c in frames.columns]

@@ -51,6 +51,34 @@ def test_cli_job1_batchwise_keeps_hosts(spark, tmp_path):
     assert got == ["web1", "web2"]
 
 
+def test_cli_jobs_set_bad_input_aside(spark, tmp_path):
+    reg, lines, frames = tmp_path / "registry", tmp_path / "lines", tmp_path / "frames"
+    reg.mkdir()
+    (reg / "snapshot-1.avsc").write_text(SNAPSHOT_AVRO_SCHEMA)
+    bad = [(None, "null_value"), (b"\x00\x01", "short_frame"), (b"\x01\x00\x00\x00\x01x", "bad_magic"),
+           (b"\x00\x00\x00\x00\x09x", "unknown_schema"), (b"\x00\x00\x00\x00\x01", "decode_error")]
+    spark.createDataFrame(
+        [(bytearray(v) if v is not None else None, 0, i, "h") for i, (v, _) in enumerate(bad)],
+        "value BINARY, src_partition INT, src_offset BIGINT, hostname STRING",
+    ).write.parquet(str(frames))
+    for engine in ("state", "batchwise"):
+        out = str(tmp_path / engine)
+        main(["job1", "--frames", str(frames), "--registry", str(reg), "--out", out,
+              "--checkpoint", str(tmp_path / f"ck-{engine}"), "--engine", engine])
+        got = spark.read.parquet(out + "_quarantine").collect()
+        assert {(r.src_offset, r.value and bytes(r.value), r.reason) for r in got} == {(i, *b) for i, b in enumerate(bad)}
+
+    lines.mkdir()
+    good = '{"timestamp":1,"time_delta_ms":2,"cpu_metrics":[]}'
+    (lines / "part-0").write_text(f'{good}\nnot json\n{{"timestamp":1}}\n')
+    arch = str(tmp_path / "archive")
+    for _ in range(2):  # the second run starts from the checkpoints and adds nothing
+        main(["job2", "--json", str(lines), "--out", arch, "--checkpoint", str(tmp_path / "ck2")])
+    assert spark.read.parquet(arch).count() == 1
+    got = sorted((bytes(r.value), r.reason) for r in spark.read.parquet(arch + "_quarantine").collect())
+    assert got == [(b"not json", "bad_json"), (b'{"timestamp":1}', "missing_field")]
+
+
 def test_cli_places(spark, tmp_path):
     import json
 
