@@ -185,6 +185,18 @@ FROM (
 )
 """
 
+SCHEMA_LOOKUP_TABLE_IDS = f"""
+SELECT event_id, reason, schema_id,
+       CASE WHEN reason IS NULL THEN 'ProcStatSnapshot' END AS schema_name
+FROM (
+  SELECT event_id,
+         coalesce({_FRAME_REASON},
+                  CASE WHEN substr(md5(CAST(user_id AS VARCHAR)), 1, 1) IN ('0', '1') THEN 'unknown_schema' END) AS reason,
+         CASE WHEN {_FRAME_REASON} IS NULL THEN CAST(user_id AS INTEGER) END AS schema_id
+  FROM events
+)
+"""
+
 ARCHIVE_QUARANTINE = """
 SELECT event_id, CASE event_type WHEN 'error' THEN 'bad_json' WHEN 'signup' THEN 'missing_field' END AS reason
 FROM events
@@ -320,6 +332,7 @@ def oracle_sql() -> dict[str, str]:
         "archive_round_trip": ARCHIVE_ROUND_TRIP,
         "frame_parse": FRAME_PARSE,
         "schema_lookup": SCHEMA_LOOKUP,
+        "schema_lookup_table_ids": SCHEMA_LOOKUP_TABLE_IDS,
         "avro_round_trip": AVRO_ROUND_TRIP,
         "procstat_parse": PROCSTAT_PARSE,
         "elevation_feet": ELEVATION_FEET,

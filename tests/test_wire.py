@@ -134,3 +134,12 @@ def test_debug_print_job(spark):
                       memory_table="debug_records").awaitTermination()
     out = [r.value for r in spark.table("debug_records").collect()]
     assert len(out) == 1 and '"timestamp":1000' in out[0] and '"id":"cpu0"' in out[0]
+
+
+def test_most_frames_meet_a_schema(spark):
+    from statflow.plans import queries
+
+    got = queries.queries()["schema_lookup_table_ids"](spark, "/root/testdata/sf0.01")
+    framed = got.where(F.col("schema_id").isNotNull())
+    assert framed.where(F.col("schema_name").isNotNull()).count() > 0.8 * framed.count()
+    assert framed.where(F.col("reason") == "unknown_schema").count() > 0
