@@ -132,5 +132,46 @@ FROM f
 """
 
 
+
+def _op11() -> str:
+    # CRC-32 of the decimal text, byte by byte, over the table of the reflected polynomial.
+    return f"""
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)) AS t),
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+hashed AS (SELECT *, sha256(length(role) || ':' || role || text) AS tid, len(regexp_extract_all(text, '{WORD}')) AS words FROM turns),
+placed AS (SELECT conv_id, tid, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tid[:32]) AS pos FROM hashed),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+             lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc_table),
+rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY kind, pos) AS d, tid, words FROM (
+    SELECT c.conv_id, 0 AS kind, p.pos, p.tid, p.words FROM convs c JOIN placed p ON p.conv_id = c.base AND p.pos <= c.h
+    UNION ALL
+    SELECT c.conv_id, 1, p.pos, p.tid, p.words FROM convs c JOIN placed p ON p.conv_id = c.conv_id AND p.pos > c.h)),
+paths AS (
+  SELECT conv_id, 0 AS d, '' AS node, '' AS parent, 0 AS words FROM convs
+  UNION ALL
+  SELECT conv_id, d, node, left(node, -64) AS parent, words
+  FROM (SELECT conv_id, d, words, string_agg(tid, '') OVER (PARTITION BY conv_id ORDER BY d) AS node FROM rebuilt)),
+lasts AS (SELECT conv_id, max(d) AS d FROM paths GROUP BY conv_id),
+nodes AS (SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM paths GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent),
+below AS (
+  SELECT a.node, sum((n.n_convs - 1) * n.words) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM nodes n JOIN paths a ON a.conv_id = n.conv_id AND a.d <= n.depth LEFT JOIN kids k ON k.node = n.node
+  GROUP BY a.node),
+ends AS (SELECT p.node, string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) AS ids FROM paths p JOIN lasts l ON l.conv_id = p.conv_id AND l.d = p.d GROUP BY p.node)
+SELECT n.conv_id, n.depth::BIGINT AS depth, CASE WHEN n.depth > 0 THEN up.conv_id END AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(k.n, 0)::BIGINT AS n_children, b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN below b ON b.node = n.node JOIN nodes up ON up.node = n.parent
+LEFT JOIN kids k ON k.node = n.node LEFT JOIN ends e ON e.node = n.node
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": OP1, "op3_warc": OP3, "op4_source_mix": _op4(), "op4_source_mix_documents": _op4_documents(), "op5_quality_rules": _op5(), "op6_line_dedup": _op6()}
+    return {"op1_topk_search": OP1, "op3_warc": OP3, "op4_source_mix": _op4(), "op4_source_mix_documents": _op4_documents(), "op5_quality_rules": _op5(), "op6_line_dedup": _op6(), "op11_prefix_trie": _op11()}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import chat, line_dedup, lm, mixing, packing, quality, simhash, token_counts, topk, warc
+from statflow.llm import chat, line_dedup, lm, mixing, packing, prefix_trie, quality, simhash, token_counts, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -89,5 +93,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_lm_score,
             op9_chat_format,
             op10_packing,
+            op11_prefix_trie,
         )
     }
