@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import chat, line_dedup, lm, mixing, packing, prefix_trie, quality, simhash, token_counts, topk, warc
+from statflow.llm import chat, line_dedup, lm, mixing, packing, prefix_trie, quality, simhash, token_counts, topk, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -94,5 +98,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_chat_format,
             op10_packing,
             op11_prefix_trie,
+            op12_whitening,
         )
     }
