@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import chat, line_dedup, lm, mixing, packing, prefix_trie, quality, simhash, token_counts, topk, warc, whitening
+from statflow.llm import chat, line_dedup, lm, mixing, nn_descent, packing, prefix_trie, quality, simhash, token_counts, topk, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -99,5 +103,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op10_packing,
             op11_prefix_trie,
             op12_whitening,
+            op13_nn_descent,
         )
     }
