@@ -45,7 +45,7 @@ DOCUMENT_PER_PAGE = 256
 
 PARTS = "array<struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
 FORMATTED = (
-    "conv_id long, turn long, role string, formatted string, loss_start long, loss_end long, "
+    "conv_id string, turn string, role string, formatted string, loss_start long, loss_end long, "
     "attachments array<struct<ordinal:int,type:string,ref:string,tokens:long>>, expanded_tokens long"
 )
 
@@ -127,7 +127,7 @@ def _format(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows.append((conv_id, turn, role, formatted, *loss, attachments, sum(a["tokens"] for a in attachments)))
         yield pd.DataFrame(
             rows, columns=["conv_id", "turn", "role", "formatted", "loss_start", "loss_end", "attachments", "expanded_tokens"]
-        ).astype({"conv_id": "Int64", "turn": "Int64"})
+        )
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
@@ -138,9 +138,10 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     names = {c.lower() for c in turns.columns}
     column = lambda c, kind: (F.col(c) if c in names else F.lit(None)).cast(kind).alias(c)
     slim = turns.select(
-        column("conv_id", "long"), column("turn", "long"), column("role", "string"), column("text", "string"), column("parts", PARTS)
+        column("conv_id", "long").cast("string"), column("turn", "long").cast("string"), column("role", "string"), column("text", "string"), column("parts", PARTS)
     )
-    return slim.mapInPandas(_format, FORMATTED)
+    formatted = slim.mapInPandas(_format, FORMATTED)  # ids as text: pandas would round large ones beside a null
+    return formatted.withColumn("conv_id", F.col("conv_id").cast("long")).withColumn("turn", F.col("turn").cast("long"))
 
 
 class _Digest:
@@ -163,7 +164,7 @@ class _Digest:
         return (self.conv_id, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars)
 
 
-READ_BACK = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+READ_BACK = "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
 def _read_back(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,16 +172,15 @@ def _read_back(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     now, rows = None, []
     for frame in frames:
         for conv_id, formatted, start, end in frame.itertuples(index=False):
-            conv_id = None if pd.isna(conv_id) else int(conv_id)
             if now is None or now.conv_id != conv_id:
                 if now is not None:
                     rows.append(now.row())
                 now = _Digest(conv_id)
             now.add(formatted, int(start), int(end))
-        yield pd.DataFrame(rows, columns=columns).astype({"conv_id": "Int64"})
+        yield pd.DataFrame(rows, columns=columns)
         rows = []
     if now is not None:
-        yield pd.DataFrame([now.row()], columns=columns).astype({"conv_id": "Int64"})
+        yield pd.DataFrame([now.row()], columns=columns)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -189,6 +189,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return (
         ordered.repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "formatted")
-        .select("conv_id", "formatted", "loss_start", "loss_end")
+        .select(F.col("conv_id").cast("string"), "formatted", "loss_start", "loss_end")
         .mapInPandas(_read_back, READ_BACK)
+        .withColumn("conv_id", F.col("conv_id").cast("long"))
     )

@@ -24,6 +24,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_id(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a whole-number id column as text, for pandas, which reads whole numbers
+    beside a null as doubles and so rounds those beyond 2**53. Cast it back after the worker."""
+    whole = df.schema[name].dataType.typeName() in ("byte", "short", "integer", "long")
+    return df.withColumn(name, F.col(name).cast("string")) if whole else df
+
+
 def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
     """The rows of ``counts`` with the largest ``n`` (1 or more), at most ``most`` of them.
 

@@ -8,36 +8,8 @@ SPACE = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def _op4() -> str:
-    steps = int(mixing.MEAN_PER_DRAW + 12 * mixing.MEAN_PER_DRAW**0.5 + 30) + 1
-    return f"""
-WITH RECURSIVE n AS (SELECT source, count(*) AS n_docs FROM documents GROUP BY source),
-total AS (SELECT sum(pow(n_docs, {mixing.ALPHA})) AS w, sum(n_docs) AS n FROM n),
-rates AS (SELECT source, pow(n_docs, {mixing.ALPHA}) / w * n / n_docs AS rate FROM n, total),
-parts AS (SELECT source, rate, ceil(rate / {mixing.MEAN_PER_DRAW})::INT AS m FROM rates),
-cdf AS (
-  SELECT source, 0 AS k, exp(-(rate / m)) AS p, exp(-(rate / m)) AS c, rate / m AS mean FROM parts WHERE rate > 0
-  UNION ALL
-  SELECT source, k + 1, p * mean / (k + 1), c + p * mean / (k + 1), mean FROM cdf WHERE k < {steps}),
-draws AS (
-  SELECT rowid_, doc_id, source, ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || j), 1, 13))::BIGINT / {1 << 52}.0 AS u
-  FROM (SELECT d.doc_id, d.source, row_number() OVER () AS rowid_, unnest(range(1, m + 1)) AS j
-        FROM documents d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source)),
-counted AS (
-  SELECT rowid_, doc_id, source, sum(k) AS n_copies FROM (
-    SELECT d.rowid_, d.doc_id, d.source, d.u, min(c.k) AS k
-    FROM draws d JOIN cdf c ON d.source IS NOT DISTINCT FROM c.source AND d.u < c.c
-    GROUP BY ALL)
-  GROUP BY ALL)
-SELECT doc_id, source, copy, n_copies::BIGINT AS n_copies, round(rate, 6) AS rate,
-       ('0x' || substr(md5('{mixing.SEED}:shuffle:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy), 1, 15))::BIGINT AS shuffle_key
-FROM (SELECT c.doc_id, c.source, c.n_copies, r.rate, unnest(range(1, c.n_copies::BIGINT + 1)) AS copy
-      FROM counted c JOIN rates r ON c.source IS NOT DISTINCT FROM r.source)
-"""
-
-
 def _op4_documents() -> str:
-    """``_op4`` with every column of the documents."""
+    """The replicated documents with all their columns."""
     steps = int(mixing.MEAN_PER_DRAW + 12 * mixing.MEAN_PER_DRAW**0.5 + 30) + 1
     return f"""
 WITH RECURSIVE docs AS MATERIALIZED (SELECT *, row_number() OVER () AS rowid_ FROM documents),
@@ -111,14 +83,13 @@ FROM marked GROUP BY id, doc_id
 
 
 OP1 = """
-WITH v AS (SELECT vec_id, min(list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT)) AS v FROM embeddings
-           WHERE vec_id IS NOT NULL AND len(embedding) > 0
-             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x) OR abs(x::DOUBLE) > 65536]) = 0
-           GROUP BY vec_id),
-s AS (SELECT q.vec_id AS query_id, c.vec_id,
-             list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
-      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::HUGEINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.n, q.vec_id AS query_id, c.vec_id,
+             list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS exact
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.n <> c.n AND len(q.v) = len(c.v))
+SELECT query_id, row_number() OVER (PARTITION BY n ORDER BY exact DESC, vec_id)::INT AS rank, vec_id, try_cast(exact AS BIGINT) AS score
 FROM s QUALIFY rank <= 10
 """
 
@@ -174,4 +145,4 @@ LEFT JOIN kids k ON k.node = n.node LEFT JOIN ends e ON e.node = n.node
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": OP1, "op3_warc": OP3, "op4_source_mix": _op4(), "op4_source_mix_documents": _op4_documents(), "op5_quality_rules": _op5(), "op6_line_dedup": _op6(), "op11_prefix_trie": _op11()}
+    return {"op1_topk_search": OP1, "op3_warc": OP3, "op4_source_mix": _op4_documents(), "op4_source_mix_documents": _op4_documents(), "op5_quality_rules": _op5(), "op6_line_dedup": _op6(), "op11_prefix_trie": _op11()}

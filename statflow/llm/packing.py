@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statflow.llm.common import stage
+from statflow.llm.common import stage, text_id
 from statflow.llm.encode import chunk_encoder
 
 WINDOW = 4096
@@ -153,10 +153,12 @@ def pack_documents(
     """One row per piece: where its ids lie in the document and in its sequence."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = slim.schema["doc_id"].dataType.simpleString()
+    slim = text_id(slim, "doc_id")
+    text_type = slim.schema["doc_id"].dataType.simpleString()
     cut = slim.mapInPandas(
-        _pieces(window, tokenizer or default_tokenizer(), closing_id), PIECE.format(id=id_type)
+        _pieces(window, tokenizer or default_tokenizer(), closing_id), PIECE.format(id=text_type)
     )
-    pieces = stage(cut, "pieces")
+    pieces = stage(cut.withColumn("doc_id", F.col("doc_id").cast(id_type)), "pieces")
     whole = pieces.where(F.col("length") == window).select(
         "doc_id",
         "start",
@@ -169,8 +171,10 @@ def pack_documents(
     rest = pieces.where(F.col("length") < window)
     blocks = max(1, -(-rest.count() // block_pieces))
     packed = (
-        rest.withColumn("block", F.pmod(F.xxhash64("part", "seq"), F.lit(blocks)))
+        text_id(rest, "doc_id")
+        .withColumn("block", F.pmod(F.xxhash64("part", "seq"), F.lit(blocks)))
         .groupBy("block")
-        .applyInPandas(_pack_block(window), PLACED.format(id=id_type))
+        .applyInPandas(_pack_block(window), PLACED.format(id=text_type))
+        .withColumn("doc_id", F.col("doc_id").cast(id_type))
     )
     return whole.unionByName(packed)

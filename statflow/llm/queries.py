@@ -32,14 +32,13 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.mix_sources(docs, report="r").select("doc_id", "source", "r.*")
+    docs = _table(spark, sf_dir, "documents")
+    return mixing.mix_sources(docs, report="r").select(*docs.columns, "r.*")
 
 
 def op4_source_mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The replicated documents themselves, with all their columns."""
-    docs = _table(spark, sf_dir, "documents")
-    return mixing.mix_sources(docs, report="r").select(*docs.columns, "r.*")
+    """The same rows under the name that they first had with all columns."""
+    return op4_source_mix(spark, sf_dir)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

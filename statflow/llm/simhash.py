@@ -21,7 +21,8 @@ That is a property of the method; see the README for figures.
 Defined results: a null or empty text, or one without words, has fingerprint
 zero, linked like any other. ``component_id`` is the smallest ``doc_id`` of
 the component that isn't null, and null if all are. Repeated rows and ids
-stay as they are in the report; the filter keeps one row of each component.
+stay as they are in the report; the filter keeps one row of each component, told
+apart by id and text.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statflow.llm.common import stage, word_blocks
+from statflow.llm.common import stage, text_id, word_blocks
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -74,7 +75,7 @@ def _fingerprints(shingle: int):
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             fp = np.array([fingerprint(t, shingle) for t in frame["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "fp": fp.view(np.int64)})
+            yield frame.drop(columns="text").assign(fp=fp.view(np.int64))
 
     return of
 
@@ -293,15 +294,9 @@ def near_duplicates(
     shard: int = SHARD,
 ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: one row per row of ``docs``."""
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    id_type = slim.schema["doc_id"].dataType.simpleString()
-    marked = stage(slim.mapInPandas(_fingerprints(shingle), f"doc_id {id_type}, fp long"), "simhash")
-    roots = components(fingerprint_links(marked, max_bits, shard))
+    marked = _marked(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), shingle)
     # One row per distinct fingerprint: its smallest document, its root, the root's smallest document.
-    own = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    rooted = own.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(marked, F.min("doc_id"), max_bits, shard)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(
@@ -309,22 +304,33 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest ``doc_id``.
+def _marked(slim: DataFrame, shingle: int) -> DataFrame:
+    """The columns of ``slim`` but text, with the fingerprint ``fp``; written once."""
+    id_type = slim.schema["doc_id"].dataType.simpleString()
+    named = text_id(slim, "doc_id")
+    kept = [f for f in named.schema if f.name != "text"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    marked = named.mapInPandas(_fingerprints(shingle), f"{schema}, fp long")
+    return stage(marked.withColumn("doc_id", F.col("doc_id").cast(id_type)), "simhash")
+
 
-    Of rows that repeat the smallest id one stays. Rows without an id cannot be named as
-    members: one row of each distinct text stays.
+def _rooted(marked: DataFrame, first, max_bits: int, shard: int) -> DataFrame:
+    """(fp, least, root): every distinct fingerprint with ``first`` of its rows and its component's root."""
+    roots = components(fingerprint_links(marked, max_bits, shard))
+    own = marked.groupBy("fp").agg(first.alias("least"))
+    return own.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, shard: int = SHARD) -> DataFrame:
+    """``docs`` with one row of each component: the first by ``doc_id`` (rows without one come
+    last), then by a digest of id and text. Of rows that repeat both id and text one stays; rows that
+    share an id only are told apart. All columns stay, whatever their names.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    first = (
-        found.where(F.col("doc_id") == F.col("component_id"))
-        .groupBy("doc_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("doc_id").alias("__id"), (F.col("n") > 1).alias("__again"))
-    )
-    first = stage(first, "simhash-first")
-    kept = docs.join(first, docs["doc_id"] == F.col("__id"))
-    once = kept.where(~F.col("__again")).select(docs.columns)
-    again = kept.where("__again").select(docs.columns).dropDuplicates(["doc_id"])
-    unnamed = docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"])
-    return once.unionByName(again).unionByName(unnamed)
+    parts = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text")]
+    keyed = docs.withColumns({f"__h{i}": F.xxhash64(F.lit(i), *parts) for i in (1, 2)})
+    marked = _marked(keyed.select("doc_id", "text", "__h1", "__h2"), shingle)
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__h1", "__h2")
+    first = _rooted(marked, F.min(row), max_bits, shard).groupBy("root").agg(F.min("least").alias("least"))
+    first = stage(first.select("least.__h1", "least.__h2"), "simhash-first")
+    keys = ["__h1", "__h2"]
+    return keyed.join(first, keys, "left_semi").dropDuplicates(keys).drop(*keys)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statflow.llm.common import most_frequent, stage
+from statflow.llm.common import most_frequent, stage, text_id
 from statflow.llm.encode import load
 
 LIMIT = 1024
@@ -164,10 +164,11 @@ def token_counts(
     table = spark.sparkContext.broadcast(
         {r["pretoken"]: r["pieces"] for r in piece_counts(frequent.repartition(8), tokenizer).collect()}
     )
-    counted = slim.mapInPandas(
+    named = text_id(slim, "doc_id")
+    counted = named.mapInPandas(
         _count(tokenizer, table),
-        f"doc_id {id_type}, n_bytes long, n_hot long, cold array<struct<pretoken:string,n:long>>",
-    )
+        f"doc_id {named.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_hot long, cold array<struct<pretoken:string,n:long>>",
+    ).withColumn("doc_id", F.col("doc_id").cast(id_type))
     base = stage(counted.withColumn("row", F.monotonically_increasing_id()), "token-counts")
     cold = base.select("row", F.explode("cold").alias("c")).select("row", "c.pretoken", "c.n")
     pieces = piece_counts(cold.select("pretoken").distinct(), tokenizer)

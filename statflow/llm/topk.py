@@ -22,11 +22,11 @@ best, and those are resolved by exact Python integers. Both results are ranked
 together.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite
-component, or one that a bigint can't hold after scaling, take no part, as do rows
-without ``vec_id``. A score that a bigint can't hold is ranked exactly and returned
-as null. Rows that repeat a ``vec_id`` count once (the smallest vector
-stands). Vectors of another length than the query's are no candidates. Ties go
-to the smaller ``vec_id``. Extra columns are ignored.
+component take no part, as do rows without ``vec_id``. A score that a bigint can't
+hold is ranked exactly and returned as null. Every row is a query or a candidate of
+its own, also where ids or whole rows repeat: a query leaves out its own row only.
+Vectors of another length than the query's are no candidates. Ties go to the
+smaller ``vec_id``. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from statflow.llm.common import stage
+
 K = 10
 SCALE = 1024
 DROP_BITS = 4
@@ -45,10 +47,10 @@ CHUNK_QUERIES = 512
 LARGEST = 1 << 26
 BIGINT = 1 << 63
 
-INDEX = "dim int, block long, n long, ids binary, vectors binary, slices binary, n_slices int"
-FOUND = "query_id long, vec_id long, score long"
+INDEX = "dim int, block long, n long, ids binary, keys binary, vectors binary, slices binary, n_slices int"
+FOUND = "query_row long, query_id long, vec_id long, score long"
 #: Scores of wide vectors, as decimal digits.
-WIDE_FOUND = "query_id long, vec_id long, score string"
+WIDE_FOUND = "query_row long, query_id long, vec_id long, score string"
 RANKED = "query_id long, rank int, vec_id long, score long"
 
 
@@ -174,22 +176,22 @@ def rows_of(bits: np.ndarray) -> np.ndarray:
 class Block:
     """A block of the index, ready to be searched."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, slices: np.ndarray, drop_bits: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, slices: np.ndarray, drop_bits: int, keys: np.ndarray | None = None):
         self.ids, self.vectors, self.slices, self.drop = ids, vectors, slices, drop_bits
         self.all = np.zeros(slices.shape[2] * 8, np.uint8)
         packed = np.packbits(np.ones(len(ids), np.uint8), bitorder="little")
         self.all[: len(packed)] = packed
         self.all = self.all.view(np.uint64)
-        self.at = {int(v): i for i, v in enumerate(ids)}
+        self.at = {int(v): i for i, v in enumerate(ids if keys is None else keys)}
         left_out = vectors & ((1 << drop_bits) - 1)
         self.centre = (1 << drop_bits) / 2
         # The longest vector of what the slices leave out, about its centre.
         self.error = float(np.sqrt(((left_out - self.centre) ** 2).sum(1).max(initial=0.0)))
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """(vec_id, score) of the block's k best candidates, ties to the smaller id."""
+    def search(self, query_key: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
+        """(vec_id, score) of the block's k best candidates but the row of that key, ties to the smaller id."""
         among = self.all
-        own = self.at.get(query_id)
+        own = self.at.get(query_key)
         if own is not None:
             among = among.copy()
             among[own >> 6] &= ~np.uint64(1 << (own & 63))
@@ -213,36 +215,29 @@ class Block:
 
 
 def _floored(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, f): the vectors that take part, every component floored to a multiple of 1 / SCALE."""
-    floor = lambda x: F.floor(F.lit(float(SCALE)) * x) / F.lit(float(SCALE))
-    fits = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(BIGINT / SCALE))
+    """(row, vec_id, f): the vectors that take part, every component floored to a multiple of 1 / SCALE.
+
+    Doubles of 2**52 and more are whole, so they stay.
+    """
+    floor = lambda x: F.when(F.abs(x) < F.lit(2.0**52), F.floor(F.lit(float(SCALE)) * x) / F.lit(float(SCALE))).otherwise(x)
+    fits = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf")))
     usable = F.col(id_col).isNotNull() & (F.size(vec_col) > 0) & F.forall(F.col(vec_col), fits)
-    return vectors.where(F.coalesce(usable, F.lit(False))).select(
+    floored = vectors.where(F.coalesce(usable, F.lit(False))).select(
+        F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("vec_id"),
         F.transform(F.col(vec_col), lambda x: floor(x.cast("double"))).alias("f"),
     )
+    return stage(floored, "topk-rows")  # written once: the rows keep their numbers
 
 
 def _is_wide(f):
     return F.exists(f, lambda x: F.abs(x) > F.lit(LARGEST / SCALE))
 
 
-def quantised(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v, dim): the vectors that are not wide, scaled and floored, one row per id."""
-    floored = _floored(vectors, id_col, vec_col)
-    return (
-        floored.where(~_is_wide("f"))
-        .select("vec_id", F.transform("f", lambda x: (x * F.lit(float(SCALE))).cast("int")).alias("v"))
-        .groupBy("vec_id")
-        .agg(F.min("v").alias("v"))
-        .withColumn("dim", F.size("v"))
-    )
-
-
-def wide_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, f): the wide vectors, one row per id."""
-    floored = _floored(vectors, id_col, vec_col)
-    return floored.where(_is_wide("f")).groupBy("vec_id").agg(F.min("f").alias("f"))
+def quantised(floored: DataFrame) -> DataFrame:
+    """(row, vec_id, v, dim): the vectors that are not wide, scaled and floored."""
+    scaled = F.transform("f", lambda x: (x * F.lit(float(SCALE))).cast("int"))
+    return floored.where(~_is_wide("f")).select("row", "vec_id", scaled.alias("v")).withColumn("dim", F.size("v"))
 
 
 def _unscaled(v):
@@ -251,13 +246,13 @@ def _unscaled(v):
 
 def _build(drop_bits: int):
     def of(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("vec_id")
-        ids = rows["vec_id"].to_numpy(np.int64)
+        rows = rows.sort_values(["vec_id", "row"])
+        ids, keys = rows["vec_id"].to_numpy(np.int64), rows["row"].to_numpy(np.int64)
         vectors = np.stack(rows["v"].to_list()).astype(np.int32)
         slices = slice_block(vectors, drop_bits)
         return pd.DataFrame(
-            [(int(key[0]), int(key[1]), len(ids), ids.tobytes(), vectors.tobytes(), slices.tobytes(), slices.shape[1])],
-            columns=["dim", "block", "n", "ids", "vectors", "slices", "n_slices"],
+            [(int(key[0]), int(key[1]), len(ids), ids.tobytes(), keys.tobytes(), vectors.tobytes(), slices.tobytes(), slices.shape[1])],
+            columns=["dim", "block", "n", "ids", "keys", "vectors", "slices", "n_slices"],
         )
 
     return of
@@ -265,7 +260,7 @@ def _build(drop_bits: int):
 
 def build_index(rows: DataFrame, blocks: int, drop_bits: int = DROP_BITS) -> DataFrame:
     """One row per block of about equal size: ids, exact integers and bitmaps (``INDEX``)."""
-    blocked = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    blocked = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
     return blocked.groupBy("dim", "block").applyInPandas(_build(drop_bits), INDEX)
 
 
@@ -276,30 +271,32 @@ def _search(k: int, drop_bits: int):
             ids = np.frombuffer(row.ids, np.int64)
             vectors = np.frombuffer(row.vectors, np.int32).reshape(row.n, row.dim)
             slices = np.frombuffer(row.slices, np.uint64).reshape(row.dim, row.n_slices, -1)
-            block = Block(ids, vectors, slices, drop_bits)
-            for query_id, v in zip(queries["vec_id"], queries["v"]):
-                found += [(int(query_id), i, s) for i, s in block.search(int(query_id), np.asarray(v, np.int64), k)]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+            block = Block(ids, vectors, slices, drop_bits, np.frombuffer(row.keys, np.int64))
+            for key_, query_id, v in zip(queries["row"], queries["vec_id"], queries["v"]):
+                found += [(int(key_), int(query_id), i, s) for i, s in block.search(int(key_), np.asarray(v, np.int64), k)]
+        return pd.DataFrame(found, columns=["query_row", "query_id", "vec_id", "score"])
 
     return of
 
 
 def _whole(f: np.ndarray) -> list[int]:
     """The scaled components, exactly."""
-    return [int(x * SCALE) for x in f.tolist()]
+    return [int(x * SCALE) if abs(x) < 1 << 52 else int(x) * SCALE for x in f.tolist()]
 
 
 def search_wide(
-    ids: np.ndarray, vectors: np.ndarray, query_id: int, query: np.ndarray, k: int
+    ids: np.ndarray, keys: np.ndarray, vectors: np.ndarray, query_key: int, query: np.ndarray, k: int
 ) -> list[tuple[int, int]]:
     """(vec_id, score) of the k best candidates for floored vectors, wide ones included."""
-    keep = ids != query_id
+    keep = keys != query_key
     ids, vectors = ids[keep], vectors[keep]
     if len(ids) > k:
-        near = vectors @ query
-        off = (np.abs(vectors) @ np.abs(query)) * (4 * (len(query) + 2) * np.finfo(float).eps)
-        low = near - off
-        keep = near + off >= np.partition(low, len(low) - k)[len(low) - k]
+        with np.errstate(over="ignore", invalid="ignore"):
+            near = vectors @ query
+            off = (np.abs(vectors) @ np.abs(query)) * (4 * (len(query) + 2) * np.finfo(float).eps)
+            # A product that doubles can't hold says nothing: its row stays, and sets no threshold.
+            low = np.where(np.isfinite(near) & np.isfinite(off), near - off, -np.inf)
+            keep = ~np.isfinite(near + off) | (near + off >= np.partition(low, len(low) - k)[len(low) - k])
         ids, vectors = ids[keep], vectors[keep]
     q = _whole(query)
     exact = [(sum(a * b for a, b in zip(_whole(v), q)), int(i)) for i, v in zip(ids, vectors)]
@@ -310,25 +307,26 @@ def _search_wide(k: int):
     def of(key: tuple, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(rows) and len(queries):
-            ids, vectors = rows["vec_id"].to_numpy(np.int64), np.stack(rows["f"].to_list())
-            for query_id, f in zip(queries["vec_id"], queries["f"]):
-                found += [(int(query_id), i, str(s)) for i, s in search_wide(ids, vectors, int(query_id), np.asarray(f), k)]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+            ids, keys, vectors = rows["vec_id"].to_numpy(np.int64), rows["row"].to_numpy(np.int64), np.stack(rows["f"].to_list())
+            for key_, query_id, f in zip(queries["row"], queries["vec_id"], queries["f"]):
+                best = search_wide(ids, keys, vectors, int(key_), np.asarray(f), k)
+                found += [(int(key_), int(query_id), i, str(s)) for i, s in best]
+        return pd.DataFrame(found, columns=["query_row", "query_id", "vec_id", "score"])
 
     return of
 
 
 def _meet_wide(rows: DataFrame, queries: DataFrame, blocks: int, chunks: int, k: int) -> DataFrame:
-    """The k best of each block of ``rows`` (vec_id, f) for every query (``WIDE_FOUND``)."""
+    """The k best of each block of ``rows`` (row, vec_id, f) for every query (``WIDE_FOUND``)."""
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = (
         rows.withColumn("dim", F.size("f"))
-        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
         .withColumn("chunk", numbers(chunks))
     )
     right = (
         queries.withColumn("dim", F.size("f"))
-        .withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "vec_id"), F.lit(chunks)).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "row"), F.lit(chunks)).cast("int"))
         .withColumn("block", numbers(blocks))
     )
     keys = ("dim", "block", "chunk")
@@ -339,7 +337,7 @@ def _rank_exactly(k: int):
     def of(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
         best = sorted(((-int(s), int(i)) for s, i in zip(found["score"], found["vec_id"])))[:k]
         fits = lambda s: s if -BIGINT <= s < BIGINT else None
-        rows = [(int(key[0]), n + 1, i, fits(-s)) for n, (s, i) in enumerate(best)]
+        rows = [(int(key[1]), n + 1, i, fits(-s)) for n, (s, i) in enumerate(best)]
         out = pd.DataFrame(rows, columns=["query_id", "rank", "vec_id", "score"], dtype=object)
         return out.astype({"query_id": "int64", "rank": "int32", "vec_id": "int64", "score": "Int64"})
 
@@ -360,21 +358,16 @@ def top_k(
 
     ``is_query`` is a condition on the column ``vec_id``.
     """
-    rows = quantised(vectors, id_col, vec_col)
-    wide = wide_vectors(vectors, id_col, vec_col)
+    floored = _floored(vectors, id_col, vec_col)
+    rows, wide = quantised(floored), floored.where(_is_wide("f"))
     n_wide = wide.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).first()
-    if n_wide["n"]:
-        # Of the two kinds of vectors of one id the smaller stands.
-        plain, far = rows.select("vec_id", "v"), wide.select("vec_id", "f")
-        rows = rows.join(far, "vec_id", "left").where(F.col("f").isNull() | (_unscaled("v") < F.col("f"))).drop("f")
-        wide = wide.join(plain, "vec_id", "left").where(F.col("v").isNull() | (F.col("f") < _unscaled("v"))).drop("v")
     sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).first()
     blocks = max(1, -(-sizes["n"] // block_rows))
     chunks = max(1, -(-sizes["q"] // chunk_queries))
     index = build_index(rows, blocks, drop_bits).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     asked = (
         rows.where(is_query)
-        .withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "vec_id"), F.lit(chunks)).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "row"), F.lit(chunks)).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     )
     keys = ("dim", "block", "chunk")
@@ -382,15 +375,15 @@ def top_k(
     if n_wide["n"]:
         asks = lambda q: max(1, -(-q // chunk_queries))
         far_blocks = max(1, -(-n_wide["n"] // block_rows))
-        small = rows.select("vec_id", _unscaled("v").alias("f"))
+        small = rows.select("row", "vec_id", _unscaled("v").alias("f"))
         everything = small.unionByName(wide)
         found = (
             found.withColumn("score", F.col("score").cast("string"))
             .unionByName(_meet_wide(wide, small.where(is_query), far_blocks, chunks, k))
             .unionByName(_meet_wide(everything, wide.where(is_query), blocks + far_blocks, asks(n_wide["q"]), k))
         )
-        return found.groupBy("query_id").applyInPandas(_rank_exactly(k), RANKED)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return found.groupBy("query_row", "query_id").applyInPandas(_rank_exactly(k), RANKED)
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)

@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statflow.llm.common import text_id
 from statflow.session import scratch_path
 
 MIN_REVISIT = 100
@@ -164,7 +165,8 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT
     marked = slim.join(firsts, "digest", "left").withColumn(
         "refers_to", F.when(long_enough & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     )
-    return marked.select("page_id", "url", "html", "digest", "refers_to").mapInPandas(_write(folder), "archive string, records long")
+    named = text_id(text_id(marked, "page_id"), "refers_to")
+    return named.select("page_id", "url", "html", "digest", "refers_to").mapInPandas(_write(folder), "archive string, records long")
 
 
 def _read(folder_scheme: str):

@@ -116,22 +116,20 @@ def test_top_k_ranks_wide_vectors(spark):
     rows = [(i, rng.normal(0, 1, 4).tolist()) for i in range(60)]
     rows += [(100, [70000.0, 0.0, -1.0, 0.5]), (101, [70000.0, 0.0, 0.0, 0.0]), (102, [8e15, 1.0, 0.0, 0.0])]
     rows += [(103, [-3e12, 3e12, 0.001, 2.0]), (104, [65536.0, 1.0, 1.0, 1.0]), (105, [9e15, 9e15 + 2, -9e15, 1.0])]
-    # Of one id's vectors the smallest stands, whichever kind it is.
+    # Rows that repeat an id are candidates and queries of their own.
     rows += [(7, [90000.0, 0.0, 0.0, 0.0]), (8, [-90000.0, 0.0, 0.0, 0.0])]
     rows += [(200, [float("inf"), 0.0, 0.0, 0.0]), (201, [70000.0, None, 0.0, 0.0]), (202, [70000.0]), (203, [1e16, 0.0, 0.0, 0.0])]
-    best = {}
-    for i, v in rows:
-        if i < 200:
-            w = [math.floor(Fraction(x) * 1024) for x in v]
-            best[i] = min(best.get(i, w), w)
+    rows += [(204, [1e300, -1e300, 1.0, 0.0]), (205, [-1e300, -1e300, 5e-324, 0.0]), (10, [3.0, -70000.0, 1.0, 1.0]), (10, [3.0, -70000.0, 1.0, 1.0])]
+    real = [(i, [math.floor(Fraction(x) * 1024) for x in v]) for i, v in rows if i not in (200, 201, 202)]
     want = []
-    for q in best:
+    for m, (q, u) in enumerate(real):
         if q % 5 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(best[q], w)), i) for i, w in best.items() if i != q)
+            scores = sorted((-sum(a * b for a, b in zip(u, w)), i) for n, (i, w) in enumerate(real) if n != m)
             want += [(q, n + 1, i, -s if abs(s) < 1 << 63 else None) for n, (s, i) in enumerate(scores[:10])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = topk.top_k(df, F.col("vec_id") % 5 == 0, block_rows=16, chunk_queries=4).collect()
-    assert sorted(map(tuple, got), key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
+    order = lambda r: (*r[:3], r[3] is None, r[3] or 0)
+    assert sorted(map(tuple, got), key=order) == sorted(want, key=order)
 
 
 def test_top_k_odd_rows(spark):
@@ -140,7 +138,8 @@ def test_top_k_odd_rows(spark):
     df = spark.createDataFrame([(*r, 5) for r in rows], "vec_id long, embedding array<float>, score int")
     got = [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 100 == 0, block_rows=2, chunk_queries=1).orderBy("query_id", "rank").collect()]
     a, h = 1024 * 1024, 512 * 1024
-    assert got == [(0, 1, 1, a), (0, 2, 2, a), (0, 3, 100, h), (100, 1, 0, h), (100, 2, 1, h), (100, 3, 2, h)]
+    assert got == [(0, 1, 9, None), (0, 2, 1, a), (0, 3, 2, a), (0, 4, 2, a), (0, 5, 100, h)] + [
+        (100, 1, 9, None), (100, 2, 0, h), (100, 3, 1, h), (100, 4, 2, h), (100, 5, 2, h)]
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 

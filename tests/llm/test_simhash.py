@@ -107,3 +107,18 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [0, 2, 3, 4, 7]
     assert simhash.near_duplicates(no_docs).count() == 0
     assert simhash.drop_near_duplicates(no_docs).count() == 0
+
+
+def test_filter_keeps_one_row_of_each_component(spark):
+    """Unrelated texts under one id stay apart; near copies without ids go; repeated rows count once."""
+    base = " ".join(f"word{i} and{i % 17} then{i % 5}" for i in range(300))
+    near = base.replace("word7 ", "word7x ")
+    assert 0 < bin(simhash.fingerprint(base) ^ simhash.fingerprint(near)).count("1") <= 3
+    other = " ".join(f"quite{i} different{i % 9}" for i in range(200))
+    third = " ".join(f"and{i} another{i % 4}" for i in range(100))
+    rows = [(5, base), (5, other), (3, near), (None, base), (None, near), (None, third), (None, third), (9, third), (9, third)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, `a.b` int")
+    kept = simhash.drop_near_duplicates(docs).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(3, near), (5, other), (9, third)])
+    nameless = spark.createDataFrame([(None, base), (None, near), (None, other), (None, None), (None, "")], "doc_id long, text string")
+    assert simhash.drop_near_duplicates(nameless).count() == 3
