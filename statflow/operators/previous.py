@@ -19,6 +19,9 @@ The per-key window in 2 sees one row per bucket, so a hot key costs one task
 range. The join is over one row per bucket, and AQE may broadcast it once
 its real size is known. The bucket column
 must be non-decreasing in the order, and the order unique within a key.
+
+``with_previous_rows`` needs no bucket column: it cuts a heavy key at rows of
+its own order, and copies the row at each cut into the next bucket.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statflow.session import scratch_path
+
 _BKT = "__bkt"
 
 
@@ -46,37 +51,108 @@ def offset_bucket(partition_col: str, offset_col: str, rows: int) -> Column:
     )
 
 
-# Rows per bucket aimed at by ``auto_buckets``.
+# Rows per bucket aimed at by ``with_previous_rows``.
 DEFAULT_TARGET_ROWS = 500_000
+# Sampled rows per bucket: its size then has a standard deviation of about an eighth.
+SAMPLE_PER_BUCKET = 64
+# Splitters at most, whatever the number of rows: the table that is broadcast.
+FAN = 256
+MAX_SPLITTERS = FAN * FAN
 
 
-def auto_buckets(df: DataFrame, key: str, order_col: str, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """Add ``__bkt`` sized from the data: keys with more than ``target_rows``
-    rows get buckets of their order range holding about ``target_rows`` rows
-    each; all other keys keep one bucket.
-
-    One aggregate over ``(key, order_col)`` finds the heavy keys. There are at
-    most ``rows / target_rows`` of them, so that table has a proven bound and
-    is broadcast; the data itself is not shuffled here.
+def order_splitters(
+    rows: DataFrame, key: str, order: Sequence[str], target_rows: int = DEFAULT_TARGET_ROWS,
+    max_splitters: int = MAX_SPLITTERS,
+) -> DataFrame:
+    """``(key, __j, __at)``: for each heavy key, the numbered rows of its full order
+    that cut it into buckets of about ``target_rows`` rows.
+
+    One pass over key and order columns draws rows by their hash (the same ones
+    in any run), ``SAMPLE_PER_BUCKET`` for each ``target_rows``; every
+    ``SAMPLE_PER_BUCKET``-th one of a key is a splitter, so splitters follow the
+    rows and not the values: outliers and gaps don't matter. Keys with fewer
+    drawn rows stay whole. Beyond ``max_splitters`` buckets grow instead, so the
+    table is bounded. Rows of equal order stay together.
     """
-    heavy = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(order_col).alias("__lo"), F.max(order_col).alias("__hi"))
-        .where(F.col("__n") > F.lit(target_rows))
-        .select(
-            key,
-            "__lo",
-            F.greatest(
-                F.lit(1).cast("long"),
-                F.ceil((F.col("__hi") - F.col("__lo") + F.lit(1)) * F.lit(target_rows) / F.col("__n")).cast("long"),
-            ).alias("__width"),
+    per_bucket = min(SAMPLE_PER_BUCKET, target_rows)
+    share = per_bucket / target_rows
+    slim = rows.select(key, F.struct(*order).alias("__at"))
+    drawn = slim.where(F.pmod(F.xxhash64(key, "__at"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    drawn = _written(drawn, "drawn")
+    step = max(per_bucket, -(-drawn.count() // max_splitters))
+    place = F.row_number().over(Window.partitionBy(key).orderBy("__at"))
+    cuts = drawn.withColumn("__n", place).where(F.col("__n") % step == 0).select(key, "__at").distinct()
+    return _written(cuts.withColumn("__j", place - 1), "splitters")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _before(splits: Column, at: Column) -> Column:
+    """How many of the sorted ``splits`` lie before ``at``, by bisection (null: 0)."""
+    halves = F.sequence(F.lit(1), F.ceil(F.log2(F.size(splits) + 1.0)).cast("int"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(splits).alias("hi"))
+
+    def step(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        before = (s["lo"] < s["hi"]) & (F.get(splits, mid) < at)
+        return F.struct(
+            F.when(before, mid + 1).otherwise(s["lo"]).alias("lo"),
+            F.when(before | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"),
         )
-    )
-    joined = df.join(F.broadcast(heavy), key, "left")
-    bkt = F.when(F.col("__width").isNull(), F.lit(0).cast("long")).otherwise(
-        F.floor((F.col(order_col) - F.col("__lo")) / F.col("__width")).cast("long")
-    )
-    return joined.withColumn(_BKT, bkt).drop("__lo", "__width")
+
+    return F.when(splits.isNull(), F.lit(0)).otherwise(F.aggregate(halves, start, step, lambda s: s["lo"]))
+
+
+def with_row_buckets(rows: DataFrame, key: str, order: Sequence[str], splitters: DataFrame) -> DataFrame:
+    """Add ``__bkt``, the number of the key's splitters before the row, and ``__ends``,
+    whether the row is a splitter itself, the last of its bucket.
+
+    Splitters are looked up in two steps of ``FAN`` each, so that a row never
+    carries more than ``FAN`` of them; both tables are broadcast, of at most
+    ``MAX_SPLITTERS`` rows' worth.
+    """
+    at = F.struct(*order)
+    group = F.floor(F.col("__j") / FAN).cast("int")
+    sorted_cuts = F.sort_array(F.collect_list("__at"))
+    coarse = splitters.where(F.col("__j") % FAN == FAN - 1).groupBy(key).agg(sorted_cuts.alias("__coarse"))
+    fine = splitters.groupBy(key, group.alias("__g")).agg(sorted_cuts.alias("__fine"))
+    placed = rows.join(F.broadcast(coarse), key, "left").withColumn("__g", _before(F.col("__coarse"), at)).drop("__coarse")
+    placed = placed.join(F.broadcast(fine), [key, "__g"], "left").withColumn("__f", _before(F.col("__fine"), at))
+    ends = F.coalesce(F.get("__fine", F.col("__f")) == at, F.lit(False))
+    return placed.withColumn(_BKT, F.col("__g") * FAN + F.col("__f")).withColumn("__ends", ends).drop("__g", "__f", "__fine")
+
+
+def with_previous_rows(
+    df: DataFrame, key: str, order: Sequence[str], payload: Sequence[str], prev_col: str = "prev",
+    target_rows: int = DEFAULT_TARGET_ROWS,
+) -> DataFrame:
+    """``with_previous`` with buckets bounded by rows, in one shuffle, one sort and one ``lag``.
+
+    A bucket ends at its splitter, which is a row of the key: that row goes into
+    its bucket and, flagged, into the next one, where it sorts first and serves
+    as the previous row only. So no second window and no join stitch the
+    buckets. The input is read twice (once for key and order columns alone):
+    materialise a derived input first. The columns are ``key``, ``order``,
+    ``payload`` and ``prev_col``; a null key is grouped as ``""``.
+    """
+    order, payload = list(order), list(payload)
+    others = [c for c in order if c not in payload]
+    k = F.coalesce(F.col(key), F.lit("")) if df.schema[key].nullable else F.col(key)
+    rows = df.select(k.alias(key), *[F.col(c) for c in dict.fromkeys(others + payload)])
+    cut = with_row_buckets(rows, key, order, order_splitters(rows, key, order, target_rows))
+    own = F.struct(F.col(_BKT).alias("b"), F.lit(False).alias("copy"))
+    again = F.struct((F.col(_BKT) + 1).alias("b"), F.lit(True).alias("copy"))
+    packed = cut.select(
+        key, *others, F.struct(*payload).alias("__row"),
+        F.explode(F.when(F.col("__ends"), F.array(own, again)).otherwise(F.array(own))).alias("__place"),
+    ).select(key, *others, "__row", F.col("__place.b").alias(_BKT), F.col("__place.copy").alias("__copy"))
+    w = Window.partitionBy(key, _BKT).orderBy(*[F.col(c) if c in others else F.col(f"__row.{c}") for c in order])
+    paired = packed.withColumn(prev_col, F.lag("__row").over(w)).where(~F.col("__copy"))
+    return paired.select(key, *others, *[F.col(f"__row.{c}").alias(c) for c in payload], prev_col)
 
 
 def with_previous(
@@ -96,20 +172,19 @@ def with_previous(
     null key is grouped as ``""``.
 
     ``bucket``: a column non-decreasing in the order (``time_bucket``,
-    ``offset_bucket``), or ``"auto"`` to size buckets from the data
-    (``auto_buckets`` on the first order column, which must be numeric;
-    the input is read twice then, so materialise a derived input first)."""
+    ``offset_bucket``), or ``"auto"`` for buckets bounded by rows
+    (``with_previous_rows``: the input is read twice then, so materialise a
+    derived input first)."""
     order = list(order)
     payload = list(payload)
+    if isinstance(bucket, str) and bucket == "auto":
+        return with_previous_rows(df, key, order, payload, prev_col, target_rows)
     others = [c for c in order if c not in payload]
 
     # The payload travels in one struct and the order columns beside it, so
     # all branches below read the same columns and Spark reuses the one
     # shuffle on (key, bucket); the caller should use every payload field.
     # Non-null key and bucket: no IsNotNull filter is inferred into a branch.
-    if isinstance(bucket, str) and bucket == "auto":
-        df = auto_buckets(df, key, order[0], target_rows)
-        bucket = F.col(_BKT)
     k = F.coalesce(F.col(key), F.lit("")) if df.schema[key].nullable else F.col(key)
     packed = df.select(
         k.alias(key),

@@ -17,7 +17,6 @@ from statflow.operators import places as P
 from statflow.operators.cpu_delta import enrich, explode_metrics
 from statflow.operators.metrics_json import hour_bucket as hour_bucket_col
 from statflow.operators.metrics_json import metrics_from_json, metrics_to_json, read_archive, split_good_bad
-from statflow.operators.previous import time_bucket
 from statflow.operators.procstat import parse_dumps, render_dump
 from statflow.operators.wire import (
     decode_frames,
@@ -30,7 +29,6 @@ from statflow.operators.wire import (
 )
 from statflow.plans.fixtures import (
     AS_OF,
-    OFFSETS_PER_DAY,
     place_addresses,
     place_destinations,
     place_elevation,
@@ -62,6 +60,13 @@ FIXTURE_BUCKET_MS = 7 * 86_400_000
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A derived input, computed once: what reads it twice reads the table."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fixture_metrics(spark: SparkSession, sf_dir: str, counters: str = "cumulative", hostless_every: int = 0):
     snaps = snapshots(table(spark, sf_dir, "events"), counters, hostless_every)
     return enrich(snaps, bucket_ms=FIXTURE_BUCKET_MS)
@@ -84,8 +89,10 @@ def snapshot_time_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def default_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Null hostnames fall back to one ``unknown`` key (C5 E4): a hot key."""
-    return explode_metrics(fixture_metrics(spark, sf_dir, "cumulative", hostless_every=10))
+    """Null hostnames fall back to one ``unknown`` key (C5 E4): a hot key, in
+    buckets bounded by rows."""
+    snaps = snapshots(table(spark, sf_dir, "events"), "cumulative", hostless_every=10)
+    return explode_metrics(enrich(written(snaps, "snapshots"), bucket="auto"))
 
 
 def metrics_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,10 +321,10 @@ def wire_registry(spark: SparkSession) -> DataFrame:
 def wire_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job 1 in batch from framed messages: decode, then the delta in broker
     order. Without a hostname every snapshot shares the ``unknown`` key, a
-    single hot key split by day buckets (S3 D1–D4 J1 E4)."""
+    single hot key in buckets bounded by rows (S3 D1–D4 J1 E4)."""
     snaps = good_rows(decode_frames(wire_frames(spark, sf_dir), wire_registry(spark)))
     snaps = snaps.withColumn("hostname", F.lit(None).cast("string"))
-    m = enrich(snaps, order=("src_partition", "src_offset"), bucket=time_bucket("src_offset", OFFSETS_PER_DAY))
+    m = enrich(written(snaps, "wire-snapshots"), order=("src_partition", "src_offset"), bucket="auto")
     return explode_metrics(m)
 
 

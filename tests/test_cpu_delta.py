@@ -145,10 +145,37 @@ def test_auto_buckets_match_one_task_per_key(spark, target):
     want = with_previous_simple(df, "hostname", order, ["timestamp", "cpus"])
     cols = ["hostname", "timestamp", "src_offset", "prev"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
-    from statflow.operators.previous import auto_buckets
-
-    n_buckets = auto_buckets(df, "hostname", "timestamp", target).where("hostname = 'hot'").select("__bkt").distinct().count()
-    assert n_buckets >= (1 if target >= len(ts) else 2)
+    from statflow.operators.previous import order_splitters
+
+    n_buckets = order_splitters(df, "hostname", order, target).where("hostname = 'hot'").count()
+    assert n_buckets >= (0 if target >= len(ts) else 1)
+
+
+@pytest.mark.parametrize("fan", [256, 4])
+def test_row_buckets_follow_rows_not_values(spark, fan, monkeypatch):
+    """An outlier, offsets 1e9 apart near the ends of bigint, nulls in the order and a
+    hot key: buckets hold at most twice the target, and the previous rows are those of the plain lag."""
+    from statflow.operators import previous as P
+
+    monkeypatch.setattr(P, "FAN", fan)
+    target, n = 500, 20_000
+    rows = [("hot", 9 * 10**18 - i * 1_000_000_000 if i else -(9 * 10**18), i % 7, str(i)) for i in range(n)]
+    rows += [(f"k{i % 40}", (i * 7919) % 10_007, i, str(i)) for i in range(3000)] + [(None, None, 1, "x"), (None, 5, None, "y"), ("hot", None, 0, "z")]
+    df = spark.createDataFrame(rows, "k string, t long, u long, x string").repartition(6)
+    keyed = df.withColumn("k", F.coalesce("k", F.lit("")))
+    got = P.with_previous_rows(df, "k", ["t", "u"], ["x"], target_rows=target)
+    want = P.with_previous_simple(keyed, "k", ["t", "u"], ["x"]).select("k", "t", "u", "x", "prev")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    splitters = P.order_splitters(keyed, "k", ["t", "u"], target)
+    sizes = P.with_row_buckets(keyed, "k", ["t", "u"], splitters).groupBy("k", "__bkt").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2 * target
+    assert sizes.where("k = 'hot'").count() >= n // (2 * target)
+    coarser = P.order_splitters(keyed, "k", ["t", "u"], target, max_splitters=5)
+    assert 0 < coarser.count() <= 5
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1
+    empty = P.with_previous_rows(df.limit(0), "k", ["t", "u"], ["x"])
+    assert empty.columns == ["k", "t", "u", "x", "prev"] and empty.count() == 0
 
 
 def test_broker_order_across_partitions(spark):
