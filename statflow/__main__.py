@@ -1,14 +1,17 @@
 """Command line: start the jobs with paths and options.
 
-    python -m statflow job1    --frames DIR | --kafka HOST:PORT --topic T  --registry DIR
-                               --out DIR --checkpoint DIR [--engine state|batchwise] [--sink parquet|json]
-                               [--trigger "60 seconds"]
-    python -m statflow job2    --json DIR --out DIR --checkpoint DIR [--trigger "60 seconds"]
+    python -m statflow job1    --frames DIR | --json DIR | --kafka HOST:PORT --topic T [--format json]
+                               --registry DIR [--schema-id N] --out DIR --checkpoint DIR
+                               [--engine state|batchwise] [--sink parquet|json|kafka --out-kafka HOST:PORT --out-topic T]
+                               [--max-offsets N] [--max-files N] [--trigger "60 seconds"]
+    python -m statflow job2    --json DIR | --kafka HOST:PORT --topic T  --out DIR --checkpoint DIR
+                               [--max-offsets N] [--trigger "60 seconds"]
     python -m statflow publish --dumps DIR --out DIR [--schema-id 1]
     python -m statflow places  --addresses CSV --destinations JSON --geocode DIR --elevation DIR
                                --routes DIR --out DIR [--as-of YYYY-MM-DD] [--overwrite]
 
-Jobs 1 and 2 write the input they can't read, with a reason, to ``<out>_quarantine``.
+Jobs 1 and 2 write the input they can't read, with a reason, to ``<out>_quarantine``. Job 1
+decodes each message once, into ``<out>_decoded``, split by reason.
 Without ``--trigger`` a stream drains what is there and stops
 (``availableNow``); with it the query runs until stopped. The session comes
 from ``spark-submit`` (or a local one when run directly).
@@ -29,33 +32,51 @@ def _session() -> SparkSession:
 
 
 def job1(a) -> None:
-    from statflow.sources.streams import file_frames, kafka_frames, read_schema_files
+    """Input → a table split by reason (each message decoded once) → metrics, and
+    the rows set aside with their reason."""
+    from statflow.operators.snapshot_json import snapshots_from_json
+    from statflow.sources.streams import file_frames, file_json, kafka_frames, kafka_json, read_schema_files
+    from statflow.streaming import jobs as J
     from statflow.streaming.delta_batchwise import start_enrichment_batchwise
-    from statflow.streaming.jobs import await_all, start_wire_enrichment, start_wire_quarantine
-    from statflow.operators.wire import decode_frames, good_rows
 
     spark = _session()
-    frames = kafka_frames(spark, a.kafka, a.topic) if a.kafka else file_frames(spark, a.frames, keyed=True)
-    registry = read_schema_files(spark, a.registry)
+    out, ck = a.out.rstrip("/"), a.checkpoint.rstrip("/")
+    split = f"{out}_decoded"
+    if a.json or a.format == "json":
+        schema = J.SNAPSHOT_SPLIT
+        lines = file_json(spark, a.json) if a.json else kafka_json(spark, a.kafka, a.topic, max_offsets=a.max_offsets)
+        first = J.start_split(snapshots_from_json(lines), split, f"{ck}_decoded", a.trigger)
+    else:
+        schema = J.WIRE_SPLIT
+        if a.kafka:
+            frames = kafka_frames(spark, a.kafka, a.topic, max_offsets=a.max_offsets)
+        else:
+            frames = file_frames(spark, a.frames, keyed=True, max_files=a.max_files)
+        first = J.start_wire_split(frames, read_schema_files(spark, a.registry, a.schema_id), split, f"{ck}_decoded", a.trigger)
+    if a.trigger in (None, "availableNow"):
+        first.awaitTermination()  # drained before the next stages drain it
+    else:
+        J.await_folder(spark, split, first)
+    good = J.split_part(spark, split, schema)
     if a.engine == "batchwise":  # Parquet output under batch_id=<n>
-        keep = [c for c in ("value", "hostname", "src_partition", "src_offset") if c in frames.columns]
-        snaps = good_rows(decode_frames(frames, registry, keep=keep))
-        if "hostname" not in snaps.columns:
-            snaps = snaps.withColumn("hostname", F.lit(None).cast("string"))
-        q = start_enrichment_batchwise(snaps, a.out, a.out.rstrip("/") + "_state", a.checkpoint, trigger=a.trigger)
+        q = start_enrichment_batchwise(good, a.out, f"{out}_state", a.checkpoint, trigger=a.trigger)
+    elif a.sink == "kafka":
+        kafka = {"kafka.bootstrap.servers": a.out_kafka, "topic": a.out_topic}
+        q = J.start_enrichment(good, a.out, a.checkpoint, sink_format="kafka", trigger=a.trigger, kafka=kafka)
     else:
-        q = start_wire_enrichment(frames, registry, a.out, a.checkpoint, sink_format=a.sink, trigger=a.trigger)
-    bad = start_wire_quarantine(frames, registry, a.out.rstrip("/") + "_quarantine",
-                                a.checkpoint.rstrip("/") + "_quarantine", trigger=a.trigger)
-    await_all([q, bad])
+        q = J.start_enrichment(good, a.out, a.checkpoint, sink_format=a.sink, trigger=a.trigger)
+    faults = J.split_faults(spark, split, schema, streaming=True)
+    faults = faults.select(F.col("value").cast("binary").alias("value"), "reason", "src_partition", "src_offset")
+    bad = J.start_faults(faults, f"{out}_quarantine", f"{ck}_quarantine", a.trigger)
+    J.await_all([q, bad, first])
 
 
 def job2(a) -> None:
-    from statflow.sources.streams import file_json
+    from statflow.sources.streams import file_json, kafka_json
     from statflow.streaming.jobs import await_all, start_archive, start_archive_quarantine
 
     spark = _session()
-    lines = file_json(spark, a.json)
+    lines = kafka_json(spark, a.kafka, a.topic, max_offsets=a.max_offsets) if a.kafka else file_json(spark, a.json)
     q = start_archive(lines, a.out, a.checkpoint, trigger=a.trigger)
     bad = start_archive_quarantine(lines, a.out.rstrip("/") + "_quarantine",
                                    a.checkpoint.rstrip("/") + "_quarantine", trigger=a.trigger)
@@ -107,16 +128,26 @@ def main(argv: list[str] | None = None) -> None:
     sub = p.add_subparsers(dest="cmd", required=True)
     j1 = sub.add_parser("job1")
     j1.add_argument("--frames")
+    j1.add_argument("--json")
     j1.add_argument("--kafka")
     j1.add_argument("--topic")
-    j1.add_argument("--registry", required=True)
+    j1.add_argument("--format", choices=["avro", "json"], default="avro")
+    j1.add_argument("--max-offsets", type=int)
+    j1.add_argument("--max-files", type=int)
+    j1.add_argument("--registry")
+    j1.add_argument("--schema-id", type=int)
     j1.add_argument("--out", required=True)
+    j1.add_argument("--out-kafka")
+    j1.add_argument("--out-topic")
     j1.add_argument("--checkpoint", required=True)
     j1.add_argument("--engine", choices=["state", "batchwise"], default="state")
-    j1.add_argument("--sink", choices=["parquet", "json"], default="parquet")
+    j1.add_argument("--sink", choices=["parquet", "json", "kafka"], default="parquet")
     j1.add_argument("--trigger")
     j2 = sub.add_parser("job2")
-    j2.add_argument("--json", required=True)
+    j2.add_argument("--json")
+    j2.add_argument("--kafka")
+    j2.add_argument("--topic")
+    j2.add_argument("--max-offsets", type=int)
     j2.add_argument("--out", required=True)
     j2.add_argument("--checkpoint", required=True)
     j2.add_argument("--trigger")
@@ -130,6 +161,18 @@ def main(argv: list[str] | None = None) -> None:
     pl.add_argument("--as-of")
     pl.add_argument("--overwrite", action="store_true")
     a = p.parse_args(argv)
+    if a.cmd == "job1":
+        inputs = [a.frames, a.json, a.kafka]
+        if sum(x is not None for x in inputs) != 1 or (a.kafka and not a.topic):
+            j1.error("give one of --frames, --json, or --kafka with --topic")
+        if not a.registry and not (a.json or a.format == "json"):
+            j1.error("--registry is needed for framed Avro")
+        if a.engine == "batchwise" and a.sink != "parquet":
+            j1.error("the batchwise engine writes Parquet only")
+        if a.sink == "kafka" and not (a.out_kafka and a.out_topic):
+            j1.error("--sink kafka needs --out-kafka and --out-topic")
+    if a.cmd == "job2" and ((a.json is None) == (a.kafka is None) or (a.kafka and not a.topic)):
+        j2.error("give one of --json, or --kafka with --topic")
     {"job1": job1, "job2": job2, "publish": publish, "places": places}[a.cmd](a)
 
 

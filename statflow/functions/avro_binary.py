@@ -88,6 +88,8 @@ class _Reader:
             shift += 7
             if shift > 63:
                 raise AvroError("varint too long")
+        if result >> 64:
+            raise AvroError("varint beyond 64 bits")
         return (result >> 1) ^ -(result & 1)
 
 
@@ -149,7 +151,14 @@ def _compile_read(s: Any):
         return read_record
     if t == "enum":
         symbols = s["symbols"]
-        return lambda r: symbols[r.long()]
+
+        def read_enum(r):
+            i = r.long()
+            if not 0 <= i < len(symbols):
+                raise AvroError("bad enum index")
+            return symbols[i]
+
+        return read_enum
     if t == "fixed":
         size = s["size"]
         return lambda r: r.take(size)

@@ -43,6 +43,14 @@ def as_long(x: Column) -> Column:
     )
 
 
+def out_of_range(x: Column) -> Column:
+    """Whether a number, or a numeric text, lies beyond bigint (``as_long`` has no value for it)."""
+    k = _kind(x)
+    d = F.when(k.isin("DOUBLE", "FLOAT", "DECIMAL", "STRING"), F.try_variant_get(x, "$", "string").try_cast("double"))
+    # 2^63 as a double is the first value that no bigint holds; NaN counts as beyond.
+    return F.coalesce((d >= F.lit(2.0**63)) | (d < F.lit(-(2.0**63))) | F.isnan(d), F.lit(False))
+
+
 def as_double(x: Column) -> Column:
     k = _kind(x)
     s = F.try_variant_get(x, "$", "string")

@@ -8,8 +8,8 @@ batch-wise through Arrow (``mapInArrow``), because the spark-avro
 connector is not on the classpath here.
 
 Malformed input never fails a job: it gets a ``reason`` (``null_value``,
-``short_frame``, ``bad_magic``, ``unknown_schema``, ``decode_error``) and
-goes to a quarantine table instead.
+``short_frame``, ``bad_magic``, ``unknown_schema``, ``ambiguous_schema``,
+``decode_error``) and goes to a quarantine table instead.
 """
 
 from __future__ import annotations
@@ -75,12 +75,17 @@ def lookup_schemas(parsed: DataFrame, registry: DataFrame, max_broadcast_rows: i
     """Attach ``schema_json`` by id (D3, J3); ids not registered get
     ``unknown_schema``. The registry is broadcast after a size check."""
     # One row per id, or a repeated registration would repeat its messages.
-    by_id = registry.groupBy("schema_id").agg(F.min("schema_json").alias("schema_json"))
+    # Two schemas under one id: neither can be trusted, so the id is set aside.
+    least, most = F.min("schema_json"), F.max("schema_json")
+    by_id = registry.groupBy("schema_id").agg(
+        F.when(least == most, least).alias("schema_json"), (least != most).alias("__two"))
     joined = parsed.join(small_side(by_id, max_broadcast_rows), "schema_id", "left")
     reason = F.coalesce(
-        F.col("reason"), F.when(F.col("schema_json").isNull(), F.lit("unknown_schema"))
+        F.col("reason"),
+        F.when(F.col("__two"), F.lit("ambiguous_schema")),
+        F.when(F.col("schema_json").isNull(), F.lit("unknown_schema")),
     )
-    return joined.withColumn("reason", reason)
+    return joined.withColumn("reason", reason).drop("__two")
 
 
 def _to_target(value, target: T.DataType):
@@ -88,13 +93,38 @@ def _to_target(value, target: T.DataType):
     if value is None:
         return None
     if isinstance(target, T.StructType):
-        return {f.name: _to_target(value.get(f.name) if isinstance(value, dict) else None, f.dataType)
-                for f in target.fields}
+        if not isinstance(value, dict):
+            raise AvroError("not a record")
+        return {f.name: _to_target(value.get(f.name), f.dataType) for f in target.fields}
     if isinstance(target, T.ArrayType):
+        if not isinstance(value, list):
+            raise AvroError("not an array")
         return [_to_target(x, target.elementType) for x in value]
     return value
 
 
+def _columns(recs: list, names: list[str], types: dict[str, pa.DataType]) -> list[pa.Array]:
+    return [pa.array([None if r is None else r.get(n) for r in recs], type=types[n]) for n in names]
+
+
+def _drop_unfit(recs: list, reasons: list, names: list[str], types: dict[str, pa.DataType]) -> list[pa.Array]:
+    """The columns of the records; a record whose values don't fit their columns
+    (another type in the writer schema) is a ``decode_error``, not the end of the task."""
+    try:
+        return _columns(recs, names, types)
+    except (pa.ArrowInvalid, pa.ArrowTypeError, OverflowError, TypeError, ValueError):
+        for k, rec in enumerate(recs):
+            try:
+                _columns([rec], names, types)
+            except (pa.ArrowInvalid, pa.ArrowTypeError, OverflowError, TypeError, ValueError):
+                recs[k], reasons[k] = None, "decode_error"
+        return _columns(recs, names, types)
+
+
+# Fields without which a snapshot can't be used: a message that lacks one is a decode error.
+REQUIRED = ("timestamp", "cpus")
+
+
 def decode_payloads(
     rows: DataFrame, target: T.StructType = SNAPSHOT, keep: Sequence[str] = ("value", "src_partition", "src_offset")
 ) -> DataFrame:
@@ -113,12 +143,13 @@ def decode_payloads(
     )
     arrow_types = {f.name: to_arrow_type(f.dataType) for f in target.fields}
     names = [f.name for f in target.fields]
+    required = [n for n in REQUIRED if n in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schemas: dict[str, object] = {}
         for batch in batches:
             reasons = batch.column("reason").to_pylist()
-            cols: dict[str, list] = {n: [] for n in names}
+            recs: list = []
             for k, (sj, payload) in enumerate(zip(batch.column("schema_json").to_pylist(),
                                                   batch.column("payload").to_pylist())):
                 rec = None
@@ -130,12 +161,13 @@ def decode_payloads(
                         if not isinstance(rec, dict):
                             raise AvroError("not a record")
                         rec = _to_target(rec, target)
-                    except (AvroError, ValueError, KeyError, TypeError, UnicodeDecodeError, RecursionError):
+                        if any(rec[n] is None for n in required):
+                            raise AvroError("a required field is missing")
+                    except (AvroError, ValueError, KeyError, IndexError, TypeError, OverflowError, RecursionError):
                         rec, reasons[k] = None, "decode_error"
-                for n in names:
-                    cols[n].append(None if rec is None else rec.get(n))
+                recs.append(rec)
             arrays = [batch.column(c) for c in keep]
-            arrays += [pa.array(cols[n], type=arrow_types[n]) for n in names]
+            arrays += _drop_unfit(recs, reasons, names, arrow_types)
             arrays.append(pa.array(reasons, type=pa.string()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names, "reason"])
 

@@ -58,12 +58,12 @@ def _host(hostless_every: int) -> str:
     return "'host-' || CAST(user_id AS VARCHAR)"
 
 
-def _pairs(cpu_cte: str, hostless_every: int = 0) -> str:
+def _pairs(cpu_cte: str, hostless_every: int = 0, host: str | None = None) -> str:
     """CTEs up to ``pairs``: each CPU of snapshot k with the same CPU of k-1."""
     return f"""
 WITH {_DAILY},
 {cpu_cte},
-hcpu AS (SELECT {_host(hostless_every)} AS hostname, user_id, ts_ms, id,
+hcpu AS (SELECT {host or _host(hostless_every)} AS hostname, user_id, ts_ms, id,
                 c_user, c_nice, c_system, c_idle, c_iowait, c_irq, c_softirq, c_steal
          FROM cpu),
 snaps AS (SELECT DISTINCT hostname, user_id, ts_ms FROM hcpu),
@@ -88,9 +88,9 @@ totals AS (
 )"""
 
 
-def _metric_rows(cpu_cte: str, hostless_every: int = 0) -> str:
+def _metric_rows(cpu_cte: str, hostless_every: int = 0, host: str | None = None) -> str:
     return (
-        _pairs(cpu_cte, hostless_every)
+        _pairs(cpu_cte, hostless_every, host)
         + """
 SELECT hostname,
        ts_ms AS timestamp,
@@ -113,6 +113,46 @@ DEFAULT_KEY = _metric_rows(_CUMULATIVE, hostless_every=10)
 # Every snapshot without a host: one sequence in (time, user) order.
 ALL_UNKNOWN = _metric_rows(_CUMULATIVE, hostless_every=1)
 
+# Snapshots as JSON, with odd hosts and counters: see queries.snapshot_documents.
+_JSON_FAULT = "(ts_ms // 86400000 + user_id) % 17"
+_JSON_HOST = """CASE WHEN user_id % 10 IN (0, 1) THEN 'unknown' WHEN user_id % 10 = 2 THEN CAST(user_id AS VARCHAR)
+                     ELSE 'host-' || CAST(user_id AS VARCHAR) END"""
+_JSON_CPU = (
+    _CUMULATIVE.replace("cpu AS (", "all_cpu AS (", 1)
+    + f""",
+cpu AS (
+  SELECT * REPLACE (CASE WHEN user_id % 3 = 0 THEN 0 ELSE c_irq END AS c_irq, c_steal % 2 AS c_steal)
+  FROM all_cpu WHERE {_JSON_FAULT} > 2
+)"""
+)
+JSON_SNAPSHOT_DELTA = f"""
+SELECT *, NULL::VARCHAR AS reason, NULL::BIGINT AS src_offset FROM ({_metric_rows(_JSON_CPU, host=_JSON_HOST)})
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       ['out_of_range', 'missing_field', 'bad_json'][{_JSON_FAULT} + 1], user_id
+FROM (SELECT DISTINCT user_id, CAST(epoch_ms(date_trunc('day', ts)) AS BIGINT) AS ts_ms FROM events) WHERE {_JSON_FAULT} <= 2
+"""
+
+# Damaged frames: see queries.damaged_frames.
+_DAMAGE = "(ts_ms // 86400000 + user_id) % 11"
+_DAMAGE_REASON = f"""CASE WHEN {_DAMAGE} < 4 THEN 'decode_error' WHEN {_DAMAGE} = 4 THEN 'unknown_schema'
+         WHEN {_DAMAGE} = 5 THEN 'ambiguous_schema' WHEN {_DAMAGE} = 6 THEN 'short_frame' WHEN {_DAMAGE} = 7 THEN 'bad_magic' END"""
+DECODE_ERRORS = f"""
+WITH {_DAILY},
+{_CUMULATIVE},
+whole AS (SELECT user_id, ts_ms, count(*) AS n, sum(c_user + c_guest_nice) AS busy, {_DAMAGE_REASON} AS reason FROM cpu GROUP BY user_id, ts_ms)
+SELECT (ts_ms // 86400000)::INT AS src_partition, user_id AS src_offset, reason, CASE WHEN reason IS NULL THEN ts_ms END AS timestamp,
+       CASE WHEN reason IS NULL THEN n::BIGINT END AS n_cpus, CASE WHEN reason IS NULL THEN busy::BIGINT END AS busy
+FROM whole
+"""
+_WHOLE_CPU = _CUMULATIVE.replace("cpu AS (", "all_cpu AS (", 1) + f", cpu AS (SELECT * FROM all_cpu WHERE {_DAMAGE_REASON} IS NULL)"
+WIRE_SPLIT_DELTA = f"""
+SELECT *, NULL::VARCHAR AS reason, NULL::BIGINT AS src_offset FROM ({_metric_rows(_WHOLE_CPU)})
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, {_DAMAGE_REASON}, user_id
+FROM (SELECT DISTINCT user_id, CAST(epoch_ms(date_trunc('day', ts)) AS BIGINT) AS ts_ms FROM events) WHERE {_DAMAGE_REASON} IS NOT NULL
+"""
+
 SNAPSHOT_TIME_DELTA = f"""
 WITH {_DAILY},
 {_RESET},
@@ -174,18 +214,6 @@ FROM events
 """
 
 SCHEMA_LOOKUP = f"""
-SELECT event_id, reason, schema_id,
-       CASE WHEN reason IS NULL THEN 'ProcStatSnapshot' END AS schema_name
-FROM (
-  SELECT event_id,
-         coalesce({_FRAME_REASON},
-                  CASE WHEN user_id >= 100 THEN 'unknown_schema' END) AS reason,
-         CASE WHEN {_FRAME_REASON} IS NULL THEN CAST(user_id AS INTEGER) END AS schema_id
-  FROM events
-)
-"""
-
-SCHEMA_LOOKUP_TABLE_IDS = f"""
 SELECT event_id, reason, schema_id,
        CASE WHEN reason IS NULL THEN 'ProcStatSnapshot' END AS schema_name
 FROM (
@@ -332,7 +360,7 @@ def oracle_sql() -> dict[str, str]:
         "archive_round_trip": ARCHIVE_ROUND_TRIP,
         "frame_parse": FRAME_PARSE,
         "schema_lookup": SCHEMA_LOOKUP,
-        "schema_lookup_table_ids": SCHEMA_LOOKUP_TABLE_IDS,
+        "schema_lookup_table_ids": SCHEMA_LOOKUP,
         "avro_round_trip": AVRO_ROUND_TRIP,
         "procstat_parse": PROCSTAT_PARSE,
         "elevation_feet": ELEVATION_FEET,
@@ -345,6 +373,10 @@ def oracle_sql() -> dict[str, str]:
         "peek": PEEK,
         "wire_delta": ALL_UNKNOWN,
         "wire_stream_delta": ALL_UNKNOWN,
+        "decode_errors": DECODE_ERRORS,
+        "wire_split_delta": WIRE_SPLIT_DELTA,
+        "json_snapshot_delta": JSON_SNAPSHOT_DELTA,
+        "json_snapshot_stream": JSON_SNAPSHOT_DELTA,
         "archive_quarantine": ARCHIVE_QUARANTINE,
         "wire_quarantine": WIRE_QUARANTINE,
     }

@@ -18,6 +18,7 @@ from statflow.operators.cpu_delta import enrich, explode_metrics
 from statflow.operators.metrics_json import hour_bucket as hour_bucket_col
 from statflow.operators.metrics_json import metrics_from_json, metrics_to_json, read_archive, split_good_bad
 from statflow.operators.procstat import parse_dumps, render_dump
+from statflow.operators.snapshot_json import snapshots_from_json
 from statflow.operators.wire import (
     decode_frames,
     encode_payloads,
@@ -45,12 +46,19 @@ from statflow.sources.streams import peek as peek_frames
 from statflow.streaming.jobs import (
     archive_replay,
     await_all,
+    SNAPSHOT_SPLIT,
+    WIRE_SPLIT,
     replay,
+    split_faults,
+    split_part,
     start_archive,
     start_archive_quarantine,
+    start_enrichment,
+    start_split,
     start_publish,
     start_wire_enrichment,
     start_wire_quarantine,
+    start_wire_split,
     state_partitions,
 )
 
@@ -141,20 +149,6 @@ def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("hostname", "timestamp", "time_delta_ms", "bucket", F.inline("cpu_metrics"))
 
 
-# Registry of the wire queries: ids 0..99 hold the snapshot schema as text;
-# ids 100..109 hold a non-text "schema" field and so register nothing.
-REGISTERED_IDS = 100
-
-
-def registry(spark: SparkSession) -> DataFrame:
-    ids = spark.range(REGISTERED_IDS + 10).select(F.col("id").cast("int").alias("schema_id"))
-    body = F.when(
-        F.col("schema_id") < REGISTERED_IDS,
-        F.to_json(F.struct(F.lit(SNAPSHOT_AVRO_SCHEMA).alias("schema"))),
-    ).otherwise(F.to_json(F.struct(F.struct(F.lit("record").alias("type")).alias("schema"))))
-    return registry_from_envelopes(ids.select("schema_id", body.alias("body")))
-
-
 def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One framed message per event: schema id = user id, payload = the props
     bytes; ``error`` events carry a bad magic byte, ``signup`` events are cut
@@ -179,7 +173,7 @@ def frame_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schema_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry envelopes → schemas, joined by id."""
-    p = lookup_schemas(parse_frames(event_frames(spark, sf_dir)), registry(spark))
+    p = lookup_schemas(parse_frames(event_frames(spark, sf_dir)), table_registry(spark, sf_dir))
     return p.select(
         "event_id", "reason", "schema_id", F.get_json_object("schema_json", "$.name").alias("schema_name")
     )
@@ -196,11 +190,8 @@ def table_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_lookup_table_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``schema_lookup`` with a registry of the table's own ids."""
-    p = lookup_schemas(parse_frames(event_frames(spark, sf_dir)), table_registry(spark, sf_dir))
-    return p.select(
-        "event_id", "reason", "schema_id", F.get_json_object("schema_json", "$.name").alias("schema_name")
-    )
+    """The same, under the name that it first had with the table's own ids."""
+    return schema_lookup(spark, sf_dir)
 
 
 def avro_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,6 +319,70 @@ def wire_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_metrics(m)
 
 
+def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document per snapshot, as other producers write them: hosts as
+    text, as a number, null or missing; counters as text, decimal, boolean or
+    null; three in 17 with a fault (a counter beyond bigint, no CPUs, cut off)."""
+    snaps = snapshots(table(spark, sf_dir, "events"), "cumulative")
+    user, text = F.col("src_offset"), lambda c: c.cast("string")
+    fault = (F.floor(F.col("timestamp") / 86_400_000) + user) % 17
+
+    def cpu(c):
+        odd = {
+            "nice": F.concat(F.lit('"'), text(c["nice"]), F.lit('"')),
+            "system": F.concat(text(c["system"]), F.lit(".75")),
+            "steal": text(c["steal"] % 2 == 1),
+            "irq": F.when(user % 3 == 0, F.lit("null")).otherwise(text(c["irq"])),
+            "idle": F.when(fault == 0, F.lit("1e30")).otherwise(text(c["idle"])),
+        }
+        plain = ("user", "iowait", "softirq")
+        fields = [F.concat(F.lit(f'"{n}":'), odd[n] if n in odd else text(c[n])) for n in (*plain, *odd)]
+        return F.concat(F.lit('{"id":"'), c["id"], F.lit('",'), F.concat_ws(",", *fields), F.lit("}"))
+
+    host = (
+        F.when(user % 10 == 0, F.lit('"hostname":null,'))
+        .when(user % 10 == 1, F.lit(""))
+        .when(user % 10 == 2, F.concat(F.lit('"hostname":'), text(user), F.lit(",")))
+        .otherwise(F.concat(F.lit('"hostname":"'), F.col("hostname"), F.lit('",')))
+    )
+    cpus = F.concat(F.lit(',"cpus":['), F.concat_ws(",", F.transform("cpus", cpu)), F.lit("]"))
+    body = F.concat(
+        F.lit("{"), host, F.lit('"timestamp":'), text(F.col("timestamp")), F.when(fault == 1, F.lit("")).otherwise(cpus),
+        F.when(fault == 2, F.lit("")).otherwise(F.lit("}")),
+    )
+    # A document's partition is its place in time, so that broker order is arrival order.
+    return snaps.select(
+        body.alias("value"), F.floor(F.col("timestamp") / 86_400_000).cast("int").alias("src_partition"), user.alias("src_offset")
+    )
+
+
+def _documents_result(metrics: DataFrame, bad: DataFrame) -> DataFrame:
+    rows = explode_metrics(metrics).withColumns(
+        {"reason": F.lit(None).cast("string"), "src_offset": F.lit(None).cast("long")})
+    return rows.unionByName(bad.select("reason", "src_offset"), allowMissingColumns=True)
+
+
+def json_snapshot_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 1 in batch from JSON snapshots with hosts, coerced counters and the
+    default key; faulty documents with their reason (D9 D10 C5 C12 E4 E5)."""
+    docs = written(snapshots_from_json(snapshot_documents(spark, sf_dir)), "json-snapshots")
+    good = docs.where(F.col("reason").isNull())
+    return _documents_result(enrich(good, bucket="auto"), docs.where(F.col("reason").isNotNull()))
+
+
+def json_snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as streams: documents are parsed once into a table split by
+    reason; the keyed state reads its good part (D9 D10 A1 K8)."""
+    lines, split, sink, ck1, ck2 = (scratch_path(spark, f"json-{n}") for n in ("in", "split", "out", "ck1", "ck2"))
+    snapshot_documents(spark, sf_dir).write.parquet(lines)
+    src = spark.readStream.schema("value STRING, src_partition INT, src_offset LONG").parquet(lines)
+    start_split(snapshots_from_json(src), split, ck1).awaitTermination()
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+        q = start_enrichment(split_part(spark, split, SNAPSHOT_SPLIT), sink, ck2)
+    q.awaitTermination()
+    return _documents_result(spark.read.parquet(sink), split_faults(spark, split, SNAPSHOT_SPLIT))
+
+
 def wire_stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Producer and job 1 as two chained streams (A7 K5 S3 A1): snapshots →
     framed Avro files → decode + keyed state → metrics."""
@@ -346,6 +401,61 @@ def wire_stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_metrics(spark.read.parquet(sink))
 
 
+# Faults of the damaged frames, by (day + user) modulo 11; the rest is whole.
+DAMAGE = 11
+
+
+def damaged_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Framed snapshots keyed by host, 8 of 11 kinds damaged: cut payloads, a varint
+    beyond 64 bits, a writer schema with a text timestamp, one without CPUs, an
+    unregistered id, an id with two schemas, a short frame, a bad magic byte."""
+    snaps = snapshots(table(spark, sf_dir, "events"), "cumulative")
+    day = F.floor(F.col("timestamp") / 86_400_000)
+    enc = encode_payloads(snaps, SNAPSHOT_AVRO_SCHEMA, SNAPSHOT.names).withColumn("k", (day + F.col("src_offset")) % DAMAGE)
+    k, payload = F.col("k"), F.col("payload")
+    body = (
+        F.when(k == 0, payload.substr(F.lit(1), F.floor(F.octet_length(payload) / 2)))
+        .when(k == 1, F.unhex(F.lit("FFFFFFFFFFFFFFFFFF7F00")))
+        .when(k == 2, F.unhex(F.lit("0278")))
+        .when(k == 3, payload.substr(F.lit(1), F.lit(10)))
+        .otherwise(payload)
+    )
+    schema_id = F.when(k == 2, WIRE_SCHEMA_ID + 1).when(k == 3, WIRE_SCHEMA_ID + 2).when(k == 4, 99).when(k == 5, WIRE_SCHEMA_ID + 3)
+    full = frame(body, F.coalesce(schema_id, F.lit(WIRE_SCHEMA_ID)))
+    value = (
+        F.when(k == 6, full.substr(F.lit(1), F.lit(3)))
+        .when(k == 7, F.concat(F.unhex(F.lit("01")), full.substr(F.lit(2), F.octet_length(full))))
+        .otherwise(full)
+    )
+    return enc.select(value.alias("value"), day.cast("int").alias("src_partition"), "src_offset", "hostname")
+
+
+def damaged_registry(spark: SparkSession) -> DataFrame:
+    text_time = '{"type":"record","name":"R","fields":[{"name":"timestamp","type":"string"}]}'
+    no_cpus = '{"type":"record","name":"R","fields":[{"name":"timestamp","type":"long"}]}'
+    rows = [(0, SNAPSHOT_AVRO_SCHEMA), (1, text_time), (2, no_cpus), (3, SNAPSHOT_AVRO_SCHEMA), (3, no_cpus)]
+    return spark.createDataFrame([(WIRE_SCHEMA_ID + i, s) for i, s in rows], "schema_id INT, schema_json STRING")
+
+
+def decode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message once, with its reason or its CPU values."""
+    found = decode_frames(damaged_frames(spark, sf_dir), damaged_registry(spark))
+    busy = F.aggregate("cpus", F.lit(0).cast("long"), lambda acc, c: acc + c["user"] + c["guest_nice"])
+    return found.select("src_partition", "src_offset", "reason", "timestamp", F.size("cpus").cast("long").alias("n_cpus"), busy.alias("busy"))
+
+
+def wire_split_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 1 from damaged frames of many hosts: each frame decoded once into a
+    table split by reason, the keyed state on its good part (K8 D8 A1)."""
+    frames_path, split, sink, ck1, ck2 = (scratch_path(spark, f"wire-split-{n}") for n in ("in", "split", "out", "ck1", "ck2"))
+    damaged_frames(spark, sf_dir).write.parquet(frames_path)
+    start_wire_split(file_frames(spark, frames_path, keyed=True), damaged_registry(spark), split, ck1).awaitTermination()
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+        q = start_enrichment(split_part(spark, split, WIRE_SPLIT), sink, ck2)
+    q.awaitTermination()
+    return _documents_result(spark.read.parquet(sink), split_faults(spark, split, WIRE_SPLIT))
+
+
 def archive_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job 2 over one line per event, ``error`` events cut short and ``signup``
     events without metrics: each event once, from the archive (no reason) or
@@ -428,6 +538,10 @@ def queries() -> dict[str, Query]:
         "peek": peek,
         "wire_delta": wire_delta,
         "wire_stream_delta": wire_stream_delta,
+        "decode_errors": decode_errors,
+        "wire_split_delta": wire_split_delta,
+        "json_snapshot_delta": json_snapshot_delta,
+        "json_snapshot_stream": json_snapshot_stream,
         "archive_quarantine": archive_quarantine,
         "wire_quarantine": wire_quarantine,
     }

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from statflow.schemas import FRAME, FRAME_KEYED
 
 
-def kafka_frames(spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True) -> DataFrame:
-    """Framed bytes from a topic, from the earliest offset (S1, S3, A6). The
-    message key, when a producer sets one, is taken as the ``hostname`` (the
+def kafka_frames(
+    spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True, max_offsets: int | None = None
+) -> DataFrame:
+    """Framed bytes from a topic, from the earliest offset (S1, S3, A6), at most
+    ``max_offsets`` messages per micro-batch. The message key, when a producer sets one, is taken as the ``hostname`` (the
     snapshot record itself has no host field)."""
     reader = spark.readStream if streaming else spark.read
     raw = (
@@ -24,8 +26,10 @@ def kafka_frames(spark: SparkSession, bootstrap: str, topic: str, streaming: boo
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .load()
     )
+    if streaming and max_offsets:
+        raw = raw.option("maxOffsetsPerTrigger", max_offsets)
+    raw = raw.load()
     return raw.select(
         F.col("value"),
         F.col("partition").cast("int").alias("src_partition"),
@@ -48,9 +52,11 @@ def file_frames(
     return spark.read.schema(schema).parquet(path)
 
 
-def kafka_json(spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True) -> DataFrame:
+def kafka_json(
+    spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True, max_offsets: int | None = None
+) -> DataFrame:
     """JSON strings from a topic (S4): ``value STRING`` plus the offsets."""
-    frames = kafka_frames(spark, bootstrap, topic, streaming)
+    frames = kafka_frames(spark, bootstrap, topic, streaming, max_offsets)
     return frames.select(F.col("value").cast("string").alias("value"), "src_partition", "src_offset")  # S4
 
 
@@ -74,7 +80,10 @@ def read_schema_files(spark: SparkSession, path: str, schema_id: int | None = No
         F.col("value").alias("schema_json"), F.col("_metadata.file_name").alias("name")
     )
     sid = F.lit(schema_id) if schema_id is not None else F.regexp_extract("name", r"(\d+)", 1).try_cast("int")
-    return raw.select(sid.cast("int").alias("schema_id"), "schema_json").where(F.col("schema_id").isNotNull())
+    found = raw.select(sid.cast("int").alias("schema_id"), "schema_json").where(F.col("schema_id").isNotNull())
+    if found.isEmpty():
+        raise ValueError(f"no schema with an id in {path}: give the id, or name a file <name>-<id>.avsc")
+    return found
 
 
 def value_only(frames: DataFrame) -> DataFrame:

@@ -17,10 +17,12 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from statflow.operators.metrics_json import metrics_from_json, metrics_to_json, split_good_bad, with_hour_bucket
 from statflow.operators.wire import decode_frames, encode_payloads, frame, good_rows, quarantine
+from statflow.schemas import SNAPSHOT_ROW
 from statflow.session import scratch_path
 from statflow.streaming.delta_state import enrich_stream
 
@@ -132,11 +134,67 @@ def start_wire_quarantine(
     return _start_quarantine(quarantine(decode_frames(frames, registry)), bad_path, checkpoint, trigger)
 
 
+def start_faults(faults: DataFrame, path: str, checkpoint: str, trigger: str | None = "availableNow") -> StreamingQuery:
+    """Rows that a split set aside → a quarantine table of their own (K8)."""
+    return _start_quarantine(faults, path, checkpoint, trigger)
+
+
+def await_folder(spark: SparkSession, path: str, query: StreamingQuery, poll_s: int = 1) -> None:
+    """Wait until ``query`` has committed a first batch to ``path``, so that a reader of it can start."""
+    while query.isActive and not (query.lastProgress and query.lastProgress["batchId"] >= 0 and query.lastProgress["sink"]):
+        query.awaitTermination(poll_s)
+    if query.exception():
+        raise query.exception()
+
+
 def _start_quarantine(bad: DataFrame, path: str, checkpoint: str, trigger: str | None) -> StreamingQuery:
     writer = bad.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     return _trigger(writer.outputMode("append"), trigger).start()
 
 
+def _split_schema(value: T.DataType) -> T.StructType:
+    # Rows set aside have no snapshot fields, so all of them may be null.
+    fields = [T.StructField(f.name, f.dataType, True) for f in SNAPSHOT_ROW.fields]
+    return T.StructType([*fields, T.StructField("value", value, True), T.StructField("reason", T.StringType(), True)])
+
+
+# What ``split_part`` and ``split_faults`` read back of decoded snapshots.
+SNAPSHOT_SPLIT = _split_schema(T.StringType())
+WIRE_SPLIT = _split_schema(T.BinaryType())
+GOOD = "ok"
+
+
+def start_split(rows: DataFrame, path: str, checkpoint: str, trigger: str | None = "availableNow") -> StreamingQuery:
+    """Rows with a ``reason`` → one Parquet table partitioned by it, ``reason=ok`` for
+    good rows (K8). The input is read and decoded once, and good and bad rows are
+    committed together by one exactly-once file sink; readers of either part
+    prune the other's folders. ``value`` is kept for bad rows only."""
+    reason = F.col("reason")
+    split = rows.withColumn("value", F.when(reason.isNotNull(), F.col("value"))).withColumn("reason", F.coalesce(reason, F.lit(GOOD)))
+    writer = split.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return _trigger(writer.partitionBy("reason").outputMode("append"), trigger).start()
+
+
+def split_part(spark: SparkSession, path: str, schema: T.StructType, streaming: bool = True) -> DataFrame:
+    """The good rows of a split table, as a stream or a table."""
+    reader = (spark.readStream if streaming else spark.read).schema(schema)
+    return reader.parquet(path).where(F.col("reason") == GOOD).drop("reason", "value")
+
+
+def split_faults(spark: SparkSession, path: str, schema: T.StructType, streaming: bool = False) -> DataFrame:
+    """The rows that were set aside, with their reason."""
+    reader = (spark.readStream if streaming else spark.read).schema(schema)
+    return reader.parquet(path).where(F.col("reason") != GOOD)
+
+
+def start_wire_split(
+    frames: DataFrame, registry: DataFrame, path: str, checkpoint: str, trigger: str | None = "availableNow"
+) -> StreamingQuery:
+    """Framed Avro → a split table (``WIRE_SPLIT``): each frame is decoded once."""
+    keep = [c for c in ("value", "hostname", "src_partition", "src_offset") if c in frames.columns]
+    return start_split(decode_frames(frames, registry, keep=keep), path, checkpoint, trigger)
+
+
 def await_all(queries: Sequence[StreamingQuery], poll_s: int = 5) -> None:
     """Wait until all queries end; if one fails, stop the others and raise."""
     try:
