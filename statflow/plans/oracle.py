@@ -225,6 +225,11 @@ FROM (
 )
 """
 
+# Messages without a schema stay parked.
+LATE_SCHEMAS = f"""
+SELECT * FROM ({SCHEMA_LOOKUP}) WHERE reason IS DISTINCT FROM 'unknown_schema'
+"""
+
 ARCHIVE_QUARANTINE = """
 SELECT event_id, CASE event_type WHEN 'error' THEN 'bad_json' WHEN 'signup' THEN 'missing_field' END AS reason
 FROM events
@@ -361,6 +366,7 @@ def oracle_sql() -> dict[str, str]:
         "frame_parse": FRAME_PARSE,
         "schema_lookup": SCHEMA_LOOKUP,
         "schema_lookup_table_ids": SCHEMA_LOOKUP,
+        "late_schemas": LATE_SCHEMAS,
         "avro_round_trip": AVRO_ROUND_TRIP,
         "procstat_parse": PROCSTAT_PARSE,
         "elevation_feet": ELEVATION_FEET,

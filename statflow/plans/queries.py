@@ -43,6 +43,7 @@ from statflow.schemas import SNAPSHOT, SNAPSHOT_AVRO_SCHEMA
 from statflow.session import scratch_path
 from statflow.sources.streams import file_frames
 from statflow.sources.streams import peek as peek_frames
+from statflow.streaming.late_schemas import MATCHED, match_late_schemas
 from statflow.streaming.jobs import (
     archive_replay,
     await_all,
@@ -194,6 +195,27 @@ def schema_lookup_table_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_lookup(spark, sf_dir)
 
 
+def late_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages before their schemas: the registrations of half the ids come with
+    the second arrival, those of some never; every message that got its schema
+    or is badly framed, once (D3 J3 S7 D1 K8). The rest stays parked."""
+    inbox, schemas, out, ck = (scratch_path(spark, f"late-{n}") for n in ("in", "schemas", "out", "ck"))
+    frames = written(event_frames(spark, sf_dir), "late-frames")
+    digit = F.conv(F.substring(F.md5(F.concat(F.lit("late"), F.col("schema_id").cast("string")).cast("binary")), 1, 1), 16, 10)
+    ids = written(table_registry(spark, sf_dir).withColumn("late", digit.cast("int") >= 8), "late-registry")
+    for arrival in (0, 1):
+        frames.where(F.col("event_id") % 2 == arrival).drop("event_id").write.mode("append").parquet(inbox)
+        ids.where(F.col("late") if arrival else ~F.col("late")).drop("late").write.mode("append").parquet(schemas)
+        src = spark.readStream.schema("schema_id INT, schema_json STRING").parquet(schemas)
+        matched = match_late_schemas(file_frames(spark, inbox), src, salts=4)
+        with state_partitions(spark, spark.sparkContext.defaultParallelism):
+            q = (matched.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+                 .trigger(availableNow=True).start())
+        q.awaitTermination()
+    name = F.get_json_object("schema_json", "$.name")
+    return spark.read.schema(MATCHED).parquet(out).select(F.col("src_offset").alias("event_id"), "reason", "schema_id", name.alias("schema_name"))
+
+
 def avro_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots → Avro payload → framed message → frame parse, schema lookup,
     Avro decode → snapshots again (D4 D7 K5)."""
@@ -526,6 +548,7 @@ def queries() -> dict[str, Query]:
         "frame_parse": frame_parse,
         "schema_lookup": schema_lookup,
         "schema_lookup_table_ids": schema_lookup_table_ids,
+        "late_schemas": late_schemas,
         "avro_round_trip": avro_round_trip,
         "procstat_parse": procstat_parse,
         "elevation_feet": elevation_feet,
