@@ -16,4 +16,4 @@ def barrier(df: DataFrame) -> DataFrame:
     filters. Narrow and codegen'd: no shuffle, no materialisation.
     """
     cols = df.columns
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in cols]))))
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))))
