@@ -4,8 +4,9 @@ Lines are exploded in normalised form, hashed (128 bits), and the distinct
 documents of each hash counted; lines over the threshold go from every
 document but the one with the largest id, and each text is put together
 again by line position. Only (id, hash, position) is shuffled for the
-counting, aggregated before each shuffle; the texts move once, to meet their
-own list of dropped positions.
+counting, aggregated before each shuffle; the lines found most often are looked up
+in a broadcast table of bounded size. The texts move once, to meet their own
+list of dropped positions.
 
 Defined results: a null or empty text is one empty line and becomes the empty
 text. Rows with a null ``doc_id`` count as no document: they lose every line
@@ -18,10 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statflow.llm.common import SPACE, ascii_lower
+from statflow.llm.common import SPACE, ascii_lower, stage
 
 MIN_CHARS = 20
 MIN_DOCS = 3
+HOT_LINES = 1024
 
 
 def split_lines(text: Column) -> Column:
@@ -49,13 +51,20 @@ def dropped_positions(df: DataFrame, id_col: str, text_col: str, min_chars: int,
         F.unhex(F.md5("text")).alias("text_md5"),
         F.posexplode(F.transform(split_lines(F.col("text")), _line_hashes(min_chars))).alias("pos", "h"),
     ).where(F.col("h").isNotNull())
+    lines = stage(lines, "line-hashes")  # texts are split and hashed once
     shared = (
         lines.groupBy("h")
-        .agg(F.count_distinct("id").alias("docs"), F.max("id").alias("keeper"))
+        .agg(F.count_distinct("id").alias("docs"), F.max("id").alias("keeper"), F.count(F.lit(1)).alias("n"))
         .where(F.col("docs") >= min_docs)
-        .select("h", "keeper")
     )
-    lost = lines.join(shared, "h").where(~F.col("id").eqNullSafe(F.col("keeper")))
+    shared = stage(shared, "line-shared")
+    # The lines in the most places go by a broadcast table of ``HOT_LINES`` rows; any other
+    # line is in less than 1 / HOT_LINES of all places, so no task of the join gets a hot one.
+    hot = F.broadcast(shared.orderBy(F.desc("n"), "h").limit(HOT_LINES).select("h", F.col("keeper").alias("hot"), F.lit(True).alias("is_hot")))
+    marked = lines.join(hot, "h", "left")
+    light = marked.where(F.col("is_hot").isNull()).drop("hot", "is_hot").join(shared.select("h", "keeper"), "h")
+    both = marked.where("is_hot").drop("is_hot").withColumnRenamed("hot", "keeper").unionByName(light)
+    lost = both.where(~F.col("id").eqNullSafe(F.col("keeper")))
     return lost.groupBy("id", "text_md5").agg(F.collect_list("pos").alias("positions"))
 
 
@@ -90,7 +99,7 @@ def line_dedup(
         n = F.size("__lines").cast("long")
         extra = [F.struct(n.alias("n_lines"), (n - F.size("__kept")).alias("n_dropped")).alias(report)]
     columns = [
-        F.when(F.col("__lost").isNull(), text).otherwise(rebuilt).alias(c) if c == text_col else F.col(c) for c in df.columns
+        F.when(F.col("__lost").isNull(), text).otherwise(rebuilt).alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns
     ]
     return kept.select(*columns, *extra)
 

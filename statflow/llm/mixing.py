@@ -24,6 +24,7 @@ SEED = 20240601
 ALPHA = 0.5
 #: Means above this are drawn as sums of Poisson numbers with smaller means.
 MEAN_PER_DRAW = 32.0
+FEW_SOURCES = 1 << 16
 
 
 def _hash_int(digits: int, *parts: Column) -> Column:
@@ -96,11 +97,18 @@ def mix_sources(
     ``report`` names an extra struct column (copy, n_copies, rate, shuffle_key).
     """
     r = source_rates(docs, source_col, **rates).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
+    # One row per source: broadcast as long as they are few, so that documents don't move by source.
+    if r.count() <= FEW_SOURCES:
+        r = F.broadcast(r)
     joined = docs.join(r, F.col(source_col).eqNullSafe(F.col("__source")))
     counted = joined.withColumn("__n", copies(F.col("__rate"), seed, F.col(id_col))).where(F.col("__n") > 0)
     each = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
     keyed = each.withColumn("__key", _hash_int(15, F.lit(seed), F.lit("shuffle"), F.col(id_col), F.col("__copy")))
-    mixed = keyed.orderBy("__key", id_col, "__copy")
+    # The key is even over 60 bits, so its leading bits deal rows to equal parts in global
+    # order, without a pass to find bounds.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.shiftright(F.shiftright("__key", 28) * parts, 32).cast("int")
+    mixed = keyed.repartitionById(parts, part).sortWithinPartitions("__key", id_col, "__copy")
     extra = []
     if report:
         extra = [
@@ -111,4 +119,4 @@ def mix_sources(
                 F.col("__key").alias("shuffle_key"),
             ).alias(report)
         ]
-    return mixed.select(*docs.columns, *extra)
+    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], *extra)
