@@ -2,7 +2,7 @@
 
     python -m statflow job1    --frames DIR | --json DIR | --kafka HOST:PORT --topic T [--format json]
                                --registry DIR [--schema-id N] --out DIR --checkpoint DIR
-                               [--engine state|batchwise] [--sink parquet|json|kafka --out-kafka HOST:PORT --out-topic T]
+                               [--engine state|runs|batchwise] [--sink parquet|json|kafka --out-kafka HOST:PORT --out-topic T]
                                [--max-offsets N] [--max-files N] [--trigger "60 seconds"]
     python -m statflow job2    --json DIR | --kafka HOST:PORT --topic T  --out DIR --checkpoint DIR
                                [--max-offsets N] [--trigger "60 seconds"]
@@ -38,6 +38,7 @@ def job1(a) -> None:
     from statflow.sources.streams import file_frames, file_json, kafka_frames, kafka_json, read_schema_files
     from statflow.streaming import jobs as J
     from statflow.streaming.delta_batchwise import start_enrichment_batchwise
+    from statflow.streaming.delta_runs import start_runs, start_runs_metrics
 
     spark = _session()
     out, ck = a.out.rstrip("/"), a.checkpoint.rstrip("/")
@@ -58,17 +59,25 @@ def job1(a) -> None:
     else:
         J.await_folder(spark, split, first)
     good = J.split_part(spark, split, schema)
-    if a.engine == "batchwise":  # Parquet output under batch_id=<n>
+    kafka = {"kafka.bootstrap.servers": a.out_kafka, "topic": a.out_topic} if a.sink == "kafka" else None
+    started = [first]
+    if a.engine == "runs":  # hot hosts split into offset runs
+        runs = f"{out}_runs"
+        second = start_runs(good, runs, f"{ck}_runs", trigger=a.trigger)
+        started.append(second)
+        if a.trigger in (None, "availableNow"):
+            second.awaitTermination()
+        else:
+            J.await_folder(spark, runs, second)
+        q = start_runs_metrics(spark, runs, a.out, a.checkpoint, a.sink, a.trigger, kafka)
+    elif a.engine == "batchwise":  # Parquet output under batch_id=<n>
         q = start_enrichment_batchwise(good, a.out, f"{out}_state", a.checkpoint, trigger=a.trigger)
-    elif a.sink == "kafka":
-        kafka = {"kafka.bootstrap.servers": a.out_kafka, "topic": a.out_topic}
-        q = J.start_enrichment(good, a.out, a.checkpoint, sink_format="kafka", trigger=a.trigger, kafka=kafka)
     else:
-        q = J.start_enrichment(good, a.out, a.checkpoint, sink_format=a.sink, trigger=a.trigger)
+        q = J.start_enrichment(good, a.out, a.checkpoint, sink_format=a.sink, trigger=a.trigger, kafka=kafka)
     faults = J.split_faults(spark, split, schema, streaming=True)
     faults = faults.select(F.col("value").cast("binary").alias("value"), "reason", "src_partition", "src_offset")
     bad = J.start_faults(faults, f"{out}_quarantine", f"{ck}_quarantine", a.trigger)
-    J.await_all([q, bad, first])
+    J.await_all([q, bad, *started])
 
 
 def job2(a) -> None:
@@ -140,7 +149,7 @@ def main(argv: list[str] | None = None) -> None:
     j1.add_argument("--out-kafka")
     j1.add_argument("--out-topic")
     j1.add_argument("--checkpoint", required=True)
-    j1.add_argument("--engine", choices=["state", "batchwise"], default="state")
+    j1.add_argument("--engine", choices=["state", "runs", "batchwise"], default="state")
     j1.add_argument("--sink", choices=["parquet", "json", "kafka"], default="parquet")
     j1.add_argument("--trigger")
     j2 = sub.add_parser("job2")

@@ -12,7 +12,7 @@ a Spark job whose work grows with ``events``:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statflow.schemas import CPU_COUNTERS
@@ -108,6 +108,20 @@ def with_arrival_offsets(snaps: DataFrame) -> DataFrame:
     )
 
 
+def with_dense_offsets(snaps: DataFrame, partition: Column) -> DataFrame:
+    """Broker-style positions in several partitions: offsets count up from 0
+    without gaps in (timestamp, user) order. Rows are numbered inside a day and
+    partition; what came before a day is a running sum over the daily counts."""
+    placed = snaps.withColumn("src_partition", partition.cast("int"))
+    day = Window.partitionBy("src_partition", "timestamp")
+    before = Window.partitionBy("src_partition").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, -1)
+    days = placed.groupBy("src_partition", "timestamp").agg(F.count(F.lit(1)).alias("n"))
+    starts = days.select("src_partition", "timestamp", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    numbered = placed.withColumn("src_offset", F.row_number().over(day.orderBy("src_offset")) - 1)
+    joined = numbered.join(starts, ["src_partition", "timestamp"])
+    return joined.withColumn("src_offset", F.col("start") + F.col("src_offset")).select(*snaps.columns)
+
+
 # Offsets of one fixture day (see with_arrival_offsets).
 OFFSETS_PER_DAY = 86_400 * 1_000_000_000
 

@@ -113,6 +113,17 @@ DEFAULT_KEY = _metric_rows(_CUMULATIVE, hostless_every=10)
 # Every snapshot without a host: one sequence in (time, user) order.
 ALL_UNKNOWN = _metric_rows(_CUMULATIVE, hostless_every=1)
 
+# Half of the users without a host, in two partitions: one sequence per host and partition.
+HOT_STREAM_DELTA = (
+    "SELECT * REPLACE (split_part(hostname, '/', 1) AS hostname) FROM ("
+    + _metric_rows(
+        _CUMULATIVE,
+        host="CASE WHEN user_id % 2 = 0 THEN 'unknown/' || CAST((user_id // 2) % 2 AS VARCHAR) "
+        "ELSE 'host-' || CAST(user_id AS VARCHAR) END",
+    )
+    + ")"
+)
+
 # Snapshots as JSON, with odd hosts and counters: see queries.snapshot_documents.
 _JSON_FAULT = "(ts_ms // 86400000 + user_id) % 17"
 _JSON_HOST = """CASE WHEN user_id % 10 IN (0, 1) THEN 'unknown' WHEN user_id % 10 = 2 THEN CAST(user_id AS VARCHAR)
@@ -362,6 +373,7 @@ def oracle_sql() -> dict[str, str]:
         "hour_bucket": HOUR_BUCKET,
         "stream_delta": COUNTER_DELTA,
         "stream_delta_batchwise": COUNTER_DELTA,
+        "hot_stream_delta": HOT_STREAM_DELTA,
         "archive_round_trip": ARCHIVE_ROUND_TRIP,
         "frame_parse": FRAME_PARSE,
         "schema_lookup": SCHEMA_LOOKUP,

@@ -38,11 +38,13 @@ from statflow.plans.fixtures import (
     snapshots,
     table,
     with_arrival_offsets,
+    with_dense_offsets,
 )
 from statflow.schemas import SNAPSHOT, SNAPSHOT_AVRO_SCHEMA
 from statflow.session import scratch_path
 from statflow.sources.streams import file_frames
 from statflow.sources.streams import peek as peek_frames
+from statflow.streaming.delta_runs import drain_runs
 from statflow.streaming.late_schemas import MATCHED, match_late_schemas
 from statflow.streaming.jobs import (
     archive_replay,
@@ -57,8 +59,6 @@ from statflow.streaming.jobs import (
     start_enrichment,
     start_split,
     start_publish,
-    start_wire_enrichment,
-    start_wire_quarantine,
     start_wire_split,
     state_partitions,
 )
@@ -143,6 +143,16 @@ def stream_delta_batchwise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_metrics(spark.read.parquet(sink).drop("batch_id"))
 
 
+def hot_stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 1 as a stream with half of all users on the ``unknown`` key, from two
+    partitions, in three arrivals with restarts: hot keys are split into offset
+    runs linked by their edges, so that no worker holds a whole key (A1 A5 A8 J1)."""
+    snaps = snapshots(table(spark, sf_dir, "events"), "cumulative", hostless_every=2)
+    placed = with_dense_offsets(written(snaps, "hot-snapshots"), F.floor(F.col("src_offset") / 2) % 2)
+    sink = replay(spark, placed, chunks=3, engine="runs")
+    return explode_metrics(spark.read.parquet(sink))
+
+
 def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job 2: JSON metrics → Parquet archive by hour bucket → read back."""
     arch = archive_replay(spark, fixture_metrics(spark, sf_dir))
@@ -406,20 +416,22 @@ def json_snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wire_stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Producer and job 1 as two chained streams (A7 K5 S3 A1): snapshots →
-    framed Avro files → decode + keyed state → metrics."""
+    """Producer and job 1 as chained streams (A7 K5 S3 A1): snapshots → framed
+    Avro files → decode → keyed state → metrics. All rows have one key, so the
+    state goes by offset runs."""
     from statflow.schemas import SNAPSHOT_ROW
 
-    snaps = with_arrival_offsets(snapshots(table(spark, sf_dir, "events"), "cumulative"))
-    stage, frames_path, sink = (scratch_path(spark, n) for n in ("wire-stage", "wire-frames", "wire-out"))
-    snaps.drop("hostname").write.parquet(stage)
+    snaps = written(snapshots(table(spark, sf_dir, "events"), "cumulative"), "wire-snapshots")
+    stage, frames_path, split, runs, sink = (
+        scratch_path(spark, f"wire-{n}") for n in ("stage", "frames", "split", "runs", "out"))
+    with_dense_offsets(snaps, F.lit(0)).drop("hostname").write.parquet(stage)
     src = spark.readStream.schema(SNAPSHOT_ROW).parquet(stage).drop("hostname")
     start_publish(src, SNAPSHOT_AVRO_SCHEMA, WIRE_SCHEMA_ID, frames_path,
                   scratch_path(spark, "wire-ck1")).awaitTermination()
-    with state_partitions(spark, spark.sparkContext.defaultParallelism):
-        q = start_wire_enrichment(file_frames(spark, frames_path), wire_registry(spark), sink,
-                                  scratch_path(spark, "wire-ck2"))
-    q.awaitTermination()
+    start_wire_split(file_frames(spark, frames_path), wire_registry(spark), split,
+                     scratch_path(spark, "wire-ck2")).awaitTermination()
+    drain_runs(split_part(spark, split, WIRE_SPLIT), runs, sink,
+               scratch_path(spark, "wire-ck3"), scratch_path(spark, "wire-ck4"))
     return explode_metrics(spark.read.parquet(sink))
 
 
@@ -519,16 +531,13 @@ def wire_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "error", F.concat(F.unhex(F.lit("01")), full.substr(F.lit(2), F.octet_length(full))))
         .otherwise(full)
     )
-    frames_path, sink, bad, ck1, ck2 = (
-        scratch_path(spark, f"wire-quarantine-{n}") for n in ("in", "out", "bad", "ck1", "ck2"))
+    frames_path, split, runs, sink, ck1, ck2, ck3 = (
+        scratch_path(spark, f"wire-quarantine-{n}") for n in ("in", "split", "runs", "out", "ck1", "ck2", "ck3"))
     enc = encode_payloads(snaps, SNAPSHOT_AVRO_SCHEMA, [f.name for f in SNAPSHOT.fields])
     enc.select(value.alias("value"), F.lit(0).alias("src_partition"), "src_offset").write.parquet(frames_path)
-    frames, reg = file_frames(spark, frames_path), wire_registry(spark)
-    with state_partitions(spark, spark.sparkContext.defaultParallelism):
-        q = start_wire_enrichment(frames, reg, sink, ck1)
-    await_all([q, start_wire_quarantine(frames, reg, bad, ck2)])
-    left = spark.read.schema("reason STRING, src_offset LONG").parquet(bad)
-    left = left.select(F.col("src_offset").alias("event_id"), "reason")
+    start_wire_split(file_frames(spark, frames_path), wire_registry(spark), split, ck1).awaitTermination()
+    drain_runs(split_part(spark, split, WIRE_SPLIT), runs, sink, ck2, ck3)
+    left = split_faults(spark, split, WIRE_SPLIT).select(F.col("src_offset").alias("event_id"), "reason")
     good = spark.read.parquet(sink).select(F.col("timestamp").alias("event_id"), F.lit(None).cast("string").alias("reason"))
     return good.unionByName(left)
 
@@ -544,6 +553,7 @@ def queries() -> dict[str, Query]:
         "hour_bucket": hour_bucket,
         "stream_delta": stream_delta,
         "stream_delta_batchwise": stream_delta_batchwise,
+        "hot_stream_delta": hot_stream_delta,
         "archive_round_trip": archive_round_trip,
         "frame_parse": frame_parse,
         "schema_lookup": schema_lookup,

@@ -309,16 +309,18 @@ def replay(
     """Feed a snapshot table to job 1 in ``chunks`` arrivals by time, restarting
     the query from its checkpoint after each one; returns the sink path.
     ``engine``: ``state`` (keyed state via applyInPandasWithState), ``tws``
-    (keyed state via transformWithStateInPandas) or ``batchwise``
-    (``foreachBatch`` + the batch operator).
+    (keyed state via transformWithStateInPandas), ``batchwise``
+    (``foreachBatch`` + the batch operator) or ``runs`` (keyed state over
+    offset runs, ordered by partition and offset whatever ``order`` says).
 
     Used to check that the stream gives the batch rows, restarts included.
     The chunk bounds come from one tiny aggregate (min and max time).
     """
     from statflow.schemas import SNAPSHOT_ROW
 
-    stage, src, sink, ck, state = (
-        scratch_path(spark, n) for n in ("replay-stage", "replay-in", "replay-out", "replay-ck", "replay-state")
+    stage, src, sink, ck, ck2, state = (
+        scratch_path(spark, n)
+        for n in ("replay-stage", "replay-in", "replay-out", "replay-ck", "replay-ck2", "replay-state")
     )
 
     def run_once() -> None:
@@ -327,6 +329,10 @@ def replay(
             from statflow.streaming.delta_batchwise import start_enrichment_batchwise
 
             start_enrichment_batchwise(stream, sink, state, ck, order).awaitTermination()
+        elif engine == "runs":
+            from statflow.streaming.delta_runs import drain_runs
+
+            drain_runs(stream, state, sink, ck, ck2)
         else:
             api = "tws" if engine == "tws" else "group_state"
             with state_partitions(spark, spark.sparkContext.defaultParallelism):
