@@ -5,7 +5,7 @@
                                [--engine state|runs|batchwise] [--sink parquet|json|kafka --out-kafka HOST:PORT --out-topic T]
                                [--max-offsets N] [--max-files N] [--trigger "60 seconds"]
     python -m statflow job2    --json DIR | --kafka HOST:PORT --topic T  --out DIR --checkpoint DIR
-                               [--max-offsets N] [--trigger "60 seconds"]
+                               [--max-offsets N] [--target-mb N] [--trigger "60 seconds"]
     python -m statflow publish --dumps DIR --out DIR [--schema-id 1]
     python -m statflow places  --addresses CSV --destinations JSON --geocode DIR --elevation DIR
                                --routes DIR --out DIR [--as-of YYYY-MM-DD] [--overwrite]
@@ -82,10 +82,14 @@ def job1(a) -> None:
 
 def job2(a) -> None:
     from statflow.sources.streams import file_json, kafka_json
+    from statflow.streaming.archive import start_sized_archive
     from statflow.streaming.jobs import await_all, start_archive, start_archive_quarantine
 
     spark = _session()
     lines = kafka_json(spark, a.kafka, a.topic, max_offsets=a.max_offsets) if a.kafka else file_json(spark, a.json)
+    if a.target_mb:  # one parse, files of a bounded size
+        sized = start_sized_archive(lines, a.out, a.out.rstrip("/") + "_quarantine", a.checkpoint, a.target_mb << 20, a.trigger)
+        return await_all([sized])
     q = start_archive(lines, a.out, a.checkpoint, trigger=a.trigger)
     bad = start_archive_quarantine(lines, a.out.rstrip("/") + "_quarantine",
                                    a.checkpoint.rstrip("/") + "_quarantine", trigger=a.trigger)
@@ -157,6 +161,7 @@ def main(argv: list[str] | None = None) -> None:
     j2.add_argument("--kafka")
     j2.add_argument("--topic")
     j2.add_argument("--max-offsets", type=int)
+    j2.add_argument("--target-mb", type=int)
     j2.add_argument("--out", required=True)
     j2.add_argument("--checkpoint", required=True)
     j2.add_argument("--trigger")

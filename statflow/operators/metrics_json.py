@@ -9,6 +9,8 @@ job (the reference throws on a missing field).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,9 +81,9 @@ def _lenient(value: Column) -> tuple[Column, Column]:
     return parsed, reason
 
 
-def metrics_from_json(lines: DataFrame, coerce: bool = False) -> DataFrame:
+def metrics_from_json(lines: DataFrame, coerce: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """``value STRING`` → ``hostname, timestamp, time_delta_ms, cpu_metrics,
-    reason, value``; ``reason`` is null for good rows. Split with
+    reason, value`` and the columns to ``keep``; ``reason`` is null for good rows. Split with
     ``split_good_bad`` or filter on ``reason``."""
     parsed, reason = (_lenient if coerce else _strict)(F.col("value"))
     # The barrier keeps a later filter on ``reason`` from re-parsing the JSON.
@@ -92,6 +94,7 @@ def metrics_from_json(lines: DataFrame, coerce: bool = False) -> DataFrame:
         parsed["cpu_metrics"].alias("cpu_metrics"),
         reason.alias("reason"),
         F.col("value"),
+        *keep,
     ))
 
 
@@ -128,7 +131,8 @@ def read_archive(spark, path: str, buckets: list[str] | None = None, layout: str
     else:
         schema = T.StructType(list(METRICS.fields) + [T.StructField("hostname", T.StringType(), True),
                                                         T.StructField("bucket", T.StringType(), True)])
-        df = spark.read.schema(schema).parquet(path)
+        # Batches of a size-bounded archive have folders of their own below the hour.
+        df = spark.read.schema(schema).parquet(path).select(*schema.names)
     if buckets:
         df = df.where(F.col("bucket").isin(buckets))
     return df

@@ -212,6 +212,9 @@ SELECT *, strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d--%H') AS bucket
 FROM ({COUNTER_DELTA})
 """
 
+# The JSON between the jobs has no host.
+JOB_CHAIN = f"SELECT * EXCLUDE (hostname) FROM ({ARCHIVE_ROUND_TRIP})"
+
 
 _FRAME_REASON = """CASE WHEN event_type = 'signup' THEN 'short_frame'
             WHEN event_type = 'error' THEN 'bad_magic' END"""
@@ -375,6 +378,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_delta_batchwise": COUNTER_DELTA,
         "hot_stream_delta": HOT_STREAM_DELTA,
         "archive_round_trip": ARCHIVE_ROUND_TRIP,
+        "job_chain": JOB_CHAIN,
         "frame_parse": FRAME_PARSE,
         "schema_lookup": SCHEMA_LOOKUP,
         "schema_lookup_table_ids": SCHEMA_LOOKUP,

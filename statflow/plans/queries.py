@@ -42,8 +42,9 @@ from statflow.plans.fixtures import (
 )
 from statflow.schemas import SNAPSHOT, SNAPSHOT_AVRO_SCHEMA
 from statflow.session import scratch_path
-from statflow.sources.streams import file_frames
+from statflow.sources.streams import file_frames, file_json
 from statflow.sources.streams import peek as peek_frames
+from statflow.streaming.archive import start_sized_archive
 from statflow.streaming.delta_runs import drain_runs
 from statflow.streaming.late_schemas import MATCHED, match_late_schemas
 from statflow.streaming.jobs import (
@@ -160,6 +161,30 @@ def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("hostname", "timestamp", "time_delta_ms", "bucket", F.inline("cpu_metrics"))
 
 
+#: JSON bytes a file of the chain's archive is made of; small, so that hours of the test tables get several.
+CHAIN_TARGET = 1 << 16
+
+
+def job_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Producer, job 1 and job 2 as one chain of streams: snapshots → framed Avro
+    keyed by host → decode → keyed state → JSON lines → archive in files of a
+    bounded size → read back (K5 S3 D1–D7 A1 A7 K1 K2 K3 S4 S13)."""
+    from statflow.schemas import SNAPSHOT_ROW
+
+    stage, frames, split, lines, arch, bad, *cks = (
+        scratch_path(spark, f"chain-{n}") for n in ("in", "frames", "split", "lines", "out", "bad", "ck1", "ck2", "ck3", "ck4"))
+    with_arrival_offsets(snapshots(table(spark, sf_dir, "events"), "cumulative")).write.parquet(stage)
+    src = spark.readStream.schema(SNAPSHOT_ROW).parquet(stage)
+    start_publish(src, SNAPSHOT_AVRO_SCHEMA, WIRE_SCHEMA_ID, frames, cks[0]).awaitTermination()
+    keyed = file_frames(spark, frames, keyed=True)
+    start_wire_split(keyed, wire_registry(spark), split, cks[1]).awaitTermination()
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+        q = start_enrichment(split_part(spark, split, WIRE_SPLIT), lines, cks[2], sink_format="json")
+    q.awaitTermination()
+    start_sized_archive(file_json(spark, lines), arch, bad, cks[3], CHAIN_TARGET).awaitTermination()
+    return read_archive(spark, arch).select("timestamp", "time_delta_ms", "bucket", F.inline("cpu_metrics"))
+
+
 def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One framed message per event: schema id = user id, payload = the props
     bytes; ``error`` events carry a bad magic byte, ``signup`` events are cut
@@ -555,6 +580,7 @@ def queries() -> dict[str, Query]:
         "stream_delta_batchwise": stream_delta_batchwise,
         "hot_stream_delta": hot_stream_delta,
         "archive_round_trip": archive_round_trip,
+        "job_chain": job_chain,
         "frame_parse": frame_parse,
         "schema_lookup": schema_lookup,
         "schema_lookup_table_ids": schema_lookup_table_ids,
