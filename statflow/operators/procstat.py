@@ -19,6 +19,8 @@ whole-stage codegen. Rules:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,6 +114,63 @@ def parse_dumps(dumps: DataFrame) -> DataFrame:
     )
 
 
+def find_bad_line(bad: DataFrame, text: str = "text") -> DataFrame:
+    """Dumps that ``parse_dumps`` set aside, with their ``text`` → the same rows
+    with ``line_no`` (from 1, blank lines counted) and ``line``: the first line that
+    made the dump bad, null for a dump without text. A named line that a later one
+    of its kind overrides makes nothing bad. Costs are paid for bad dumps only."""
+    lines = F.transform(
+        F.split(text, "\n"),
+        lambda ln, i: F.struct(
+            (i + 1).cast("long").alias("line_no"),
+            ln.alias("line"),
+            F.array_remove(F.split(F.regexp_replace(ln, r"[ \t\r\f\x0B]+", " "), " "), "").alias("t"),
+        ),
+    )
+    numbered = barrier(bad.withColumn("__lines", lines))
+
+    def not_long(token: Column) -> Column:
+        return token.isNull() | token.try_cast("long").isNull()
+
+    def wrong(x: Column) -> Column:
+        head, t = F.get(x["t"], 0), x["t"]
+        short = reduce(lambda a, b: a | b, [not_long(F.get(t, i + 1)) for i in range(len(CPU_COUNTERS))])
+        rest = F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))
+        listed = head.isin("intr", "softirq") & F.exists(rest, not_long)
+        scalar = head.isin(*SCALAR_FIELDS) & not_long(F.get(t, 1))
+        last = ~F.exists("__lines", lambda y: (y["line_no"] > x["line_no"]) & (F.get(y["t"], 0) == head))
+        return (head.rlike(CPU_LINE) & short) | ((listed | scalar) & last)
+
+    first = F.get(F.filter("__lines", lambda x: F.coalesce(wrong(x), F.lit(False))), 0)
+    return numbered.withColumns({"line_no": first["line_no"], "line": first["line"]}).drop("__lines")
+
+
+#: Between the captures of a log. No line of a dump looks like it.
+CAPTURE_END = "\n----\n"
+
+
+def write_dump_log(dumps: DataFrame, path: str) -> None:
+    """``hostname, timestamp, text`` → log files, many captures in each: a line with
+    host and time, then the dump. Far fewer files than one a capture, and they split."""
+    head = F.concat_ws("\t", F.coalesce("hostname", F.lit("")), F.col("timestamp").cast("string"))
+    capture = F.concat_ws("\n", head, F.col("text"))
+    dumps.select(capture.alias("value")).write.option("lineSep", CAPTURE_END).text(path)
+
+
+def read_dump_log(spark, path: str) -> DataFrame:
+    """Log files → ``hostname, timestamp, text`` (S5, P8). An empty host is null; a
+    capture without a readable time has a null timestamp, one without a dump a null text."""
+    capture = spark.read.option("lineSep", CAPTURE_END).text(path)
+    head = F.substring_index("value", "\n", 1)
+    host = F.substring_index(head, "\t", 1)
+    text = F.substring(F.col("value"), F.length(head) + 2, F.length("value"))
+    return capture.select(
+        F.when(host != "", host).alias("hostname"),
+        F.when(F.contains(head, F.lit("\t")), F.substring_index(head, "\t", -1)).try_cast("long").alias("timestamp"),
+        F.when(F.length(head) < F.length("value"), text).alias("text"),
+    )
+
+
 def render_dump(snapshot_cols: dict[str, Column] | None = None) -> Column:
     """Snapshot columns → ``/proc/stat``-style text (the inverse of
     ``parse_dumps``), e.g. to replay stored snapshots through the parser."""

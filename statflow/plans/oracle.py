@@ -275,6 +275,27 @@ FROM ({AVRO_ROUND_TRIP})
 """
 
 
+# Damage of a dump, by day and user: see queries.damaged_dumps.
+DUMP_LOG = f"""
+WITH {_DAILY},
+{_CUMULATIVE},
+dumps AS (
+  SELECT user_id, ts_ms, (ts_ms // 86400000 + user_id) % 7 AS k, count(*) AS n, sum(c_user) AS total_user,
+         sum(c_softirq) AS softirq, sum(c_system) AS ctxt, min_by(c_user, id) AS first_user
+  FROM cpu GROUP BY user_id, ts_ms
+)
+SELECT 'host-' || CAST(user_id AS VARCHAR) AS hostname, ts_ms AS timestamp,
+       CASE WHEN k IN (0, 1, 5) THEN 'bad_line' END AS reason,
+       CAST(CASE k WHEN 0 THEN 2 WHEN 1 THEN n + 3 WHEN 5 THEN n + 9 END AS BIGINT) AS line_no,
+       CASE k WHEN 0 THEN 'cpu0 ' || CAST(first_user AS VARCHAR) WHEN 1 THEN 'intr x' WHEN 5 THEN 'softirq 1 z' END AS line,
+       CASE WHEN k NOT IN (0, 1, 5) THEN CAST(n + 1 AS BIGINT) END AS n_cpus,
+       CASE WHEN k NOT IN (0, 1, 5) THEN CAST(total_user AS BIGINT) END AS total_user,
+       CASE WHEN k NOT IN (0, 1, 5) THEN CAST(softirq AS BIGINT) END AS softirq,
+       CASE WHEN k NOT IN (0, 1, 5) THEN CAST(ctxt AS BIGINT) END AS ctxt
+FROM dumps
+"""
+
+
 ELEVATION_FEET = """
 SELECT s_name AS address,
        CASE WHEN s_acctbal >= 0 THEN CAST(floor(s_acctbal * 3.28084::DOUBLE) AS BIGINT) END AS elevation_ft
@@ -385,6 +406,7 @@ def oracle_sql() -> dict[str, str]:
         "late_schemas": LATE_SCHEMAS,
         "avro_round_trip": AVRO_ROUND_TRIP,
         "procstat_parse": PROCSTAT_PARSE,
+        "dump_log": DUMP_LOG,
         "elevation_feet": ELEVATION_FEET,
         "travel_matrix": TRAVEL_MATRIX,
         "missing_routes": MISSING_ROUTES,

@@ -17,7 +17,7 @@ from statflow.operators import places as P
 from statflow.operators.cpu_delta import enrich, explode_metrics
 from statflow.operators.metrics_json import hour_bucket as hour_bucket_col
 from statflow.operators.metrics_json import metrics_from_json, metrics_to_json, read_archive, split_good_bad
-from statflow.operators.procstat import parse_dumps, render_dump
+from statflow.operators.procstat import find_bad_line, parse_dumps, read_dump_log, render_dump, write_dump_log
 from statflow.operators.snapshot_json import snapshots_from_json
 from statflow.operators.wire import (
     decode_frames,
@@ -40,7 +40,7 @@ from statflow.plans.fixtures import (
     with_arrival_offsets,
     with_dense_offsets,
 )
-from statflow.schemas import SNAPSHOT, SNAPSHOT_AVRO_SCHEMA
+from statflow.schemas import CPU_COUNTERS, SNAPSHOT, SNAPSHOT_AVRO_SCHEMA
 from statflow.session import scratch_path
 from statflow.sources.streams import file_frames, file_json
 from statflow.sources.streams import peek as peek_frames
@@ -276,6 +276,49 @@ def procstat_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.inline("cpus"))
 
 
+def damaged_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots as /proc/stat text with a ``cpu`` line of totals, by (day + user)
+    modulo 7: a short CPU line, an ``intr`` or a ``softirq`` without numbers, a bad
+    ``ctxt`` that a later line overrides, a blank line; the rest is whole."""
+    snaps = snapshots(table(spark, sf_dir, "events"), "cumulative")
+
+    def total_of(counter: str):
+        return F.aggregate("cpus", F.lit(0).cast("long"), lambda acc, c: acc + c[counter]).alias(counter)
+
+    total = F.struct(F.lit("cpu").alias("id"), *[total_of(c) for c in CPU_COUNTERS])
+    cpus = F.transform("cpus", lambda c, i: c.withField("id", F.concat(F.lit("cpu"), i.cast("string"))))
+    rendered = F.split(render_dump({"cpus": F.concat(F.array(total), cpus)}), "\n")
+    n, k = F.size("cpus"), (F.floor(F.col("timestamp") / 86_400_000) + F.col("src_offset")) % 7
+    head, rest = F.slice(rendered, 1, n + 1), F.slice(rendered, n + 2, F.size(rendered))
+    whole = F.concat(head, F.array(F.lit("cpuidle 3")), rest)
+    at = F.when(k == 0, 1).when(k == 1, n + 2).when(k == 5, n + 8)
+    bad = F.when(k == 0, F.concat(F.lit("cpu0 "), F.get("cpus", 0)["user"].cast("string"))).when(k == 1, "intr x").otherwise("softirq 1 z")
+    hurt = F.transform(whole, lambda ln, i: F.when(i.eqNullSafe(at), bad).otherwise(ln))
+    first = F.when(k == 2, F.array(F.lit("ctxt none"))).when(k == 3, F.array(F.lit(" "))).otherwise(F.array().cast("array<string>"))
+    return snaps.select("hostname", "timestamp", F.array_join(F.concat(first, hurt), "\n").alias("text"))
+
+
+def dump_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures written to log files and scanned back: total line, softirq and
+    scalars of good dumps, line number and content of bad ones (S5 P1–P9 G4 E12 K8)."""
+    path = scratch_path(spark, "dump-log")
+    write_dump_log(damaged_dumps(spark, sf_dir), path)
+    parsed = parse_dumps(read_dump_log(spark, path).withColumn("raw", F.col("text")))
+    kept = ["hostname", "timestamp", "reason"]
+    total = F.get(F.filter("cpus", lambda c: c["id"] == "cpu"), 0)
+    good = parsed.where(F.col("reason").isNull()).select(
+        *kept,
+        F.lit(None).cast("long").alias("line_no"),
+        F.lit(None).cast("string").alias("line"),
+        F.size("cpus").cast("long").alias("n_cpus"),
+        total["user"].alias("total_user"),
+        F.aggregate("softirq", F.lit(0).cast("long"), lambda acc, x: acc + x).alias("softirq"),
+        "ctxt",
+    )
+    bad = find_bad_line(parsed.where(F.col("reason").isNotNull()), "raw").select(*kept, "line_no", "line")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 def _places(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return P.enrich_addresses(
         place_addresses(spark, sf_dir),
@@ -587,6 +630,7 @@ def queries() -> dict[str, Query]:
         "late_schemas": late_schemas,
         "avro_round_trip": avro_round_trip,
         "procstat_parse": procstat_parse,
+        "dump_log": dump_log,
         "elevation_feet": elevation_feet,
         "travel_matrix": travel_matrix,
         "missing_routes": missing_routes,

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from statflow.operators.procstat import parse_dumps, read_dump_files, render_dump
+from statflow.operators.procstat import find_bad_line, parse_dumps, read_dump_files, read_dump_log, render_dump, write_dump_log
 
 DUMP = (
     "cpu  10 1 2 3 4 5 6 7 8 9\n"
@@ -63,3 +63,30 @@ def test_read_dump_files(spark, tmp_path):
     assert (r.hostname, r.timestamp, len(r.cpus)) == ("web01", 1700000000000, 2)
     assert os.path.exists(d)
     assert df.where(F.col("reason").isNotNull()).count() == 0
+
+
+def test_first_bad_line_is_found(spark):
+    cpu = "cpu0 1 2 3 4 5 6 7 8 9 10"
+    cases = [
+        ("short", f"{cpu}\n\ncpu1 1 2\ncpu2 x", (3, "cpu1 1 2")),
+        ("overridden", f"ctxt x\nintr 1 y\nctxt 5\nsoftirq 1\t z ", (2, "intr 1 y")),
+        ("no number", f"{cpu}\nbtime", (2, "btime")),
+        ("idle", "cpuidle x\nprocs_running -", (2, "procs_running -")),
+        ("null", None, (None, None)),
+        ("good", f"{cpu}\nctxt x\nctxt 5\n\n", None),
+        ("empty", "", None),
+    ]
+    rows = dumps(spark, [(name, 1, text) for name, text, _ in cases]).withColumn("raw", F.col("text"))
+    bad = find_bad_line(parse_dumps(rows).where("reason IS NOT NULL"), "raw").collect()
+    assert {r.hostname: (r.line_no, r.line) for r in bad} == {name: found for name, _, found in cases if found}
+    assert {r.hostname: r.reason for r in bad}["null"] == "null_text"
+
+
+def test_dump_log_round_trip(spark, tmp_path):
+    rows = [("h", 1, DUMP), (None, 2, "ctxt 1\n\n"), ("h", 1, DUMP), ("käse", 3, ""), ("x", 4, None)]
+    path = str(tmp_path / "log")
+    write_dump_log(dumps(spark, rows), path)
+    back = [tuple(r) for r in read_dump_log(spark, path).collect()]
+    assert sorted(back, key=repr) == sorted(rows, key=repr)
+    write_dump_log(dumps(spark, []), path + "0")
+    assert read_dump_log(spark, path + "0").count() == 0
