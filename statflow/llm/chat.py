@@ -43,7 +43,8 @@ PATCH_PIXELS = 14
 AUDIO_PER_SECOND = 25
 DOCUMENT_PER_PAGE = 256
 
-PARTS = "array<struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
+PART = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
+PARTS = f"array<{PART}>"
 FORMATTED = (
     "conv_id string, turn string, role string, formatted string, loss_start long, loss_end long, "
     "attachments array<struct<ordinal:int,type:string,ref:string,tokens:long>>, expanded_tokens long"
@@ -64,6 +65,9 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(lambda m: m[1] or m[0][0], text)
 
 
+# Placeholders of the output; those that texts spell out are escaped.
+_PLACEHOLDER = re.compile(re.escape(PLACEHOLDER_OPEN) + r"(\d+)>")
+
 # A doubled backslash is one; a backslash after the first character of a control string goes.
 _UNESCAPE = re.compile(r"\\(\\)|" + "|".join(re.escape(c[0]) + r"\\(?=" + re.escape(c[1:]) + ")" for c in CONTROL))
 
@@ -149,9 +153,10 @@ class _Digest:
 
     def __init__(self, conv_id):
         self.conv_id, self.turns, self.chars, self.loss_chars = conv_id, 0, 0, 0
-        self.all, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.all, self.loss, self.attached = hashlib.sha256(), hashlib.sha256(), hashlib.sha256()
+        self.attachments, self.tokens = 0, 0
 
-    def add(self, formatted: str, start: int, end: int) -> None:
+    def add(self, formatted: str, start: int, end: int, attachments: list[dict]) -> None:
         self.chars += len(formatted)
         for role, content in read_turns(formatted):
             self.turns += 1
@@ -159,24 +164,34 @@ class _Digest:
         masked = unescape(formatted[start:end])
         self.loss_chars += len(masked)
         self.loss.update(masked.encode("utf-8", "surrogatepass"))
+        for k in _PLACEHOLDER.findall(formatted) if PLACEHOLDER_OPEN in formatted else ():
+            found = attachments[int(k)]
+            self.attachments += 1
+            self.tokens += found["tokens"]
+            line = f"{found['type'] or ''}\t{found['ref'] or ''}\t{found['tokens']}\n"
+            self.attached.update(line.encode("utf-8", "surrogatepass"))
 
     def row(self) -> tuple:
-        return (self.conv_id, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars)
+        text = (self.conv_id, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars)
+        return (*text, self.attachments, self.tokens, self.attached.hexdigest())
 
 
-READ_BACK = "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+READ_BACK = (
+    "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
+    "n_attachments long, expanded_tokens long, attachments_sha256 string"
+)
 
 
 def _read_back(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in READ_BACK.split(", ")]
     now, rows = None, []
     for frame in frames:
-        for conv_id, formatted, start, end in frame.itertuples(index=False):
+        for conv_id, formatted, start, end, attachments in frame.itertuples(index=False):
             if now is None or now.conv_id != conv_id:
                 if now is not None:
                     rows.append(now.row())
                 now = _Digest(conv_id)
-            now.add(formatted, int(start), int(end))
+            now.add(formatted, int(start), int(end), attachments)
         yield pd.DataFrame(rows, columns=columns)
         rows = []
     if now is not None:
@@ -184,12 +199,15 @@ def _read_back(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """One row per conversation, from the formatted turns alone."""
-    ordered = formatted.select(F.col("conv_id"), "turn", "role", "formatted", "loss_start", "loss_end")
+    """One row per conversation, from the formatted turns and what was recorded of their
+    attachments. Each placeholder of the output is looked up by its number:
+    ``attachments_sha256`` runs over type, reference and tokens (tab, tab, line feed) in
+    the order of the output."""
+    ordered = formatted.select("conv_id", "turn", "role", "formatted", "loss_start", "loss_end", "attachments")
     return (
         ordered.repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "formatted")
-        .select(F.col("conv_id").cast("string"), "formatted", "loss_start", "loss_end")
+        .select(F.col("conv_id").cast("string"), "formatted", "loss_start", "loss_end", "attachments")
         .mapInPandas(_read_back, READ_BACK)
         .withColumn("conv_id", F.col("conv_id").cast("long"))
     )

@@ -104,6 +104,32 @@ FROM f
 
 
 
+# Turns with typed parts between the halves of their text: see queries.typed_parts.
+OP9_PARTS = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         conv_id::VARCHAR || '/' || turn::VARCHAR AS ref, (conv_id + turn) % 4 AS k FROM conversations),
+a AS (
+  SELECT *, (n % 40 + 1) * 8 AS image, CAST(ceil((n % 60) / 2.0 * 25) AS BIGINT) AS audio, n % 5 * 256 AS document,
+         substr(text, 1, n // 2) || CASE k WHEN 0 THEN '' WHEN 3 THEN '<part:0><part:1>' ELSE '<part:0>' END || substr(text, n // 2 + 1) AS content
+  FROM t),
+b AS (
+  SELECT *, CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END AS parts,
+         CASE k WHEN 0 THEN 0 WHEN 1 THEN image WHEN 2 THEN document ELSE audio + document END AS tokens,
+         CASE k WHEN 0 THEN '' WHEN 1 THEN 'image' || chr(9) || ref || chr(9) || image || chr(10)
+                WHEN 2 THEN 'document' || chr(9) || ref || chr(9) || document || chr(10)
+                ELSE 'audio' || chr(9) || ref || chr(9) || audio || chr(10) || 'document' || chr(9) || ref || chr(9) || document || chr(10) END AS listed
+  FROM a)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || content || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(content)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(content, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(parts)::BIGINT AS n_attachments, sum(tokens)::BIGINT AS expanded_tokens,
+       sha256(string_agg(listed, '' ORDER BY turn)) AS attachments_sha256
+FROM b GROUP BY conv_id
+"""
+
+
 def _op11() -> str:
     # CRC-32 of the decimal text, byte by byte, over the table of the reflected polynomial.
     return f"""
@@ -145,4 +171,4 @@ LEFT JOIN kids k ON k.node = n.node LEFT JOIN ends e ON e.node = n.node
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": OP1, "op3_warc": OP3, "op4_source_mix": _op4_documents(), "op4_source_mix_documents": _op4_documents(), "op5_quality_rules": _op5(), "op6_line_dedup": _op6(), "op11_prefix_trie": _op11()}
+    return {"op1_topk_search": OP1, "op3_warc": OP3, "op4_source_mix": _op4_documents(), "op4_source_mix_documents": _op4_documents(), "op5_quality_rules": _op5(), "op6_line_dedup": _op6(), "op9_chat_parts": OP9_PARTS, "op11_prefix_trie": _op11()}

@@ -69,6 +69,33 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns))
 
 
+def typed_parts(turns: DataFrame) -> DataFrame:
+    """Turns with their text cut in half and, by (conv_id + turn) modulo 4, nothing, an image,
+    a document, or an audio and a document part between the halves; sizes follow the text's length."""
+    text = F.coalesce("text", F.lit(""))
+    n, k = F.length(text), (F.col("conv_id") + F.col("turn")) % 4
+    half = F.floor(n / 2).cast("int")
+    ref = F.concat_ws("/", "conv_id", "turn")
+
+    def part(kind: str, **fields) -> F.Column:
+        names = ("text", "ref", "width", "height", "seconds", "pages")
+        return F.struct(F.lit(kind).alias("type"), *[fields.get(f, F.lit(None)).alias(f) for f in names])
+
+    image = part("image", ref=ref, width=14 * (n % 40) + 1, height=F.lit(100))
+    audio, document = part("audio", ref=ref, seconds=(n % 60) / 2), part("document", ref=ref, pages=n % 5)
+    halves = [F.array(part("text", text=x)).cast(chat.PARTS) for x in (F.substring(text, F.lit(1), half), F.substring(text, half + 1, n))]
+    none = F.array().cast(chat.PARTS)
+    between = F.when(k == 1, F.array(image).cast(chat.PARTS)).when(k == 2, F.array(document).cast(chat.PARTS))
+    between = F.coalesce(between.when(k == 3, F.array(audio.cast(chat.PART), document.cast(chat.PART))), none)
+    return turns.select("conv_id", "turn", "role", F.concat(halves[0], between, halves[1]).alias("parts"))
+
+
+def op9_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations with image, audio and document parts in their turns."""
+    found = chat.read_back(chat.format_conversations(typed_parts(_table(spark, sf_dir, "conversations"))))
+    return found.drop("formatted_chars")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -99,6 +126,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op7_token_counts,
             op8_lm_score,
             op9_chat_format,
+            op9_chat_parts,
             op10_packing,
             op11_prefix_trie,
             op12_whitening,

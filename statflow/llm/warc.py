@@ -16,14 +16,23 @@ Defined results: a null page is an empty payload. Payloads shorter than
 id's header and sorts after every other one as first of its group. Rows that
 repeat the smallest id of a group are all responses. An empty table gives no
 record. Extra columns are not archived.
+
+Archives of other writers: any ``WARC/<n>.<n>`` version, header names in any
+case and any white space after the colon, continuation lines, and block digests
+by SHA-1 (base 32 or hex), SHA-256 or MD5. ``headers`` are keyed by lower-case
+names; of a repeated header the last value counts. ``digest_ok`` is null where
+a record has no block digest, or one of another kind.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 from typing import BinaryIO, NamedTuple
 
 import pandas as pd
@@ -47,11 +56,14 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 RECORD = "archive string, position long, record_type string, headers map<string,string>, payload binary, digest_ok boolean"
 
 
+_VERSION = re.compile(rb"WARC/\d+\.\d+[ \t]*$")
+
+
 class Record(NamedTuple):
     position: int
     headers: dict[str, str]
     block: bytes
-    digest_ok: bool
+    digest_ok: bool | None
 
 
 # --- one archive ----------------------------------------------------------
@@ -64,6 +76,32 @@ def record_bytes(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return zipped.compress(b"\r\n".join(head)) + zipped.compress(block) + zipped.compress(b"\r\n\r\n") + zipped.flush()
 
 
+def parse_headers(lines: list[bytes]) -> dict[str, str]:
+    """Header lines → lower-case name to value; a line that starts with white space continues the one before."""
+    headers: dict[str, str] = {}
+    name = None
+    for line in lines:
+        text = line.decode("utf-8", "replace")
+        if text[:1] in (" ", "\t") and name is not None:
+            headers[name] = f"{headers[name]} {text.strip()}".strip()
+        else:
+            name, _, value = text.partition(":")
+            name = name.strip().lower()
+            headers[name] = value.strip()
+    return headers
+
+
+def digest_matches(labelled: str | None, block: bytes) -> bool | None:
+    """Whether a block has its digest (``sha1:…``); null if there is none to check."""
+    kind, _, want = (labelled or "").partition(":")
+    kind = kind.strip().lower().replace("-", "")
+    if kind not in ("sha1", "sha256", "md5"):
+        return None
+    found = hashlib.new(kind, block)
+    plain = base64.b32encode(found.digest()).decode().rstrip("=")
+    return want.strip().lower() == found.hexdigest() or want.strip().upper().rstrip("=") == plain
+
+
 def read_records(source: BinaryIO) -> Iterator[Record]:
     """The records of an archive, in order, from sequential reads of bounded size."""
     compressed = source.read(READ_BYTES)
@@ -77,11 +115,13 @@ def read_records(source: BinaryIO) -> Iterator[Record]:
             compressed = member.unused_data if member.eof else member.unconsumed_tail
             plain += data
             if headers is None and (end := plain.find(b"\r\n\r\n")) >= 0:
-                lines = bytes(plain[:end]).decode().split("\r\n")
-                if lines[0].encode() != VERSION:
+                lines = bytes(plain[:end]).split(b"\r\n")
+                if not _VERSION.match(lines[0]):
                     raise ValueError(f"not a record at {position}: {lines[0][:40]!r}")
-                headers = dict(line.split(": ", 1) for line in lines[1:])
-                start, length = end + 4, int(headers["Content-Length"])
+                headers = parse_headers(lines[1:])
+                if not headers.get("content-length", "").isdigit():
+                    raise ValueError(f"the record at {position} does not state its Content-Length")
+                start, length = end + 4, int(headers["content-length"])
             if not member.eof and not compressed:
                 compressed = source.read(READ_BYTES)
                 total += len(compressed)
@@ -90,8 +130,7 @@ def read_records(source: BinaryIO) -> Iterator[Record]:
         if headers is None or len(plain) != start + length + 4 or plain[start + length :] != b"\r\n\r\n":
             raise ValueError(f"the record at {position} does not have its Content-Length")
         block = bytes(plain[start : start + length])
-        ok = headers.get("WARC-Block-Digest") == "sha256:" + hashlib.sha256(block).hexdigest()
-        yield Record(position, headers, block, ok)
+        yield Record(position, headers, block, digest_matches(headers.get("warc-block-digest"), block))
         if not compressed:
             compressed = source.read(READ_BYTES)
             total += len(compressed)
@@ -111,11 +150,12 @@ def _write(folder: str):
         task = TaskContext.get()
         name = f"{root}/part-{task.partitionId():06d}.warc.gz"
         draft = f"{root}/.draft-{task.partitionId():06d}-{task.attemptNumber()}-{uuid.uuid4().hex[:8]}"
+        date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
         n = 0
         with fs.open_output_stream(draft, compression=None) as out:
             for frame in frames:
                 for page in frame.itertuples(index=False):
-                    out.write(_page_record(page))
+                    out.write(_page_record(page, date))
                     n += 1
         fs.move(draft, name)
         yield pd.DataFrame({"archive": [name], "records": [n]})
@@ -127,11 +167,11 @@ def _record_id(page_id: int | None) -> str:
     return f"<urn:page:{page_id}>" if page_id is not None else f"<urn:uuid:{uuid.uuid4()}>"
 
 
-def _page_record(page) -> bytes:
+def _page_record(page, date: str) -> bytes:
     payload = (page.html or "").encode("utf-8", "surrogatepass")
     revisit = not pd.isna(page.refers_to)
     block = b"" if revisit else payload
-    headers = [("WARC-Type", "revisit" if revisit else "response")]
+    headers = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Date", date)]
     page_id = None if pd.isna(page.page_id) else int(page.page_id)
     headers.append(("WARC-Record-ID", _record_id(page_id)))
     if page_id is not None:
@@ -177,7 +217,7 @@ def _read(folder_scheme: str):
                 rows, held = [], 0
                 with fs.open_input_stream(name, compression=None) as source:
                     for r in read_records(source):
-                        rows.append((name, r.position, r.headers.get("WARC-Type"), r.headers, r.block, r.digest_ok))
+                        rows.append((name, r.position, r.headers.get("warc-type"), r.headers, r.block, r.digest_ok))
                         held += len(r.block) + 1000
                         if held > 1 << 23:
                             yield _record_frame(rows)
@@ -205,13 +245,13 @@ def page_round_trip(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFra
     write_archives(pages, folder, min_revisit).write.parquet(listing)
     records = read_archives(spark, folder, spark.read.parquet(listing))
     h = F.col("headers")
-    digest = F.when(F.col("digest_ok"), F.substring_index(h["WARC-Payload-Digest"], ":", -1))
+    digest = F.when(F.col("digest_ok"), F.substring_index(h["warc-payload-digest"], ":", -1))
     return records.select(
-        h["X-Page-Id"].cast("long").alias("page_id"),
-        h["X-Payload-Length"].cast("long").alias("payload_bytes"),
+        h["x-page-id"].cast("long").alias("page_id"),
+        h["x-payload-length"].cast("long").alias("payload_bytes"),
         F.when((F.col("record_type") == "revisit") | (digest == F.sha2("payload", 256)), digest).alias("payload_digest"),
         "record_type",
-        F.regexp_extract(h["WARC-Refers-To"], r"^<urn:page:(-?\d+)>$", 1).try_cast("long").alias("refers_to"),
+        F.regexp_extract(h["warc-refers-to"], r"^<urn:page:(-?\d+)>$", 1).try_cast("long").alias("refers_to"),
         F.col("archive"),
         F.col("position"),
     )

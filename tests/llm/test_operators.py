@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import io
@@ -245,3 +246,44 @@ def test_source_mix_documents_carry_their_columns(spark):
     ids = queries.op4_source_mix(spark, SF).collect()
     assert got and [(r["doc_id"], r["copy"]) for r in got] == [(r["doc_id"], r["copy"]) for r in ids]
     assert all(r[c] == docs[r["doc_id"]][c] for r in got for c in ("text", "lang", "source", "n_chars"))
+
+
+def _member(text: bytes) -> bytes:
+    return gzip.compress(text)
+
+
+def test_warc_of_other_writers():
+    """Older versions, header names in any case, values without a space, folded lines, SHA-1 digests."""
+    block = b"hello"
+    sha1 = base64.b32encode(hashlib.sha1(block).digest())
+    data = (
+        _member(b"WARC/1.0\r\nwarc-type:warcinfo\r\ncontent-length:5\r\nX-Note: a\r\n\t b:c\r\n\r\nhello\r\n\r\n")
+        + _member(b"WARC/0.18\r\nWARC-Block-Digest: sha1:" + sha1 + b"\r\nCONTENT-LENGTH:  5\r\n\r\nhello\r\n\r\n")
+        + _member(b"WARC/1.1\r\nWARC-Block-Digest: sha1:AAAA\r\nContent-Length: 0\r\nX-Note: \xff\r\n\r\n\r\n\r\n")
+        + _member(b"WARC/1.1\r\nWARC-Block-Digest: crc:1\r\nContent-Length: 2\r\n\r\n\r\n\r\n\r\n")
+    )
+    read = list(warc.read_records(io.BytesIO(data)))
+    assert [(r.block, r.digest_ok) for r in read] == [(block, None), (block, True), (b"", False), (b"\r\n", None)]
+    assert read[0].headers == {"warc-type": "warcinfo", "content-length": "5", "x-note": "a b:c"}
+    for bad in (b"HTTP/1.1 200\r\nContent-Length: 0\r\n\r\n\r\n\r\n", b"WARC/1.0\r\nX: 1\r\n\r\n\r\n\r\n", b"WARC/1.0\r\nContent-Length: -1\r\n\r\n\r\n\r\n"):
+        with pytest.raises(ValueError):
+            list(warc.read_records(io.BytesIO(_member(bad))))
+
+
+def test_attachments_are_read_back(spark):
+    """Placeholders of the output lead to their attachments; texts that spell one out do not."""
+    part = lambda kind, **f: tuple([kind] + [f.get(n) for n in ("text", "ref", "width", "height", "seconds", "pages")])
+    rows = [
+        (1, 0, "user", None, [part("text", text="see <part:7>"), part("image", ref="a", width=28, height=15), part("text", text="!")]),
+        (1, 1, "assistant", "<part:0>", None),
+        (2, 0, "user", None, [part("audio", ref="b", seconds=1.5), part("document", pages=2), part("other"), None]),
+        (3, None, None, None, []),
+    ]
+    turns = spark.createDataFrame(rows, f"conv_id long, turn long, role string, text string, parts {chat.PARTS}")
+    got = {r["conv_id"]: r for r in chat.read_back(chat.format_conversations(turns)).collect()}
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    assert [(got[k]["n_attachments"], got[k]["expanded_tokens"]) for k in (1, 2, 3)] == [(1, 4), (3, 38 + 512), (0, 0)]
+    assert got[1]["attachments_sha256"] == digest("image\ta\t4\n")
+    assert got[2]["attachments_sha256"] == digest("audio\tb\t38\ndocument\t\t512\nother\t\t0\n")
+    assert got[1]["turns_sha256"] == digest("user\nsee <part:7><part:0>!\nassistant\n<part:0>\n")
+    assert got[1]["loss_sha256"] == digest("<part:0>") and got[3]["turns_sha256"] == digest("\n\n")
