@@ -147,3 +147,64 @@ def test_group_state_ttl_drops_idle_hosts(spark, ttl_ms):
     finally:
         q.stop()
     assert spark.read.parquet(sink).count() == (1 if ttl_ms is None else 0)
+
+
+def test_hosts_share_buckets_of_state(spark):
+    """40 hosts in 3 buckets: three state rows, and the rows of the batch operator over restarts."""
+    from conftest import cpu, snapshot_df
+    from statflow.operators.cpu_delta import enrich, explode_metrics
+    from statflow.functions.counters import metrics_record
+    from statflow.streaming.delta_state import paired_stream
+
+    rows = [(f"h{i % 40}" if i % 40 else None, 1000 * i, [cpu("cpu0", i, idle=i * i)], i) for i in range(120)]
+    src, sink, ck = (scratch_path(spark, f"buckets-{n}") for n in ("in", "out", "ck"))
+    for a, b in ((0, 50), (50, 55), (55, 120)):
+        snapshot_df(spark, rows[a:b]).write.mode("append").parquet(src)
+        paired = paired_stream(spark.readStream.schema(SNAPSHOT_ROW).parquet(src), buckets=3)
+        metrics = paired.where("prev IS NOT NULL").select("hostname", *metrics_record("prev"))
+        q = (metrics.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == 3
+    got = explode_metrics(spark.read.parquet(sink))
+    want = explode_metrics(enrich(snapshot_df(spark, rows), order=("src_partition", "src_offset"), bucket="auto"))
+    assert got.count() == want.count() == 80
+    assert got.exceptAll(want).count() == 0
+
+
+def test_ttl_is_kept_per_host_of_a_bucket():
+    """A bucket's timeout drops its idle hosts only, and comes again for the others."""
+    import pandas as pd
+    from statflow.streaming.delta_state import _pairing_with_group_state
+
+    class State:
+        hasTimedOut, now, value, timeout = False, 0, None, None
+        exists = property(lambda self: self.value is not None)
+        get = property(lambda self: self.value)
+
+        def getCurrentProcessingTimeMs(self):
+            return self.now
+
+        def update(self, value):
+            self.value = value
+
+        def remove(self):
+            self.value = None
+
+        def setTimeoutDuration(self, ms):
+            self.timeout = ms
+
+    def rows(*found):
+        return [pd.DataFrame(found, columns=["hostname", "timestamp", "cpus", "src_offset"])]
+
+    fn, state = _pairing_with_group_state(["src_offset"], 100), State()
+    (out,) = fn((0,), rows(("b", 2, "b2", 2), ("a", 1, "a1", 1)), state)
+    assert out["has_prev"].tolist() == [False, False] and state.timeout == 100
+    state.now = 60
+    (out,) = fn((0,), rows(("a", 3, "a3", 3), ("a", 4, "a4", 4)), state)
+    assert out["prev_cpus"].tolist() == ["a1", "a3"] and state.timeout == 40
+    state.now, state.hasTimedOut = 110, True
+    assert list(fn((0,), [], state)) == []
+    assert state.value[0] == ["a"] and state.timeout == 50
+    state.now = 200
+    assert list(fn((0,), [], state)) == [] and state.value is None
