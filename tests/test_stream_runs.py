@@ -117,3 +117,32 @@ def test_cli_runs_engine(spark, tmp_path):
     main(["job1", "--json", str(tmp_path / "in"), "--out", str(out), "--checkpoint", str(tmp_path / "ck"), "--engine", "runs"])
     rows = spark.read.parquet(str(out)).select("hostname", "timestamp", F.inline("cpu_metrics")).collect()
     assert [(r.hostname, r.user_pct, r.idle_pct) for r in rows] == [("a", 25.0, 75.0)]
+
+
+def test_one_group_serves_all_hosts_of_a_run():
+    """A run is one call of Python: each host is paired within it, whatever its chunks."""
+    columns = ["hostname", "src_offset", "timestamp", "cpus"]
+    rows = [("a", 1, 10, "a1"), ("b", 2, 20, "b2"), ("a", 3, 30, "a3"), ("b", 4, 40, "b4"), ("a", 5, 50, "a5")]
+    (run,) = _pair_run(None, _chunks(rows, columns), None)
+    assert run["hostname"].tolist() == ["a", "a", "a", "b", "b"]
+    assert run["opens"].tolist() == [True, False, False, True, False]
+    assert run["closes"].tolist() == [False, False, True, False, True]
+    assert [p and p["cpus"] for p in run["prev"]] == [None, "a1", "a3", None, "b2"]
+
+
+def test_one_sequence_over_all_partitions(spark):
+    """``by_partition=False``: the rows of the batch operator without a partition in the key."""
+    rows = _rows(60, [None, "h1", None], 3)
+    src, runs, sink, ck, ck2 = (scratch_path(spark, f"all-{n}") for n in ("in", "mid", "out", "ck", "ck2"))
+    _frame(spark, rows).write.parquet(src)
+    drain_runs(spark.readStream.schema(SNAPSHOT_ROW).parquet(src), runs, sink, ck, ck2, 4, by_partition=False)
+    got = explode_metrics(spark.read.parquet(sink))
+    want = explode_metrics(enrich(_frame(spark, rows), order=("src_partition", "src_offset"), bucket="auto"))
+    assert got.count() == want.count() > 0
+    assert _same(got, want)
+    # One CPU array goes through Python as a string, and comes back as it was.
+    from statflow.streaming.delta_state import pack_cpus, unpack_cpus
+
+    odd = _frame(spark, [(*_rows(1, ["h"], 1)[0][:2], cpus, *_rows(1, ["h"], 1)[0][3:]) for cpus in ([], [cpu('a"\u00e9\n', 1 << 62), cpu('', -1)])])
+    back = odd.select(unpack_cpus(pack_cpus("cpus")).alias("cpus"))
+    assert _same(back, odd.select("cpus")) and back.count() == 2
