@@ -76,3 +76,59 @@ def test_known_schemas_need_no_state(spark, tmp_path):
     register(spark, f"{tmp}/schemas", [(2, "two")])
     got, n = run(spark, tmp, known)
     assert {k: v[1] for k, v in got.items()} == {10: "one", 20: "two"} and n == 2
+
+
+def test_ids_share_a_key_of_the_state():
+    """One call serves a bucket of ids: a schema frees the messages of its id, a timer those that are due."""
+    import pandas as pd
+    from statflow.streaming import late_schemas as L
+
+    class Map(dict):
+        reads = 0
+
+        def getValue(self, key):
+            self.reads += 1
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+        def removeKey(self, key):
+            del self[key]
+
+        def iterator(self):
+            return iter(list(self.items()))
+
+    class Handle:
+        def __init__(self):
+            self.maps, self.timers = {}, []
+
+        def getMapState(self, name, key, value):
+            return self.maps.setdefault(name, Map())
+
+        def registerTimer(self, ms):
+            self.timers.append(ms)
+
+    class Now:
+        def __init__(self, ms):
+            self.getCurrentProcessingTimeInMs = self.getExpiryTimeInMs = lambda: ms
+
+    names = [c.split()[0] for c in L.ARRIVING.split(", ")]
+
+    def rows(*found):
+        full = [(0, 0, i, None if v is None else b"v", 0, v, b"p", None, s) for i, v, s in found]
+        return pd.DataFrame(full, columns=names)
+
+    def offsets(out):
+        return sorted((int(r.src_offset), r.reason, r.schema_json) for pdf in out for r in pdf.itertuples())
+
+    handle, processor = Handle(), L.ParkedMessages(100)
+    processor.init(handle)
+    first = [rows((1, 10, None), (2, 20, None), (3, None, "three")), rows((2, 21, None), (3, 30, None))]
+    assert offsets(processor.handleInputRows((0, 0), iter(first), Now(0))) == [(30, None, "three")]
+    assert handle.maps["ids"].reads == 3 and handle.timers == [100]  # one look an id and call
+    second = [rows((4, 40, None), (2, None, "two"), (2, None, "other"))]
+    assert offsets(processor.handleInputRows((0, 0), iter(second), Now(50))) == [(20, None, "other"), (21, None, "other")]
+    assert offsets(processor.handleExpiredTimer((0, 0), Now(100), Now(100))) == [(10, "unknown_schema", None)]
+    assert offsets(processor.handleExpiredTimer((0, 0), Now(150), Now(150))) == [(40, "unknown_schema", None)]
+    assert not handle.maps["parked"]
