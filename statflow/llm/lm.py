@@ -49,6 +49,8 @@ RATE = 0.1
 FOLDS, HELD_OUT = 7, 2
 #: Tokens that a task gathers before it runs the network over them.
 BLOCK_TOKENS = 4_000_000
+#: Words that a task looks up at once, whatever documents they are of.
+LOOKUP = 200_000
 #: Models that reach the driver, at most.
 TOP = 16
 #: The end token; no word holds a space.
@@ -63,8 +65,19 @@ SCORED = "row long, doc_id {id}, held_out boolean, n_tokens long, n_hot long, ba
 SYMBOL = np.dtype("<u2")
 
 
+class _Buckets(dict):
+    """The bucket of each ending of two bytes, filled as they come."""
+
+    def __missing__(self, ending: bytes) -> int:
+        self[ending] = found = zlib.crc32(ending) % MEMBERS
+        return found
+
+
+_BUCKETS = _Buckets()
+
+
 def bucket(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % MEMBERS
+    return _BUCKETS[word[-2:]]
 
 
 def bucket_column(word):
@@ -139,21 +152,67 @@ class Vocabulary:
     def base_log(self) -> float:
         return float(np.log10(self.n + self.v + 1))
 
-    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """(symbols, places of the hot words, the other words) of a text and its end token."""
-        n_symbols = CLASSES * MEMBERS
-        symbols, hot, cold = [], [], []
+    def read(self, texts: list[str | None]) -> dict[str, pa.Array]:
+        """The columns of ``READ`` from n_tokens on, for texts with their end tokens."""
+        n, n_symbols = len(texts), CLASSES * MEMBERS
+        n_tokens, n_hot, base, tail = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        symbols, cold = [np.zeros(0, SYMBOL)], {}
         find = self.words.get
-        for words in [*word_blocks(text), [END]]:
+
+        def look_up(words: list[bytes], rows: list[int], lengths: list[int]) -> None:
+            owner = np.repeat(rows, lengths)
             at = np.fromiter(map(find, words, repeat(-1)), np.int64, len(words))
             rare = np.nonzero(at < 0)[0]
             s = self.symbol[at] if len(self.symbol) else np.zeros(len(words), np.int32)
-            for i in rare:
-                cold.append(words[i])
-                s[i] = n_symbols + bucket(words[i])
-            symbols.append(s)
-            hot.append(at[at >= 0])
-        return np.concatenate(symbols), np.concatenate(hot), cold
+            found = [words[i] for i in rare]
+            buckets = np.fromiter((_BUCKETS[w[-2:]] for w in found), np.int64, len(found))
+            s[rare] = n_symbols + buckets
+            symbols.append(s.astype(SYMBOL))
+            by = owner[rare]
+            ends = np.nonzero(np.append(np.diff(by), 1))[0] + 1 if len(by) else []
+            first = 0
+            for end in ends:
+                cold.setdefault(int(by[first]), Counter()).update(found[first:end])
+                first = end
+            hot = at >= 0
+            of, at = owner[hot], at[hot]
+            n_tokens[:] += np.bincount(owner, minlength=n)
+            n_hot[:] += np.bincount(of, minlength=n)
+            base[:] += np.bincount(of, self.c_log[at], n)
+            tail[:] += np.bincount(of, self.tail_log[at], n) - np.bincount(by, self.bucket_log[buckets], n)
+
+        words, rows, lengths = [], [], []
+        for row, text in enumerate(texts):
+            for some in [*word_blocks(text), [END]]:
+                words += some
+                rows.append(row)
+                lengths.append(len(some))
+                if len(words) >= LOOKUP:
+                    look_up(words, rows, lengths)
+                    words, rows, lengths = [], [], []
+        if words:
+            look_up(words, rows, lengths)
+        width = SYMBOL.itemsize
+        starts = np.concatenate([[0], np.cumsum(n_tokens) * width]).astype(np.int64)
+        stored = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), n, [None, pa.py_buffer(starts), pa.py_buffer(np.concatenate(symbols))])
+        counters = [cold.get(row, ()) for row in range(n)]
+        pairs = pa.StructArray.from_arrays(
+            [
+                pa.array([w for c in counters for w in c], pa.binary()),
+                pa.array([k for c in counters if c for k in c.values()], pa.int64()),
+            ],
+            names=["word", "n"],
+        )
+        bounds = np.concatenate([[0], np.cumsum([len(c) for c in counters])]).astype(np.int32)
+        return {
+            "n_tokens": pa.array(n_tokens),
+            "n_hot": pa.array(n_hot),
+            "base_hot": pa.array(base - n_tokens * self.base_log),
+            "tail": pa.array(tail),
+            "cold": pa.ListArray.from_arrays(pa.array(bounds), pairs),
+            "symbols": stored.cast(pa.binary()),
+        }
 
     def new_net(self) -> Net:
         net = Net(CLASSES + 1, MEMBERS, HIDDEN)
@@ -244,32 +303,10 @@ def train_network(training: DataFrame, vocabulary, warm: DataFrame) -> bytes | N
 
 def _read(vocabulary):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary.value
-        n_symbols = CLASSES * MEMBERS
         for batch in batches:
-            n_tokens, n_hot, base, tail, cold, stored = [], [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                symbols, hot, rare = v.read(text)
-                n_tokens.append(len(symbols))
-                n_hot.append(len(hot))
-                base.append(float(v.c_log[hot].sum()) - len(symbols) * v.base_log)
-                buckets = np.fromiter(map(bucket, rare), np.int64, len(rare))
-                tail.append(float(v.tail_log[hot].sum()) - float(v.bucket_log[buckets].sum()))
-                cold.append([{"word": w, "n": k} for w, k in Counter(rare).items()])
-                stored.append(symbols.astype(SYMBOL).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(n_hot, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(tail, pa.float64()),
-                    pa.array(cold, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
-                    pa.array(stored, pa.binary()),
-                ],
-                names=["doc_id", "held_out", "n_tokens", "n_hot", "base_hot", "tail", "cold", "symbols"],
-            )
+            found = vocabulary.value.read(batch.column("text").to_pylist())
+            kept = {name: batch.column(name) for name in ("doc_id", "held_out")}
+            yield pa.RecordBatch.from_pydict(kept | found)
 
     return of
 

@@ -287,3 +287,25 @@ def test_attachments_are_read_back(spark):
     assert got[2]["attachments_sha256"] == digest("audio\tb\t38\ndocument\t\t512\nother\t\t0\n")
     assert got[1]["turns_sha256"] == digest("user\nsee <part:7><part:0>!\nassistant\n<part:0>\n")
     assert got[1]["loss_sha256"] == digest("<part:0>") and got[3]["turns_sha256"] == digest("\n\n")
+
+
+def test_lm_reads_texts_in_pieces(monkeypatch):
+    """Documents looked up together, cut at any word, give the columns of each one alone."""
+    import numpy as np
+    from statflow.llm import lm
+
+    v = lm.Vocabulary.__new__(lm.Vocabulary)
+    v.words, v.c = {b"a": 0, b" ": 1, b"bb": 2}, np.array([5, 4, 3])
+    v.symbol = np.array([0, 1, lm.CLASSES * lm.MEMBERS + lm.bucket(b"bb")], np.int32)
+    v.n, v.v, v.bucket_log = 12, 3, np.arange(lm.MEMBERS) / 7.0
+    v.c_log, v.tail_log = np.log10(v.c + 1.0), np.array([0.0, 0.0, -0.5])
+    texts = ["a bb zz A zz y", None, "", "x y x", "bb " * 9]
+    alone = [{k: c.to_pylist()[0] for k, c in v.read([t]).items()} for t in texts]
+    assert alone[0]["n_tokens"] == 7 and alone[0]["n_hot"] == 4
+    assert alone[0]["cold"] == [{"word": b"zz", "n": 2}, {"word": b"y", "n": 1}]
+    monkeypatch.setattr(lm, "LOOKUP", 3)
+    together = v.read(texts)
+    for name, column in together.items():
+        want = [row[name] for row in alone]
+        assert column.to_pylist() == (pytest.approx(want) if name in ("base_hot", "tail") else want), name
+    assert all(len(column) == 0 for column in v.read([]).values())
