@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from statflow.operators.metrics_json import metrics_from_json, read_archive, with_hour_bucket
 from statflow.session import scratch_path
-from statflow.streaming.archive import file_plan, start_sized_archive, write_sized
+from statflow.streaming.archive import TASK_BYTES, file_plan, start_sized_archive, task_count, write_sized
 
 HOUR = 3_600_000
 LINE = '{"timestamp":%d,"time_delta_ms":%d,"cpu_metrics":[]}'
@@ -79,3 +79,28 @@ def test_stream_good_and_bad(spark, offsets):
     assert sorted(r.reason for r in spark.read.parquet(bad).collect()) == ["bad_json", "bad_json", "missing_field"]
     if offsets:  # equal lines with offsets are dealt over the hour's files
         assert len(_files(arch)["1970-01-01--00"]) > 2
+
+
+def test_task_count_by_hand():
+    assert task_count(3, 40, 10_000, 8) == 8  # small files: as many tasks as there are cores
+    assert task_count(20, 40, 10_000, 8) == 20  # no task gets two files of one hour
+    assert task_count(1, 40, 30 * TASK_BYTES, 8) == 30
+    assert task_count(1, 4, 30 * TASK_BYTES, 8) == 4
+
+
+def test_a_task_writes_files_of_many_hours(spark):
+    """All files of the plan are there, by fewer tasks, and no task has two of one hour."""
+    lines = [LINE % (h * HOUR + i, i) for h in range(40) for i in range(60 if h else 900)]
+    path, target = scratch_path(spark, "dealt"), 1000
+    size = {}
+    for line in lines:
+        size.setdefault(int(line.split(":")[1].split(",")[0]) // HOUR, []).append(len(line))
+    n = write_sized(_sized(spark, lines).repartition(4), path, 0, target)
+    files = _files(path)
+    assert len(files) == 40 and n == sum(map(len, files.values()))
+    assert sorted(map(len, files.values())) == sorted(sum(b) // target for b in size.values())
+    tasks = {h: [os.path.basename(f).split("-")[1] for f in names] for h, names in files.items()}
+    assert all(len(set(t)) == len(t) for t in tasks.values())
+    assert len({x for t in tasks.values() for x in t}) == max(map(len, files.values())) < n
+    back = read_archive(spark, path)
+    assert back.count() == len(lines) == back.distinct().count()

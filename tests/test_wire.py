@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from conftest import cpu
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from statflow.operators.wire import (
     parse_frames,
     quarantine,
     registry_from_envelopes,
+    values_of,
 )
 from statflow.schemas import FRAME, SNAPSHOT, SNAPSHOT_AVRO_SCHEMA
 
@@ -143,3 +145,11 @@ def test_most_frames_meet_a_schema(spark):
     framed = got.where(F.col("schema_id").isNotNull())
     assert framed.where(F.col("schema_name").isNotNull()).count() > 0.8 * framed.count()
     assert framed.where(F.col("reason") == "unknown_schema").count() > 0
+
+
+def test_values_of_equals_to_pylist():
+    item = pa.struct([("id", pa.string()), ("n", pa.int64()), ("x", pa.float64())])
+    rows = [[{"id": "a", "n": 1, "x": 0.5}, None], None, [], [{"id": None, "n": None, "x": None}, {"id": "é", "n": 2**62, "x": 1.0}]]
+    for column in (pa.array(rows, pa.list_(item)), pa.array([1, None]), pa.array([[1, 2], [None], None]), pa.array([b"a", None])):
+        for at in range(len(column) + 1):
+            assert values_of(column[at:]) == column[at:].to_pylist()
