@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_data import SF, no_docs, odd_docs  # noqa: F401
@@ -129,3 +130,24 @@ def test_packing_odd_rows(spark, odd_docs, no_docs):
     rows = packing.pack_documents(odd_docs, block_pieces=3).collect()
     check_pieces(rows, [(r["doc_id"], r["text"]) for r in odd_docs.collect()])
     assert packing.pack_documents(no_docs).count() == 0
+
+
+def test_chunks_are_encoded_once(monkeypatch):
+    """Upper and lower case share an entry, and a frequent chunk outlives a full table."""
+    monkeypatch.setattr(encode, "MEMORY", 50)
+    chunks = encode._Chunks(encode.load(WORDS))
+    monkeypatch.setitem(encode._CHUNKS, WORDS, chunks)
+    runs, merge = [], chunks.merge
+    chunks.merge = lambda run: runs.append(run) or merge(run)
+    of = encode.chunk_encoder(WORDS)
+    assert of("Often") == of("OFTEN") == of("often") and runs == ["often"]
+    for i in range(40):
+        of("often " + " ".join(f"rare{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k)}" for k in range(20)))
+    assert runs.count("often") == 1 and len(runs) == 801
+    assert len(chunks) + len(chunks.aside) < 150
+
+
+@pytest.mark.parametrize("text", ["ÀÉ ß ÿ µ DON'T É'S", "ΑΣ Ÿ İ ǄÀ", "<|ENDOFTEXT|> a<|endoftext|>B", "A\u0085B\xa0C²¼ª", "".join(map(chr, range(256)))])
+def test_case_and_specials_as_the_library(text):
+    whole = encode.load(WORDS).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encode.chunk_encoder(WORDS)(text), "<u4").tolist() == whole
