@@ -58,14 +58,17 @@ class Net:
     def _side_by_side(self, blocks: np.ndarray) -> np.ndarray:
         return blocks.transpose(1, 0, 2).reshape(-1, 3 * self.hidden)
 
-    def recur(self, h: np.ndarray, x: np.ndarray, begin: np.ndarray, tape: list | None = None):
+    def inputs(self) -> tuple:
+        """The gates' inputs by symbol and their recurrent weights. The first two
+        gates come negated, for 1 / (1 + exp(-a))."""
+        sign = np.array([-1, -1, 1], np.float32)[:, None, None]
+        return self._by_gate(self.p["E"] + self.p["b"]) * sign, self._by_gate(self.p["U"]) * sign
+
+    def recur(self, h: np.ndarray, x: np.ndarray, begin: np.ndarray, tape: list | None = None, inputs: tuple | None = None):
         """Hidden states [T, B, H] of a window; x are the inputs, begin marks first tokens."""
-        p = self.p
         out = np.empty((*x.shape, self.hidden), np.float32)
-        # The first two gates come negated, for 1 / (1 + exp(-a)).
-        sign = np.array([-1, -1, 1], np.float32)[:, None, None]
-        gx = np.take(self._by_gate(p["E"] + p["b"]) * sign, x, axis=1)
-        u = self._by_gate(p["U"]) * sign
+        by_symbol, u = inputs or self.inputs()
+        gx = np.take(by_symbol, x, axis=1)
         resets = begin.any(1)
         for t in range(len(x)):
             if resets[t]:
@@ -89,28 +92,31 @@ class Net:
             h = now
         return out, h
 
-    def _exponents(self, x: np.ndarray, w: np.ndarray, b: np.ndarray, own: np.ndarray):
-        """(the logits at ``own``, exp of all logits), shifted where they could overflow."""
-        logits = x @ w
-        logits += b
-        # States lie in (-1, 1), so the weights bound every logit.
-        if np.abs(w).sum(0).max() + np.abs(b).max() > 60:
-            logits -= logits.max(1, keepdims=True)
-        at = logits[np.arange(len(x)), own]
-        return at, np.exp(logits, out=logits)
-
-    def _softmax(self, x: np.ndarray, k: str, row, own: np.ndarray, grads: dict | None):
+    def bounds(self) -> tuple:
+        """Bounds of the logits of the classes, and of the members of each class:
+        states lie in (-1, 1), so the weights bound every logit."""
+        p = self.p
+        return (np.abs(p["Wc"]).sum(0).max() + np.abs(p["bc"]).max(),
+                np.abs(p["Wm"]).sum(1).max(1) + np.abs(p["bm"]).max(1))
+
+    def _softmax(self, x: np.ndarray, k: str, row, bound: float, own: np.ndarray, grads: dict | None):
         """Log probabilities of ``own`` and, with ``grads``, the gradient by ``x``."""
         w, b = self.p["W" + k], self.p["b" + k]
         if row is not None:
             w, b = w[row], b[row]
-        at, e = self._exponents(x, w, b, own)
+        e = x @ w
+        e += b
+        if bound > 60:  # exp could overflow
+            e -= e.max(1, keepdims=True)
+        flat, at = e.reshape(-1), np.arange(0, e.size, e.shape[1]) + own
+        logp = flat.take(at)
+        np.exp(e, out=e)
         total = e @ np.ones(e.shape[1], np.float32)
-        logp = at - np.log(total)
+        logp -= np.log(total)
         if grads is None:
             return logp, None
         # (p - onehot) is e less the total at ``own``, over the total.
-        e[np.arange(len(x)), own] -= total
+        flat[at] = flat.take(at) - total
         share = 1 / total
         dw, db = (x * share[:, None]).T @ e, share @ e
         if row is None:
@@ -121,22 +127,23 @@ class Net:
         dx *= share[:, None]
         return logp, dx
 
-    def output(self, hs: np.ndarray, y: np.ndarray, grads: dict | None = None):
+    def output(self, hs: np.ndarray, y: np.ndarray, grads: dict | None = None, bounds: tuple | None = None):
         """Log probabilities (natural) of symbols ``y`` [n] after states ``hs`` [n, H].
 
         The rows are taken in the order of their classes, so that each class is one block.
         """
+        bound, member_bounds = bounds or self.bounds()
         cls = y // self.members
         order = _order(cls, self.classes)
         ends = np.searchsorted(cls[order], np.arange(self.classes + 1))
         x, cls, mem = hs[order], cls[order], (y % self.members)[order]
         if grads is not None:
             grads["Wm"], grads["bm"] = np.zeros_like(self.p["Wm"]), np.zeros_like(self.p["bm"])
-        logp, dx = self._softmax(x, "c", None, cls, grads)
+        logp, dx = self._softmax(x, "c", None, bound, cls, grads)
         for k in range(self.classes):
             at = slice(ends[k], ends[k + 1])
             if ends[k] < ends[k + 1]:
-                more, dk = self._softmax(x[at], "m", k, mem[at], grads)
+                more, dk = self._softmax(x[at], "m", k, member_bounds[k], mem[at], grads)
                 logp[at] += more
                 if grads is not None:
                     dx[at] += dk
@@ -239,8 +246,11 @@ def train(net: Net, docs: list[np.ndarray], lanes: int, rate: float) -> None:
         hs, h = net.recur(h[:active], x, begin, tape)
         real = (doc >= 0).reshape(-1)
         flat = hs.reshape(-1, net.hidden)
-        dhs = np.zeros_like(flat)
-        _, dhs[real] = net.output(flat[real], y.reshape(-1)[real], grads)
+        if real.all():
+            _, dhs = net.output(flat, y.reshape(-1), grads)
+        else:
+            dhs = np.zeros_like(flat)
+            _, dhs[real] = net.output(flat[real], y.reshape(-1)[real], grads)
         net.back(tape, begin, x, dhs.reshape(hs.shape), grads)
         net.step(grads, rate)
 
@@ -249,9 +259,11 @@ def log_likelihoods(net: Net, docs: list[np.ndarray], lanes: int) -> np.ndarray:
     """log10 probability of each whole document's symbols."""
     out = np.zeros(len(docs))
     h = np.zeros((max(1, min(lanes, len(docs))), net.hidden), np.float32)
+    inputs, bounds = net.inputs(), net.bounds()
     for active, x, y, begin, doc in windows(docs, lanes, net.start):
-        hs, h = net.recur(h[:active], x, begin)
+        hs, h = net.recur(h[:active], x, begin, inputs=inputs)
         real = (doc >= 0).reshape(-1)
-        logp, _ = net.output(hs.reshape(-1, net.hidden)[real], y.reshape(-1)[real])
+        real = slice(None) if real.all() else real
+        logp, _ = net.output(hs.reshape(-1, net.hidden)[real], y.reshape(-1)[real], bounds=bounds)
         out += np.bincount(doc.reshape(-1)[real], weights=logp, minlength=len(docs))
     return out / np.log(10)

@@ -30,6 +30,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -74,6 +75,7 @@ class _Buckets(dict):
 
 
 _BUCKETS = _Buckets()
+_ENDING = itemgetter(slice(-2, None))
 
 
 def bucket(word: bytes) -> int:
@@ -165,7 +167,7 @@ class Vocabulary:
             rare = np.nonzero(at < 0)[0]
             s = self.symbol[at] if len(self.symbol) else np.zeros(len(words), np.int32)
             found = [words[i] for i in rare]
-            buckets = np.fromiter((_BUCKETS[w[-2:]] for w in found), np.int64, len(found))
+            buckets = np.fromiter(map(_BUCKETS.__getitem__, map(_ENDING, found)), np.int64, len(found))
             s[rare] = n_symbols + buckets
             symbols.append(s.astype(SYMBOL))
             by = owner[rare]

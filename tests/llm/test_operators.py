@@ -181,6 +181,23 @@ def test_state_is_carried_over_windows():
     assert np.allclose(whole, [gru.log_likelihoods(net, [d], 1)[0] for d in (doc, doc[:3], doc[:17])], rtol=1e-4)
 
 
+def test_scoring_prepares_the_weights_once(monkeypatch):
+    """Bounds and input weights follow from the parameters alone, so scoring asks for them once."""
+    asked = Counter()
+    for name in ("bounds", "inputs"):
+        of = getattr(gru.Net, name)
+        monkeypatch.setattr(gru.Net, name, lambda net, of=of, name=name: asked.update([name]) or of(net))
+    gru.log_likelihoods(gru.Net(2, 4, 3), [np.arange(200) % 8, np.arange(50) % 8], 2)
+    assert asked == {"bounds": 1, "inputs": 1}
+
+
+def test_large_weights_do_not_overflow():
+    net = gru.Net(2, 4, 3)
+    net.p["bm"][1, 2], net.p["bc"][0] = 500, 300
+    logs = gru.log_likelihoods(net, [np.array([6, 1, 5])], 1)
+    assert np.isfinite(logs).all() and logs[0] < -100
+
+
 def test_lm_query(spark, odd_docs, no_docs):  # noqa: F811
     docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas()
     got = {r["doc_id"]: r for r in queries.op8_lm_score(spark, SF).collect()}
