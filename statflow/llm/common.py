@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,3 +93,16 @@ def word_blocks(text: str | None) -> Iterator[list[bytes]]:
         yield words
     if rest:
         yield [rest]
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all the texts as one array, A-Z lower-cased, as UTF-8, and each text's
+    number of words (null: none). Arrow's ASCII white space is exactly ``SPACE``."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    words = lists.flatten().cast(pa.binary())
+    empty = np.nonzero(pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False))[0]
+    if len(empty):  # before a text's first white space and after its last
+        words = words.filter(pc.not_equal(pc.binary_length(words), 0))
+        lengths -= np.bincount(np.searchsorted(np.cumsum(lengths), empty, side="right"), minlength=len(lengths))
+    return words, lengths

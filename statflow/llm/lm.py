@@ -27,19 +27,19 @@ table gives no row.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
-from operator import itemgetter
+from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statflow.llm.common import most_frequent, stage, word_blocks
+from statflow.llm.common import most_frequent, split_words, stage, word_blocks
 from statflow.llm.gru import Net, log_likelihoods, train
 
 CLASSES, MEMBERS, HIDDEN = 16, 64, 16
@@ -50,8 +50,10 @@ RATE = 0.1
 FOLDS, HELD_OUT = 7, 2
 #: Tokens that a task gathers before it runs the network over them.
 BLOCK_TOKENS = 4_000_000
-#: Words that a task looks up at once, whatever documents they are of.
-LOOKUP = 200_000
+#: Bytes of text whose words a task looks up at once, whatever documents they are of.
+LOOKUP = 1 << 23
+#: Words that a task gathers before it counts them.
+COUNT_WORDS = 4_000_000
 #: Models that reach the driver, at most.
 TOP = 16
 #: The end token; no word holds a space.
@@ -66,20 +68,25 @@ SCORED = "row long, doc_id {id}, held_out boolean, n_tokens long, n_hot long, ba
 SYMBOL = np.dtype("<u2")
 
 
-class _Buckets(dict):
-    """The bucket of each ending of two bytes, filled as they come."""
-
-    def __missing__(self, ending: bytes) -> int:
-        self[ending] = found = zlib.crc32(ending) % MEMBERS
-        return found
+def bucket(word: bytes) -> int:
+    return zlib.crc32(word[-2:]) % MEMBERS
 
 
-_BUCKETS = _Buckets()
-_ENDING = itemgetter(slice(-2, None))
+@cache
+def _endings() -> np.ndarray:
+    """The bucket of every one-byte word, then of every ending of two bytes."""
+    one = [bytes([i]) for i in range(256)]
+    return np.array([bucket(w) for w in [*one, *(x + y for x in one for y in one)]])
 
 
-def bucket(word: bytes) -> int:
-    return _BUCKETS[word[-2:]]
+def buckets(words: pa.BinaryArray) -> np.ndarray:
+    """``bucket`` of every word; none is empty."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset :][: len(words) + 1]
+    if not len(words):
+        return np.zeros(0, np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)
+    last, long = data[ends[1:] - 1].astype(np.int64), np.diff(ends) > 1
+    return _endings()[np.where(long, 256 + 256 * data[np.where(long, ends[1:] - 2, 0)].astype(np.int64) + last, last)]
 
 
 def bucket_column(word):
@@ -94,23 +101,45 @@ def held_out(id_col: str):
 # --- counting -------------------------------------------------------------
 
 
+def _blocks(texts: pa.Array, most: int) -> Iterator[tuple]:
+    """(rows, whether it ends a text, words, lengths) blocks of the texts in order; a block is whole texts of
+    ``most`` bytes together, or a part of one that is longer. ``lengths`` are the words of each row."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    first, held = 0, 0
+    for row, size in enumerate(sizes.tolist()):
+        if first < row and held + size > most:
+            yield np.arange(first, row), True, *split_words(texts.slice(first, row - first))
+            first, held = row, 0
+        held += size
+        if size > most:
+            for words in word_blocks(texts[row].as_py()):
+                yield np.array([row]), False, pa.array(words, pa.binary()), np.array([len(words)])
+            yield np.array([row]), True, pa.array([], pa.binary()), np.array([0])
+            first, held = row + 1, 0
+    if first < len(texts):
+        yield np.arange(first, len(texts)), True, *split_words(texts.slice(first))
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
+    held, size, docs = [], 0, 0
 
     def out():
+        counts = pc.value_counts(pa.chunked_array(held, pa.binary()))
+        words, n = counts.field("values"), counts.field("counts")
         return pa.RecordBatch.from_pydict(
-            {"word": pa.array(list(seen), pa.binary()), "n": pa.array(list(seen.values()), pa.int64())}
+            {"word": pa.concat_arrays([words, pa.array([END], pa.binary())]), "n": pa.concat_arrays([n, pa.array([docs], pa.int64())])}
         )
 
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            for words in word_blocks(text):
-                seen.update(words)
-            seen[END] += 1
-            if len(seen) > 400_000:
+        docs += batch.num_rows
+        for _, _, words, _ in _blocks(batch.column("text"), LOOKUP):
+            held.append(words)
+            size += len(words)
+            if size > COUNT_WORDS:
                 yield out()
-                seen.clear()
-    yield out()
+                held, size, docs = [], 0, 0
+    if docs or held:
+        yield out()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -154,59 +183,57 @@ class Vocabulary:
     def base_log(self) -> float:
         return float(np.log10(self.n + self.v + 1))
 
-    def read(self, texts: list[str | None]) -> dict[str, pa.Array]:
+    def read(self, texts: list[str | None] | pa.Array) -> dict[str, pa.Array]:
         """The columns of ``READ`` from n_tokens on, for texts with their end tokens."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
         n, n_symbols = len(texts), CLASSES * MEMBERS
         n_tokens, n_hot, base, tail = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-        symbols, cold = [np.zeros(0, SYMBOL)], {}
-        find = self.words.get
-
-        def look_up(words: list[bytes], rows: list[int], lengths: list[int]) -> None:
-            owner = np.repeat(rows, lengths)
-            at = np.fromiter(map(find, words, repeat(-1)), np.int64, len(words))
-            rare = np.nonzero(at < 0)[0]
-            s = self.symbol[at] if len(self.symbol) else np.zeros(len(words), np.int32)
-            found = [words[i] for i in rare]
-            buckets = np.fromiter(map(_BUCKETS.__getitem__, map(_ENDING, found)), np.int64, len(found))
-            s[rare] = n_symbols + buckets
-            symbols.append(s.astype(SYMBOL))
-            by = owner[rare]
-            ends = np.nonzero(np.append(np.diff(by), 1))[0] + 1 if len(by) else []
-            first = 0
-            for end in ends:
-                cold.setdefault(int(by[first]), Counter()).update(found[first:end])
-                first = end
-            hot = at >= 0
-            of, at = owner[hot], at[hot]
-            n_tokens[:] += np.bincount(owner, minlength=n)
-            n_hot[:] += np.bincount(of, minlength=n)
-            base[:] += np.bincount(of, self.c_log[at], n)
-            tail[:] += np.bincount(of, self.tail_log[at], n) - np.bincount(by, self.bucket_log[buckets], n)
-
-        words, rows, lengths = [], [], []
-        for row, text in enumerate(texts):
-            for some in [*word_blocks(text), [END]]:
-                words += some
-                rows.append(row)
-                lengths.append(len(some))
-                if len(words) >= LOOKUP:
-                    look_up(words, rows, lengths)
-                    words, rows, lengths = [], [], []
-        if words:
-            look_up(words, rows, lengths)
+        symbols, cold, parted = [np.zeros(0, SYMBOL)], [], False
+        hot_words = pa.array(list(self.words), pa.binary())
+        for rows, ends, words, lengths in _blocks(texts, LOOKUP):
+            parted |= not ends
+            # Each distinct word of the block is looked up once, its tokens go by its number.
+            coded = words.dictionary_encode()
+            distinct, codes = coded.dictionary, coded.indices.to_numpy()
+            if ends:
+                codes = np.insert(codes, np.cumsum(lengths), len(distinct))
+                distinct = pa.concat_arrays([distinct, pa.array([END], pa.binary())])
+            owner = np.repeat(rows, lengths + ends)
+            at = pc.index_in(distinct, value_set=hot_words).fill_null(-1).to_numpy(zero_copy_only=False)
+            hot, rare = at >= 0, np.nonzero(at < 0)[0]
+            s, c_log, tail_log, bucket_log = np.zeros(len(at), SYMBOL), *np.zeros((3, len(at)))
+            s[hot], c_log[hot], tail_log[hot] = self.symbol[at[hot]], self.c_log[at[hot]], self.tail_log[at[hot]]
+            of_rare = buckets(distinct.take(pa.array(rare)))
+            s[rare], bucket_log[rare] = n_symbols + of_rare, self.bucket_log[of_rare]
+            symbols.append(s[codes])
+            is_hot = hot[codes]
+            place = np.nonzero(~is_hot)[0]
+            by, kind = owner[place], codes[place]
+            n_tokens += np.bincount(owner, minlength=n)
+            n_hot += np.bincount(owner, is_hot, n).astype(np.int64)
+            base += np.bincount(owner, c_log[codes], n)
+            tail += np.bincount(owner, tail_log[codes], n) - np.bincount(by, bucket_log[kind], n)
+            # One entry for each rare word of a text, in the order of first places.
+            _, head, times = np.unique(by * len(at) + kind, return_index=True, return_counts=True)
+            order = np.argsort(head)
+            head = head[order]
+            cold.append((by[head], distinct.take(pa.array(kind[head])), times[order]))
+        of = np.concatenate([np.zeros(0, np.int64), *(c[0] for c in cold)])
+        found = pa.concat_arrays([pa.array([], pa.binary()), *(c[1] for c in cold)])
+        times = np.concatenate([np.zeros(0, np.int64), *(c[2] for c in cold)])
+        if parted:  # a long text's parts may share words
+            merged: dict = {}
+            for key, k in zip(zip(of.tolist(), found.to_pylist()), times.tolist()):
+                merged[key] = merged.get(key, 0) + k
+            of, found = np.array([row for row, _ in merged], np.int64), pa.array([w for _, w in merged], pa.binary())
+            times = np.array(list(merged.values()), np.int64)
         width = SYMBOL.itemsize
         starts = np.concatenate([[0], np.cumsum(n_tokens) * width]).astype(np.int64)
         stored = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), n, [None, pa.py_buffer(starts), pa.py_buffer(np.concatenate(symbols))])
-        counters = [cold.get(row, ()) for row in range(n)]
-        pairs = pa.StructArray.from_arrays(
-            [
-                pa.array([w for c in counters for w in c], pa.binary()),
-                pa.array([k for c in counters if c for k in c.values()], pa.int64()),
-            ],
-            names=["word", "n"],
-        )
-        bounds = np.concatenate([[0], np.cumsum([len(c) for c in counters])]).astype(np.int32)
+        pairs = pa.StructArray.from_arrays([found, pa.array(times)], names=["word", "n"])
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))]).astype(np.int32)
         return {
             "n_tokens": pa.array(n_tokens),
             "n_hot": pa.array(n_hot),
@@ -306,9 +333,14 @@ def train_network(training: DataFrame, vocabulary, warm: DataFrame) -> bytes | N
 def _read(vocabulary):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = vocabulary.value.read(batch.column("text").to_pylist())
-            kept = {name: batch.column(name) for name in ("doc_id", "held_out")}
-            yield pa.RecordBatch.from_pydict(kept | found)
+            # Some texts at a time, as a batch is bounded in rows only.
+            held = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+            cuts = np.nonzero(np.diff(held // LOOKUP))[0] + 1
+            for first, last in pairwise([0, *cuts.tolist(), batch.num_rows]):
+                part = batch.slice(first, last - first)
+                found = vocabulary.value.read(part.column("text"))
+                kept = {name: part.column(name) for name in ("doc_id", "held_out")}
+                yield pa.RecordBatch.from_pydict(kept | found)
 
     return of
 

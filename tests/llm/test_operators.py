@@ -11,6 +11,7 @@ from fractions import Fraction
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -326,3 +327,63 @@ def test_lm_reads_texts_in_pieces(monkeypatch):
         want = [row[name] for row in alone]
         assert column.to_pylist() == (pytest.approx(want) if name in ("base_hot", "tail") else want), name
     assert all(len(column) == 0 for column in v.read([]).values())
+
+
+ODD_TEXTS = ["  The the\tTHE ", None, "", " \n", "a\x1cb c\x85d e", "ÀB àb\x0b\x0cß", "x y x", "w" * 40, "q " * 30 + "r"]
+
+
+def test_lm_words_of_many_texts():
+    """Arrow splits at the same white space as ``word_blocks``, whatever lies at a text's ends."""
+    from statflow.llm.common import split_words, word_blocks
+
+    for texts in (ODD_TEXTS, [], [None], ["z", " "]):
+        want = [[w for some in word_blocks(t) for w in some] for t in texts]
+        for kind in (pa.string(), pa.large_string()):
+            words, lengths = split_words(pa.array(["cut off", *texts], kind)[1:])
+            assert words.to_pylist() == [w for some in want for w in some]
+            assert lengths.tolist() == [len(some) for some in want]
+
+
+def test_lm_counts_in_parts(monkeypatch):
+    """Counts are the same however texts and words are gathered; every text has one end token."""
+    want = Counter(w for t in ODD_TEXTS if t for w in t.encode().lower().split()) + Counter({lm.END: len(ODD_TEXTS)})
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(t, pa.string())}) for t in (ODD_TEXTS[:4], [], ODD_TEXTS[4:])]
+    for lookup, gathered in ((1 << 23, 4_000_000), (5, 3), (20, 0)):
+        monkeypatch.setattr(lm, "LOOKUP", lookup)
+        monkeypatch.setattr(lm, "COUNT_WORDS", gathered)
+        got = Counter()
+        for out in lm._count_words(iter(batches)):
+            for word, n in zip(*out.to_pydict().values()):
+                got[word] += n
+        assert got == want
+
+
+def test_lm_looks_each_word_up_once(monkeypatch):
+    """A word that comes many times, in any text of a block, is looked up once."""
+    v = lm.Vocabulary.__new__(lm.Vocabulary)
+    v.words, v.c, v.symbol = {b"a": 0}, np.array([5]), np.array([0], np.int32)
+    v.n, v.v, v.bucket_log, v.c_log, v.tail_log = 9, 3, np.zeros(lm.MEMBERS), np.log10([6.0]), np.zeros(1)
+    asked, of = [], lm.buckets
+    monkeypatch.setattr(lm, "buckets", lambda words: asked.extend(words.to_pylist()) or of(words))
+    found = v.read(["a x yy " * 50, "yy a zzz"])
+    assert sorted(asked) == [lm.END, b"x", b"yy", b"zzz"]
+    assert of(pa.array([b"cut", *asked], pa.binary())[1:]).tolist() == [lm.bucket(w) for w in asked]
+    assert found["n_hot"].to_pylist() == [50, 1] and found["n_tokens"].to_pylist() == [151, 4]
+    assert found["cold"].to_pylist()[1] == [{"word": w, "n": 1} for w in (b"yy", b"zzz", lm.END)]
+
+
+def test_lm_reads_long_texts_in_parts(monkeypatch):
+    """The parts of a text longer than a block share their words' entries."""
+    from statflow.llm import common
+
+    v = lm.Vocabulary.__new__(lm.Vocabulary)
+    v.words, v.c, v.symbol = {b"a": 0}, np.array([5]), np.array([0], np.int32)
+    v.n, v.v, v.bucket_log, v.c_log, v.tail_log = 9, 3, np.arange(lm.MEMBERS) / 7.0, np.log10([6.0]), np.zeros(1)
+    texts = ["b a", "b a c " * 20 + "b", None, "c a"]
+    whole = v.read(texts)
+    monkeypatch.setattr(lm, "LOOKUP", 8)
+    monkeypatch.setattr(common, "WORD_BLOCK", 16)
+    parts = v.read(texts)
+    for name, column in whole.items():
+        want = column.to_pylist()
+        assert parts[name].to_pylist() == (pytest.approx(want) if name in ("base_hot", "tail") else want), name
